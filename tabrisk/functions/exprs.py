@@ -184,10 +184,10 @@ def seeded_hash(key_cols: Sequence[str], seed: int, modulus: int = 2147483647) -
 
 def seeded_hash_sql(key_cols: Sequence[str], seed: int, modulus: int = 2147483647) -> str:
     """The same hash as SQL text (keys are non-negative integers)."""
-    acc = str((int(seed) * 2654435761) % modulus)
+    acc = f"CAST({(int(seed) * 2654435761) % modulus} AS BIGINT)"
     for i, k in enumerate(key_cols):
         mult = HASH_MULTS[i % len(HASH_MULTS)]
-        acc = f"(({acc})*31 + ({k} % 1000003)*{mult}) % {modulus}"
+        acc = f"(({acc})*31 + (CAST({k} AS BIGINT) % 1000003)*{mult}) % {modulus}"
     return f"(({acc})*48271) % {modulus}"
 
 

@@ -132,6 +132,7 @@ def exact_quantiles(
     value_cols: Sequence[str],
     probs: Sequence[float],
     group_cols: Sequence[str] = (),
+    long_form: bool = False,
 ) -> DataFrame:
     """A1: exact, linearly interpolated quantiles ignoring NULL.
 
@@ -168,6 +169,9 @@ def exact_quantiles(
         F.max(F.when(in_lo, F.col("value"))).alias("v_lo"), F.max(F.when(in_hi, F.col("value"))).alias("v_hi")
     )
     vals = vals.withColumn("q", F.col("v_lo") + (F.col("h") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo")))
+    if long_form:
+        probs_map = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("pidx") + 1)
+        return vals.select(*keys, "n", probs_map.alias("p"), "q").cache()
     out = vals.groupBy(*keys, "n").pivot("pidx", list(range(len(probs)))).agg(F.first("q"))
     for i, p in enumerate(probs):
         out = out.withColumnRenamed(str(i), quantile_name(p))

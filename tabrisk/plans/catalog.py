@@ -458,3 +458,270 @@ def q_domain_features(spark, sf):
     raw = segments(spark, sf)
     params = clean.fit_medians(clean.apply_sentinel(raw), NUM)
     return rnd(prepare.domain_transform(raw, params).select(*KEY_LIST, *DOMAIN_OUT))
+
+
+# ------------------------------------------------------- splits and folds ---
+def _rank_sql(seed: int) -> str:
+    return (
+        f"row_number() OVER (PARTITION BY risk_class ORDER BY {hash_sql(HASH_KEYS, seed)}, {KEYS}) - 1"
+    )
+
+
+def _split_sql() -> str:
+    return (
+        f"{base_cte()}, cnt AS (SELECT risk_class, count(*) AS n_c FROM lab GROUP BY risk_class), "
+        "tot AS (SELECT sum(n_c) AS n, CAST(ceil(0.2e0 * sum(n_c)) AS BIGINT) AS draws FROM cnt), "
+        "ex AS (SELECT risk_class, n_c * draws / n AS x, floor(n_c * draws / n) AS b, draws FROM cnt, tot), "
+        "rk AS (SELECT *, row_number() OVER (ORDER BY x - b DESC, risk_class) AS r, draws - sum(b) OVER () AS left_ FROM ex), "
+        "quota AS (SELECT risk_class, b + CASE WHEN r <= left_ THEN 1 ELSE 0 END AS q FROM rk), "
+        f"ranked AS (SELECT {KEYS}, risk_class, {_rank_sql(SEED)} AS rk FROM lab) "
+        f"SELECT {KEYS}, ranked.risk_class, CASE WHEN rk < q THEN 'test' ELSE 'train' END AS split "
+        "FROM ranked JOIN quota USING (risk_class)"
+    )
+
+
+def seg_split(spark, sf) -> DataFrame:
+    return folds.stratified_split(seg_labelled(spark, sf), "risk_class", HASH_KEYS, KEY_LIST, 0.2, SEED)
+
+
+@register("stratified_split", _split_sql())
+def q_stratified_split(spark, sf):
+    return seg_split(spark, sf).select(*KEY_LIST, "risk_class", "split")
+
+
+def _folds_sql(k: int = 5, repeats: int = 2) -> str:
+    parts = [
+        f"SELECT {KEYS}, risk_class, {r} AS repeat, CAST(({_rank_sql(SEED + 1000003 * r)}) % {k} AS INTEGER) AS fold FROM lab"
+        for r in range(repeats)
+    ]
+    return f"{base_cte()} " + _union_sql(parts)
+
+
+@register("stratified_folds", _folds_sql())
+def q_stratified_folds(spark, sf):
+    d = folds.stratified_folds(seg_labelled(spark, sf), "risk_class", HASH_KEYS, KEY_LIST, k=5, repeats=2, seed=SEED)
+    return d.select(*KEY_LIST, "risk_class", "repeat", "fold")
+
+
+# ---------------------------------------------------------------- metrics ---
+RULE_T1, RULE_T2 = 30.0, 60.0  # baseline rule model: rainfall thresholds
+RULE_SQL = "CAST(CASE WHEN historical_rainfall_intensity_mm_hr >= 60.0e0 THEN 2 WHEN historical_rainfall_intensity_mm_hr >= 30.0e0 THEN 1 ELSE 0 END AS INTEGER)"
+
+
+def rule_predictions(spark, sf) -> DataFrame:
+    d = seg_labelled(spark, sf)
+    return d.withColumn("prediction", X.threshold_classes("historical_rainfall_intensity_mm_hr", RULE_T1, RULE_T2))
+
+
+def _cm_sql(group: str | None) -> str:
+    g = f"{group}, " if group else ""
+    grid_src = f"(SELECT DISTINCT {group} FROM lab)" if group else "(SELECT 1 AS one)"
+    using = f"{group}, label, prediction" if group else "label, prediction"
+    return (
+        f"{base_cte()}, pr AS (SELECT *, {RULE_SQL} AS prediction FROM lab), "
+        f"c AS (SELECT {g}risk_class_encoded AS label, prediction, CAST(count(*) AS DOUBLE) AS n FROM pr GROUP BY ALL), "
+        f"grid AS (SELECT {g}l.label, p.prediction FROM {grid_src} g0, (SELECT unnest([0,1,2]) AS label) l, "
+        "(SELECT unnest([0,1,2]) AS prediction) p), "
+        f"cm AS (SELECT {g}CAST(grid.label AS INTEGER) AS label, CAST(grid.prediction AS INTEGER) AS prediction, coalesce(c.n, 0.0e0) AS n "
+        f"FROM grid LEFT JOIN c USING ({using}))"
+    )
+
+
+@register("rule_confusion_by_land_use", _cm_sql("land_use") + " SELECT land_use, label, prediction, round(n, 6) AS n FROM cm")
+def q_rule_confusion(spark, sf):
+    return rnd(metrics.confusion(rule_predictions(spark, sf), "risk_class_encoded", "prediction", group_cols=["land_use"]))
+
+
+def _per_class_sql(group: str | None) -> str:
+    g = f"{group}, " if group else ""
+    gp = f"PARTITION BY {group}, " if group else "PARTITION BY "
+    return (
+        f"{_cm_sql(group)}, pc0 AS (SELECT {g}label, "
+        "sum(n) FILTER (WHERE label = prediction) OVER (" + gp + "label) AS tp0, "
+        "sum(n) OVER (" + gp + "label) AS support, n, prediction FROM cm), "
+        f"pp AS (SELECT {g}prediction AS label, sum(n) AS predicted FROM cm GROUP BY ALL), "
+        f"pc1 AS (SELECT DISTINCT {g}label, "
+        f"sum(CASE WHEN label = prediction THEN n ELSE 0 END) OVER ({gp}label) AS tp, sum(n) OVER ({gp}label) AS support FROM cm), "
+        f"pc AS (SELECT pc1.*, pp.predicted, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0e0 END AS precision, "
+        "CASE WHEN support > 0 THEN tp / support ELSE 0.0e0 END AS recall FROM pc1 JOIN pp USING ("
+        + (f"{group}, label" if group else "label") + ")), "
+        "pcf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2.0e0 * precision * recall / (1.0e0 * precision + recall) ELSE 0.0e0 END AS f1, "
+        "CASE WHEN precision + recall > 0 THEN 5.0e0 * precision * recall / (4.0e0 * precision + recall) ELSE 0.0e0 END AS f2 FROM pc)"
+    )
+
+
+@register(
+    "rule_per_class_report",
+    _per_class_sql(None) + " SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, "
+    "round(f2, 6) AS f2, round(support, 6) AS support FROM pcf",
+)
+def q_rule_per_class(spark, sf):
+    cm = metrics.confusion(rule_predictions(spark, sf), "risk_class_encoded", "prediction")
+    return rnd(metrics.per_class(cm))
+
+
+@register(
+    "rule_metrics_by_land_use",
+    _per_class_sql("land_use") + " SELECT land_use, round(avg(precision), 6) AS precision_macro, round(avg(recall), 6) AS recall_macro, "
+    "round(avg(f1), 6) AS f1_macro, round(avg(f2), 6) AS f2_macro, "
+    "round(CASE WHEN sum(support) > 0 THEN sum(f1 * support) / sum(support) ELSE 0.0e0 END, 6) AS f1_weighted, "
+    "round(CASE WHEN sum(support) > 0 THEN sum(f2 * support) / sum(support) ELSE 0.0e0 END, 6) AS f2_weighted, "
+    "round(max(recall) FILTER (WHERE label = 0), 6) AS recall_low, round(max(recall) FILTER (WHERE label = 1), 6) AS recall_medium, "
+    "round(max(recall) FILTER (WHERE label = 2), 6) AS recall_high, "
+    "round(CASE WHEN sum(support) > 0 THEN sum(recall * support) / sum(support) ELSE 0.0e0 END, 6) AS accuracy FROM pcf GROUP BY land_use",
+)
+def q_rule_metrics(spark, sf):
+    cm = metrics.confusion(rule_predictions(spark, sf), "risk_class_encoded", "prediction", group_cols=["land_use"])
+    return rnd(metrics.summary(cm, ["land_use"]))
+
+
+@register(
+    "balanced_class_weights",
+    f"{base_cte()}, c AS (SELECT risk_class_encoded, count(*) AS n_c FROM lab GROUP BY risk_class_encoded) "
+    "SELECT risk_class_encoded, n_c, round(sum(n_c) OVER () / (count(*) OVER () * n_c), 6) AS weight FROM c",
+)
+def q_balanced_class_weights(spark, sf):
+    return rnd(metrics.balanced_weights(seg_labelled(spark, sf), "risk_class_encoded"))
+
+
+@register(
+    "toxic_class_weights",
+    "WITH c AS (SELECT toxic, count(*) AS n_c FROM labels GROUP BY toxic) "
+    "SELECT toxic, n_c, round(sum(n_c) OVER () / (count(*) OVER () * n_c), 6) AS weight FROM c",
+)
+def q_toxic_class_weights(spark, sf):
+    return rnd(metrics.balanced_weights(read_table(spark, sf, "labels"), "toxic"))
+
+
+@register(
+    "initial_scores",
+    f"{base_cte()}, c AS (SELECT risk_class_encoded, count(*) AS n_c FROM lab GROUP BY risk_class_encoded), "
+    "s AS (SELECT *, n_c / sum(n_c) OVER () AS prior FROM c) "
+    "SELECT risk_class_encoded, n_c, round(prior, 6) AS prior, round(ln(prior), 6) AS log_prior, "
+    "round(ln(prior / (1 - prior)), 6) AS logit FROM s",
+)
+def q_initial_scores(spark, sf):
+    return rnd(metrics.initial_scores(seg_labelled(spark, sf), "risk_class_encoded"))
+
+
+@register(
+    "impurity_by_city",
+    f"{base_cte()}, c AS (SELECT city_name, risk_class_encoded, count(*) AS n_c FROM lab GROUP BY ALL), "
+    "s AS (SELECT *, n_c / sum(n_c) OVER (PARTITION BY city_name) AS p FROM c) "
+    "SELECT city_name, sum(n_c) AS n, round(1 - sum(p * p), 6) AS gini, round(-sum(p * log2(p)), 6) AS entropy, "
+    "arg_min(risk_class_encoded, (-n_c, risk_class_encoded)) AS majority FROM s GROUP BY city_name",
+)
+def q_impurity_by_city(spark, sf):
+    return rnd(metrics.impurity(seg_labelled(spark, sf), "risk_class_encoded", ["city_name"]))
+
+
+# ------------------------------------------------- threshold search (W16) ---
+def _threshold_sql(score: str, num: int = 50) -> str:
+    return (
+        f"{base_cte()}, mm AS (SELECT min({score}) AS lo, max({score}) AS hi FROM lab), "
+        f"c AS (SELECT i, CASE WHEN i = {num - 1} THEN hi ELSE lo + i * ((hi - lo) / {num - 1}) END AS c FROM mm, range({num}) t(i)), "
+        f"b AS (SELECT risk_class_encoded AS y, (SELECT count(*) FROM c WHERE c.c <= lab.{score}) AS bucket FROM lab), "
+        "h AS (SELECT y, bucket, CAST(count(*) AS DOUBLE) AS w FROM b GROUP BY y, bucket), "
+        f"pairs AS (SELECT a.i AS i, b2.i AS j FROM range({num}) a(i), range({num}) b2(i) WHERE a.i < b2.i), "
+        "cm AS (SELECT i, j, y, CASE WHEN bucket >= j + 1 THEN 2 WHEN bucket >= i + 1 THEN 1 ELSE 0 END AS p, sum(w) AS n FROM pairs, h GROUP BY ALL), "
+        "agg AS (SELECT i, j, "
+        + ", ".join(
+            f"sum(CASE WHEN y = {k} AND p = {k} THEN n ELSE 0.0e0 END) AS tp{k}, sum(CASE WHEN y = {k} THEN n ELSE 0.0e0 END) AS s{k}, "
+            f"sum(CASE WHEN p = {k} THEN n ELSE 0.0e0 END) AS q{k}"
+            for k in range(3)
+        )
+        + " FROM cm GROUP BY i, j), "
+        "pr AS (SELECT i, j, "
+        + ", ".join(
+            f"CASE WHEN q{k} > 0 THEN tp{k} / q{k} ELSE 0.0e0 END AS p{k}, CASE WHEN s{k} > 0 THEN tp{k} / s{k} ELSE 0.0e0 END AS r{k}"
+            for k in range(3)
+        )
+        + " FROM agg), f AS (SELECT i, j, ("
+        + " + ".join(f"CASE WHEN (p{k} + r{k}) > 0 THEN (1 + 4.0e0) * p{k} * r{k} / (4.0e0 * p{k} + r{k}) ELSE 0.0e0 END" for k in range(3))
+        + ") / 3.0e0 AS score FROM pr), best AS (SELECT * FROM f ORDER BY score DESC, i, j LIMIT 1) "
+        "SELECT round(c1.c, 6) AS t1, round(c2.c, 6) AS t2, round(score, 6) AS f2_macro FROM best JOIN c c1 ON c1.i = best.i JOIN c c2 ON c2.i = best.j"
+    )
+
+
+@register("threshold_search_rainfall", _threshold_sql("historical_rainfall_intensity_mm_hr"))
+def q_threshold_search(spark, sf):
+    from ..operators import linear
+
+    return rnd(linear.threshold_search(seg_labelled(spark, sf), "historical_rainfall_intensity_mm_hr", "risk_class_encoded"))
+
+
+# --------------------------------------------------------- split finding ---
+SPLIT_FEATURES = ["elevation_m", "drainage_density_km_per_km2", "storm_drain_proximity_m",
+                  "historical_rainfall_intensity_mm_hr", "return_period_years"]
+
+
+def _imputed_sql_cte() -> str:
+    imp = ", ".join(f"coalesce(lab.{c}, p.med_{i}) AS {c}" for i, c in enumerate(NUM))
+    return f"{base_cte()}, {params_cte()}, imp AS (SELECT {KEYS}, risk_class_encoded, {imp} FROM lab CROSS JOIN p)"
+
+
+def seg_imputed(spark, sf) -> DataFrame:
+    d = seg_clean(spark, sf)
+    params = clean.fit_medians(d, NUM)
+    return clean.drop_params(clean.impute(clean.attach_params(d, params), categorical_cols=[]), params)
+
+
+@register(
+    "gini_root_split",
+    _imputed_sql_cte() + ", l AS ("
+    + _union_sql([f"SELECT {i + 1} AS fidx, '{c}' AS feature, {c} AS value, risk_class_encoded AS y FROM imp" for i, c in enumerate(SPLIT_FEATURES)])
+    + "), cnt AS (SELECT fidx, feature, value, " + ", ".join(f"count(*) FILTER (WHERE y = {k}) AS c{k}" for k in range(3))
+    + " FROM l GROUP BY ALL), cum AS (SELECT fidx, feature, value AS threshold, "
+    + ", ".join(f"sum(c{k}) OVER (PARTITION BY fidx ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l{k}" for k in range(3)) + ", "
+    + ", ".join(f"sum(c{k}) OVER (PARTITION BY fidx) AS t{k}" for k in range(3))
+    + " FROM cnt), c2 AS (SELECT *, 0 + l0 + l1 + l2 AS n_L, 0 + t0 + t1 + t2 AS n FROM cum), c3 AS (SELECT *, n - n_L AS n_R FROM c2 WHERE n_L >= 1 AND n - n_L >= 1), "
+    "c4 AS (SELECT *, (n_L / n) * (1.0e0 - (0.0e0 + (l0 / n_L) * (l0 / n_L) + (l1 / n_L) * (l1 / n_L) + (l2 / n_L) * (l2 / n_L))) + "
+    "(n_R / n) * (1.0e0 - (0.0e0 + ((t0 - l0) / n_R) * ((t0 - l0) / n_R) + ((t1 - l1) / n_R) * ((t1 - l1) / n_R) + ((t2 - l2) / n_R) * ((t2 - l2) / n_R))) AS impurity FROM c3) "
+    "SELECT feature, round(threshold, 6) AS threshold, round(impurity, 6) AS impurity, n_L, n_R FROM c4 ORDER BY impurity, fidx, threshold LIMIT 1",
+)
+def q_gini_root_split(spark, sf):
+    from ..operators import trees
+
+    return rnd(trees.exhaustive_best_split(seg_imputed(spark, sf), SPLIT_FEATURES, "risk_class_encoded"))
+
+
+@register(
+    "conflict_matrix",
+    _imputed_sql_cte() + " "
+    + _union_sql([
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(count(*) FILTER (WHERE {a} <> 0 AND {b} <> 0) / count(*), 6) AS conflict_rate FROM imp"
+        for i, a in enumerate(SPLIT_FEATURES) for b in SPLIT_FEATURES[i + 1:]
+    ]),
+)
+def q_conflict_matrix(spark, sf):
+    from ..operators import trees
+
+    return rnd(trees.conflict_matrix(seg_imputed(spark, sf), SPLIT_FEATURES))
+
+
+@register(
+    "normal_equation_moments",
+    _imputed_sql_cte() + " "
+    + _union_sql(
+        ["SELECT 'sw' AS term, -1 AS i, -1 AS j, round(sum(1.0e0) / count(*), 6) AS value FROM imp",
+         "SELECT 'swy' AS term, -1 AS i, -1 AS j, round(sum(CAST(risk_class_encoded AS DOUBLE)) / count(*), 6) AS value FROM imp",
+         "SELECT 'swyy' AS term, -1 AS i, -1 AS j, round(sum(CAST(risk_class_encoded AS DOUBLE) * risk_class_encoded) / count(*), 6) AS value FROM imp"]
+        + [f"SELECT 'swx' AS term, {i} AS i, -1 AS j, round(sum({a}) / count(*), 6) AS value FROM imp" for i, a in enumerate(SPLIT_FEATURES)]
+        + [f"SELECT 'swxy' AS term, {i} AS i, -1 AS j, round(sum({a} * risk_class_encoded) / count(*), 6) AS value FROM imp" for i, a in enumerate(SPLIT_FEATURES)]
+        + [f"SELECT 'swxx' AS term, {i} AS i, {j} AS j, round(sum({a} * {b}) / count(*), 6) AS value FROM imp"
+           for i, a in enumerate(SPLIT_FEATURES) for j, b in enumerate(SPLIT_FEATURES) if j >= i]
+    ),
+)
+def q_normal_equation_moments(spark, sf):
+    """A31 sums divided by the total weight (scale-free for the value check)."""
+    from pyspark.sql import Window
+
+    from ..operators import linear
+
+    s = linear.normal_sums(seg_imputed(spark, sf), SPLIT_FEATURES, "risk_class_encoded")
+    # the sums table has (d+1)(d+2)/2 + 2d + 1 rows: a global window over it is tiny
+    sw = F.max(F.when(F.col("term") == "sw", F.col("value"))).over(Window.partitionBy())
+    return s.withColumn("value", F.round(F.col("value") / sw, 6))
+
+
+# ----------------------------------------------------------- encoders ------
