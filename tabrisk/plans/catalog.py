@@ -725,3 +725,121 @@ def q_normal_equation_moments(spark, sf):
 
 
 # ----------------------------------------------------------- encoders ------
+
+
+# ----------------------------------------------- histogram split (W11, W12) ---
+HIST_BINS = 16
+
+
+def _hist_split_sql(max_bin: int = HIST_BINS) -> str:
+    probs = "[" + ", ".join(repr(i / max_bin) for i in range(max_bin + 1)) + "]"
+    edges = _union_sql([
+        f"SELECT {i + 1} AS fidx, '{c}' AS feature, list_sort(list_distinct(quantile_cont({c}, {probs}))) AS e FROM imp"
+        for i, c in enumerate(SPLIT_FEATURES)
+    ])
+    longs = _union_sql([
+        f"SELECT {i + 1} AS fidx, imp.risk_class_encoded AS y, "
+        f"CAST(len(list_filter(e[2:len(e) - 1], lambda x: x <= imp.{c})) AS INTEGER) AS bin FROM imp, edges WHERE edges.fidx = {i + 1}"
+        for i, c in enumerate(SPLIT_FEATURES)
+    ])
+    return (
+        _imputed_sql_cte()
+        + f", edges AS ({edges}), l AS ({longs}), "
+        "pri AS (SELECT y AS cls, count(*) / sum(count(*)) OVER () AS p FROM imp_y GROUP BY y), "
+        "gl AS (SELECT pri.cls, l.fidx, l.bin, pri.p - CASE WHEN l.y = pri.cls THEN 1.0e0 ELSE 0.0e0 END AS g, pri.p * (1.0e0 - pri.p) AS h FROM l, pri), "
+        "hist AS (SELECT cls, fidx, bin, sum(g) AS gb, sum(h) AS hb, count(*) AS nb FROM gl GROUP BY ALL), "
+        "cum AS (SELECT cls, fidx, bin, "
+        "sum(gb) OVER (PARTITION BY cls, fidx ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gL, "
+        "sum(hb) OVER (PARTITION BY cls, fidx ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hL, "
+        "sum(nb) OVER (PARTITION BY cls, fidx ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nL, "
+        "sum(gb) OVER (PARTITION BY cls, fidx) AS g, sum(hb) OVER (PARTITION BY cls, fidx) AS h, sum(nb) OVER (PARTITION BY cls, fidx) AS n FROM hist), "
+        "c2 AS (SELECT *, g - gL AS gR, h - hL AS hR, n - nL AS nR FROM cum), "
+        "c3 AS (SELECT *, 0.5e0 * (gL * gL / (hL + 1.0e0) + gR * gR / (hR + 1.0e0) - (gL + gR) * (gL + gR) / (hL + hR + 1.0e0)) AS gain FROM c2), "
+        "c4 AS (SELECT *, row_number() OVER (PARTITION BY cls ORDER BY gain DESC, fidx, bin) AS rn FROM c3 WHERE nL >= 20 AND nR >= 20 AND gain > 0.0e0) "
+        "SELECT CAST(cls AS INTEGER) AS cls, e.feature, bin, round(gain, 6) AS gain, nL AS n_L, nR AS n_R FROM c4 JOIN edges e USING (fidx) WHERE rn = 1"
+    ).replace("FROM imp_y GROUP BY y", "FROM (SELECT risk_class_encoded AS y FROM imp) GROUP BY y")
+
+
+@register("histogram_root_split", _hist_split_sql())
+def q_histogram_root_split(spark, sf):
+    """One boosting round's root split per class: softmax gradients at the prior
+    (g = p_c - y_c, h = p_c (1 - p_c)), quantile bins, best histogram split."""
+    from ..operators import trees
+
+    d = seg_imputed(spark, sf)
+    edges = trees.quantile_bin_edges(d, SPLIT_FEATURES, HIST_BINS)
+    binned = trees.bin_features(d, edges)
+    prior = metrics.initial_scores(d, "risk_class_encoded").select(F.col("risk_class_encoded").alias("cls"), "prior")
+    # one row per class: the prior table is tiny, replicate rows per class by explode
+    pri = {r["cls"]: r["prior"] for r in prior.collect()}
+    cls_arr = F.array(*[F.struct(F.lit(int(k)).alias("cls"), F.lit(float(v)).alias("p")) for k, v in sorted(pri.items())])
+    g = binned.select("*", F.explode(cls_arr).alias("_c")).select(
+        "*", F.col("_c.cls").alias("cls"), F.col("_c.p").alias("p")
+    )
+    y = (F.col("risk_class_encoded") == F.col("cls")).cast("double")
+    g = g.withColumn("g", F.col("p") - y).withColumn("h", F.col("p") * (1.0 - F.col("p")))
+    best = trees.histogram_best_split(g, [c + "_bin" for c in SPLIT_FEATURES], group_cols=["cls"])
+    return rnd(best.withColumn("feature", F.regexp_replace("feature", "_bin$", "")))
+
+
+# -------------------------------------------------- percentile ranks (T10) ---
+def _pct_sql() -> str:
+    e, r = "elevation_m", "historical_rainfall_intensity_mm_hr"
+    split = _split_sql()
+    split = split[: split.rindex("SELECT " + KEYS)]  # keep the CTEs
+    med_e = "(SELECT quantile_cont(elevation_m, 0.5) FROM lab JOIN sp USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) WHERE split = 'train')"
+    body = (
+        f"sp AS (SELECT {KEYS}, CASE WHEN rk < q THEN 'test' ELSE 'train' END AS split FROM ranked JOIN quota USING (risk_class)), "
+        f"d AS (SELECT {', '.join('lab.' + k.strip() for k in KEYS.split(','))}, sp.split, coalesce(lab.{e}, {med_e}) AS e, lab.{r} AS r "
+        "FROM lab JOIN sp USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)), "
+        "tr AS (SELECT * FROM d WHERE split = 'train'), te AS (SELECT * FROM d WHERE split = 'test'), "
+        "ntr AS (SELECT count(*) - 1 AS m FROM tr), "
+        "trr AS (SELECT *, (row_number() OVER (ORDER BY e, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1) / (SELECT greatest(m, 1) FROM ntr) AS pe, "
+        "(row_number() OVER (ORDER BY r, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1) / (SELECT greatest(m, 1) FROM ntr) AS pr FROM tr), "
+    )
+    for col in ("e", "r"):
+        body += (
+            f"tv_{col} AS (SELECT {col} AS v, min(pos) AS first_pos, max(pos) AS last_pos FROM "
+            f"(SELECT {col}, row_number() OVER (ORDER BY {col}) - 1 AS pos FROM tr) GROUP BY {col}), "
+            f"lo_{col} AS (SELECT te.*, tv.v AS lo_v, tv.last_pos AS lo_last FROM te ASOF LEFT JOIN tv_{col} tv ON te.{col} >= tv.v), "
+            f"hi_{col} AS (SELECT lo_{col}.*, tv.v AS hi_v, tv.first_pos AS hi_first FROM lo_{col} ASOF LEFT JOIN "
+            f"(SELECT -v AS nv, v, first_pos FROM tv_{col}) tv ON -lo_{col}.{col} >= tv.nv), "
+            f"ip_{col} AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CASE WHEN lo_v IS NULL THEN 0.0e0 "
+            f"WHEN hi_v IS NULL AND lo_v < {col} THEN 1.0e0 WHEN lo_v = {col} THEN lo_last / (SELECT greatest(m, 1) FROM ntr) "
+            f"ELSE (lo_last + (hi_first - lo_last) * ({col} - lo_v) / (hi_v - lo_v)) / (SELECT greatest(m, 1) FROM ntr) END AS p FROM hi_{col}), "
+        )
+    body += (
+        "ter AS (SELECT te.*, ip_e.p AS pe, ip_r.p AS pr FROM te JOIN ip_e USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) "
+        "JOIN ip_r USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)), "
+        "allr AS (SELECT * FROM trr UNION ALL SELECT * FROM ter) "
+        f"SELECT {KEYS}, split, round(pe, 6) AS G4_elev_pct_rank, round(pr, 6) AS G4_rain_pct_rank, "
+        "round((1.0e0 - pe) * pr, 6) AS G4_compound_extreme FROM allr"
+    )
+    return split + ", " + body
+
+
+@register("percentile_rank_features", _pct_sql())
+def q_percentile_rank_features(spark, sf):
+    sp = seg_split(spark, sf)
+    sp = clean.apply_sentinel(sp)
+    train = sp.where(F.col("split") == "train")
+    med = clean.fit_medians(train, ["elevation_m"])
+    sp = clean.drop_params(clean.impute(clean.attach_params(sp, med), ["elevation_m"], []), med)
+    cols = [*KEY_LIST, "split", "elevation_m", "historical_rainfall_intensity_mm_hr"]
+    sp = sp.select(*cols)
+    tr, te = features.percentile_rank_features(
+        sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"), KEY_LIST
+    )
+    out = [*KEY_LIST, "split", "G4_elev_pct_rank", "G4_rain_pct_rank", "G4_compound_extreme"]
+    return rnd(tr.select(*out).unionByName(te.select(*out)))
+
+
+@register(
+    "average_rank_rainfall",
+    f"{base_cte()} SELECT {KEYS}, round((rank() OVER (ORDER BY historical_rainfall_intensity_mm_hr) + "
+    "(count(*) OVER (PARTITION BY historical_rainfall_intensity_mm_hr) - 1) / 2.0e0) / count(*) OVER (), 6) AS rain_avg_rank FROM lab",
+)
+def q_average_rank_rainfall(spark, sf):
+    d = seg_labelled(spark, sf).select(*KEY_LIST, "historical_rainfall_intensity_mm_hr")
+    out = features.average_rank(d, "historical_rainfall_intensity_mm_hr", "rain_avg_rank")
+    return rnd(out.select(*KEY_LIST, "rain_avg_rank"))
