@@ -843,3 +843,166 @@ def q_average_rank_rainfall(spark, sf):
     d = seg_labelled(spark, sf).select(*KEY_LIST, "historical_rainfall_intensity_mm_hr")
     out = features.average_rank(d, "historical_rainfall_intensity_mm_hr", "rain_avg_rank")
     return rnd(out.select(*KEY_LIST, "rain_avg_rank"))
+
+
+# ------------------------------------------- cross-validation result tables ---
+from . import experiment  # noqa: E402
+from .sqltext import cls_metrics_sql  # noqa: E402
+
+CV_REPEATS, CV_K = 2, 5
+SUMMARY_COLS = ["precision_macro", "recall_macro", "f1_macro", "f2_macro", "f1_weighted", "f2_weighted",
+                "recall_low", "recall_medium", "recall_high", "accuracy"]
+
+
+def _cv_cte() -> str:
+    fo = _union_sql([
+        f"SELECT risk_class_encoded, historical_rainfall_intensity_mm_hr AS rain, {r} AS repeat, "
+        f"CAST(({_rank_sql(SEED + 1000003 * r)}) % {CV_K} AS INTEGER) AS fold FROM lab"
+        for r in range(CV_REPEATS)
+    ])
+    mdl = ", ".join(f"('{k}', {a}e0, {b}e0)" for k, (a, b) in experiment.RULE_MODELS.items())
+    keys = ["model", "repeat", "fold"]
+    return (
+        f"{base_cte()}, fo AS ({fo}), mdl AS (SELECT * FROM (VALUES {mdl}) t(model, t1, t2)), "
+        "pr AS (SELECT model, repeat, fold, risk_class_encoded AS y, CASE WHEN rain >= t2 THEN 2 WHEN rain >= t1 THEN 1 ELSE 0 END AS p FROM fo, mdl), "
+        "cv AS (SELECT model, repeat, fold, y, p, CAST(count(*) AS DOUBLE) AS n FROM pr GROUP BY ALL), "
+        "grid AS (SELECT g.model, g.repeat, g.fold, yy.y, pp.p FROM (SELECT DISTINCT model, repeat, fold FROM cv) g, "
+        "(SELECT unnest([0, 1, 2]) AS y) yy, (SELECT unnest([0, 1, 2]) AS p) pp), "
+        "cm AS (SELECT grid.*, coalesce(cv.n, 0.0e0) AS nv FROM grid LEFT JOIN cv USING (model, repeat, fold, y, p)), "
+        "cm2 AS (SELECT *, sum(nv) OVER (PARTITION BY model, repeat, y, p) - nv AS nt FROM cm), "
+        f"val AS ({cls_metrics_sql('cm2', keys, 'nv')}), "
+        f"tr AS (SELECT model, repeat, fold, f2_macro AS train_f2_macro FROM ({cls_metrics_sql('cm2', keys, 'nt')})), "
+        "fm AS (SELECT * FROM val JOIN tr USING (model, repeat, fold))"
+    )
+
+
+def cv_preds(spark, sf) -> DataFrame:
+    d = folds.stratified_folds(seg_labelled(spark, sf), "risk_class", HASH_KEYS, KEY_LIST, k=CV_K, repeats=CV_REPEATS, seed=SEED)
+    return experiment.rule_predictions(d, "historical_rainfall_intensity_mm_hr", "risk_class_encoded")
+
+
+def cv_fold_table(spark, sf) -> DataFrame:
+    return experiment.cv_fold_metrics(cv_preds(spark, sf)).cache()
+
+
+@register(
+    "cv_fold_metrics",
+    _cv_cte() + " SELECT model, repeat, fold, " + ", ".join(f"round({c}, 6) AS {c}" for c in SUMMARY_COLS + ["train_f2_macro"]) + " FROM fm",
+)
+def q_cv_fold_metrics(spark, sf):
+    return rnd(cv_fold_table(spark, sf))
+
+
+_LB_COLS = ["f2_macro", "f1_weighted", "recall_high", "train_f2_macro"]
+
+
+def _cv_summary_sql() -> str:
+    aggs = ", ".join(f"round(avg({c}), 4) AS {c}_mean, round(stddev_pop({c}), 4) AS {c}_std" for c in _LB_COLS)
+    return (
+        f"{_cv_cte()}, sm AS (SELECT model, {aggs}, count(*) AS n_folds FROM fm GROUP BY model), "
+        "sm2 AS (SELECT *, round(train_f2_macro_mean - f2_macro_mean, 4) AS gap FROM sm), "
+        "sm3 AS (SELECT *, CAST(gap > 0.1e0 AS INTEGER) AS overfit, CASE WHEN gap > 0.1e0 THEN 'high' WHEN gap > 0.05e0 THEN 'moderate' ELSE 'low' END AS overfit_risk FROM sm2)"
+    )
+
+
+@register(
+    "cv_leaderboard",
+    _cv_summary_sql() + " SELECT *, CAST(row_number() OVER (ORDER BY f2_macro_mean DESC, f1_weighted_mean DESC, model) AS INTEGER) AS rank, "
+    "CAST(row_number() OVER (ORDER BY f2_macro_mean DESC, f1_weighted_mean DESC, model) <= 2 AS INTEGER) AS is_top FROM sm3",
+)
+def q_cv_leaderboard(spark, sf):
+    s = experiment.cv_summary(cv_fold_table(spark, sf))
+    return rnd(ranking.leaderboard(s, ["f2_macro_mean", "f1_weighted_mean"], ["model"], top_k=2))
+
+
+@register(
+    "cv_winner",
+    _cv_summary_sql() + " SELECT model, f2_macro_mean, f2_macro_std, f1_weighted_mean, recall_high_mean FROM sm3 "
+    "ORDER BY f2_macro_mean DESC, f1_weighted_mean DESC, recall_high_mean DESC, f2_macro_std ASC, model LIMIT 1",
+)
+def q_cv_winner(spark, sf):
+    s = experiment.cv_summary(cv_fold_table(spark, sf))
+    return rnd(experiment.winner(s).select("model", "f2_macro_mean", "f2_macro_std", "f1_weighted_mean", "recall_high_mean"))
+
+
+@register(
+    "cv_delta_vs_baseline",
+    _cv_cte() + ", b AS (SELECT *, max(CASE WHEN model = 'rain_30_60' THEN f2_macro END) OVER (PARTITION BY repeat, fold) AS baseline_value FROM fm) "
+    "SELECT model, repeat, fold, round(f2_macro, 6) AS f2_macro, round(baseline_value, 6) AS baseline_value, "
+    "round(f2_macro - baseline_value, 6) AS delta, round(CASE WHEN baseline_value <> 0 THEN (f2_macro - baseline_value) * 100.0e0 / baseline_value END, 6) AS improvement_pct, "
+    "CAST(f2_macro - baseline_value > 0 AS INTEGER) AS beats_baseline FROM b",
+)
+def q_cv_delta_vs_baseline(spark, sf):
+    fm = cv_fold_table(spark, sf).select("model", "repeat", "fold", "f2_macro")
+    return rnd(ranking.delta_vs_baseline(fm, ["repeat", "fold"], "model", "rain_30_60", "f2_macro"))
+
+
+@register(
+    "cv_pivot_f2_by_repeat",
+    _cv_cte() + " SELECT model, " + ", ".join(f"round(avg(f2_macro) FILTER (WHERE repeat = {r}), 6) AS r{r}" for r in range(CV_REPEATS)) + " FROM fm GROUP BY model",
+)
+def q_cv_pivot_f2_by_repeat(spark, sf):
+    fm = cv_fold_table(spark, sf).withColumn("rep", F.concat(F.lit("r"), F.col("repeat").cast("string")))
+    return rnd(ranking.pivot_mean(fm, "model", "rep", "f2_macro", [f"r{r}" for r in range(CV_REPEATS)]))
+
+
+@register(
+    "cv_best_worst_fold",
+    _cv_cte() + ", k AS (SELECT model, repeat * 5 + fold AS fold_key, f2_macro FROM fm), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY f2_macro DESC, fold_key) AS rb, "
+    "row_number() OVER (PARTITION BY model ORDER BY f2_macro ASC, fold_key) AS rw FROM k) "
+    "SELECT model, max(CASE WHEN rb = 1 THEN fold_key END) AS best, round(max(f2_macro), 6) AS best_value, "
+    "max(CASE WHEN rw = 1 THEN fold_key END) AS worst, round(min(f2_macro), 6) AS worst_value, "
+    "round(max(f2_macro) - min(f2_macro), 6) AS value_range, "
+    "round(CASE WHEN min(f2_macro) <> 0 THEN (max(f2_macro) - min(f2_macro)) * 100.0e0 / min(f2_macro) END, 6) AS impact_pct FROM r GROUP BY model",
+)
+def q_cv_best_worst_fold(spark, sf):
+    fm = cv_fold_table(spark, sf).select("model", (F.col("repeat") * 5 + F.col("fold")).alias("fold_key"), "f2_macro")
+    return rnd(ranking.best_worst_exact(fm, ["model"], "fold_key", "f2_macro"))
+
+
+@register(
+    "cv_best_fold_per_model",
+    _cv_cte() + ", r AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY f2_macro DESC, recall_high DESC, f1_weighted DESC, repeat, fold) AS rn FROM fm) "
+    "SELECT model, repeat, fold, round(f2_macro, 6) AS f2_macro, round(recall_high, 6) AS recall_high, round(f1_weighted, 6) AS f1_weighted FROM r WHERE rn = 1",
+)
+def q_cv_best_fold_per_model(spark, sf):
+    fm = cv_fold_table(spark, sf).select("model", "repeat", "fold", "f2_macro", "recall_high", "f1_weighted")
+    return rnd(ranking.first_per_group(fm, ["model"], ["f2_macro", "recall_high", "f1_weighted"], ["repeat", "fold"]))
+
+
+@register(
+    "cv_top_folds",
+    _cv_cte() + " SELECT model, repeat, fold, round(f2_macro, 6) AS f2_macro FROM fm ORDER BY f2_macro DESC, model, repeat, fold LIMIT 5",
+)
+def q_cv_top_folds(spark, sf):
+    fm = cv_fold_table(spark, sf).select("model", "repeat", "fold", "f2_macro")
+    return rnd(ranking.top_n(fm, "f2_macro", 5, ["model", "repeat", "fold"]))
+
+
+@register(
+    "cv_per_class_report",
+    _cv_cte() + ", pcs AS (SELECT model, repeat, fold, c.cls, "
+    "sum(CASE WHEN y = c.cls AND p = c.cls THEN nv ELSE 0.0e0 END) AS tp, sum(CASE WHEN y = c.cls THEN nv ELSE 0.0e0 END) AS sup, "
+    "sum(CASE WHEN p = c.cls THEN nv ELSE 0.0e0 END) AS pred FROM cm2, (SELECT unnest([0, 1, 2]) AS cls) c GROUP BY ALL), "
+    "pc AS (SELECT *, CASE WHEN pred > 0 THEN tp / pred ELSE 0.0e0 END AS precision, CASE WHEN sup > 0 THEN tp / sup ELSE 0.0e0 END AS recall FROM pcs) "
+    "SELECT model, CAST(cls AS INTEGER) AS label, round(avg(precision), 4) AS precision_mean, round(avg(recall), 4) AS recall_mean, "
+    "round(avg(CASE WHEN precision + recall > 0 THEN 2.0e0 * precision * recall / (1.0e0 * precision + recall) ELSE 0.0e0 END), 4) AS f1_mean "
+    "FROM pc GROUP BY model, cls",
+)
+def q_cv_per_class_report(spark, sf):
+    return rnd(experiment.per_class_cv(cv_preds(spark, sf)))
+
+
+EXPECTED_MODELS = [*experiment.RULE_MODELS, "rain_10_40", "ridge_ordinal"]
+
+
+@register(
+    "cv_missing_models",
+    _cv_cte() + ", e AS (SELECT unnest([" + ", ".join(f"'{m}'" for m in EXPECTED_MODELS) + "]) AS model) "
+    "SELECT model FROM e WHERE model NOT IN (SELECT DISTINCT model FROM fm)",
+)
+def q_cv_missing_models(spark, sf):
+    fm = cv_fold_table(spark, sf)
+    expected = spark.createDataFrame([(m,) for m in EXPECTED_MODELS], "model string")
+    return ranking.missing_expected(expected, fm, ["model"])

@@ -68,3 +68,24 @@ def hash_sql(keys: list[str], seed: int) -> str:
     from ..functions.exprs import seeded_hash_sql
 
     return seeded_hash_sql(keys, seed)
+
+
+def cls_metrics_sql(src: str, keys: list[str], ncol: str) -> str:
+    """Per-group classification summary (A20-A21) from a (keys, y, p, n) confusion table."""
+    k = ", ".join(keys)
+    f1 = "CASE WHEN precision + recall > 0 THEN 2.0e0 * precision * recall / (1.0e0 * precision + recall) ELSE 0.0e0 END"
+    f2 = "CASE WHEN precision + recall > 0 THEN 5.0e0 * precision * recall / (4.0e0 * precision + recall) ELSE 0.0e0 END"
+    return (
+        f"SELECT {k}, avg(precision) AS precision_macro, avg(recall) AS recall_macro, avg(f1) AS f1_macro, avg(f2) AS f2_macro, "
+        "CASE WHEN sum(support) > 0 THEN sum(f1 * support) / sum(support) ELSE 0.0e0 END AS f1_weighted, "
+        "CASE WHEN sum(support) > 0 THEN sum(f2 * support) / sum(support) ELSE 0.0e0 END AS f2_weighted, "
+        "max(recall) FILTER (WHERE cls = 0) AS recall_low, max(recall) FILTER (WHERE cls = 1) AS recall_medium, "
+        "max(recall) FILTER (WHERE cls = 2) AS recall_high, "
+        "CASE WHEN sum(support) > 0 THEN sum(recall * support) / sum(support) ELSE 0.0e0 END AS accuracy FROM ("
+        f"SELECT {k}, cls, precision, recall, support, {f1} AS f1, {f2} AS f2 FROM ("
+        f"SELECT {k}, cls, CASE WHEN pred > 0 THEN tp / pred ELSE 0.0e0 END AS precision, "
+        "CASE WHEN sup > 0 THEN tp / sup ELSE 0.0e0 END AS recall, sup AS support FROM ("
+        f"SELECT {k}, c.cls, sum(CASE WHEN y = c.cls AND p = c.cls THEN {ncol} ELSE 0.0e0 END) AS tp, "
+        f"sum(CASE WHEN y = c.cls THEN {ncol} ELSE 0.0e0 END) AS sup, sum(CASE WHEN p = c.cls THEN {ncol} ELSE 0.0e0 END) AS pred "
+        f"FROM {src}, (SELECT unnest([0, 1, 2]) AS cls) c GROUP BY {k}, c.cls))) GROUP BY {k}"
+    )
