@@ -1006,3 +1006,217 @@ def q_cv_missing_models(spark, sf):
     fm = cv_fold_table(spark, sf)
     expected = spark.createDataFrame([(m,) for m in EXPECTED_MODELS], "model string")
     return ranking.missing_expected(expected, fm, ["model"])
+
+
+# ------------------------------------------------------------- encoders ---
+@register(
+    "ordinal_codes_part_brand",
+    "WITH fitset AS (SELECT DISTINCT p_brand AS v FROM part WHERE p_size <= 5), "
+    "codes AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS DOUBLE) AS code FROM fitset) "
+    "SELECT p_partkey, p_brand, coalesce(code, -1.0e0) AS brand_code FROM part LEFT JOIN codes ON codes.v = part.p_brand",
+)
+def q_ordinal_codes_part_brand(spark, sf):
+    part = read_table(spark, sf, "part").select("p_partkey", "p_brand", "p_size")
+    codes = encode.fit_ordinal(part.where(F.col("p_size") <= 5), ["p_brand"])
+    out = encode.apply_ordinal(part.withColumn("brand_code", F.col("p_brand")), codes.withColumn("feature", F.lit("brand_code")), ["brand_code"])
+    return out.select("p_partkey", "p_brand", "brand_code")
+
+
+# TPC-H domains of the columns behind the stand-in categoricals (fixed, so the
+# SQL side can name the one-hot columns).
+OHE_DOMAINS = {
+    "land_use": ["A", "N", "R"],
+    "storm_drain_type": ["F", "O", "Unknown"],
+    "rainfall_source": ["1", "2", "3", "4", "5", "6", "7", "Unknown"],
+    "dem_source": ["A", "N", "R"],
+}
+
+
+@register(
+    "onehot_categoricals",
+    f"{base_cte()} SELECT {KEYS}, CAST((CASE coalesce(soil_group, 'Unknown') "
+    + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(C.SOIL_ORDER))
+    + " ELSE -1 END) AS DOUBLE) AS soil_group, "
+    + ", ".join(
+        f"CASE WHEN coalesce({c}, 'Unknown') = '{v}' THEN 1.0e0 ELSE 0.0e0 END AS {c}_{v}"
+        for c, vs in OHE_DOMAINS.items() for v in vs
+    )
+    + " FROM lab",
+)
+def q_onehot_categoricals(spark, sf):
+    d = clean.impute(seg_clean(spark, sf), [], C.CATEGORICAL_COLS)
+    cats = encode.fit_onehot(d, C.OHE_COLS)
+    d = encode.ordinal_with_order(d, "soil_group")
+    d = encode.apply_onehot(d, cats)
+    return d.select(*KEY_LIST, "soil_group", *[f"{c}_{v}" for c, vs in cats.items() for v in vs])
+
+
+def _robust_sql() -> str:
+    split = _split_sql()
+    split = split[: split.rindex("SELECT " + KEYS)]
+    imp = ", ".join(f"coalesce(lab.{c}, p.med_{i}) AS {c}" for i, c in enumerate(NUM))
+    stats = ", ".join(
+        f"quantile_cont({c}, 0.5) AS m_{i}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS r_{i}" for i, c in enumerate(NUM)
+    )
+    scaled = ", ".join(
+        f"round(({c} - s.m_{i}) / CASE WHEN s.r_{i} = 0 THEN 1.0e0 ELSE s.r_{i} END, 6) AS {c}" for i, c in enumerate(NUM)
+    )
+    return (
+        split + ", sp AS (SELECT " + KEYS + ", CASE WHEN rk < q THEN 'test' ELSE 'train' END AS split FROM ranked JOIN quota USING (risk_class)), "
+        + params_cte()
+        + f", imp AS (SELECT {', '.join('lab.' + k.strip() for k in KEYS.split(','))}, sp.split, {imp} FROM lab CROSS JOIN p "
+        "JOIN sp USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)), "
+        f"s AS (SELECT {stats} FROM imp WHERE split = 'train') SELECT {KEYS}, split, {scaled} FROM imp CROSS JOIN s"
+    )
+
+
+@register("robust_scaled_numeric", _robust_sql())
+def q_robust_scaled_numeric(spark, sf):
+    d = seg_split(spark, sf)
+    d = clean.apply_sentinel(d)
+    params = clean.fit_medians(d, NUM)
+    d = clean.drop_params(clean.impute(clean.attach_params(d, params), NUM, []), params).select(*KEY_LIST, "split", *NUM)
+    sc = encode.fit_robust(d.where(F.col("split") == "train"), NUM)
+    return rnd(encode.apply_robust(d, sc, NUM))
+
+
+YJ_LAMBDAS = {"longitude": 2.0, "latitude": 1.5, "historical_rainfall_intensity_mm_hr": 0.0, "l_extendedprice": -0.5}
+
+
+def _yj_sql(c: str, lam: float) -> str:
+    if lam == 0:
+        pos = f"ln(1 + {c})"
+    else:
+        pos = f"(pow({c} + 1.0e0, {lam}e0) - 1.0e0) / {lam}e0"
+    neg = f"-ln(1 - {c})" if lam == 2 else f"-(pow(1.0e0 - {c}, {2 - lam}e0) - 1.0e0) / {2 - lam}e0"
+    return f"round(CASE WHEN {c} >= 0 THEN {pos} ELSE {neg} END, 6) AS yj_{c}"
+
+
+@register(
+    "yeo_johnson_fixed",
+    f"{base_cte()} SELECT {KEYS}, " + ", ".join(_yj_sql(c, lam) for c, lam in YJ_LAMBDAS.items()) + " FROM lab",
+)
+def q_yeo_johnson_fixed(spark, sf):
+    d = seg_labelled(spark, sf)
+    return rnd(d.select(*KEY_LIST, *[X.yeo_johnson(c, lam).alias(f"yj_{c}") for c, lam in YJ_LAMBDAS.items()]))
+
+
+# ------------------------------------------------------------- losses ------
+CENTRES = [15.0, 45.0, 75.0]
+
+
+def _prob_sql() -> str:
+    s = [f"(-abs(historical_rainfall_intensity_mm_hr - {m}e0) / 10.0e0)" for m in CENTRES]
+    mx = f"greatest({', '.join(s)})"
+    ex = [f"exp({x} - {mx})" for x in s]
+    tot = "(" + " + ".join(ex) + ")"
+    probs = ", ".join(f"{e} / {tot} AS p{i}" for i, e in enumerate(ex))
+    return f"{base_cte()}, pr AS (SELECT risk_class_encoded AS y, {probs} FROM lab), " \
+        "pt AS (SELECT y, greatest(least(CASE y WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END, 1 - 1e-15), 1e-15) AS p, " \
+        "CASE WHEN p0 >= p1 AND p0 >= p2 THEN 0 WHEN p1 >= p2 THEN 1 ELSE 2 END AS am, " \
+        "CASE y WHEN 0 THEN 1.0e0 WHEN 1 THEN 1.5e0 WHEN 2 THEN 2.0e0 ELSE 1.0e0 END AS w FROM pr) "
+
+
+@register(
+    "rule_probability_losses",
+    _prob_sql() + "SELECT round(avg(-ln(p)), 6) AS log_loss, round(sum(-ln(p) * w) / sum(w), 6) AS weighted_log_loss, "
+    "round(avg(-0.25e0 * pow(1 - p, 2.0e0) * ln(p)), 6) AS focal_loss, round(avg(CASE WHEN am = y THEN 1.0e0 ELSE 0.0e0 END), 6) AS argmax_accuracy FROM pt",
+)
+def q_rule_probability_losses(spark, sf):
+    d = seg_labelled(spark, sf)
+    scores = F.array(*[-F.abs(F.col("historical_rainfall_intensity_mm_hr") - F.lit(m)) / 10.0 for m in CENTRES])
+    d = d.select(F.col("risk_class_encoded").alias("y"), X.softmax(scores).alias("prob"))
+    d = d.withColumn("am", X.argmax("prob"))
+    ll = metrics.log_loss(d, "y", "prob")
+    wl = metrics.log_loss(d, "y", "prob", class_weights=C.DEFAULT_CLASS_WEIGHTS).withColumnRenamed("log_loss", "weighted_log_loss")
+    fl = metrics.focal_loss(d, "y", "prob")
+    acc = d.agg(F.avg((F.col("am") == F.col("y")).cast("double")).alias("argmax_accuracy"))
+    parts = [ll, wl, fl, acc]
+    # four one-row aggregates side by side
+    out = parts[0].withColumn("_k", F.lit(1))
+    for p in parts[1:]:
+        out = out.join(p.withColumn("_k", F.lit(1)), "_k")
+    return rnd(out.drop("_k"))
+
+
+@register(
+    "labels_binary_losses",
+    "WITH p AS (SELECT toxic, 1.0e0 / (1.0e0 + exp(-(2.0e0 * quality - 1.5e0))) AS prob FROM labels), "
+    "c AS (SELECT toxic, prob, greatest(least(prob, 1 - 1e-15), 1e-15) AS pc FROM p) "
+    "SELECT round(avg(-(toxic * ln(pc) + (1 - toxic) * ln(1 - pc))), 6) AS log_loss, round(avg((toxic - prob) * (toxic - prob)), 6) AS mse FROM c",
+)
+def q_labels_binary_losses(spark, sf):
+    d = read_table(spark, sf, "labels").select("toxic", X.sigmoid(2.0 * F.col("quality") - 1.5).alias("prob"))
+    return rnd(metrics.binary_log_loss(d, "toxic", "prob"))
+
+
+@register(
+    "huber_residuals",
+    f"{base_cte()}, r AS (SELECT historical_rainfall_intensity_mm_hr / 50.0e0 - risk_class_encoded AS r FROM lab) "
+    "SELECT round(avg(CASE WHEN abs(r) <= 1.0e0 THEN 0.5e0 * abs(r) * abs(r) ELSE 1.0e0 * (abs(r) - 0.5e0 * 1.0e0) END), 6) AS huber_loss, "
+    "round(avg(r * r), 6) AS squared_error, round(avg(abs(r)), 6) AS abs_error FROM r",
+)
+def q_huber_residuals(spark, sf):
+    d = seg_labelled(spark, sf).select((F.col("historical_rainfall_intensity_mm_hr") / 50.0 - F.col("risk_class_encoded")).alias("r"))
+    return rnd(d.agg(F.avg(X.huber_loss("r", 1.0)).alias("huber_loss"), F.avg(F.col("r") * F.col("r")).alias("squared_error"),
+                     F.avg(F.abs("r")).alias("abs_error")))
+
+
+@register(
+    "weighted_rule_metrics",
+    f"{base_cte()}, pr AS (SELECT risk_class_encoded AS y, {RULE_SQL} AS p, "
+    "CASE risk_class_encoded WHEN 0 THEN 1.0e0 WHEN 1 THEN 1.5e0 WHEN 2 THEN 2.0e0 ELSE 1.0e0 END AS w FROM lab), "
+    "cm AS (SELECT 1 AS k, y, p, sum(w) AS n FROM pr GROUP BY y, p) SELECT "
+    + ", ".join(f"round({c}, 6) AS {c}" for c in SUMMARY_COLS)
+    + f" FROM ({cls_metrics_sql('cm', ['k'], 'n')})",
+)
+def q_weighted_rule_metrics(spark, sf):
+    d = rule_predictions(spark, sf).withColumn("w", X.class_weight("risk_class_encoded", C.DEFAULT_CLASS_WEIGHTS))
+    cm = metrics.confusion(d, "risk_class_encoded", "prediction", weight="w")
+    return rnd(metrics.summary(cm))
+
+
+# ------------------------------------------------------ set / table checks ---
+@register(
+    "class_code_pairs",
+    f"{base_cte()} SELECT DISTINCT risk_class, risk_class_encoded FROM lab",
+)
+def q_class_code_pairs(spark, sf):
+    return seg_labelled(spark, sf).select("risk_class", "risk_class_encoded").distinct().orderBy("risk_class_encoded")
+
+
+@register(
+    "split_table_report",
+    _split_sql().replace(
+        f"SELECT {KEYS}, ranked.risk_class, CASE WHEN rk < q THEN 'test' ELSE 'train' END AS split FROM ranked JOIN quota USING (risk_class)",
+        f", sp AS (SELECT {KEYS}, CASE WHEN rk < q THEN 'test' ELSE 'train' END AS split FROM ranked JOIN quota USING (risk_class)) "
+        "SELECT split, count(*) AS n_rows, "
+        + " + ".join(f"(count(*) - count({c}))" for c in NUM + CAT)
+        + " AS n_missing, count(*) FILTER (WHERE risk_class = 'High') AS n_high, count(*) FILTER (WHERE risk_class = 'Medium') AS n_medium, "
+        "count(*) FILTER (WHERE risk_class = 'Low') AS n_low FROM lab JOIN sp USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) GROUP BY split",
+    ).replace("WITH lab0 AS", "WITH lab0 AS", 1),
+)
+def q_split_table_report(spark, sf):
+    d = clean.apply_sentinel(seg_split(spark, sf))
+    miss = sum((F.count_if(F.col(c).isNull()) for c in NUM + CAT), F.lit(0))
+    return d.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), miss.cast("long").alias("n_missing"),
+        *[F.count_if(F.col("risk_class") == k).alias(f"n_{k.lower()}") for k in ("High", "Medium", "Low")],
+    )
+
+
+@register(
+    "events_keep_last_per_user",
+    "SELECT user_id, event_id, event_type, round(value, 6) AS value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
+)
+def q_events_keep_last_per_user(spark, sf):
+    ev = read_table(spark, sf, "events").withColumn("_o", F.struct("ts", "event_id"))
+    return rnd(ranking.keep_last(ev, ["user_id"], "_o").select("user_id", "event_id", "event_type", "value"))
+
+
+@register(
+    "events_duplicated_users",
+    "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 1",
+)
+def q_events_duplicated_users(spark, sf):
+    return ranking.duplicated_keys(read_table(spark, sf, "events"), ["user_id"])
