@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import exprs as X
-from .order import exact_quantiles, join_small
+from .order import exact_quantiles, join_small, local_df, materialize_small, quantile_name
 
 
 def med(c: str) -> str:
@@ -65,13 +65,22 @@ def fit_medians(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] =
 
 
 def _wide(q: DataFrame, group_cols: list[str], rename: dict, columns: Sequence[str]) -> DataFrame:
-    """(group, feature, q_*) rows -> one row per group with a column per statistic."""
-    pivoted = None
-    for qcol, namer in rename.items():
-        part = q.groupBy(*group_cols).pivot("feature", list(columns)).agg(F.first(qcol))
-        part = part.select(*group_cols, *[F.col(c).alias(namer(c)) for c in part.columns if c not in group_cols])
-        pivoted = part if pivoted is None else pivoted.join(part, group_cols)
-    return pivoted
+    """(group, feature, q_*) rows -> one row per group with a column per statistic.
+
+    ``q`` holds groups x features rows; it is pivoted on the driver."""
+    from pyspark.sql import types as T
+
+    rows = q.collect()
+    out: dict = {}
+    for r in rows:
+        key = tuple(r[g] for g in group_cols)
+        d = out.setdefault(key, {})
+        for qcol, namer in rename.items():
+            d[namer(r["feature"])] = r[qcol]
+    names = [namer(c) for namer in rename.values() for c in columns]
+    fields = [q.schema[g] for g in group_cols] + [T.StructField(n, T.DoubleType()) for n in names]
+    data = [(*key, *[d.get(n) for n in names]) for key, d in out.items()]
+    return local_df(q.sparkSession, data, T.StructType(fields))
 
 
 def fit_common(df: DataFrame, cfg: C.PrepConfig | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -84,15 +93,13 @@ def fit_common(df: DataFrame, cfg: C.PrepConfig | None = None, group_cols: Seque
     raw = apply_sentinel(df.select(*group_cols, *C.NUMERIC_COLS))
     q = exact_quantiles(raw, C.NUMERIC_COLS, [0.5, C.ELEV_LOW_QUANTILE], group_cols)
     params = _wide(q, group_cols, {"q_0_5": med}, C.NUMERIC_COLS)
-    elev = q.where(F.col("feature") == "elevation_m").select(*group_cols, F.col("q_0_1").alias("elev_low"))
-    params = params.join(elev, group_cols, "left")
+    elev = _wide(q.where(F.col("feature") == "elevation_m"), group_cols, {"q_0_1": lambda c: "elev_low"}, ["elevation_m"])
     prox = "storm_drain_proximity_m"
     imputed = join_small(raw.select(*group_cols, prox), params.select(*group_cols, med(prox)), group_cols)
     imputed = imputed.select(*group_cols, F.coalesce(F.col(prox), F.col(med(prox))).alias(prox))
     q95 = exact_quantiles(imputed, [prox], [cfg.clip_upper_q], group_cols)
-    qname = [c for c in q95.columns if c.startswith("q_")][0]
-    clip = q95.select(*group_cols, F.col(qname).alias("clip_upper"))
-    params = params.join(clip, group_cols, "left").cache()
+    clip = _wide(q95, group_cols, {quantile_name(cfg.clip_upper_q): lambda c: "clip_upper"}, [prox])
+    params = materialize_small(params.join(elev, group_cols, "left").join(clip, group_cols, "left"))
     return params if user_groups else params.drop("_all")
 
 

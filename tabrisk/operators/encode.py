@@ -15,16 +15,34 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import exprs as X
-from .order import exact_quantiles, join_small, positions
+from .order import exact_quantiles, join_small, local_df, materialize_small, positions
 
 
 def fit_ordinal(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
-    """T3 fit: categories sorted ascending -> 0..k-1, per (group, feature)."""
+    """T3 fit: categories sorted ascending -> 0..k-1, per (group, feature).
+
+    The distinct (group, feature, value) table is small for categorical data and
+    is coded on the driver; above SMALL_TABLE_LIMIT rows codes are exact
+    positions from a range-partitioned ranking instead."""
+    from pyspark.sql import types as T
+
+    from .order import SMALL_TABLE_LIMIT
+
     group_cols = list(group_cols)
     long = df.select(*group_cols, F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols
-    ])).alias("s")).select(*group_cols, "s.*").where(F.col("value").isNotNull()).distinct().cache()
-    return positions(long, ["value"], [*group_cols, "feature"], "code", known_rows=long.count())
+    ])).alias("s")).select(*group_cols, "s.*").where(F.col("value").isNotNull()).distinct()
+    rows = long.limit(SMALL_TABLE_LIMIT + 1).collect()
+    if len(rows) > SMALL_TABLE_LIMIT:
+        big = materialize_small(long)
+        return materialize_small(positions(big, ["value"], [*group_cols, "feature"], "code", known_rows=big.count()))
+    groups: dict = {}
+    for r in rows:
+        groups.setdefault(tuple(r[g] for g in [*group_cols, "feature"]), []).append(r["value"])
+    data = [(*k, v, i) for k, vs in groups.items() for i, v in enumerate(sorted(vs))]
+    schema = T.StructType([*[long.schema[g] for g in group_cols], T.StructField("feature", T.StringType()),
+                           T.StructField("value", T.StringType()), T.StructField("code", T.LongType())])
+    return local_df(df.sparkSession, data, schema)
 
 
 def apply_ordinal(df: DataFrame, codes: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
@@ -68,8 +86,8 @@ def fit_robust(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (
     """T8 fit: exact median and IQR per column; zero range -> 1."""
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], group_cols)
     iqr = F.col("q_0_75") - F.col("q_0_25")
-    return q.select(*group_cols, "feature", F.col("q_0_5").alias("center"),
-                    F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale"))
+    return materialize_small(q.select(*group_cols, "feature", F.col("q_0_5").alias("center"),
+                                      F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale")))
 
 
 def apply_robust(df: DataFrame, params: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
@@ -106,7 +124,7 @@ def yeo_johnson_loglik(df: DataFrame, col: str, lambdas: Sequence[float]) -> Dat
         var = row[f"q{i}"] / n - mean * mean
         llf = -n / 2.0 * math.log(var) + (lam - 1.0) * slog if var and var > 0 else float("-inf")
         out.append((float(lam), llf))
-    return df.sparkSession.createDataFrame(out, "lmbda double, llf double")
+    return local_df(df.sparkSession, out, "lmbda double, llf double")
 
 
 def fit_yeo_johnson(df: DataFrame, col: str, lo: float = -2.0, hi: float = 2.0, grid: int = 41, passes: int = 4) -> float:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import exprs as X
+from .order import local_df
 
 
 def with_risk_class(
@@ -24,7 +25,7 @@ def with_risk_class(
 
 def unknown_classes(df: DataFrame, class_col: str = C.TARGET_COL, mapping: dict = C.CLASS_TO_CODE) -> list[str]:
     """Classes present in ``df`` but absent from the mapping (distinct, so small)."""
-    known = df.sparkSession.createDataFrame([(k,) for k in mapping], f"{class_col} string")
+    known = local_df(df.sparkSession, [(k,) for k in mapping], f"{class_col} string")
     bad = df.select(class_col).where(F.col(class_col).isNotNull()).distinct().join(known, class_col, "left_anti")
     return sorted(r[0] for r in bad.limit(1000).collect())
 

@@ -15,6 +15,7 @@ helpers below avoid both:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,6 +38,50 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", limit:
     return big.join(small, on, how)
 
 
+# Row bound under which a derived table is brought to the driver and re-created
+# as a local relation (fitted parameters, codes, quantiles, metric tables).
+SMALL_TABLE_LIMIT = 100_000
+
+
+def local_df(spark, data, schema) -> DataFrame:
+    """A small table as a JVM-side local relation (Arrow transfer, no Python
+    workers in later jobs; its size is known to the planner)."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    arrow_schema = to_arrow_schema(schema)
+    if hasattr(data, "to_dict"):  # pandas
+        records = data[[f.name for f in schema.fields]].to_dict("records")
+        rows = [{k: (None if (isinstance(v, float) and v != v and not isinstance(schema[k].dataType, (T.DoubleType, T.FloatType))) else v)
+                 for k, v in r.items()} for r in records]
+    else:
+        names = [f.name for f in schema.fields]
+        rows = [dict(zip(names, tuple(r))) for r in data]
+    for r in rows:
+        for f in schema.fields:
+            v = r[f.name]
+            if hasattr(v, "item"):
+                r[f.name] = v.item()
+    tbl = pa.Table.from_pylist(rows, schema=arrow_schema)
+    return spark.createDataFrame(tbl)
+
+
+def materialize_small(df: DataFrame, limit: int = SMALL_TABLE_LIMIT) -> DataFrame:
+    """Cut the lineage of a small derived table.
+
+    Up to ``limit`` rows it becomes a local relation: its size is then known to
+    the planner (a proven broadcast bound) and later plans stay short. Larger
+    tables are checkpointed to the reliable checkpoint folder instead.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        return local_df(df.sparkSession, rows, df.schema)
+    return cut_lineage(df)
+
+
 def _n_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -103,17 +148,76 @@ def positions(
     return prefix_sums(df, order_cols, group_cols, None, out_col, known_rows=known_rows)
 
 
+def _sort_key(v):
+    return (v is None, v)
+
+
+def collect_small(df: DataFrame, limit: int = SMALL_TABLE_LIMIT):
+    """A small summary as a pandas frame (Arrow transfer), or None above ``limit`` rows."""
+    tbl = df.limit(limit + 1).toArrow()
+    if tbl.num_rows > limit:
+        return None
+    return tbl.to_pandas()
+
+
 def value_counts_ranked(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Distinct values per group with ``cnt``, ``before`` (rows with a smaller
     value) and ``n`` (group size). The (group, value) aggregation is map-side
-    combined, so a hot value costs one row per partition, never a hot task."""
+    combined, so a hot value costs one row per partition, never a hot task.
+
+    When the distinct table is small (<= SMALL_TABLE_LIMIT rows, proven by the
+    collect) the running counts are taken on the driver from that summary;
+    otherwise the table is checkpointed and ranked with :func:`prefix_sums`."""
     group_cols = list(group_cols)
-    counts = df.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("cnt")).cache()
+    agg = df.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("cnt"))
+    pdf = collect_small(agg)
+    spark = df.sparkSession
+    schema = agg.schema.add("before", "long").add("n", "long")
+    if pdf is not None:
+        pdf = pdf.sort_values([*group_cols, value_col], kind="mergesort", na_position="last").reset_index(drop=True)
+        if group_cols:
+            g = pdf.groupby(group_cols, sort=False, dropna=False)["cnt"]
+            pdf["before"] = g.cumsum() - pdf["cnt"]
+            pdf["n"] = g.transform("sum")
+        else:
+            pdf["before"] = pdf["cnt"].cumsum() - pdf["cnt"]
+            pdf["n"] = pdf["cnt"].sum()
+        pdf["before"] = pdf["before"].astype("int64")
+        pdf["n"] = pdf["n"].astype("int64")
+        return local_df(spark, pdf, schema)
+    counts = cut_lineage(agg)
     ranked = prefix_sums(counts, [value_col], group_cols, "cnt", "before", known_rows=counts.count())
     sizes = counts.groupBy(*group_cols).agg(F.sum("cnt").alias("n"))
     return ranked.join(sizes, group_cols) if group_cols else ranked.crossJoin(F.broadcast(sizes))
 
 
+def _quantiles_local(pdf, keys: list[str], probs: Sequence[float], long_form: bool):
+    """Interpolated quantiles from a (keys, value, cnt) pandas summary."""
+    import numpy as np
+
+    pdf = pdf[pdf["value"].notna()]
+    out = []
+    for key, g in pdf.groupby(keys, sort=False, dropna=False) if len(pdf) else []:
+        key = key if isinstance(key, tuple) else (key,)
+        g = g.sort_values("value", kind="mergesort")
+        vals = g["value"].to_numpy(dtype="float64")
+        last_pos = np.cumsum(g["cnt"].to_numpy(dtype="int64")) - 1
+        n = int(last_pos[-1] + 1)
+        qs = []
+        for p in probs:
+            h = (n - 1) * float(p)
+            lo, hi = math.floor(h), math.ceil(h)
+            v_lo = float(vals[np.searchsorted(last_pos, lo, side="left")])
+            v_hi = float(vals[np.searchsorted(last_pos, hi, side="left")])
+            qs.append(v_lo + (h - lo) * (v_hi - v_lo))
+        key = tuple(k.item() if hasattr(k, "item") else k for k in key)
+        if long_form:
+            out.extend((*key, n, float(p), q) for p, q in zip(probs, qs))
+        else:
+            out.append((*key, n, *qs))
+    return out
+
+
 def group_sizes(df: DataFrame, group_cols: Sequence[str], out_col: str = "n") -> DataFrame:
     return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(out_col))
 
@@ -146,6 +250,20 @@ def exact_quantiles(
     group_cols = list(group_cols)
     keys = group_cols + ["feature"]
     long = to_long(df, value_cols, group_cols)
+    agg = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))
+    rows = collect_small(agg)
+    if rows is not None:
+        # the (value -> count) summary is small: interpolate on the driver
+        key_fields = [long.schema[k] for k in keys]
+        from pyspark.sql import types as T
+
+        if long_form:
+            schema = T.StructType([*key_fields, T.StructField("n", T.LongType()), T.StructField("p", T.DoubleType()),
+                                   T.StructField("q", T.DoubleType())])
+        else:
+            schema = T.StructType([*key_fields, T.StructField("n", T.LongType()),
+                                   *[T.StructField(quantile_name(p), T.DoubleType()) for p in probs]])
+        return local_df(df.sparkSession, _quantiles_local(rows, keys, probs, long_form), schema)
     ranked = value_counts_ranked(long, "value", keys)
     sizes = ranked.select(*keys, "n").distinct()
     probs_arr = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("pidx")) for i, p in enumerate(probs)])
@@ -160,7 +278,8 @@ def exact_quantiles(
     cond_all = cond[0]
     for c in cond[1:]:
         cond_all = cond_all & c
-    # targets: groups x columns x probs rows, size-checked before broadcast.
+    # targets: groups x columns x probs rows, materialised (size proven) and broadcast.
+    targets = materialize_small(targets)
     small = targets.count() <= BROADCAST_ROW_LIMIT
     hit = ranked.drop("n").join(F.broadcast(targets) if small else targets, cond_all)
     in_lo = (F.col("before") <= F.col("lo")) & (F.col("lo") < F.col("before") + F.col("cnt"))
@@ -171,12 +290,12 @@ def exact_quantiles(
     vals = vals.withColumn("q", F.col("v_lo") + (F.col("h") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo")))
     if long_form:
         probs_map = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("pidx") + 1)
-        return vals.select(*keys, "n", probs_map.alias("p"), "q").cache()
+        return materialize_small(vals.select(*keys, "n", probs_map.alias("p"), "q"))
     out = vals.groupBy(*keys, "n").pivot("pidx", list(range(len(probs)))).agg(F.first("q"))
     for i, p in enumerate(probs):
         out = out.withColumnRenamed(str(i), quantile_name(p))
-    # groups x columns rows: cache the small result so reuse does not re-sort.
-    return out.cache()
+    # groups x columns rows: materialise the small result so reuse does not re-sort.
+    return materialize_small(out)
 
 
 def quantile_name(p: float) -> str:

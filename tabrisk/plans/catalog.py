@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..functions import exprs as X
 from ..operators import clean, encode, features, folds, labels, metrics, profile, ranking
-from ..operators.order import exact_quantiles, to_long
+from ..operators.order import exact_quantiles, local_df, to_long
 from ..sources.fixtures import segments
 from ..sources.tables import read_table
 from . import prepare
@@ -882,7 +882,9 @@ def cv_preds(spark, sf) -> DataFrame:
 
 
 def cv_fold_table(spark, sf) -> DataFrame:
-    return experiment.cv_fold_metrics(cv_preds(spark, sf)).cache()
+    from ..operators.order import materialize_small
+
+    return materialize_small(experiment.cv_fold_metrics(cv_preds(spark, sf)))
 
 
 @register(
@@ -982,9 +984,13 @@ def q_cv_top_folds(spark, sf):
 
 @register(
     "cv_per_class_report",
-    _cv_cte() + ", pcs AS (SELECT model, repeat, fold, c.cls, "
-    "sum(CASE WHEN y = c.cls AND p = c.cls THEN nv ELSE 0.0e0 END) AS tp, sum(CASE WHEN y = c.cls THEN nv ELSE 0.0e0 END) AS sup, "
-    "sum(CASE WHEN p = c.cls THEN nv ELSE 0.0e0 END) AS pred FROM cm2, (SELECT unnest([0, 1, 2]) AS cls) c GROUP BY ALL), "
+    _cv_cte() + ", pcs AS ("
+    + _union_sql([
+        f"SELECT model, repeat, fold, {c} AS cls, sum(CASE WHEN y = {c} AND p = {c} THEN nv ELSE 0.0e0 END) AS tp, "
+        f"sum(CASE WHEN y = {c} THEN nv ELSE 0.0e0 END) AS sup, sum(CASE WHEN p = {c} THEN nv ELSE 0.0e0 END) AS pred FROM cm2 GROUP BY model, repeat, fold"
+        for c in range(3)
+    ])
+    + "), "
     "pc AS (SELECT *, CASE WHEN pred > 0 THEN tp / pred ELSE 0.0e0 END AS precision, CASE WHEN sup > 0 THEN tp / sup ELSE 0.0e0 END AS recall FROM pcs) "
     "SELECT model, CAST(cls AS INTEGER) AS label, round(avg(precision), 4) AS precision_mean, round(avg(recall), 4) AS recall_mean, "
     "round(avg(CASE WHEN precision + recall > 0 THEN 2.0e0 * precision * recall / (1.0e0 * precision + recall) ELSE 0.0e0 END), 4) AS f1_mean "
@@ -1004,7 +1010,7 @@ EXPECTED_MODELS = [*experiment.RULE_MODELS, "rain_10_40", "ridge_ordinal"]
 )
 def q_cv_missing_models(spark, sf):
     fm = cv_fold_table(spark, sf)
-    expected = spark.createDataFrame([(m,) for m in EXPECTED_MODELS], "model string")
+    expected = local_df(spark, [(m,) for m in EXPECTED_MODELS], "model string")
     return ranking.missing_expected(expected, fm, ["model"])
 
 

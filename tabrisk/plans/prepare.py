@@ -48,7 +48,7 @@ def fit_tree(df: DataFrame, cfg: C.PrepConfig | None = None, group_cols: Sequenc
     group_cols = list(group_cols)
     params = clean.fit_common(df, cfg, group_cols)
     filled = df.select(*group_cols, *[F.coalesce(F.col(c), F.lit(C.UNKNOWN_CATEGORY)).alias(c) for c in C.CATEGORICAL_COLS])
-    codes = encode.fit_ordinal(filled, C.CATEGORICAL_COLS, group_cols).cache()
+    codes = encode.fit_ordinal(filled, C.CATEGORICAL_COLS, group_cols)
     return TreePrep(params, codes, cfg, group_cols)
 
 
@@ -90,12 +90,12 @@ def fit_linear(df: DataFrame, cfg: C.PrepConfig | None = None) -> LinearPrep:
         d = encode.apply_onehot(d, onehot)
         cat_cols = ["soil_group"] + [f"{c}_{v}" for c, vs in onehot.items() for v in vs]
     else:
-        codes = encode.fit_ordinal(d, C.OHE_COLS).cache()
+        codes = encode.fit_ordinal(d, C.OHE_COLS)
         d = encode.apply_ordinal(d, codes, C.OHE_COLS)
         cat_cols = ["soil_group"] + C.OHE_COLS
     eng = [C.CORE_GROUP_COLS[g] for g in ("G1", "G2", "G3", "G4") if g in cfg.fe_groups]
     feature_cols = C.NUMERIC_COLS + eng + cat_cols
-    scale = encode.fit_robust(d, feature_cols).cache() if cfg.use_scale else None
+    scale = encode.fit_robust(d, feature_cols) if cfg.use_scale else None
     return LinearPrep(params, lambdas, onehot, codes, scale, cfg, feature_cols)
 
 

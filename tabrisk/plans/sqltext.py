@@ -85,7 +85,11 @@ def cls_metrics_sql(src: str, keys: list[str], ncol: str) -> str:
         f"SELECT {k}, cls, precision, recall, support, {f1} AS f1, {f2} AS f2 FROM ("
         f"SELECT {k}, cls, CASE WHEN pred > 0 THEN tp / pred ELSE 0.0e0 END AS precision, "
         "CASE WHEN sup > 0 THEN tp / sup ELSE 0.0e0 END AS recall, sup AS support FROM ("
-        f"SELECT {k}, c.cls, sum(CASE WHEN y = c.cls AND p = c.cls THEN {ncol} ELSE 0.0e0 END) AS tp, "
-        f"sum(CASE WHEN y = c.cls THEN {ncol} ELSE 0.0e0 END) AS sup, sum(CASE WHEN p = c.cls THEN {ncol} ELSE 0.0e0 END) AS pred "
-        f"FROM {src}, (SELECT unnest([0, 1, 2]) AS cls) c GROUP BY {k}, c.cls))) GROUP BY {k}"
+        + " UNION ALL ".join(
+            f"SELECT {k}, {c} AS cls, sum(CASE WHEN y = {c} AND p = {c} THEN {ncol} ELSE 0.0e0 END) AS tp, "
+            f"sum(CASE WHEN y = {c} THEN {ncol} ELSE 0.0e0 END) AS sup, sum(CASE WHEN p = {c} THEN {ncol} ELSE 0.0e0 END) AS pred "
+            f"FROM {src} GROUP BY {k}"
+            for c in range(3)
+        )
+        + f"))) GROUP BY {k}"
     )
