@@ -104,39 +104,117 @@ def apply_robust(df: DataFrame, params: DataFrame, cols: Sequence[str], group_co
     return out
 
 
-def yeo_johnson_loglik(df: DataFrame, col: str, lambdas: Sequence[float]) -> DataFrame:
-    """T7 building block: Yeo-Johnson log-likelihood for many lambdas in one aggregation.
+def yeo_johnson_loglik(df: DataFrame, grids: dict[str, Sequence[float]]) -> dict[str, list[tuple[float, float]]]:
+    """T7 building block: Yeo-Johnson log-likelihood of every (column, lambda) in ONE aggregation.
 
     llf(l) = -n/2 log(var(y_l)) + (l - 1) * sum(sign(x) log1p(|x|)), var with ddof 0.
     """
-    x = F.col(col)
-    aggs = [F.count(x).alias("n"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("slog")]
-    for i, lam in enumerate(lambdas):
-        y = X.yeo_johnson(x, lam)
-        aggs += [F.sum(y).alias(f"s{i}"), F.sum(y * y).alias(f"q{i}")]
-    row = df.agg(*aggs).collect()[0]
-    n, slog = row["n"], row["slog"]
-    out = []
     import math
 
-    for i, lam in enumerate(lambdas):
-        mean = row[f"s{i}"] / n
-        var = row[f"q{i}"] / n - mean * mean
-        llf = -n / 2.0 * math.log(var) + (lam - 1.0) * slog if var and var > 0 else float("-inf")
-        out.append((float(lam), llf))
-    return local_df(df.sparkSession, out, "lmbda double, llf double")
+    aggs = []
+    for ci, (c, lams) in enumerate(grids.items()):
+        x = F.col(c)
+        aggs += [F.count(x).alias(f"n{ci}"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias(f"l{ci}")]
+        for i, lam in enumerate(lams):
+            y = X.yeo_johnson(x, lam)
+            aggs += [F.sum(y).alias(f"s{ci}_{i}"), F.sum(y * y).alias(f"q{ci}_{i}")]
+    row = df.agg(*aggs).collect()[0]
+    out: dict[str, list[tuple[float, float]]] = {}
+    for ci, (c, lams) in enumerate(grids.items()):
+        n, slog = row[f"n{ci}"], row[f"l{ci}"]
+        res = []
+        for i, lam in enumerate(lams):
+            mean = row[f"s{ci}_{i}"] / n
+            var = row[f"q{ci}_{i}"] / n - mean * mean
+            llf = -n / 2.0 * math.log(var) + (lam - 1.0) * slog if var and var > 0 else float("-inf")
+            res.append((float(lam), llf))
+        out[c] = res
+    return out
+
+
+def _yj_np(x, lam: float):
+    import numpy as np
+
+    out = np.empty_like(x)
+    pos = x >= 0
+    if abs(lam) < 1e-12:
+        out[pos] = np.log1p(x[pos])
+    else:
+        out[pos] = (np.power(x[pos] + 1.0, lam) - 1.0) / lam
+    if abs(lam - 2.0) < 1e-12:
+        out[~pos] = -np.log1p(-x[~pos])
+    else:
+        out[~pos] = -(np.power(1.0 - x[~pos], 2.0 - lam) - 1.0) / (2.0 - lam)
+    return out
 
 
-def fit_yeo_johnson(df: DataFrame, col: str, lo: float = -2.0, hi: float = 2.0, grid: int = 41, passes: int = 4) -> float:
-    """Maximum-likelihood lambda by grid refinement (each pass = one aggregation)."""
-    best = 0.0
+def _yj_llf_summary(vals, cnts, lam: float) -> float:
+    """Log-likelihood from a (value, count) summary: weighted by the counts."""
+    import numpy as np
+
+    n = cnts.sum()
+    y = _yj_np(vals, lam)
+    mean = (cnts * y).sum() / n
+    var = (cnts * (y - mean) ** 2).sum() / n
+    if not var > 0:
+        return float("-inf")
+    return float(-n / 2.0 * np.log(var) + (lam - 1.0) * (cnts * np.sign(vals) * np.log1p(np.abs(vals))).sum())
+
+
+def _argmax_lambda(f, lo: float = -5.0, hi: float = 5.0) -> float:
+    """Grid scan then golden-section refinement of a 1-D log-likelihood."""
+    grid = [lo + i * (hi - lo) / 200 for i in range(201)]
+    vals = [f(g) for g in grid]
+    i = max(range(len(grid)), key=lambda j: vals[j])
+    a, b = grid[max(i - 1, 0)], grid[min(i + 1, len(grid) - 1)]
+    phi = (5 ** 0.5 - 1) / 2
+    c, d = b - phi * (b - a), a + phi * (b - a)
+    fc, fd = f(c), f(d)
+    for _ in range(80):
+        if fc > fd:
+            b, d, fd = d, c, fc
+            c = b - phi * (b - a)
+            fc = f(c)
+        else:
+            a, c, fc = c, d, fd
+            d = a + phi * (b - a)
+            fd = f(d)
+    return (a + b) / 2
+
+
+def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], lo: float = -2.0, hi: float = 2.0, grid: int = 41,
+                    passes: int = 4) -> dict[str, float]:
+    """Maximum-likelihood lambda per column.
+
+    The likelihood only depends on the (value -> count) summary of a column.
+    One aggregation builds the summaries of all columns; a summary within
+    SUMMARY_LIMIT rows is maximised on the driver (grid + golden section);
+    larger ones use distributed grid passes (one aggregation per pass)."""
+    from .order import SUMMARY_LIMIT, _summary, to_long
+
+    agg = to_long(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    _, pdf = _summary(agg, SUMMARY_LIMIT)
+    if pdf is not None:
+        out = {}
+        for c in cols:
+            part = pdf[pdf["feature"] == c]
+            vals = part["value"].to_numpy(dtype="float64")
+            cnts = part["cnt"].to_numpy(dtype="float64")
+            out[c] = float(_argmax_lambda(lambda lam: _yj_llf_summary(vals, cnts, lam)))
+        return out
+    bounds = {c: (lo, hi) for c in cols}
+    best = {c: 0.0 for c in cols}
     for _ in range(passes):
-        step = (hi - lo) / (grid - 1)
-        lams = [lo + i * step for i in range(grid)]
-        ll = yeo_johnson_loglik(df, col, lams).collect()
-        best = max(ll, key=lambda r: r["llf"])["lmbda"]
-        lo, hi = best - step, best + step
-    return float(best)
+        grids = {}
+        for c, (a, b) in bounds.items():
+            step = (b - a) / (grid - 1)
+            grids[c] = [a + i * step for i in range(grid)]
+        ll = yeo_johnson_loglik(df, grids)
+        for c, res in ll.items():
+            step = (bounds[c][1] - bounds[c][0]) / (grid - 1)
+            best[c] = max(res, key=lambda t: t[1])[0]
+            bounds[c] = (best[c] - step, best[c] + step)
+    return {c: float(v) for c, v in best.items()}
 
 
 def fit_skew_transforms(df: DataFrame, cols: Sequence[str], threshold: float = C.SKEW_THRESHOLD) -> dict[str, float | None]:
@@ -144,7 +222,9 @@ def fit_skew_transforms(df: DataFrame, cols: Sequence[str], threshold: float = C
     from .profile import skewness
 
     sk = {r["feature"]: r["skew"] for r in skewness(df, cols).collect()}
-    return {c: (fit_yeo_johnson(df, c) if sk.get(c) is not None and abs(sk[c]) >= threshold else None) for c in cols}
+    skewed = [c for c in cols if sk.get(c) is not None and abs(sk[c]) >= threshold]
+    lams = fit_yeo_johnson(df, skewed) if skewed else {}
+    return {c: lams.get(c) for c in cols}
 
 
 def apply_skew_transforms(df: DataFrame, lambdas: dict[str, float | None]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from .order import join_small, positions
+from .order import positions
 
 
 def class_quotas(counts: list[tuple[object, int]], fraction: float) -> dict:
@@ -39,7 +39,8 @@ def stratified_split(df: DataFrame, class_col: str, hash_keys: Sequence[str], ti
     counts = [(r[0], r[1]) for r in df.groupBy(class_col).count().collect()]  # one row per class
     quotas = class_quotas(counts, test_fraction)
     h = X.seeded_hash(hash_keys, seed)
-    ranked = positions(df.withColumn("_h", h), ["_h", *tie_keys], [class_col], "_rk")
+    n = sum(c for _, c in counts)
+    ranked = positions(df.withColumn("_h", h), ["_h", *tie_keys], [class_col], "_rk", known_rows=n)
     quota = X.map_values(class_col, quotas).cast("long")
     return ranked.withColumn(out_col, F.when(F.col("_rk") < quota, F.lit("test")).otherwise(F.lit("train"))).drop(
         "_h", "_rk"
@@ -54,9 +55,10 @@ def stratified_folds(df: DataFrame, class_col: str, hash_keys: Sequence[str], ti
     row per (input row, repeat) with ``repeat`` and ``fold``.
     """
     out = None
+    n = df.count()
     for r in range(repeats):
         h = X.seeded_hash(hash_keys, seed + 1000003 * r)
-        ranked = positions(df.withColumn("_h", h), ["_h", *tie_keys], [class_col], "_rk")
+        ranked = positions(df.withColumn("_h", h), ["_h", *tie_keys], [class_col], "_rk", known_rows=n)
         part = ranked.select(*df.columns, F.lit(r).alias("repeat"), F.pmod(F.col("_rk"), F.lit(k)).cast("int").alias("fold"))
         out = part if out is None else out.unionByName(part)
     return out

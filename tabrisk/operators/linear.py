@@ -57,7 +57,8 @@ def solve_ridge(sums: DataFrame, d: int, alpha: float = 0.0) -> tuple[float, np.
     mx, my = swx / sw, swy / sw
     cov = swxx / sw - np.outer(mx, mx)
     cxy = swxy / sw - mx * my
-    w = np.linalg.solve(cov + alpha * np.eye(d), cxy) if d else np.zeros(0)
+    # least squares: collinear features (e.g. duplicated one-hot blocks) get the minimum-norm solution
+    w = np.linalg.lstsq(cov + alpha * np.eye(d), cxy, rcond=None)[0] if d else np.zeros(0)
     b = my - float(mx @ w)
     return float(b), w
 

@@ -53,13 +53,11 @@ def local_df(spark, data, schema) -> DataFrame:
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     arrow_schema = to_arrow_schema(schema)
-    if hasattr(data, "to_dict"):  # pandas
-        records = data[[f.name for f in schema.fields]].to_dict("records")
-        rows = [{k: (None if (isinstance(v, float) and v != v and not isinstance(schema[k].dataType, (T.DoubleType, T.FloatType))) else v)
-                 for k, v in r.items()} for r in records]
-    else:
-        names = [f.name for f in schema.fields]
-        rows = [dict(zip(names, tuple(r))) for r in data]
+    if hasattr(data, "to_dict"):  # pandas: columnar conversion
+        tbl = pa.Table.from_pandas(data[[f.name for f in schema.fields]], schema=arrow_schema, preserve_index=False)
+        return spark.createDataFrame(tbl)
+    names = [f.name for f in schema.fields]
+    rows = [dict(zip(names, tuple(r))) for r in data]
     for r in rows:
         for f in schema.fields:
             v = r[f.name]
@@ -76,9 +74,9 @@ def materialize_small(df: DataFrame, limit: int = SMALL_TABLE_LIMIT) -> DataFram
     the planner (a proven broadcast bound) and later plans stay short. Larger
     tables are checkpointed to the reliable checkpoint folder instead.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) <= limit:
-        return local_df(df.sparkSession, rows, df.schema)
+    pdf = collect_small(df, limit)
+    if pdf is not None:
+        return local_df(df.sparkSession, pdf, df.schema)
     return cut_lineage(df)
 
 
@@ -152,6 +150,27 @@ def _sort_key(v):
     return (v is None, v)
 
 
+# Row bound for (value -> count) summaries interpolated on the driver.
+SUMMARY_LIMIT = 1_000_000
+
+
+def _summary(agg: DataFrame, limit: int):
+    """Aggregate once into the checkpoint folder; return (table, pandas or None).
+
+    A summary within ``limit`` rows is read back (Arrow) for driver-side
+    arithmetic; a larger one stays distributed, read from the checkpoint."""
+    counts = cut_lineage(agg)
+    if counts.count() <= limit:
+        return counts, counts.toArrow().to_pandas()
+    return counts, None
+
+
+def _ranked_counts(counts: DataFrame, value_col: str, group_cols: list[str]) -> DataFrame:
+    ranked = prefix_sums(counts, [value_col], group_cols, "cnt", "before", known_rows=counts.count())
+    sizes = counts.groupBy(*group_cols).agg(F.sum("cnt").alias("n"))
+    return ranked.join(sizes, group_cols)
+
+
 def collect_small(df: DataFrame, limit: int = SMALL_TABLE_LIMIT):
     """A small summary as a pandas frame (Arrow transfer), or None above ``limit`` rows."""
     tbl = df.limit(limit + 1).toArrow()
@@ -170,9 +189,11 @@ def value_counts_ranked(df: DataFrame, value_col: str, group_cols: Sequence[str]
     otherwise the table is checkpointed and ranked with :func:`prefix_sums`."""
     group_cols = list(group_cols)
     agg = df.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("cnt"))
-    pdf = collect_small(agg)
+    agg, pdf = _summary(agg, SMALL_TABLE_LIMIT)
     spark = df.sparkSession
-    schema = agg.schema.add("before", "long").add("n", "long")
+    from pyspark.sql import types as T
+
+    schema = T.StructType([*agg.schema.fields, T.StructField("before", T.LongType()), T.StructField("n", T.LongType())])
     if pdf is not None:
         pdf = pdf.sort_values([*group_cols, value_col], kind="mergesort", na_position="last").reset_index(drop=True)
         if group_cols:
@@ -185,10 +206,11 @@ def value_counts_ranked(df: DataFrame, value_col: str, group_cols: Sequence[str]
         pdf["before"] = pdf["before"].astype("int64")
         pdf["n"] = pdf["n"].astype("int64")
         return local_df(spark, pdf, schema)
-    counts = cut_lineage(agg)
-    ranked = prefix_sums(counts, [value_col], group_cols, "cnt", "before", known_rows=counts.count())
-    sizes = counts.groupBy(*group_cols).agg(F.sum("cnt").alias("n"))
-    return ranked.join(sizes, group_cols) if group_cols else ranked.crossJoin(F.broadcast(sizes))
+    if not group_cols:
+        total = agg.agg(F.sum("cnt")).collect()[0][0]
+        ranked = prefix_sums(agg, [value_col], [], "cnt", "before", known_rows=agg.count())
+        return ranked.withColumn("n", F.lit(total).cast("long"))
+    return _ranked_counts(agg, value_col, group_cols)
 
 
 def _quantiles_local(pdf, keys: list[str], probs: Sequence[float], long_form: bool):
@@ -251,7 +273,7 @@ def exact_quantiles(
     keys = group_cols + ["feature"]
     long = to_long(df, value_cols, group_cols)
     agg = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))
-    rows = collect_small(agg)
+    agg, rows = _summary(agg, SUMMARY_LIMIT)
     if rows is not None:
         # the (value -> count) summary is small: interpolate on the driver
         key_fields = [long.schema[k] for k in keys]
@@ -264,7 +286,7 @@ def exact_quantiles(
             schema = T.StructType([*key_fields, T.StructField("n", T.LongType()),
                                    *[T.StructField(quantile_name(p), T.DoubleType()) for p in probs]])
         return local_df(df.sparkSession, _quantiles_local(rows, keys, probs, long_form), schema)
-    ranked = value_counts_ranked(long, "value", keys)
+    ranked = _ranked_counts(agg, "value", keys)
     sizes = ranked.select(*keys, "n").distinct()
     probs_arr = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("pidx")) for i, p in enumerate(probs)])
     targets = sizes.select(*keys, "n", F.explode(probs_arr).alias("_p")).select(*keys, "n", "_p.p", "_p.pidx")

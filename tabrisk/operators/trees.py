@@ -189,20 +189,20 @@ def merge_bundle(df: DataFrame, bundle: Sequence[str], bins: dict[str, int], out
 
 def goss_sample(df: DataFrame, grad_abs: str, key_cols: Sequence[str], top_rate: float, other_rate: float, seed: int,
                 hash_fn) -> DataFrame:
-    """Keep the top ``top_rate`` rows by |gradient| (exact cut from the
-    quantile), sample ``other_rate`` of all rows from the rest by seeded hash, and
-    weight the sampled rest by (rest count) / (sampled count)."""
-    from .order import exact_quantiles as _eq
+    """Keep the top ``top_rate`` share of rows by |gradient| (exact count,
+    ties broken by a seeded hash), sample ``other_rate`` of all rows from the
+    rest by seeded hash, and weight the sampled rest by rest / sampled."""
+    from .order import positions
 
-    cut = _eq(df, [grad_abs], [1.0 - top_rate]).collect()[0]
-    thr = [v for k, v in cut.asDict().items() if k.startswith("q_")][0]
     n = df.count()
-    big = F.col(grad_abs) >= F.lit(thr)
-    rest_n = df.where(~big).count()
-    want = int(other_rate * n)
-    frac = min(1.0, want / rest_n) if rest_n else 0.0
-    h = hash_fn(key_cols, seed) / F.lit(2147483647.0)
-    picked = df.where(big | (h < F.lit(frac)))
-    sampled = picked.where(~big).count()
+    n_top = int(top_rate * n)
+    h = hash_fn(list(key_cols), seed)
+    ranked = positions(df.withColumn("_h", h), [F.desc(grad_abs), "_h", *key_cols], [], "_pos", known_rows=n)
+    big = F.col("_pos") < F.lit(n_top)
+    rest_n = n - n_top
+    frac = min(1.0, int(other_rate * n) / rest_n) if rest_n else 0.0
+    u = hash_fn(list(key_cols), seed + 1).cast("double") / F.lit(2147483647.0)
+    picked = ranked.where(big | (u < F.lit(frac)))
+    sampled = picked.where(F.col("_pos") >= F.lit(n_top)).count()
     w = rest_n / sampled if sampled else 1.0
-    return picked.withColumn("goss_weight", F.when(big, F.lit(1.0)).otherwise(F.lit(float(w))))
+    return picked.withColumn("goss_weight", F.when(big, F.lit(1.0)).otherwise(F.lit(float(w)))).drop("_h", "_pos")

@@ -481,7 +481,11 @@ def _split_sql() -> str:
 
 
 def seg_split(spark, sf) -> DataFrame:
-    return folds.stratified_split(seg_labelled(spark, sf), "risk_class", HASH_KEYS, KEY_LIST, 0.2, SEED)
+    """Labelled segments with their split; checkpointed because every consumer
+    fits on one part and applies to the other (several passes)."""
+    from ..session import cut_lineage
+
+    return cut_lineage(folds.stratified_split(seg_labelled(spark, sf), "risk_class", HASH_KEYS, KEY_LIST, 0.2, SEED))
 
 
 @register("stratified_split", _split_sql())
@@ -661,9 +665,14 @@ def _imputed_sql_cte() -> str:
 
 
 def seg_imputed(spark, sf) -> DataFrame:
+    """Median-imputed numeric features with keys and label, checkpointed for the
+    multi-pass split searches."""
+    from ..session import cut_lineage
+
     d = seg_clean(spark, sf)
     params = clean.fit_medians(d, NUM)
-    return clean.drop_params(clean.impute(clean.attach_params(d, params), categorical_cols=[]), params)
+    d = clean.drop_params(clean.impute(clean.attach_params(d, params), categorical_cols=[]), params)
+    return cut_lineage(d.select(*KEY_LIST, "risk_class_encoded", *NUM))
 
 
 @register(
@@ -1226,3 +1235,199 @@ def q_events_keep_last_per_user(spark, sf):
 )
 def q_events_duplicated_users(spark, sf):
     return ranking.duplicated_keys(read_table(spark, sf, "events"), ["user_id"])
+
+
+# ------------------------------------------------- models (rows-only checks) ---
+from ..operators import balance, models  # noqa: E402
+from ..session import cut_lineage  # noqa: E402
+
+
+def _prepared_split(spark, sf, kind: str = "tree", cfg: C.PrepConfig | None = None):
+    sp = seg_split(spark, sf)
+    raw_tr, raw_te = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    if kind == "tree":
+        prep = prepare.fit_tree(raw_tr, cfg)
+        tr, te = prepare.transform_tree(raw_tr, prep, KEY_LIST), prepare.transform_tree(raw_te, prep, KEY_LIST)
+    else:
+        prep = prepare.fit_linear(raw_tr, cfg)
+        tr, te = prepare.transform_linear(raw_tr, prep, KEY_LIST), prepare.transform_linear(raw_te, prep, KEY_LIST)
+    return cut_lineage(tr), cut_lineage(te), prep.feature_cols
+
+
+def _model_eval(spark, sf, key: str, kind: str = "tree", cfg=None, strategy: str = "none", weights=None, params=None):
+    tr, te, feats = _prepared_split(spark, sf, kind, cfg)
+    tr = experiment.class_weight_column(tr, "risk_class_encoded", strategy, weights)
+    fitted = models.fit_model(key, tr, feats, "risk_class_encoded", None if strategy == "none" else "weight", params)
+    pred_te = fitted.predict(te)
+    pred_tr = fitted.predict(tr)
+    s_te = metrics.summary(metrics.confusion(pred_te, "risk_class_encoded", "prediction"))
+    s_tr = metrics.summary(metrics.confusion(pred_tr, "risk_class_encoded", "prediction")).select(
+        F.col("f2_macro").alias("train_f2_macro"))
+    out = s_te.withColumn("_k", F.lit(1)).join(s_tr.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    out = out.withColumn("gap", F.col("train_f2_macro") - F.col("f2_macro")).withColumn("overfit", X.overfit_flag("gap"))
+    return rnd(out.select(F.lit(key).alias("model"), F.lit(strategy).alias("imbalance"), "*"))
+
+
+@register(
+    "model_dummy_test_metrics",
+    _split_sql().replace(
+        f"SELECT {KEYS}, ranked.risk_class, CASE WHEN rk < q THEN 'test' ELSE 'train' END AS split FROM ranked JOIN quota USING (risk_class)",
+        f", sp AS (SELECT {KEYS}, CASE WHEN rk < q THEN 'test' ELSE 'train' END AS split FROM ranked JOIN quota USING (risk_class)), "
+        "j AS (SELECT lab.risk_class_encoded AS y, sp.split FROM lab JOIN sp USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)), "
+        "maj AS (SELECT y AS m FROM j WHERE split = 'train' GROUP BY y ORDER BY count(*) DESC, y LIMIT 1), "
+        "cm0 AS (SELECT split, y, (SELECT m FROM maj) AS p, CAST(count(*) AS DOUBLE) AS n FROM j GROUP BY split, y), "
+        "g AS (SELECT s.split, yy.y, pp.p FROM (SELECT DISTINCT split FROM j) s, (SELECT unnest([0,1,2]) AS y) yy, (SELECT unnest([0,1,2]) AS p) pp), "
+        "cm AS (SELECT g.*, coalesce(cm0.n, 0.0e0) AS n FROM g LEFT JOIN cm0 USING (split, y, p)), "
+        f"sm AS ({cls_metrics_sql('cm', ['split'], 'n')}) "
+        "SELECT 'dummy' AS model, 'none' AS imbalance, " + ", ".join(f"round(te.{c}, 6) AS {c}" for c in SUMMARY_COLS)
+        + ", round(tr.f2_macro, 6) AS train_f2_macro, round(tr.f2_macro - te.f2_macro, 6) AS gap, "
+        "CAST(tr.f2_macro - te.f2_macro > 0.1e0 AS INTEGER) AS overfit FROM sm te, sm tr WHERE te.split = 'test' AND tr.split = 'train'",
+    ),
+)
+def q_model_dummy(spark, sf):
+    return _model_eval(spark, sf, "dummy")
+
+
+@register("model_decision_tree_test_metrics")
+def q_model_dt(spark, sf):
+    return _model_eval(spark, sf, "decision_tree", params={"max_depth": 8, "min_samples_leaf": 5})
+
+
+@register("model_random_forest_test_metrics")
+def q_model_rf(spark, sf):
+    return _model_eval(spark, sf, "random_forest", strategy="balanced", params={"n_estimators": 30, "max_depth": 8})
+
+
+@register("model_gbt_ovr_test_metrics")
+def q_model_gbt(spark, sf):
+    return _model_eval(spark, sf, "gbt_ovr", strategy="balanced", params={"n_estimators": 20, "max_depth": 4})
+
+
+@register("model_linear_svc_test_metrics")
+def q_model_svc(spark, sf):
+    return _model_eval(spark, sf, "linear_svc_ovr", kind="linear", cfg=C.PrepConfig(use_skew=True),
+                       strategy="weighted", weights={0: 1.0, 1: 2.0, 2: 3.0})
+
+
+@register("model_ridge_ordinal_test_metrics")
+def q_model_ridge(spark, sf):
+    return _model_eval(spark, sf, "ridge_ordinal", kind="linear", cfg=C.PrepConfig(use_skew=False), params={"alpha": 1.0})
+
+
+@register("model_linear_ordinal_test_metrics")
+def q_model_linear(spark, sf):
+    return _model_eval(spark, sf, "linear_ordinal", kind="linear", cfg=C.PrepConfig(use_skew=False),
+                       strategy="weighted", weights={0: 1.0, 1: 1.5, 2: 2.0})
+
+
+@register("model_huber_ordinal_test_metrics")
+def q_model_huber(spark, sf):
+    return _model_eval(spark, sf, "huber_ordinal", kind="linear", cfg=C.PrepConfig(use_skew=False),
+                       strategy="weighted", weights={0: 1.0, 1: 1.5, 2: 2.0}, params={"delta": 1.0})
+
+
+@register("model_lasso_ordinal_test_metrics")
+def q_model_lasso(spark, sf):
+    return _model_eval(spark, sf, "lasso_ordinal", kind="linear", cfg=C.PrepConfig(use_skew=False, use_scale=False),
+                       params={"alpha": 0.01})
+
+
+@register("cv_decision_tree_fold_keyed")
+def q_cv_decision_tree(spark, sf):
+    """Leak-free 5-fold CV. Preparation statistics of all folds come from one
+    fit over the fold-long training rows (grouped by fold_key); one tree per fold."""
+    raw = seg_labelled(spark, sf)
+    fo = folds.stratified_folds(raw, "risk_class", HASH_KEYS, KEY_LIST, k=CV_K, repeats=1, seed=SEED)
+    fl = cut_lineage(folds.fold_long(fo, CV_K).drop("risk_class", "risk_class_encoded"))
+    prep = prepare.fit_tree(fl.where(F.col("role") == "train"), group_cols=["fold_key"])
+    prepared = cut_lineage(prepare.transform_tree(fl, prep, keep=[*KEY_LIST, "role", "repeat", "fold_id"]))
+    preds = None
+    for f in range(CV_K):
+        part = prepared.where(F.col("fold_key") == f)
+        fitted = models.fit_model("decision_tree", part.where(F.col("role") == "train"), prep.feature_cols,
+                                  "risk_class_encoded", params={"max_depth": 6})
+        p = fitted.predict(part).select("role", "repeat", F.col("fold_id").alias("fold"), "risk_class_encoded", "prediction")
+        preds = p if preds is None else preds.unionByName(p)
+    val = preds.where(F.col("role") == "val").withColumnRenamed("risk_class_encoded", "label").withColumn("model", F.lit("decision_tree"))
+    return rnd(experiment.cv_summary(experiment.cv_fold_metrics(val)))
+
+
+def _embeddings(spark, sf) -> DataFrame:
+    e = read_table(spark, sf, "embeddings")
+    return e.select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+
+
+@register(
+    "knn_embeddings_within_label",
+    "WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), "
+    "p AS (SELECT a.label, a.vec_id AS id, b.vec_id AS nn_id, sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))) AS dist "
+    "FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY label, id ORDER BY dist, nn_id) - 1 AS nn_rank FROM p) "
+    "SELECT label, id, nn_id, round(dist, 6) AS dist, CAST(nn_rank AS INTEGER) AS nn_rank FROM r WHERE nn_rank < 5",
+)
+def q_knn_embeddings(spark, sf):
+    """Exact kNN inside each label without forming all pairs (band join on a
+    projection); the oracle is DuckDB brute force over all pairs."""
+    nn = balance.knn_within_class(_embeddings(spark, sf), "vec_id", "vec", "label", 5)
+    return rnd(nn.select("label", "id", "nn_id", "dist", F.col("nn_rank").cast("int")))
+
+
+@register("smote_embeddings_class_counts")
+def q_smote_embeddings(spark, sf):
+    """SMOTE on the embeddings up to the majority label count."""
+    out = balance.smote(_embeddings(spark, sf), "vec_id", "vec", "label", k=5, seed=SEED)
+    return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("is_synthetic").alias("n_synthetic"))
+
+
+@register("kmeans_geo_clusters")
+def q_kmeans_geo(spark, sf):
+    """K-means (k=8) on latitude / longitude, cluster sizes."""
+    from pyspark.ml.clustering import KMeans
+
+    d = models.assemble(seg_labelled(spark, sf).select("latitude", "longitude"), ["latitude", "longitude"])
+    km = KMeans(k=8, seed=SEED, featuresCol="features", predictionCol="geo_cluster").fit(d)
+    return km.transform(d).groupBy("geo_cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("yeo_johnson_lambdas")
+def q_yeo_johnson_lambdas(spark, sf):
+    """Maximum-likelihood lambdas for the columns whose |skew| >= 0.5."""
+    d = seg_imputed(spark, sf)
+    lams = encode.fit_skew_transforms(d, C.BASE_SKEW_COLS)
+    return local_df(spark, [(c, lam) for c, lam in lams.items()], "feature string, lmbda double")
+
+
+@register("linear_preparation_rows")
+def q_linear_preparation(spark, sf):
+    """Linear preparation (skew, soil order, one-hot, robust scale) fitted on train, applied to test."""
+    sp = seg_split(spark, sf)
+    raw_tr, raw_te = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    prep = prepare.fit_linear(raw_tr)
+    return rnd(prepare.transform_linear(raw_te, prep, KEY_LIST))
+
+
+@register("goss_sample_counts")
+def q_goss(spark, sf):
+    """GOSS sample of the first-round gradients (top 20 % by |g| + 10 % of the rest)."""
+    from ..operators import trees
+
+    d = seg_imputed(spark, sf)
+    pri = {r["risk_class_encoded"]: r["prior"] for r in metrics.initial_scores(d, "risk_class_encoded").collect()}
+    g = d.withColumn("p_high", F.lit(float(pri.get(2, 0.0))))
+    g = g.withColumn("abs_g", F.abs(F.col("p_high") - (F.col("risk_class_encoded") == 2).cast("double")))
+    s = trees.goss_sample(g, "abs_g", HASH_KEYS, 0.2, 0.1, SEED, X.seeded_hash)
+    return s.groupBy("goss_weight").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("efb_bundles")
+def q_efb(spark, sf):
+    """Exclusive feature bundles of the one-hot indicator columns (conflict rate 0)."""
+    from ..operators import trees
+
+    d = clean.impute(seg_clean(spark, sf), [], C.CATEGORICAL_COLS)
+    cats = encode.fit_onehot(d, C.OHE_COLS)
+    oh = encode.apply_onehot(d, cats)
+    cols = [f"{c}_{v}" for c, vs in cats.items() for v in vs]
+    conf = [(r["col_a"], r["col_b"], r["conflict_rate"]) for r in trees.conflict_matrix(oh, cols).collect()]
+    bundles = trees.bundle_features(conf, cols, 0.0)
+    return local_df(spark, [(i, len(b), ",".join(b)) for i, b in enumerate(bundles)], "bundle int, n_features int, members string")

@@ -76,8 +76,11 @@ def fit_linear(df: DataFrame, cfg: C.PrepConfig | None = None) -> LinearPrep:
     """T9 fit: T1, Yeo-Johnson on skewed columns (T7), soil order (T4), one-hot (T5)
     or ordinal (T3) for the other categoricals, robust scaler (T8)."""
     cfg = cfg or C.PrepConfig()
+    from ..session import cut_lineage
+
     params = clean.fit_common(df, cfg)
-    common = common_transform(df, params, cfg)
+    # several fitting passes follow (skew, lambdas, categories, scaler): cut the lineage once
+    common = cut_lineage(common_transform(df, params, cfg))
     lambdas = {}
     if cfg.use_skew:
         cols = C.BASE_SKEW_COLS + [c for c in C.ENGINEERED_SKEW_COLS if c in common.columns]
