@@ -1431,3 +1431,51 @@ def q_efb(spark, sf):
     conf = [(r["col_a"], r["col_b"], r["conflict_rate"]) for r in trees.conflict_matrix(oh, cols).collect()]
     bundles = trees.bundle_features(conf, cols, 0.0)
     return local_df(spark, [(i, len(b), ",".join(b)) for i, b in enumerate(bundles)], "bundle int, n_features int, members string")
+
+
+# ------------------------------------------------------- sinks and streams ---
+from ..sources import io as sio  # noqa: E402
+
+
+@register(
+    "results_roundtrip",
+    _cv_cte() + " SELECT model, repeat, fold, " + ", ".join(f"round({c}, 6) AS {c}" for c in SUMMARY_COLS + ["train_f2_macro"]) + " FROM fm",
+)
+def q_results_roundtrip(spark, sf):
+    """Fold metrics written per model (partitioned CSV) in two
+    runs, read back from the explicit list of run folders, later run wins per key."""
+    from pyspark.sql import types as T
+
+    fm = rnd(cv_fold_table(spark, sf))
+    first = sio.scratch_path(spark, "results-run0")
+    second = sio.scratch_path(spark, "results-run1")
+    # run 0 holds stale values for every key; run 1 rewrites them all
+    stale = fm.select(*[F.lit(-1.0).alias(c) if c in SUMMARY_COLS else F.col(c) for c in fm.columns])
+    sio.write_table(stale, first, "csv", partition_by=["model"])
+    sio.write_table(fm, second, "csv", partition_by=["model"])
+    schema = T.StructType([T.StructField(c, fm.schema[c].dataType) for c in fm.columns if c != "model"]
+                          + [T.StructField("model", T.StringType())])
+    back = sio.read_results(spark, [first, second], ["model", "repeat", "fold"], "csv", schema)
+    return back.select(*fm.columns)
+
+
+@register("stream_scored_class_counts")
+def q_stream_scored(spark, sf):
+    """T14 on a stream: lineitem rows arrive as a file stream, are turned into
+    segments (stream-static joins), prepared with statistics fitted on the batch
+    table and scored by a decision tree; predictions land in a Parquet sink."""
+    from ..sources.fixtures import segments_from
+    from ..streaming.score import run_available, score_stream
+
+    raw = segments(spark, sf)
+    prep = prepare.fit_tree(raw)
+    train = cut_lineage(prepare.transform_tree(raw, prep))
+    fitted = models.fit_model("decision_tree", train, prep.feature_cols, "risk_class_encoded", params={"max_depth": 6})
+    li_path = f"{sf}/lineitem.parquet"
+    li_stream = (spark.readStream.schema(spark.read.parquet(li_path).schema)
+                 .option("pathGlobFilter", "lineitem.parquet").option("maxFilesPerTrigger", 1).parquet(sf))
+    stream_seg = segments_from(li_stream, read_table(spark, sf, "supplier"), read_table(spark, sf, "nation"))
+    scored = score_stream(stream_seg, prep, fitted, keep=["l_orderkey", "l_linenumber"])
+    out = run_available(spark, scored.select("risk_class_encoded", "prediction"), sio.scratch_path(spark, "stream-out"),
+                        sio.scratch_path(spark, "stream-ckpt"))
+    return out.groupBy("risk_class_encoded", "prediction").agg(F.count(F.lit(1)).alias("n"))

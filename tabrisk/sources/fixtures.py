@@ -61,10 +61,18 @@ SEGMENT_COLUMNS = KEY_COLS + [name for name, _ in SEGMENT_EXPRS]
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the stand-in raw table (one row per line item)."""
-    li = read_table(spark, sf_dir, "lineitem")
-    su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    # nation has a fixed 25 rows in every scale factor: a proven broadcast bound.
-    na = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    return segments_from(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "supplier"),
+                         read_table(spark, sf_dir, "nation"))
+
+
+def segments_from(li: DataFrame, supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    """The derivation on given frames (``li`` may be a streaming DataFrame).
+
+    supplier grows with the scale factor: its join is left to Catalyst / AQE
+    (broadcast only under autoBroadcastJoinThreshold, i.e. a checked size).
+    nation has a fixed 25 rows in every scale factor: a proven broadcast bound."""
+    su = supplier.select("s_suppkey", "s_nationkey")
+    na = F.broadcast(nation.select("n_nationkey", "n_name"))
     joined = li.join(su, li.l_suppkey == su.s_suppkey).join(na, F.col("s_nationkey") == F.col("n_nationkey"))
     return joined.selectExpr(*KEY_COLS, *[f"{expr} AS {name}" for name, expr in SEGMENT_EXPRS])
 
