@@ -95,7 +95,7 @@ def prefix_sums(
     weight: str | Column | None = None,
     out_col: str = "pos",
     partitions: int | None = None,
-    small_limit: int = SMALL_ORDER_LIMIT,
+    small_limit: int | None = None,
     known_rows: int | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = sum of ``weight`` over the rows strictly before each row.
@@ -116,7 +116,7 @@ def prefix_sums(
     w = F.lit(1).cast("long") if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
     keyed = df.withColumn("_w", w)
     rows = known_rows if known_rows is not None else df.count()
-    if rows <= small_limit:
+    if rows <= (SMALL_ORDER_LIMIT if small_limit is None else small_limit):
         win = Window.partitionBy(*group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return keyed.withColumn(out_col, F.coalesce(F.sum("_w").over(win), F.lit(0))).drop("_w")
     n = partitions or _n_partitions(df)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +37,8 @@ def bin_features(df: DataFrame, edges: dict[str, list[float]], suffix: str = "_b
     Bucketizer (JVM, binary search) with splits -inf, inner edges, +inf is
     left-closed, which is exactly that count."""
     cols = list(edges)
-    splits = [[float("-inf"), *e[1:-1], float("inf")] for e in (edges[c] for c in cols)]
+    # a feature with no inner edge keeps every value in bin 0 (Bucketizer needs three splits)
+    splits = [[float("-inf"), *(e[1:-1] or [1.7976931348623157e308]), float("inf")] for e in (edges[c] for c in cols)]
     b = Bucketizer(splitsArray=splits, inputCols=cols, outputCols=[c + suffix for c in cols], handleInvalid="keep")
     out = b.transform(df)
     return out.select(*[F.col(c) for c in df.columns], *[F.col(c + suffix).cast("int").alias(c + suffix) for c in cols])
@@ -206,3 +209,73 @@ def goss_sample(df: DataFrame, grad_abs: str, key_cols: Sequence[str], top_rate:
     sampled = picked.where(F.col("_pos") >= F.lit(n_top)).count()
     w = rest_n / sampled if sampled else 1.0
     return picked.withColumn("goss_weight", F.when(big, F.lit(1.0)).otherwise(F.lit(float(w)))).drop("_h", "_pos")
+
+
+def boost_stumps(binned: DataFrame, feature_bins: Sequence[str], label: str, n_classes: int, rounds: int = 10,
+                 learning_rate: float = 0.3, reg_lambda: float = 1.0, reg_alpha: float = 0.0,
+                 min_child_samples: int = 20, checkpoint_every: int = 3):
+    """M4 (depth-1 trees): softmax gradient boosting on quantile bins.
+
+    Each round is one histogram aggregation for all classes (W12) on the
+    current scores; the chosen stumps are literals in the next score update.
+    Scores are checkpointed every ``checkpoint_every`` rounds to cut lineage.
+    Returns (stumps, per-round training log loss, scored rows)."""
+    from ..session import cut_lineage
+
+    counts = {r[label]: r["count"] for r in binned.groupBy(label).count().collect()}
+    n = sum(counts.values())
+    init = [float(np.log(counts.get(c, 0) / n)) if counts.get(c, 0) else -30.0 for c in range(n_classes)]
+    d = binned.select(*binned.columns, *[F.lit(init[c]).alias(f"_f{c}") for c in range(n_classes)])
+    stumps, losses = [], []
+    for r in range(rounds):
+        fs = [F.col(f"_f{c}") for c in range(n_classes)]
+        m = F.greatest(*fs)
+        den = sum((F.exp(f - m) for f in fs), F.lit(0.0))
+        probs = F.array(*[F.exp(f - m) / den for f in fs])
+        g = d.withColumn("_p", probs)
+        losses.append(g.agg(F.avg(-F.log(F.greatest(F.element_at("_p", F.col(label) + 1), F.lit(1e-15))))).collect()[0][0])
+        cls_arr = F.array(*[F.lit(c) for c in range(n_classes)])
+        long = g.select(*feature_bins, label, "_p", F.explode(cls_arr).alias("cls"))
+        p_c = F.element_at("_p", F.col("cls") + 1)
+        long = long.withColumn("g", p_c - (F.col(label) == F.col("cls")).cast("double")).withColumn("h", p_c * (1.0 - p_c))
+        best = histogram_best_split(long, feature_bins, "g", "h", ["cls"], reg_lambda, reg_alpha, min_child_samples)
+        # leaf values need the child sums: recompute them for the chosen (feature, bin) only
+        chosen = {row["cls"]: (row["feature"], row["bin"]) for row in best.collect()}
+        if not chosen:
+            break
+        sums = long.groupBy("cls").agg(*[
+            F.sum(F.when(F.col("cls") == c, F.when(F.col(f) <= b, F.col("g")))).alias(f"gl{c}") for c, (f, b) in chosen.items()
+        ], *[F.sum(F.when(F.col("cls") == c, F.when(F.col(f) <= b, F.col("h")))).alias(f"hl{c}") for c, (f, b) in chosen.items()],
+            *[F.sum(F.when(F.col("cls") == c, F.when(F.col(f) > b, F.col("g")))).alias(f"gr{c}") for c, (f, b) in chosen.items()],
+            *[F.sum(F.when(F.col("cls") == c, F.when(F.col(f) > b, F.col("h")))).alias(f"hr{c}") for c, (f, b) in chosen.items()],
+        ).collect()
+        agg = {k: v for row in sums for k, v in row.asDict().items() if v is not None}
+
+        def leaf(G, H):
+            G = 0.0 if G is None else G
+            Ge = max(0.0, abs(G) - reg_alpha) * np.sign(G) if reg_alpha > 0 else G
+            return float(-Ge / ((H or 0.0) + reg_lambda))
+
+        upd = {}
+        for c, (f, b) in chosen.items():
+            wl, wr = leaf(agg.get(f"gl{c}"), agg.get(f"hl{c}")), leaf(agg.get(f"gr{c}"), agg.get(f"hr{c}"))
+            stumps.append((r, int(c), f, int(b), wl, wr))
+            upd[c] = F.when(F.col(f) <= b, F.lit(learning_rate * wl)).otherwise(F.lit(learning_rate * wr))
+        d = d.select(*[c for c in d.columns if not c.startswith("_f")],
+                     *[(F.col(f"_f{c}") + upd.get(c, F.lit(0.0))).alias(f"_f{c}") for c in range(n_classes)])
+        if (r + 1) % checkpoint_every == 0:
+            d = cut_lineage(d)
+    return stumps, losses, d
+
+
+def predict_stumps(df: DataFrame, stumps, n_classes: int, init: list[float], learning_rate: float) -> DataFrame:
+    """Scores and argmax class of boosted stumps on binned rows."""
+    scores = []
+    for c in range(n_classes):
+        s = F.lit(init[c])
+        for (_, cls, f, b, wl, wr) in stumps:
+            if cls == c:
+                s = s + F.when(F.col(f) <= b, F.lit(learning_rate * wl)).otherwise(F.lit(learning_rate * wr))
+        scores.append(s)
+    arr = F.array(*scores)
+    return df.withColumn("prediction", (F.array_position(arr, F.array_max(arr)) - 1).cast("int"))

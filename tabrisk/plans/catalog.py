@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -1479,3 +1481,138 @@ def q_stream_scored(spark, sf):
     out = run_available(spark, scored.select("risk_class_encoded", "prediction"), sio.scratch_path(spark, "stream-out"),
                         sio.scratch_path(spark, "stream-ckpt"))
     return out.groupBy("risk_class_encoded", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------ artefacts and raw CSV input ---
+@register("csv_roundtrip_class_distribution", ORACLE["class_distribution"])
+def q_csv_roundtrip(spark, sf):
+    """The raw segments written as CSV with header, read back with an
+    explicit schema (NaN -> NULL at ingestion), then labelled (A2)."""
+    from ..sources.tables import read_raw_csv
+
+    from ..sources.tables import RAW_SCHEMA
+
+    raw = segments(spark, sf)
+    cols = [F.col(f.name).cast(f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in RAW_SCHEMA.fields]
+    path = sio.scratch_path(spark, "raw-csv")
+    sio.write_table(raw.select(*cols), path, "csv")
+    back = read_raw_csv(spark, path)
+    return rnd(labels.class_distribution(labels.with_risk_class(back)))
+
+
+@register("artefact_roundtrip_parameters", ORACLE["fitted_parameters"])
+def q_artefact_roundtrip(spark, sf):
+    """Fitted parameter tables saved with a metadata contract,
+    reloaded after validation; a JSON report of the parameters is written when non-empty."""
+    params = clean.fit_common(segments(spark, sf))
+    path = sio.scratch_path(spark, "prep-artefact")
+    meta = {"artifact_schema_version": 1, "target_mapping": C.CLASS_TO_CODE, "fe_groups": C.PrepConfig().fe_groups}
+    sio.save_params({"params": params}, meta, path)
+    tables, _ = sio.load_params(spark, path, ["params"], {"artifact_schema_version": 1})
+    sio.write_if_nonempty(tables["params"], sio.scratch_path(spark, "params-csv"))
+    sio.write_json_report(tables["params"].select(F.struct(*tables["params"].columns).alias("params")),
+                          sio.scratch_path(spark, "params-json"))
+    return rnd(tables["params"])
+
+
+@register("decision_tree_importances")
+def q_decision_tree_importances(spark, sf):
+    """Feature importances of the tree, ranked, above-75th-percentile flag."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    tr, _, feats = _prepared_split(spark, sf, "tree")
+    m = DecisionTreeClassifier(maxDepth=8, labelCol="risk_class_encoded", seed=SEED).fit(models.assemble(tr, feats))
+    imp = [(f, float(v)) for f, v in zip(feats, m.featureImportances.toArray())]
+    q75 = float(np.percentile([v for _, v in imp], 75))
+    ranked = sorted(imp, key=lambda t: (-t[1], t[0]))
+    rows = [(f, v, i + 1, int(v > q75)) for i, (f, v) in enumerate(ranked)]
+    return local_df(spark, rows, "feature string, importance double, rank int, above_p75 int")
+
+
+@register("lasso_coefficients")
+def q_lasso_coefficients(spark, sf):
+    """Lasso coefficients with the sparsity flag (|w| < 1e-4)."""
+    tr, _, feats = _prepared_split(spark, sf, "linear", C.PrepConfig(use_skew=False, use_scale=False))
+    fitted = models.fit_model("lasso_ordinal", tr, feats, "risk_class_encoded", params={"alpha": 0.01})
+    rows = [(f, float(w), int(abs(w) < C.SPARSE_COEF)) for f, w in zip(feats, fitted.info["coef"])]
+    return local_df(spark, rows, "feature string, coef double, is_zero int")
+
+
+@register("tuning_random_search_tree")
+def q_tuning_random_search(spark, sf):
+    """Seeded random search of decision-tree parameters
+    on 3 stratified folds (fold-keyed preparation, one fit pass for all folds),
+    winner by (F2, F1w, High recall, -std), refit on all train rows, test metrics."""
+    raw = seg_split(spark, sf)
+    raw_tr, raw_te = raw.where(F.col("split") == "train"), raw.where(F.col("split") == "test")
+    k = 3
+    fo = folds.stratified_folds(raw_tr.drop("split"), "risk_class", HASH_KEYS, KEY_LIST, k=k, repeats=1, seed=SEED)
+    fl = cut_lineage(folds.fold_long(fo, k).drop("risk_class", "risk_class_encoded"))
+    prep = prepare.fit_tree(fl.where(F.col("role") == "train"), group_cols=["fold_key"])
+    prepared = cut_lineage(prepare.transform_tree(fl, prep, keep=[*KEY_LIST, "role", "repeat", "fold_id"]))
+    cands = experiment.candidates(models.PARAM_SPACES["decision_tree"], 4, SEED)
+    preds = None
+    for ci, params in enumerate(cands):
+        for f in range(k):
+            part = prepared.where(F.col("fold_key") == f)
+            fitted = models.fit_model("decision_tree", part.where(F.col("role") == "train"), prep.feature_cols,
+                                      "risk_class_encoded", params=params)
+            p = fitted.predict(part.where(F.col("role") == "val")).select(
+                F.lit(f"cand{ci}").alias("model"), "repeat", F.col("fold_id").alias("fold"),
+                F.col("risk_class_encoded").alias("label"), "prediction")
+            preds = p if preds is None else preds.unionByName(p)
+    summary = experiment.cv_summary(experiment.cv_fold_metrics(cut_lineage(preds)))
+    best = experiment.winner(summary).collect()[0]
+    best_params = cands[int(best["model"][4:])]
+    # Refit preparation and model on all training rows; E14 gate: the test split is scored once
+    full = prepare.fit_tree(raw_tr)
+    tr = prepare.transform_tree(raw_tr, full)
+    te = prepare.transform_tree(raw_te, full)
+    fitted = models.fit_model("decision_tree", tr, full.feature_cols, "risk_class_encoded", params=best_params)
+    test = metrics.summary(metrics.confusion(fitted.predict(te), "risk_class_encoded", "prediction"))
+    return rnd(test.select(F.lit(str(sorted(best_params.items()))).alias("best_params"),
+                           F.lit(float(best["f2_macro_mean"])).alias("cv_f2_macro"), "*"))
+
+
+@register("ablation_feature_groups_tree")
+def q_ablation_feature_groups(spark, sf):
+    """Feature-group ablation (none, each group, all)
+    for the decision tree on the train / test split, with delta vs baseline."""
+    sp = seg_split(spark, sf)
+    raw_tr, raw_te = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    configs = {"baseline": [], "G1": ["G1"], "G2": ["G2"], "G3": ["G3"], "G4": ["G4"], "all": ["G1", "G2", "G3", "G4"]}
+    out = None
+    for name, groups in configs.items():
+        prep = prepare.fit_tree(raw_tr, C.PrepConfig(fe_groups=groups))
+        tr, te = prepare.transform_tree(raw_tr, prep), prepare.transform_tree(raw_te, prep)
+        fitted = models.fit_model("decision_tree", tr, prep.feature_cols, "risk_class_encoded", params={"max_depth": 6})
+        s = metrics.summary(metrics.confusion(fitted.predict(te), "risk_class_encoded", "prediction"))
+        s = s.select(F.lit(name).alias("config"), F.lit(len(prep.feature_cols)).alias("n_features"), "f2_macro",
+                     "f1_weighted", "recall_high")
+        out = s if out is None else out.unionByName(s)
+    table = experiment.experiment_table(out, "feature_groups", preparation="tree", model="decision_tree")
+    return rnd(ranking.delta_vs_baseline(table, ["experiment"], "config", "baseline", "f2_macro"))
+
+
+@register("histogram_boosting_rounds")
+def q_histogram_boosting(spark, sf):
+    """Softmax boosting of depth-1 trees on quantile bins
+    (one histogram aggregation per round), training log loss per round and test metrics."""
+    from ..operators import trees
+
+    tr, te, feats = _prepared_split(spark, sf, "tree")
+    num = [f for f in feats if f not in C.CATEGORICAL_COLS]
+    edges = trees.quantile_bin_edges(tr, num, HIST_BINS)
+    btr, bte = trees.bin_features(tr, edges), trees.bin_features(te, edges)
+    bins = [c + "_bin" for c in num]
+    lr = 0.3
+    stumps, losses, _ = trees.boost_stumps(cut_lineage(btr.select(*bins, "risk_class_encoded")), bins, "risk_class_encoded",
+                                           3, rounds=6, learning_rate=lr)
+    counts = {r["risk_class_encoded"]: r["count"] for r in tr.groupBy("risk_class_encoded").count().collect()}
+    n = sum(counts.values())
+    init = [float(np.log(counts[c] / n)) for c in range(3)]
+    pred = trees.predict_stumps(bte, stumps, 3, init, lr)
+    s = metrics.summary(metrics.confusion(pred, "risk_class_encoded", "prediction")).collect()[0]
+    rows = [(i, float(l), float(s["f2_macro"]), float(s["f1_weighted"])) for i, l in enumerate(losses)]
+    return local_df(spark, rows, "round int, train_log_loss double, test_f2_macro double, test_f1_weighted double")

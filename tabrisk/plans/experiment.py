@@ -91,9 +91,10 @@ def winner(summary: DataFrame, key_col: str = "model") -> DataFrame:
     ).limit(1)
 
 
-def experiment_table(summary: DataFrame, experiment: str, config: str) -> DataFrame:
-    """Long-format experiment record rows."""
-    return summary.select(F.lit(experiment).alias("experiment"), F.lit(config).alias("config"), "*")
+def experiment_table(summary: DataFrame, experiment: str, **tags: str) -> DataFrame:
+    """Long-format experiment record rows (tags added as constant columns)."""
+    extra = {"experiment": experiment, **tags}
+    return summary.select(*[F.lit(v).alias(k) for k, v in extra.items() if k not in summary.columns], "*")
 
 
 def class_weight_column(df: DataFrame, label: str, strategy: str, weights: dict | None = None) -> DataFrame:

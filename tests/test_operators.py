@@ -229,3 +229,24 @@ def test_model_registry_unknown_key():
     with pytest.raises(KeyError):
         models.get_model("catboost")
     assert models.get_model("Decision_Tree") is models.REGISTRY["decision_tree"]
+
+
+def test_boosting_loss_decreases(spark):
+    from tabrisk.operators import trees
+
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 8, 600)
+    y = np.where(x < 3, 0, np.where(x < 6, 1, 2))
+    y[rng.random(600) < 0.1] = 0
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(x, y)], "x_bin int, y int")
+    _, losses, _ = trees.boost_stumps(df, ["x_bin"], "y", 3, rounds=4, learning_rate=0.5)
+    assert all(b < a for a, b in zip(losses, losses[1:]))
+
+
+def test_experiment_candidates_seeded():
+    from tabrisk.plans import experiment
+
+    a = experiment.candidates({"d": [1, 2, 3], "m": [1, 5]}, 4, 42)
+    assert a == experiment.candidates({"d": [1, 2, 3], "m": [1, 5]}, 4, 42)
+    assert len(a) == 4 and len({tuple(sorted(c.items())) for c in a}) == 4
+    assert experiment.candidates({}, 5, 1) == [{}]
