@@ -103,7 +103,22 @@ def prefix_sums(
     Order is ``order_cols`` inside each ``group_cols`` group; with ``weight=None``
     every row weighs 1, so ``out_col`` is the exact 0-based position. The order
     must be total (add key columns as the last order columns) for positions to
-    be deterministic.
+    be deterministic. See :func:`prefix_sums_multi` for the execution strategy.
+    """
+    w = F.lit(1).cast("long") if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
+    return prefix_sums_multi(df, order_cols, group_cols, {out_col: w}, partitions, small_limit, known_rows)
+
+
+def prefix_sums_multi(
+    df: DataFrame,
+    order_cols: Sequence[str | Column],
+    group_cols: Sequence[str],
+    weights: dict,
+    partitions: int | None = None,
+    small_limit: int | None = None,
+    known_rows: int | None = None,
+) -> DataFrame:
+    """Several exclusive running sums at once (``weights``: out column -> weight column).
 
     When the table is proven small (row count <= ``small_limit``) a plain window
     does it. Above that bound the table is range-partitioned on
@@ -113,12 +128,15 @@ def prefix_sums(
     """
     group_cols = list(group_cols)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    w = F.lit(1).cast("long") if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
-    keyed = df.withColumn("_w", w)
+    wcols = {o: f"_w_{i}" for i, o in enumerate(weights)}
+    keyed = df.select("*", *[(F.col(w) if isinstance(w, str) else w).alias(wcols[o]) for o, w in weights.items()])
     rows = known_rows if known_rows is not None else df.count()
     if rows <= (SMALL_ORDER_LIMIT if small_limit is None else small_limit):
         win = Window.partitionBy(*group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return keyed.withColumn(out_col, F.coalesce(F.sum("_w").over(win), F.lit(0))).drop("_w")
+        out = keyed
+        for o, wc in wcols.items():
+            out = out.withColumn(o, F.coalesce(F.sum(wc).over(win), F.lit(0)))
+        return out.drop(*wcols.values())
     n = partitions or _n_partitions(df)
     ranged = keyed.repartitionByRange(n, *[F.col(g) for g in group_cols], *order).withColumn(
         "_pid", F.spark_partition_id()
@@ -126,13 +144,20 @@ def prefix_sums(
     # The range bounds come from sampling; materialise once so that totals and
     # rows see the same partitioning (and survive executor loss).
     ranged = cut_lineage(ranged)
-    totals = ranged.groupBy("_pid", *group_cols).agg(F.sum("_w").alias("_tot"))
+    totals = ranged.groupBy("_pid", *group_cols).agg(*[F.sum(wc).alias(f"_tot{wc}") for wc in wcols.values()])
     wp = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(wp), F.lit(0))).drop("_tot")
+    offsets = totals.select("_pid", *group_cols, *[
+        F.coalesce(F.sum(f"_tot{wc}").over(wp), F.lit(0)).alias(f"_off{wc}") for wc in wcols.values()
+    ])
     within = Window.partitionBy("_pid", *group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", F.coalesce(F.sum("_w").over(within), F.lit(0)))
+    local = ranged
+    for wc in wcols.values():
+        local = local.withColumn(f"_loc{wc}", F.coalesce(F.sum(wc).over(within), F.lit(0)))
     out = join_small(local, offsets, ["_pid", *group_cols])
-    return out.withColumn(out_col, F.col("_off") + F.col("_local")).drop("_w", "_pid", "_off", "_local")
+    for o, wc in wcols.items():
+        out = out.withColumn(o, F.col(f"_off{wc}") + F.col(f"_loc{wc}"))
+    drop = ["_pid", *wcols.values(), *[f"_off{wc}" for wc in wcols.values()], *[f"_loc{wc}" for wc in wcols.values()]]
+    return out.drop(*drop)
 
 
 def positions(
@@ -146,10 +171,6 @@ def positions(
     return prefix_sums(df, order_cols, group_cols, None, out_col, known_rows=known_rows)
 
 
-def _sort_key(v):
-    return (v is None, v)
-
-
 # Row bound for (value -> count) summaries interpolated on the driver.
 SUMMARY_LIMIT = 1_000_000
 

@@ -61,15 +61,6 @@ def pivot_mean(df: DataFrame, row: str, col: str, value: str, col_values: Sequen
     return g.agg(F.avg(value))
 
 
-def best_worst(df: DataFrame, group_cols: Sequence[str], label_col: str, value: str) -> DataFrame:
-    """Best / worst row per group (ties -> smallest label), range and impact %."""
-    return df.groupBy(*group_cols).agg(
-        F.max_by(F.col(label_col), F.struct(F.col(value), -F.hash(label_col), F.lit(0))).alias("best_raw"),
-        F.min(value).alias("worst_value"),
-        F.max(value).alias("best_value"),
-    )
-
-
 def best_worst_exact(df: DataFrame, group_cols: Sequence[str], label_col: str, value: str) -> DataFrame:
     """A16 with deterministic ties: best = max value then smallest label; worst = min value then smallest label."""
     group_cols = list(group_cols)

@@ -114,13 +114,19 @@ def exhaustive_best_split(df: DataFrame, features: Sequence[str], label: str, gr
     cnt = long.groupBy(*group_cols, "fidx", "feature", "value").agg(
         *[F.count_if(F.col("_y") == c).alias(f"c{i}") for i, c in enumerate(classes)]
     )
-    wcum = Window.partitionBy(*group_cols, "fidx").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy(*group_cols, "fidx")
     k = len(classes)
-    cum = cnt.select(
+    # running class counts over the distinct values of each feature: exact prefix
+    # sums (range-partitioned above the small-table bound, so one feature's values
+    # are never ordered in a single task)
+    from .order import join_small, prefix_sums_multi
+
+    run = prefix_sums_multi(cnt, ["value"], [*group_cols, "fidx"], {f"b{i}": f"c{i}" for i in range(k)})
+    tot = cnt.groupBy(*group_cols, "fidx").agg(*[F.sum(f"c{i}").alias(f"t{i}") for i in range(k)])
+    run = join_small(run, tot, [*group_cols, "fidx"])
+    cum = run.select(
         *group_cols, "fidx", "feature", F.col("value").alias("threshold"),
-        *[F.sum(f"c{i}").over(wcum).alias(f"l{i}") for i in range(k)],
-        *[F.sum(f"c{i}").over(wall).alias(f"t{i}") for i in range(k)],
+        *[(F.col(f"b{i}") + F.col(f"c{i}")).alias(f"l{i}") for i in range(k)],
+        *[F.col(f"t{i}") for i in range(k)],
     )
     nl = sum((F.col(f"l{i}") for i in range(k)), F.lit(0))
     nt = sum((F.col(f"t{i}") for i in range(k)), F.lit(0))
