@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import exprs as X
-from .order import exact_quantiles, join_small, local_df, materialize_small, quantile_name
+from .order import (exact_quantiles, fold_train_counts, join_small, local_df, materialize_small, quantile_name,
+                    quantiles_from_counts, to_long)
 
 
 def med(c: str) -> str:
@@ -103,6 +104,37 @@ def fit_common(df: DataFrame, cfg: C.PrepConfig | None = None, group_cols: Seque
     return params if user_groups else params.drop("_all")
 
 
+def fit_common_folds(df: DataFrame, fold_col: str, k: int, cfg: C.PrepConfig | None = None) -> DataFrame:
+    """T1 fit for every fold of a k-fold assignment in one pass over the rows.
+
+    Same parameters as ``fit_common`` on each fold's training rows, but rows
+    are never copied per fold: value counts per (fold, feature, value) are
+    taken once and each fold's training counts are total - own
+    (:func:`order.fold_train_counts`). Output keyed by ``fold_col``."""
+    cfg = cfg or C.PrepConfig()
+    raw = apply_sentinel(df.select(F.col(fold_col).cast("int").alias(fold_col), *C.NUMERIC_COLS))
+    long = to_long(raw, C.NUMERIC_COLS, [fold_col], drop_nulls=False)
+    counts = long.groupBy(fold_col, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = materialize_small(counts, 2_000_000)
+    nn = counts.where(F.col("value").isNotNull())
+    train = fold_train_counts(nn, fold_col, k, ["feature"])
+    q = quantiles_from_counts(train, [fold_col, "feature"], [0.5, C.ELEV_LOW_QUANTILE])
+    params = _wide(q, [fold_col], {"q_0_5": med}, C.NUMERIC_COLS)
+    elev = _wide(q.where(F.col("feature") == "elevation_m"), [fold_col], {"q_0_1": lambda c: "elev_low"}, ["elevation_m"])
+    prox = "storm_drain_proximity_m"
+    # imputed proximity = non-null training values + (training nulls at the fold's median)
+    nulls = counts.where(F.col("value").isNull() & (F.col("feature") == prox)).select(fold_col, F.col("cnt"))
+    tot_null = nulls.agg(F.sum("cnt")).collect()[0][0] or 0
+    train_nulls = local_df(df.sparkSession, [(f, 0) for f in range(k)], f"{fold_col} int, z long").join(
+        nulls, fold_col, "left").select(fold_col, (F.lit(tot_null) - F.coalesce("cnt", F.lit(0))).alias("cnt"))
+    filled = params.select(fold_col, F.lit(prox).alias("feature"), F.col(med(prox)).alias("value")).join(train_nulls, fold_col)
+    imputed = train.where(F.col("feature") == prox).unionByName(filled.where(F.col("cnt") > 0))
+    imputed = imputed.groupBy(fold_col, "feature", "value").agg(F.sum("cnt").alias("cnt"))
+    q95 = quantiles_from_counts(imputed, [fold_col, "feature"], [cfg.clip_upper_q])
+    clip = _wide(q95, [fold_col], {quantile_name(cfg.clip_upper_q): lambda c: "clip_upper"}, [prox])
+    return materialize_small(params.join(elev, [fold_col], "left").join(clip, [fold_col], "left"))
+
+
 def impute(df: DataFrame, numeric_cols=C.NUMERIC_COLS, categorical_cols=C.CATEGORICAL_COLS,
            fill: str = C.UNKNOWN_CATEGORY) -> DataFrame:
     """P7 + P8: numeric NULL -> fitted median (column ``med__<c>`` present), categorical -> 'Unknown'."""

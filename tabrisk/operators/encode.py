@@ -32,6 +32,17 @@ def fit_ordinal(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] =
     long = df.select(*group_cols, F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols
     ])).alias("s")).select(*group_cols, "s.*").where(F.col("value").isNotNull()).distinct()
+    return codes_from_values(long, group_cols)
+
+
+def codes_from_values(long: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Codes 0..k-1 of the sorted distinct values of a (group..., feature, value) table."""
+    from pyspark.sql import types as T
+
+    from .order import SMALL_TABLE_LIMIT
+
+    group_cols = list(group_cols)
+    long = long.select(*group_cols, "feature", "value").distinct()
     rows = long.limit(SMALL_TABLE_LIMIT + 1).collect()
     if len(rows) > SMALL_TABLE_LIMIT:
         big = materialize_small(long)
@@ -42,7 +53,7 @@ def fit_ordinal(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] =
     data = [(*k, v, i) for k, vs in groups.items() for i, v in enumerate(sorted(vs))]
     schema = T.StructType([*[long.schema[g] for g in group_cols], T.StructField("feature", T.StringType()),
                            T.StructField("value", T.StringType()), T.StructField("code", T.LongType())])
-    return local_df(df.sparkSession, data, schema)
+    return local_df(long.sparkSession, data, schema)
 
 
 def apply_ordinal(df: DataFrame, codes: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),

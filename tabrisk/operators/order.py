@@ -294,6 +294,14 @@ def exact_quantiles(
     keys = group_cols + ["feature"]
     long = to_long(df, value_cols, group_cols)
     agg = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))
+    return quantiles_from_counts(agg, keys, probs, long_form)
+
+
+def quantiles_from_counts(agg: DataFrame, keys: Sequence[str], probs: Sequence[float], long_form: bool = False) -> DataFrame:
+    """Interpolated quantiles from a (keys..., value, cnt) table of non-null values."""
+    keys = list(keys)
+    long = agg
+    df = agg
     agg, rows = _summary(agg, SUMMARY_LIMIT)
     if rows is not None:
         # the (value -> count) summary is small: interpolate on the driver
@@ -341,6 +349,21 @@ def exact_quantiles(
     return materialize_small(out)
 
 
+def fold_train_counts(counts: DataFrame, fold_col: str, k: int, keys: Sequence[str], value_col: str = "value") -> DataFrame:
+    """Training-side counts of every fold without copying rows k times.
+
+    ``counts`` holds (fold, keys..., value, cnt) from the natural rows; the
+    training part of fold f is everything outside f, so its count of a value
+    is total - own. Works on the distinct-value table, not on the rows."""
+    keys = list(keys)
+    tot = counts.groupBy(*keys, value_col).agg(F.sum("cnt").alias("_tot"))
+    grid = tot.select(*keys, value_col, "_tot", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(fold_col))
+    own = counts.select(fold_col, *keys, value_col, F.col("cnt").alias("_own"))
+    j = grid.join(own, [fold_col, *keys, value_col], "left")
+    out = j.select(fold_col, *keys, value_col, (F.col("_tot") - F.coalesce("_own", F.lit(0))).alias("cnt"))
+    return out.where(F.col("cnt") > 0)
+
+
 def quantile_name(p: float) -> str:
     s = f"{p:.4f}".rstrip("0").rstrip(".")
     return "q_" + s.replace(".", "_")

@@ -1337,20 +1337,19 @@ def q_model_lasso(spark, sf):
 @register("cv_decision_tree_fold_keyed")
 def q_cv_decision_tree(spark, sf):
     """Leak-free 5-fold CV. Preparation statistics of all folds come from one
-    fit over the fold-long training rows (grouped by fold_key); one tree per fold."""
+    pass over the rows (training counts = total - own fold, no row copies); one
+    tree per fold, scored on its validation rows, one metrics aggregation."""
     raw = seg_labelled(spark, sf)
-    fo = folds.stratified_folds(raw, "risk_class", HASH_KEYS, KEY_LIST, k=CV_K, repeats=1, seed=SEED)
-    fl = cut_lineage(folds.fold_long(fo, CV_K).drop("risk_class", "risk_class_encoded"))
-    prep = prepare.fit_tree(fl.where(F.col("role") == "train"), group_cols=["fold_key"])
-    prepared = cut_lineage(prepare.transform_tree(fl, prep, keep=[*KEY_LIST, "role", "repeat", "fold_id"]))
+    fo = cut_lineage(folds.stratified_folds(raw, "risk_class", HASH_KEYS, KEY_LIST, k=CV_K, repeats=1, seed=SEED))
+    preps = prepare.fit_tree_folds(fo, "fold", CV_K)
     preds = None
     for f in range(CV_K):
-        part = prepared.where(F.col("fold_key") == f)
-        fitted = models.fit_model("decision_tree", part.where(F.col("role") == "train"), prep.feature_cols,
+        part = prepare.transform_tree(fo, preps[f], keep=[*KEY_LIST, "repeat", "fold"])
+        fitted = models.fit_model("decision_tree", part.where(F.col("fold") != f), preps[f].feature_cols,
                                   "risk_class_encoded", params={"max_depth": 6})
-        p = fitted.predict(part).select("role", "repeat", F.col("fold_id").alias("fold"), "risk_class_encoded", "prediction")
+        p = fitted.predict(part.where(F.col("fold") == f)).select("repeat", "fold", "risk_class_encoded", "prediction")
         preds = p if preds is None else preds.unionByName(p)
-    val = preds.where(F.col("role") == "val").withColumnRenamed("risk_class_encoded", "label").withColumn("model", F.lit("decision_tree"))
+    val = preds.withColumnRenamed("risk_class_encoded", "label").withColumn("model", F.lit("decision_tree"))
     return rnd(experiment.cv_summary(experiment.cv_fold_metrics(val)))
 
 
@@ -1547,19 +1546,18 @@ def q_tuning_random_search(spark, sf):
     raw = seg_split(spark, sf)
     raw_tr, raw_te = raw.where(F.col("split") == "train"), raw.where(F.col("split") == "test")
     k = 3
-    fo = folds.stratified_folds(raw_tr.drop("split"), "risk_class", HASH_KEYS, KEY_LIST, k=k, repeats=1, seed=SEED)
-    fl = cut_lineage(folds.fold_long(fo, k).drop("risk_class", "risk_class_encoded"))
-    prep = prepare.fit_tree(fl.where(F.col("role") == "train"), group_cols=["fold_key"])
-    prepared = cut_lineage(prepare.transform_tree(fl, prep, keep=[*KEY_LIST, "role", "repeat", "fold_id"]))
+    fo = cut_lineage(folds.stratified_folds(raw_tr.drop("split"), "risk_class", HASH_KEYS, KEY_LIST, k=k, repeats=1, seed=SEED))
+    preps = prepare.fit_tree_folds(fo, "fold", k)
+    parts = {f: cut_lineage(prepare.transform_tree(fo, preps[f], keep=[*KEY_LIST, "repeat", "fold"])) for f in range(k)}
     cands = experiment.candidates(models.PARAM_SPACES["decision_tree"], 4, SEED)
     preds = None
     for ci, params in enumerate(cands):
         for f in range(k):
-            part = prepared.where(F.col("fold_key") == f)
-            fitted = models.fit_model("decision_tree", part.where(F.col("role") == "train"), prep.feature_cols,
+            part = parts[f]
+            fitted = models.fit_model("decision_tree", part.where(F.col("fold") != f), preps[f].feature_cols,
                                       "risk_class_encoded", params=params)
-            p = fitted.predict(part.where(F.col("role") == "val")).select(
-                F.lit(f"cand{ci}").alias("model"), "repeat", F.col("fold_id").alias("fold"),
+            p = fitted.predict(part.where(F.col("fold") == f)).select(
+                F.lit(f"cand{ci}").alias("model"), "repeat", "fold",
                 F.col("risk_class_encoded").alias("label"), "prediction")
             preds = p if preds is None else preds.unionByName(p)
     summary = experiment.cv_summary(experiment.cv_fold_metrics(cut_lineage(preds)))

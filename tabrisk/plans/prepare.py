@@ -52,6 +52,27 @@ def fit_tree(df: DataFrame, cfg: C.PrepConfig | None = None, group_cols: Sequenc
     return TreePrep(params, codes, cfg, group_cols)
 
 
+def fit_tree_folds(df: DataFrame, fold_col: str, k: int, cfg: C.PrepConfig | None = None) -> dict[int, TreePrep]:
+    """T2 fit for all k folds from one pass over the rows (no per-fold row copies):
+    numeric statistics via ``clean.fit_common_folds``; category codes from the
+    training-side (total - own fold) category counts."""
+    from ..operators.order import fold_train_counts, materialize_small
+
+    cfg = cfg or C.PrepConfig()
+    params = clean.fit_common_folds(df, fold_col, k, cfg)
+    long = df.select(F.col(fold_col).cast("int").alias(fold_col), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit(C.UNKNOWN_CATEGORY)).alias("value"))
+        for c in C.CATEGORICAL_COLS
+    ])).alias("s")).select(fold_col, "s.*")
+    counts = long.groupBy(fold_col, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    train = materialize_small(fold_train_counts(counts, fold_col, k, ["feature"]))
+    codes = encode.codes_from_values(train, [fold_col])
+    return {
+        f: TreePrep(params.where(F.col(fold_col) == f).drop(fold_col), codes.where(F.col(fold_col) == f).drop(fold_col), cfg)
+        for f in range(k)
+    }
+
+
 def transform_tree(df: DataFrame, prep: TreePrep, keep: Sequence[str] = ()) -> DataFrame:
     """T2 transform: numeric + engineered + ordinal codes + metadata (+ ``keep`` columns)."""
     d = common_transform(df, prep.params, prep.cfg, prep.group_cols)

@@ -250,3 +250,23 @@ def test_experiment_candidates_seeded():
     assert a == experiment.candidates({"d": [1, 2, 3], "m": [1, 5]}, 4, 42)
     assert len(a) == 4 and len({tuple(sorted(c.items())) for c in a}) == 4
     assert experiment.candidates({}, 5, 1) == [{}]
+
+
+def test_fold_params_without_row_copies_equal_fold_long(spark):
+    rng = np.random.default_rng(9)
+    n = 900
+    pdf = pd.DataFrame({
+        "k": np.arange(n), "elevation_m": np.round(rng.gamma(2, 20, n), 1), "drainage_density_km_per_km2": rng.integers(1, 9, n) * 1.0,
+        "storm_drain_proximity_m": np.round(rng.gamma(3, 50, n), 2), "historical_rainfall_intensity_mm_hr": rng.integers(5, 90, n) * 1.0,
+        "return_period_years": rng.choice([2, 5, 10, 25], n)})
+    pdf.loc[::11, "storm_drain_proximity_m"] = np.nan
+    pdf.loc[::17, "elevation_m"] = -3.0
+    df = spark.createDataFrame(pdf).withColumn("storm_drain_proximity_m", F.when(F.isnan("storm_drain_proximity_m"), None).otherwise(F.col("storm_drain_proximity_m")))
+    df = df.withColumn("c", F.lit("A"))
+    fo = folds.stratified_folds(df, "c", ["k"], ["k"], k=4, repeats=1, seed=3)
+    long_fit = clean.fit_common(folds.fold_long(fo, 4).where(F.col("role") == "train"), group_cols=["fold_key"])
+    a = {r["fold_key"]: r.asDict() for r in long_fit.collect()}
+    b = {r["fold"]: r.asDict() for r in clean.fit_common_folds(fo, "fold", 4).collect()}
+    for f in range(4):
+        for key in [c for c in a[f] if c != "fold_key"]:
+            assert math.isclose(a[f][key], b[f][key], rel_tol=1e-12), (f, key)
