@@ -18,6 +18,10 @@ from ..functions import exprs as X
 from .order import exact_quantiles, join_small, local_df, materialize_small, positions
 
 
+# Code tables up to this many entries are applied as literal maps.
+LITERAL_MAP_LIMIT = 10_000
+
+
 def fit_ordinal(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
     """T3 fit: categories sorted ascending -> 0..k-1, per (group, feature).
 
@@ -60,6 +64,16 @@ def apply_ordinal(df: DataFrame, codes: DataFrame, cols: Sequence[str], group_co
                   unknown: int = -1, suffix: str = "") -> DataFrame:
     """T3 transform: value -> code as double; unseen or NULL -> ``unknown``."""
     group_cols = list(group_cols)
+    if not group_cols:
+        rows = codes.limit(LITERAL_MAP_LIMIT + 1).collect()
+        if len(rows) <= LITERAL_MAP_LIMIT:
+            # small code table: a literal map lookup inside the same codegen stage, no join
+            out = df
+            for c in cols:
+                kv = [x for r in rows if r["feature"] == c for x in (F.lit(r["value"]), F.lit(int(r["code"])))]
+                code = F.try_element_at(F.create_map(*kv), F.col(c).cast("string")) if kv else F.lit(None)
+                out = out.withColumn(c + suffix, F.coalesce(code, F.lit(unknown)).cast("double"))
+            return out
     out = df
     for c in cols:
         m = codes.where(F.col("feature") == c).select(*group_cols, F.col("value").alias(c), F.col("code").alias(f"_code_{c}"))
