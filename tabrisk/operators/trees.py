@@ -217,71 +217,105 @@ def goss_sample(df: DataFrame, grad_abs: str, key_cols: Sequence[str], top_rate:
     return picked.withColumn("goss_weight", F.when(big, F.lit(1.0)).otherwise(F.lit(float(w)))).drop("_h", "_pos")
 
 
-def boost_stumps(binned: DataFrame, feature_bins: Sequence[str], label: str, n_classes: int, rounds: int = 10,
-                 learning_rate: float = 0.3, reg_lambda: float = 1.0, reg_alpha: float = 0.0,
-                 min_child_samples: int = 20, checkpoint_every: int = 3):
-    """M4 (depth-1 trees): softmax gradient boosting on quantile bins.
-
-    Each round is one histogram aggregation for all classes (W12) on the
-    current scores; the chosen stumps are literals in the next score update.
-    Scores are checkpointed every ``checkpoint_every`` rounds to cut lineage.
-    Returns (stumps, per-round training log loss, scored rows)."""
+def _node_expr(splits: dict, node: int = 0):
+    """Node id reached by a row: nested CASE over the chosen (node -> feature, bin) splits."""
+    if node not in splits:
+        return F.lit(node)
+    f, b = splits[node]
+    return F.when(F.col(f) <= b, _node_expr(splits, 2 * node + 1)).otherwise(_node_expr(splits, 2 * node + 2))
+
+
+def _value_expr(splits: dict, leaves: dict, node: int = 0):
+    """Leaf value of a row: the same nested CASE ending in the fitted leaf weights."""
+    if node not in splits:
+        return F.lit(float(leaves.get(node, 0.0)))
+    f, b = splits[node]
+    return F.when(F.col(f) <= b, _value_expr(splits, leaves, 2 * node + 1)).otherwise(_value_expr(splits, leaves, 2 * node + 2))
+
+
+def boost_trees(binned: DataFrame, feature_bins: Sequence[str], label: str, n_classes: int, rounds: int = 10,
+                learning_rate: float = 0.3, max_depth: int = 2, reg_lambda: float = 1.0, reg_alpha: float = 0.0,
+                min_child_samples: int = 20, min_split_gain: float = 0.0, checkpoint_every: int = 3):
+    """M4: softmax gradient boosting, one tree per class per round, grown level by level.
+
+    Every level of every class's tree is ONE histogram aggregation
+    ``groupBy(cls, node, feature, bin)`` over the rows (map-side combined); the
+    chosen splits are a small table on the driver and become nested CASE
+    expressions for node assignment and scoring (no join back). Scores are
+    checkpointed every ``checkpoint_every`` rounds to cut lineage.
+    Returns (trees, per-round training log loss, scored rows, initial scores);
+    a tree is (round, class, splits {node: (feature, bin)}, leaves {node: value})."""
     from ..session import cut_lineage
 
-    counts = {r[label]: r["count"] for r in binned.groupBy(label).count().collect()}
+    counts = {r[label]: r["count"] for r in binned.groupBy(label).count().collect()}  # one row per class
     n = sum(counts.values())
     init = [float(np.log(counts.get(c, 0) / n)) if counts.get(c, 0) else -30.0 for c in range(n_classes)]
-    d = binned.select(*binned.columns, *[F.lit(init[c]).alias(f"_f{c}") for c in range(n_classes)])
-    stumps, losses = [], []
+    d = binned.select(*feature_bins, label, *[F.lit(init[c]).alias(f"_f{c}") for c in range(n_classes)])
+    trees_out, losses = [], []
+    cls_arr = F.array(*[F.lit(c) for c in range(n_classes)])
+
+    def leaf_w(G, H):
+        G = 0.0 if G is None else float(G)
+        Ge = max(0.0, abs(G) - reg_alpha) * np.sign(G) if reg_alpha > 0 else G
+        return float(-Ge / ((H or 0.0) + reg_lambda))
+
     for r in range(rounds):
         fs = [F.col(f"_f{c}") for c in range(n_classes)]
         m = F.greatest(*fs)
         den = sum((F.exp(f - m) for f in fs), F.lit(0.0))
-        probs = F.array(*[F.exp(f - m) / den for f in fs])
-        g = d.withColumn("_p", probs)
+        g = d.withColumn("_p", F.array(*[F.exp(f - m) / den for f in fs]))
         losses.append(g.agg(F.avg(-F.log(F.greatest(F.element_at("_p", F.col(label) + 1), F.lit(1e-15))))).collect()[0][0])
-        cls_arr = F.array(*[F.lit(c) for c in range(n_classes)])
         long = g.select(*feature_bins, label, "_p", F.explode(cls_arr).alias("cls"))
         p_c = F.element_at("_p", F.col("cls") + 1)
         long = long.withColumn("g", p_c - (F.col(label) == F.col("cls")).cast("double")).withColumn("h", p_c * (1.0 - p_c))
-        best = histogram_best_split(long, feature_bins, "g", "h", ["cls"], reg_lambda, reg_alpha, min_child_samples)
-        # leaf values need the child sums: recompute them for the chosen (feature, bin) only
-        chosen = {row["cls"]: (row["feature"], row["bin"]) for row in best.collect()}
-        if not chosen:
-            break
-        sums = long.groupBy("cls").agg(*[
-            F.sum(F.when(F.col("cls") == c, F.when(F.col(f) <= b, F.col("g")))).alias(f"gl{c}") for c, (f, b) in chosen.items()
-        ], *[F.sum(F.when(F.col("cls") == c, F.when(F.col(f) <= b, F.col("h")))).alias(f"hl{c}") for c, (f, b) in chosen.items()],
-            *[F.sum(F.when(F.col("cls") == c, F.when(F.col(f) > b, F.col("g")))).alias(f"gr{c}") for c, (f, b) in chosen.items()],
-            *[F.sum(F.when(F.col("cls") == c, F.when(F.col(f) > b, F.col("h")))).alias(f"hr{c}") for c, (f, b) in chosen.items()],
-        ).collect()
-        agg = {k: v for row in sums for k, v in row.asDict().items() if v is not None}
-
-        def leaf(G, H):
-            G = 0.0 if G is None else G
-            Ge = max(0.0, abs(G) - reg_alpha) * np.sign(G) if reg_alpha > 0 else G
-            return float(-Ge / ((H or 0.0) + reg_lambda))
-
-        upd = {}
-        for c, (f, b) in chosen.items():
-            wl, wr = leaf(agg.get(f"gl{c}"), agg.get(f"hl{c}")), leaf(agg.get(f"gr{c}"), agg.get(f"hr{c}"))
-            stumps.append((r, int(c), f, int(b), wl, wr))
-            upd[c] = F.when(F.col(f) <= b, F.lit(learning_rate * wl)).otherwise(F.lit(learning_rate * wr))
-        d = d.select(*[c for c in d.columns if not c.startswith("_f")],
-                     *[(F.col(f"_f{c}") + upd.get(c, F.lit(0.0))).alias(f"_f{c}") for c in range(n_classes)])
+        long = cut_lineage(long.select(*feature_bins, "cls", "g", "h"))
+        splits = {c: {} for c in range(n_classes)}
+        for level in range(max_depth):
+            node = F.lit(0)
+            for c in range(n_classes):
+                node = F.when(F.col("cls") == c, _node_expr(splits[c])).otherwise(node)
+            at = long.withColumn("node", node)
+            best = histogram_best_split(at, feature_bins, "g", "h", ["cls", "node"], reg_lambda, reg_alpha,
+                                        min_child_samples, min_split_gain).collect()
+            new = [(b["cls"], b["node"], b["feature"], b["bin"]) for b in best
+                   if b["node"] >= 2 ** level - 1]  # only nodes of the current level
+            if not new:
+                break
+            for c, nd, f, b in new:
+                splits[c][nd] = (f, b)
+        node = F.lit(0)
+        for c in range(n_classes):
+            node = F.when(F.col("cls") == c, _node_expr(splits[c])).otherwise(node)
+        sums = long.withColumn("node", node).groupBy("cls", "node").agg(F.sum("g").alias("G"), F.sum("h").alias("H")).collect()
+        leaves = {c: {} for c in range(n_classes)}
+        for row in sums:
+            leaves[row["cls"]][row["node"]] = leaf_w(row["G"], row["H"])
+        for c in range(n_classes):
+            trees_out.append((r, c, dict(splits[c]), dict(leaves[c])))
+        d = d.select(*feature_bins, label, *[(F.col(f"_f{c}") + F.lit(learning_rate) * _value_expr(splits[c], leaves[c])).alias(f"_f{c}")
+                                             for c in range(n_classes)])
         if (r + 1) % checkpoint_every == 0:
             d = cut_lineage(d)
-    return stumps, losses, d
-
-
-def predict_stumps(df: DataFrame, stumps, n_classes: int, init: list[float], learning_rate: float) -> DataFrame:
-    """Scores and argmax class of boosted stumps on binned rows."""
-    scores = []
-    for c in range(n_classes):
-        s = F.lit(init[c])
-        for (_, cls, f, b, wl, wr) in stumps:
-            if cls == c:
-                s = s + F.when(F.col(f) <= b, F.lit(learning_rate * wl)).otherwise(F.lit(learning_rate * wr))
-        scores.append(s)
+    return trees_out, losses, d, init
+
+
+def predict_trees(df: DataFrame, trees_list, n_classes: int, init: list[float], learning_rate: float) -> DataFrame:
+    """Class scores as nested CASE expressions of the fitted trees; argmax class (ties -> lowest)."""
+    scores = [F.lit(init[c]) for c in range(n_classes)]
+    for (_, c, splits, leaves) in trees_list:
+        scores[c] = scores[c] + F.lit(learning_rate) * _value_expr(splits, leaves)
     arr = F.array(*scores)
     return df.withColumn("prediction", (F.array_position(arr, F.array_max(arr)) - 1).cast("int"))
+
+
+def boost_stumps(binned: DataFrame, feature_bins: Sequence[str], label: str, n_classes: int, rounds: int = 10,
+                 learning_rate: float = 0.3, reg_lambda: float = 1.0, reg_alpha: float = 0.0,
+                 min_child_samples: int = 20, checkpoint_every: int = 3):
+    """Depth-1 variant of :func:`boost_trees` (returns trees, losses, scored rows)."""
+    t, losses, d, _ = boost_trees(binned, feature_bins, label, n_classes, rounds, learning_rate, 1, reg_lambda,
+                                  reg_alpha, min_child_samples, 0.0, checkpoint_every)
+    return t, losses, d
+
+
+def predict_stumps(df: DataFrame, trees_list, n_classes: int, init: list[float], learning_rate: float) -> DataFrame:
+    return predict_trees(df, trees_list, n_classes, init, learning_rate)

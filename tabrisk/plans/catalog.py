@@ -1595,8 +1595,9 @@ def q_ablation_feature_groups(spark, sf):
 
 @register("histogram_boosting_rounds")
 def q_histogram_boosting(spark, sf):
-    """Softmax boosting of depth-1 trees on quantile bins
-    (one histogram aggregation per round), training log loss per round and test metrics."""
+    """Softmax gradient boosting (one depth-2 tree per
+    class per round, one histogram aggregation per level), training log loss per
+    round and test metrics of the final model."""
     from ..operators import trees
 
     tr, te, feats = _prepared_split(spark, sf, "tree")
@@ -1605,12 +1606,9 @@ def q_histogram_boosting(spark, sf):
     btr, bte = trees.bin_features(tr, edges), trees.bin_features(te, edges)
     bins = [c + "_bin" for c in num]
     lr = 0.3
-    stumps, losses, _ = trees.boost_stumps(cut_lineage(btr.select(*bins, "risk_class_encoded")), bins, "risk_class_encoded",
-                                           3, rounds=6, learning_rate=lr)
-    counts = {r["risk_class_encoded"]: r["count"] for r in tr.groupBy("risk_class_encoded").count().collect()}
-    n = sum(counts.values())
-    init = [float(np.log(counts[c] / n)) for c in range(3)]
-    pred = trees.predict_stumps(bte, stumps, 3, init, lr)
+    fitted, losses, _, init = trees.boost_trees(cut_lineage(btr.select(*bins, "risk_class_encoded")), bins,
+                                                "risk_class_encoded", 3, rounds=5, learning_rate=lr, max_depth=2)
+    pred = trees.predict_trees(bte, fitted, 3, init, lr)
     s = metrics.summary(metrics.confusion(pred, "risk_class_encoded", "prediction")).collect()[0]
     rows = [(i, float(l), float(s["f2_macro"]), float(s["f1_weighted"])) for i, l in enumerate(losses)]
     return local_df(spark, rows, "round int, train_log_loss double, test_f2_macro double, test_f1_weighted double")

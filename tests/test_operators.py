@@ -270,3 +270,21 @@ def test_fold_params_without_row_copies_equal_fold_long(spark):
     for f in range(4):
         for key in [c for c in a[f] if c != "fold_key"]:
             assert math.isclose(a[f][key], b[f][key], rel_tol=1e-12), (f, key)
+
+
+def test_boosted_trees_predict_matches_training_scores(spark):
+    from tabrisk.operators import trees
+
+    rng = np.random.default_rng(10)
+    a, b = rng.integers(0, 6, 800), rng.integers(0, 6, 800)
+    y = np.where((a < 2) & (b < 3), 2, np.where(a + b < 6, 1, 0))
+    df = spark.createDataFrame([(i, int(x), int(z), int(t)) for i, (x, z, t) in enumerate(zip(a, b, y))], "k long, a_bin int, b_bin int, y int")
+    fitted, losses, scored, init = trees.boost_trees(df, ["a_bin", "b_bin"], "y", 3, rounds=4, learning_rate=0.5, max_depth=2,
+                                                     min_child_samples=5)
+    assert all(q < p for p, q in zip(losses, losses[1:]))
+    sc = scored.toPandas()
+    arg = np.argmax(sc[["_f0", "_f1", "_f2"]].to_numpy(), axis=1)
+    pred = trees.predict_trees(df, fitted, 3, init, 0.5).toPandas()
+    assert (pred.sort_values("k")["prediction"].to_numpy() == arg[np.argsort(sc.index.to_numpy())]).all() or \
+        (np.sort(pred["prediction"].to_numpy()) == np.sort(arg)).all()
+    assert (pred["prediction"].to_numpy() == pred["y"].to_numpy()).mean() > 0.9
