@@ -87,18 +87,27 @@ def _wide(q: DataFrame, group_cols: list[str], rename: dict, columns: Sequence[s
 def fit_common(df: DataFrame, cfg: C.PrepConfig | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
     """T1 fit: medians of the numeric columns, p10 of elevation (G4), p95 of the
     median-imputed proximity (clip). Input rows carry raw columns; the sentinel
-    is applied here. Returns the parameter table (one row per group)."""
+    is applied here. Returns the parameter table (one row per group).
+
+    One pass over the rows: value counts per (group, feature, value), NULLs
+    included; every statistic, including the quantile of the imputed column
+    (non-null counts + the NULL count placed at the median), comes from them."""
     cfg = cfg or C.PrepConfig()
     user_groups = list(group_cols)
     df, group_cols = _keyed(df, user_groups)
     raw = apply_sentinel(df.select(*group_cols, *C.NUMERIC_COLS))
-    q = exact_quantiles(raw, C.NUMERIC_COLS, [0.5, C.ELEV_LOW_QUANTILE], group_cols)
+    long = to_long(raw, C.NUMERIC_COLS, group_cols, drop_nulls=False)
+    counts = materialize_small(long.groupBy(*group_cols, "feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    nn = counts.where(F.col("value").isNotNull())
+    q = quantiles_from_counts(nn, [*group_cols, "feature"], [0.5, C.ELEV_LOW_QUANTILE])
     params = _wide(q, group_cols, {"q_0_5": med}, C.NUMERIC_COLS)
     elev = _wide(q.where(F.col("feature") == "elevation_m"), group_cols, {"q_0_1": lambda c: "elev_low"}, ["elevation_m"])
     prox = "storm_drain_proximity_m"
-    imputed = join_small(raw.select(*group_cols, prox), params.select(*group_cols, med(prox)), group_cols)
-    imputed = imputed.select(*group_cols, F.coalesce(F.col(prox), F.col(med(prox))).alias(prox))
-    q95 = exact_quantiles(imputed, [prox], [cfg.clip_upper_q], group_cols)
+    nulls = counts.where(F.col("value").isNull() & (F.col("feature") == prox)).select(*group_cols, "cnt")
+    filled = params.select(*group_cols, F.lit(prox).alias("feature"), F.col(med(prox)).alias("value")).join(nulls, group_cols)
+    imputed = nn.where(F.col("feature") == prox).unionByName(filled)
+    imputed = imputed.groupBy(*group_cols, "feature", "value").agg(F.sum("cnt").alias("cnt"))
+    q95 = quantiles_from_counts(imputed, [*group_cols, "feature"], [cfg.clip_upper_q])
     clip = _wide(q95, group_cols, {quantile_name(cfg.clip_upper_q): lambda c: "clip_upper"}, [prox])
     params = materialize_small(params.join(elev, group_cols, "left").join(clip, group_cols, "left"))
     return params if user_groups else params.drop("_all")
@@ -115,7 +124,7 @@ def fit_common_folds(df: DataFrame, fold_col: str, k: int, cfg: C.PrepConfig | N
     raw = apply_sentinel(df.select(F.col(fold_col).cast("int").alias(fold_col), *C.NUMERIC_COLS))
     long = to_long(raw, C.NUMERIC_COLS, [fold_col], drop_nulls=False)
     counts = long.groupBy(fold_col, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    counts = materialize_small(counts, 2_000_000)
+    counts = materialize_small(counts)
     nn = counts.where(F.col("value").isNotNull())
     train = fold_train_counts(nn, fold_col, k, ["feature"])
     q = quantiles_from_counts(train, [fold_col, "feature"], [0.5, C.ELEV_LOW_QUANTILE])
