@@ -74,10 +74,10 @@ def materialize_small(df: DataFrame, limit: int = SMALL_TABLE_LIMIT) -> DataFram
     the planner (a proven broadcast bound) and later plans stay short. Larger
     tables are checkpointed to the reliable checkpoint folder instead.
     """
-    pdf = collect_small(df, limit)
-    if pdf is not None:
-        return local_df(df.sparkSession, pdf, df.schema)
-    return cut_lineage(df)
+    ck = cut_lineage(df)  # computed once, whatever its size
+    if ck.count() <= limit:
+        return local_df(df.sparkSession, ck.toArrow().to_pandas(), df.schema)
+    return ck
 
 
 def _n_partitions(df: DataFrame) -> int:
