@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# Row bound under which a derived side table is broadcast.
+# Bounds under which a derived side table is broadcast (rows, estimated bytes).
 BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
@@ -33,7 +34,9 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", limit:
     Above the limit the join is left to Catalyst / AQE (sort-merge with skew
     splitting). ``small`` should be cheap to count (aggregated or checkpointed).
     """
-    if small.count() <= limit:
+    # bound both the row count and an estimate of the bytes (8 bytes per field)
+    row_bound = min(limit, BROADCAST_BYTE_LIMIT // max(8 * len(small.columns), 8))
+    if small.count() <= row_bound:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
