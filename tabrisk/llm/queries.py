@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, pii, simhash
-from .common import table
+from . import bpe, decontam, itq, langid, pii, simhash, toolcalls, toxicity, urlfilter, warc
+from .common import ensure_checkpoint_dir, table
 
 
 def op1_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +23,23 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op3_itq_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes an archive of ``pages`` to the shared checkpoint folder and reports what is read back."""
+    pages = table(spark, sf_dir, "pages")
+    path = os.path.join(ensure_checkpoint_dir(spark), f"warc-{uuid.uuid4().hex}")
+    warc.write(pages, path, min_bytes=0)
+    r = warc.read(spark, path)
+    return r.select(F.col("id").cast("long").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op5_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,6 +49,15 @@ def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls and results derived from every turn of ``conversations``, linked, ordered, validated and written canonically."""
+    return toolcalls.link_conversations(spark, table(spark, sf_dir, "conversations"))
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.filter_pages(table(spark, sf_dir, "pages"), urlfilter.rules_table(spark))
+
+
 def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -36,9 +65,35 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii_feistel": op1_pii_feistel,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_itq_embeddings": op3_itq_embeddings,
+    "op4_warc_archive": op4_warc_archive,
+    "op5_toxicity_lexicon": op5_toxicity_lexicon,
     "op6_simhash_golay": op6_simhash_golay,
     "op7_spaced_seed_decontamination": op7_spaced_seed_decontamination,
+    "op8_tool_call_linking": op8_tool_call_linking,
+    "op9_url_rules": op9_url_rules,
     "op10_language_crf": op10_language_crf,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_warc_archive": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        h AS (SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS last FROM p)
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((('0x' || substr(hex, (1 + 5 * (i // 4))::INT, 5))::INT >> (5 * (3 - i % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+               CASE WHEN last IS NULL OR page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN last IS NULL OR page_id = last THEN NULL ELSE last END AS refers_to
+        FROM h""",
+    "op9_url_rules": """
+        WITH u AS (SELECT page_id,
+                          translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                          coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+        r AS (SELECT *, CASE
+                WHEN ('.' || host) LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
+                WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/'
+                WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/fr/') THEN 'net/fr/'
+                WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/') THEN 'com/' END AS rule FROM u)
+        SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM r""",
+}
