@@ -168,27 +168,22 @@ def class_weight(label: str | Column, weights: dict = C.DEFAULT_CLASS_WEIGHTS, d
     return F.coalesce(map_values(label, {int(k): float(v) for k, v in weights.items()}), F.lit(float(default)))
 
 
-def seeded_hash(key_cols: Sequence[str], seed: int, modulus: int = 2147483647) -> Column:
-    """Deterministic pseudo-random integer in [0, modulus) from integer key columns.
+#: Numbers that :func:`seeded_hash` can give: 0 .. 2**32 - 1.
+HASH_SIZE = 2**32
 
-    Plain integer arithmetic on the keys (each reduced modulo a prime first, so
-    nothing overflows), identical in every engine and independent of the
-    partitioning. Used for seeded sampling and stratified assignment.
-    """
-    acc = F.lit((int(seed) * 2654435761) % modulus).cast("long")
-    for i, k in enumerate(key_cols):
-        mult = HASH_MULTS[i % len(HASH_MULTS)]
-        acc = F.pmod(acc * F.lit(31) + F.pmod(F.col(k).cast("long"), F.lit(1000003)) * F.lit(mult), F.lit(modulus))
-    return F.pmod(acc * F.lit(48271), F.lit(modulus))
 
+def seeded_hash(key_cols: Sequence[str], seed: int) -> Column:
+    """Deterministic pseudo-random integer in [0, 2**32) from a seed and integer key columns.
 
-def seeded_hash_sql(key_cols: Sequence[str], seed: int, modulus: int = 2147483647) -> str:
-    """The same hash as SQL text (keys are non-negative integers)."""
-    acc = f"CAST({(int(seed) * 2654435761) % modulus} AS BIGINT)"
-    for i, k in enumerate(key_cols):
-        mult = HASH_MULTS[i % len(HASH_MULTS)]
-        acc = f"(({acc})*31 + (CAST({k} AS BIGINT) % 1000003)*{mult}) % {modulus}"
-    return f"(({acc})*48271) % {modulus}"
+    The first eight hex digits of the MD5 of seed and keys: another seed gives an
+    unrelated order, the same in every engine and for every partitioning. Used
+    for seeded sampling and stratified assignment.
+    """
+    text = F.concat_ws("|", F.lit(str(int(seed))), *[F.col(k).cast("long").cast("string") for k in key_cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-HASH_MULTS = [65521, 65519, 65497, 65479, 65449, 65447]
+def seeded_hash_sql(key_cols: Sequence[str], seed: int) -> str:
+    """The same hash as SQL text."""
+    keys = ", ".join(f"CAST(CAST({k} AS BIGINT) AS VARCHAR)" for k in key_cols)
+    return f"CAST('0x' || substr(md5(concat_ws('|', '{int(seed)}', {keys})), 1, 8) AS BIGINT)"

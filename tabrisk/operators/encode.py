@@ -8,6 +8,7 @@ columns must be known to the driver anyway.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,23 +16,16 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import exprs as X
+from ..session import cut_lineage
 from .order import exact_quantiles, join_small, local_df, materialize_small, positions
 
 
-# Code tables up to this many entries are applied as literal maps.
-LITERAL_MAP_LIMIT = 10_000
-
 
 def fit_ordinal(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
     """T3 fit: categories sorted ascending -> 0..k-1, per (group, feature).
 
-    The distinct (group, feature, value) table is small for categorical data and
-    is coded on the driver; above SMALL_TABLE_LIMIT rows codes are exact
-    positions from a range-partitioned ranking instead."""
-    from pyspark.sql import types as T
-
-    from .order import SMALL_TABLE_LIMIT
-
+    Codes are exact positions in the distinct (group, feature, value) table,
+    from a range-partitioned ranking."""
     group_cols = list(group_cols)
     long = df.select(*group_cols, F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols
@@ -41,39 +35,15 @@ def fit_ordinal(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] =
 
 def codes_from_values(long: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Codes 0..k-1 of the sorted distinct values of a (group..., feature, value) table."""
-    from pyspark.sql import types as T
-
-    from .order import SMALL_TABLE_LIMIT
-
     group_cols = list(group_cols)
     long = long.select(*group_cols, "feature", "value").distinct()
-    rows = long.limit(SMALL_TABLE_LIMIT + 1).collect()
-    if len(rows) > SMALL_TABLE_LIMIT:
-        big = materialize_small(long)
-        return materialize_small(positions(big, ["value"], [*group_cols, "feature"], "code", known_rows=big.count()))
-    groups: dict = {}
-    for r in rows:
-        groups.setdefault(tuple(r[g] for g in [*group_cols, "feature"]), []).append(r["value"])
-    data = [(*k, v, i) for k, vs in groups.items() for i, v in enumerate(sorted(vs))]
-    schema = T.StructType([*[long.schema[g] for g in group_cols], T.StructField("feature", T.StringType()),
-                           T.StructField("value", T.StringType()), T.StructField("code", T.LongType())])
-    return local_df(long.sparkSession, data, schema)
+    return materialize_small(positions(long, ["value"], [*group_cols, "feature"], "code"))
 
 
 def apply_ordinal(df: DataFrame, codes: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
                   unknown: int = -1, suffix: str = "") -> DataFrame:
     """T3 transform: value -> code as double; unseen or NULL -> ``unknown``."""
     group_cols = list(group_cols)
-    if not group_cols:
-        rows = codes.limit(LITERAL_MAP_LIMIT + 1).collect()
-        if len(rows) <= LITERAL_MAP_LIMIT:
-            # small code table: a literal map lookup inside the same codegen stage, no join
-            out = df
-            for c in cols:
-                kv = [x for r in rows if r["feature"] == c for x in (F.lit(r["value"]), F.lit(int(r["code"])))]
-                code = F.try_element_at(F.create_map(*kv), F.col(c).cast("string")) if kv else F.lit(None)
-                out = out.withColumn(c + suffix, F.coalesce(code, F.lit(unknown)).cast("double"))
-            return out
     out = df
     for c in cols:
         m = codes.where(F.col("feature") == c).select(*group_cols, F.col("value").alias(c), F.col("code").alias(f"_code_{c}"))
@@ -129,117 +99,61 @@ def apply_robust(df: DataFrame, params: DataFrame, cols: Sequence[str], group_co
     return out
 
 
-def yeo_johnson_loglik(df: DataFrame, grids: dict[str, Sequence[float]]) -> dict[str, list[tuple[float, float]]]:
-    """T7 building block: Yeo-Johnson log-likelihood of every (column, lambda) in ONE aggregation.
+def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], grid: int = 17, tol: float = 1e-7) -> dict[str, float]:
+    """Maximum-likelihood lambda per column, without bounds on lambda.
 
-    llf(l) = -n/2 log(var(y_l)) + (l - 1) * sum(sign(x) log1p(|x|)), var with ddof 0.
+    The likelihood depends on the (value -> count) table of a column only, which
+    is checkpointed once. Each pass is one aggregation over it, for a grid of
+    lambdas of every column at once: while the best lambda lies at an end of its
+    grid the grid moves on and doubles; then it shrinks around the best one until
+    its step is under ``tol``. Variances are taken about the image of the
+    column's mean, so no digits cancel. Columns without spread get 1 (identity).
     """
-    import math
-
-    aggs = []
-    for ci, (c, lams) in enumerate(grids.items()):
-        x = F.col(c)
-        aggs += [F.count(x).alias(f"n{ci}"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias(f"l{ci}")]
-        for i, lam in enumerate(lams):
-            y = X.yeo_johnson(x, lam)
-            aggs += [F.sum(y).alias(f"s{ci}_{i}"), F.sum(y * y).alias(f"q{ci}_{i}")]
-    row = df.agg(*aggs).collect()[0]
-    out: dict[str, list[tuple[float, float]]] = {}
-    for ci, (c, lams) in enumerate(grids.items()):
-        n, slog = row[f"n{ci}"], row[f"l{ci}"]
-        res = []
-        for i, lam in enumerate(lams):
-            mean = row[f"s{ci}_{i}"] / n
-            var = row[f"q{ci}_{i}"] / n - mean * mean
-            llf = -n / 2.0 * math.log(var) + (lam - 1.0) * slog if var and var > 0 else float("-inf")
-            res.append((float(lam), llf))
-        out[c] = res
-    return out
-
-
-def _yj_np(x, lam: float):
-    import numpy as np
-
-    out = np.empty_like(x)
-    pos = x >= 0
-    if abs(lam) < 1e-12:
-        out[pos] = np.log1p(x[pos])
-    else:
-        out[pos] = (np.power(x[pos] + 1.0, lam) - 1.0) / lam
-    if abs(lam - 2.0) < 1e-12:
-        out[~pos] = -np.log1p(-x[~pos])
-    else:
-        out[~pos] = -(np.power(1.0 - x[~pos], 2.0 - lam) - 1.0) / (2.0 - lam)
+    from .order import to_long
+
+    counts = cut_lineage(to_long(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    x, w = F.col("value"), F.col("cnt")
+    base = {r["feature"]: r for r in counts.groupBy("feature").agg(
+        F.sum(w).alias("n"), (F.sum(x * w) / F.sum(w)).alias("mean"), F.min("value").alias("lo"), F.max("value").alias("hi"),
+        F.sum(w * F.signum(x) * F.log1p(F.abs(x))).alias("slog"),
+    ).collect()}  # one row a column
+    out = {c: 1.0 for c in cols}
+    spans = {c: (-2.0, 2.0) for c in cols if c in base and base[c]["lo"] < base[c]["hi"]}
+    while spans:
+        lams = {c: [a + i * (b - a) / (grid - 1) for i in range(grid)] for c, (a, b) in spans.items()}
+        per = None
+        for i in range(grid):
+            lam, mid = F.lit(None).cast("double"), F.lit(None).cast("double")
+            for c, v in lams.items():
+                lam = F.when(F.col("feature") == c, F.lit(v[i])).otherwise(lam)
+                mid = F.when(F.col("feature") == c, F.lit(_yj(base[c]["mean"], v[i]))).otherwise(mid)
+            d = X.yeo_johnson(x, lam) - mid
+            part = [F.sum(w * d).alias(f"s{i}"), F.sum(w * d * d).alias(f"q{i}")]
+            per = part if per is None else per + part
+        sums = {r["feature"]: r for r in counts.where(F.col("feature").isin(list(spans))).groupBy("feature").agg(*per).collect()}
+        for c, v in lams.items():
+            n, r = base[c]["n"], sums[c]
+            var = [(r[f"q{i}"] - r[f"s{i}"] ** 2 / n) / n for i in range(grid)]
+            ll = [-n / 2.0 * math.log(s) + (lam - 1.0) * base[c]["slog"] if s > 0 and math.isfinite(s) else -math.inf for s, lam in zip(var, v)]
+            k = max(range(grid), key=lambda i: ll[i])
+            step = v[1] - v[0]
+            if k in (0, grid - 1) and step > 0.05 and math.isfinite(ll[k]):
+                width = v[-1] - v[0]
+                spans[c] = (v[k] - 2 * width, v[k] + step) if k == 0 else (v[k] - step, v[k] + 2 * width)
+            elif step < tol or not math.isfinite(ll[k]):
+                out[c] = v[k]
+                del spans[c]
+            else:
+                spans[c] = (v[k] - step, v[k] + step)
     return out
 
 
-def _yj_llf_summary(vals, cnts, lam: float) -> float:
-    """Log-likelihood from a (value, count) summary: weighted by the counts."""
-    import numpy as np
-
-    n = cnts.sum()
-    y = _yj_np(vals, lam)
-    mean = (cnts * y).sum() / n
-    var = (cnts * (y - mean) ** 2).sum() / n
-    if not var > 0:
-        return float("-inf")
-    return float(-n / 2.0 * np.log(var) + (lam - 1.0) * (cnts * np.sign(vals) * np.log1p(np.abs(vals))).sum())
-
-
-def _argmax_lambda(f, lo: float = -5.0, hi: float = 5.0) -> float:
-    """Grid scan then golden-section refinement of a 1-D log-likelihood."""
-    grid = [lo + i * (hi - lo) / 200 for i in range(201)]
-    vals = [f(g) for g in grid]
-    i = max(range(len(grid)), key=lambda j: vals[j])
-    a, b = grid[max(i - 1, 0)], grid[min(i + 1, len(grid) - 1)]
-    phi = (5 ** 0.5 - 1) / 2
-    c, d = b - phi * (b - a), a + phi * (b - a)
-    fc, fd = f(c), f(d)
-    for _ in range(80):
-        if fc > fd:
-            b, d, fd = d, c, fc
-            c = b - phi * (b - a)
-            fc = f(c)
-        else:
-            a, c, fc = c, d, fd
-            d = a + phi * (b - a)
-            fd = f(d)
-    return (a + b) / 2
-
-
-def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], lo: float = -2.0, hi: float = 2.0, grid: int = 41,
-                    passes: int = 4) -> dict[str, float]:
-    """Maximum-likelihood lambda per column.
-
-    The likelihood only depends on the (value -> count) summary of a column.
-    One aggregation builds the summaries of all columns; a summary within
-    SUMMARY_LIMIT rows is maximised on the driver (grid + golden section);
-    larger ones use distributed grid passes (one aggregation per pass)."""
-    from .order import SUMMARY_LIMIT, _summary, to_long
-
-    agg = to_long(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    _, pdf = _summary(agg, SUMMARY_LIMIT)
-    if pdf is not None:
-        out = {}
-        for c in cols:
-            part = pdf[pdf["feature"] == c]
-            vals = part["value"].to_numpy(dtype="float64")
-            cnts = part["cnt"].to_numpy(dtype="float64")
-            out[c] = float(_argmax_lambda(lambda lam: _yj_llf_summary(vals, cnts, lam)))
-        return out
-    bounds = {c: (lo, hi) for c in cols}
-    best = {c: 0.0 for c in cols}
-    for _ in range(passes):
-        grids = {}
-        for c, (a, b) in bounds.items():
-            step = (b - a) / (grid - 1)
-            grids[c] = [a + i * step for i in range(grid)]
-        ll = yeo_johnson_loglik(df, grids)
-        for c, res in ll.items():
-            step = (bounds[c][1] - bounds[c][0]) / (grid - 1)
-            best[c] = max(res, key=lambda t: t[1])[0]
-            bounds[c] = (best[c] - step, best[c] + step)
-    return {c: float(v) for c, v in best.items()}
+def _yj(x: float, lam: float) -> float:
+    """Yeo-Johnson of one number; infinite where it overflows (such a lambda is never the best)."""
+    sign, t, k = (1.0, math.log1p(x), lam) if x >= 0 else (-1.0, math.log1p(-x), 2.0 - lam)
+    if abs(k) < 1e-12:
+        return sign * t
+    return sign * math.inf if k * t > 700 else sign * math.expm1(k * t) / k
 
 
 def fit_skew_transforms(df: DataFrame, cols: Sequence[str], threshold: float = C.SKEW_THRESHOLD) -> dict[str, float | None]:

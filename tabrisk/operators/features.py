@@ -84,12 +84,7 @@ def train_percent_rank(df: DataFrame, value_col: str, key_cols: Sequence[str], o
                        group_cols: Sequence[str] = ()) -> DataFrame:
     """Position / max(1, n-1) in the order (value, keys); ties get distinct positions."""
     group_cols = list(group_cols)
-    if group_cols:
-        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-        ranked = join_small(positions(df, [value_col, *key_cols], group_cols, "_pos"), sizes, group_cols)
-    else:
-        n = df.count()
-        ranked = positions(df, [value_col, *key_cols], [], "_pos", known_rows=n).withColumn("_n", F.lit(n))
+    ranked = positions(df, [value_col, *key_cols], group_cols, "_pos", total_col="_n")
     return ranked.withColumn(
         out_col, F.col("_pos").cast("double") / F.greatest(F.lit(1), F.col("_n") - 1).cast("double")
     ).drop("_pos", "_n")

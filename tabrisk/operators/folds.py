@@ -1,6 +1,6 @@
 """Stratified split (W9) and repeated stratified folds.
 
-Row order comes from a seeded arithmetic hash of integer keys, so assignment
+Row order comes from a seeded hash of integer keys, so assignment
 does not depend on partitioning or on the engine. The rank of each row inside
 its class is an exact position from :func:`order.positions` (range-partitioned
 at scale), so a class holding a third of the rows is still spread over tasks.
@@ -39,8 +39,7 @@ def stratified_split(df: DataFrame, class_col: str, hash_keys: Sequence[str], ti
     counts = [(r[0], r[1]) for r in df.groupBy(class_col).count().collect()]  # one row per class
     quotas = class_quotas(counts, test_fraction)
     h = X.seeded_hash(hash_keys, seed)
-    n = sum(c for _, c in counts)
-    ranked = positions(df.withColumn("_h", h), ["_h", *tie_keys], [class_col], "_rk", known_rows=n)
+    ranked = positions(df.withColumn("_h", h), ["_h", *tie_keys], [class_col], "_rk")
     quota = X.map_values(class_col, quotas).cast("long")
     return ranked.withColumn(out_col, F.when(F.col("_rk") < quota, F.lit("test")).otherwise(F.lit("train"))).drop(
         "_h", "_rk"
@@ -55,10 +54,9 @@ def stratified_folds(df: DataFrame, class_col: str, hash_keys: Sequence[str], ti
     row per (input row, repeat) with ``repeat`` and ``fold``.
     """
     out = None
-    n = df.count()
     for r in range(repeats):
         h = X.seeded_hash(hash_keys, seed + 1000003 * r)
-        ranked = positions(df.withColumn("_h", h), ["_h", *tie_keys], [class_col], "_rk", known_rows=n)
+        ranked = positions(df.withColumn("_h", h), ["_h", *tie_keys], [class_col], "_rk")
         part = ranked.select(*df.columns, F.lit(r).alias("repeat"), F.pmod(F.col("_rk"), F.lit(k)).cast("int").alias("fold"))
         out = part if out is None else out.unionByName(part)
     return out

@@ -27,7 +27,7 @@ def unknown_classes(df: DataFrame, class_col: str = C.TARGET_COL, mapping: dict
     """Classes present in ``df`` but absent from the mapping (distinct, so small)."""
     known = local_df(df.sparkSession, [(k,) for k in mapping], f"{class_col} string")
     bad = df.select(class_col).where(F.col(class_col).isNotNull()).distinct().join(known, class_col, "left_anti")
-    return sorted(r[0] for r in bad.limit(1000).collect())
+    return sorted(r[0] for r in bad.collect())
 
 
 def validate_classes(df: DataFrame, class_col: str = C.TARGET_COL, mapping: dict = C.CLASS_TO_CODE) -> None:

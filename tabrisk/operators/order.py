@@ -15,7 +15,6 @@ helpers below avoid both:
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,27 +22,45 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# Bounds under which a derived side table is broadcast (rows, estimated bytes).
-BROADCAST_ROW_LIMIT = 2_000_000
+# Estimated bytes under which a derived side table is broadcast.
 BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Join with ``small`` broadcast only when its row count is proven below ``limit``.
+def _estimated_bytes(df: DataFrame) -> int:
+    """Row count times the fixed width plus the measured length of strings, binaries and arrays, in one aggregation."""
+    from pyspark.sql import types as T
+
+    var = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            var = var + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            var = var + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(var).alias("v")).first()
+    return int(r["n"]) * (16 + 8 * len(df.columns)) + int(r["v"] or 0)
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """NULL-safe equi-join (a NULL key is a key like any other) with a small derived table.
 
-    Above the limit the join is left to Catalyst / AQE (sort-merge with skew
-    splitting). ``small`` should be cheap to count (aggregated or checkpointed).
+    The result does not depend on the size of ``small``; only the hint does:
+    it is broadcast when its measured bytes stay under ``BROADCAST_BYTE_LIMIT``,
+    else Catalyst / AQE pick a sort-merge join with skew splitting. ``small``
+    should be cheap to measure (aggregated or checkpointed).
     """
-    # bound both the row count and an estimate of the bytes (8 bytes per field)
-    row_bound = min(limit, BROADCAST_BYTE_LIMIT // max(8 * len(small.columns), 8))
-    if small.count() <= row_bound:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    on = [on] if isinstance(on, str) else list(on)
+    right = small.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in small.columns])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    right = F.broadcast(right) if not on or _estimated_bytes(small) <= BROADCAST_BYTE_LIMIT else right
+    return big.join(right, cond, how).drop(*[f"_r_{c}" for c in on])
 
 
-# Row bound under which a derived table is brought to the driver and re-created
-# as a local relation (fitted parameters, codes, quantiles, metric tables).
-SMALL_TABLE_LIMIT = 100_000
+# Rows up to which a fitted table (parameters, codes, quantiles, metrics) is
+# re-created as a local relation; the rows are the same either way.
+SMALL_TABLE_LIMIT = 10_000
 
 
 def local_df(spark, data, schema) -> DataFrame:
@@ -87,10 +104,6 @@ def _n_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-# Row bound under which a whole group may be ordered inside one task.
-SMALL_ORDER_LIMIT = 5_000_000
-
-
 def prefix_sums(
     df: DataFrame,
     order_cols: Sequence[str | Column],
@@ -98,18 +111,18 @@ def prefix_sums(
     weight: str | Column | None = None,
     out_col: str = "pos",
     partitions: int | None = None,
-    small_limit: int | None = None,
-    known_rows: int | None = None,
+    total_col: str | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = sum of ``weight`` over the rows strictly before each row.
 
-    Order is ``order_cols`` inside each ``group_cols`` group; with ``weight=None``
-    every row weighs 1, so ``out_col`` is the exact 0-based position. The order
-    must be total (add key columns as the last order columns) for positions to
-    be deterministic. See :func:`prefix_sums_multi` for the execution strategy.
+    Order is ``order_cols`` inside each ``group_cols`` group (a NULL group is a
+    group); with ``weight=None`` every row weighs 1, so ``out_col`` is the exact
+    0-based position. The order must be total (add key columns as the last order
+    columns) for positions to be deterministic. ``total_col`` adds the group's
+    total weight. See :func:`prefix_sums_multi` for the execution strategy.
     """
     w = F.lit(1).cast("long") if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
-    return prefix_sums_multi(df, order_cols, group_cols, {out_col: w}, partitions, small_limit, known_rows)
+    return prefix_sums_multi(df, order_cols, group_cols, {out_col: w}, partitions, {total_col: out_col} if total_col else {})
 
 
 def prefix_sums_multi(
@@ -118,28 +131,20 @@ def prefix_sums_multi(
     group_cols: Sequence[str],
     weights: dict,
     partitions: int | None = None,
-    small_limit: int | None = None,
-    known_rows: int | None = None,
+    totals: dict | None = None,
 ) -> DataFrame:
     """Several exclusive running sums at once (``weights``: out column -> weight column).
 
-    When the table is proven small (row count <= ``small_limit``) a plain window
-    does it. Above that bound the table is range-partitioned on
-    (group, order): a hot value is split across tasks, each partition is summed
-    on its own and the partition offsets (a table of at most
-    partitions + groups rows) are added back.
+    One path for every size: the table is range-partitioned on (group, order),
+    so a hot group or value is split across tasks; each partition is summed on
+    its own and the offsets of the partitions (a table of at most
+    partitions + groups rows) are added back by a NULL-safe join. ``totals``
+    (out column -> weight's out column) adds group totals from the same table.
     """
     group_cols = list(group_cols)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     wcols = {o: f"_w_{i}" for i, o in enumerate(weights)}
     keyed = df.select("*", *[(F.col(w) if isinstance(w, str) else w).alias(wcols[o]) for o, w in weights.items()])
-    rows = known_rows if known_rows is not None else df.count()
-    if rows <= (SMALL_ORDER_LIMIT if small_limit is None else small_limit):
-        win = Window.partitionBy(*group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        out = keyed
-        for o, wc in wcols.items():
-            out = out.withColumn(o, F.coalesce(F.sum(wc).over(win), F.lit(0)))
-        return out.drop(*wcols.values())
     n = partitions or _n_partitions(df)
     ranged = keyed.repartitionByRange(n, *[F.col(g) for g in group_cols], *order).withColumn(
         "_pid", F.spark_partition_id()
@@ -147,11 +152,14 @@ def prefix_sums_multi(
     # The range bounds come from sampling; materialise once so that totals and
     # rows see the same partitioning (and survive executor loss).
     ranged = cut_lineage(ranged)
-    totals = ranged.groupBy("_pid", *group_cols).agg(*[F.sum(wc).alias(f"_tot{wc}") for wc in wcols.values()])
-    wp = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *group_cols, *[
-        F.coalesce(F.sum(f"_tot{wc}").over(wp), F.lit(0)).alias(f"_off{wc}") for wc in wcols.values()
-    ])
+    sums = ranged.groupBy("_pid", *group_cols).agg(*[F.sum(wc).alias(f"_tot{wc}") for wc in wcols.values()])
+    whole = Window.partitionBy(*group_cols)
+    before = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    named = {o: wcols[w] for o, w in (totals or {}).items()}
+    offsets = sums.select(
+        "_pid", *group_cols, *[F.coalesce(F.sum(f"_tot{wc}").over(before), F.lit(0)).alias(f"_off{wc}") for wc in wcols.values()],
+        *[F.sum(f"_tot{wc}").over(whole).alias(o) for o, wc in named.items()],
+    )
     within = Window.partitionBy("_pid", *group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged
     for wc in wcols.values():
@@ -168,100 +176,24 @@ def positions(
     order_cols: Sequence[str | Column],
     group_cols: Sequence[str] = (),
     out_col: str = "pos",
-    known_rows: int | None = None,
+    total_col: str | None = None,
 ) -> DataFrame:
     """Exact 0-based row position within each group (``row_number() - 1``)."""
-    return prefix_sums(df, order_cols, group_cols, None, out_col, known_rows=known_rows)
-
+    return prefix_sums(df, order_cols, group_cols, None, out_col, total_col=total_col)
 
-# Row bound for (value -> count) summaries interpolated on the driver.
-SUMMARY_LIMIT = 1_000_000
 
-
-def _summary(agg: DataFrame, limit: int):
-    """Aggregate once into the checkpoint folder; return (table, pandas or None).
-
-    A summary within ``limit`` rows is read back (Arrow) for driver-side
-    arithmetic; a larger one stays distributed, read from the checkpoint."""
-    counts = cut_lineage(agg)
-    if counts.count() <= limit:
-        return counts, counts.toArrow().to_pandas()
-    return counts, None
-
-
-def _ranked_counts(counts: DataFrame, value_col: str, group_cols: list[str]) -> DataFrame:
-    ranked = prefix_sums(counts, [value_col], group_cols, "cnt", "before", known_rows=counts.count())
-    sizes = counts.groupBy(*group_cols).agg(F.sum("cnt").alias("n"))
-    return ranked.join(sizes, group_cols)
-
-
-def collect_small(df: DataFrame, limit: int = SMALL_TABLE_LIMIT):
-    """A small summary as a pandas frame (Arrow transfer), or None above ``limit`` rows."""
-    tbl = df.limit(limit + 1).toArrow()
-    if tbl.num_rows > limit:
-        return None
-    return tbl.to_pandas()
+def ranked_counts(counts: DataFrame, value_col: str, group_cols: Sequence[str]) -> DataFrame:
+    """A (group..., value, cnt) table with ``before`` (rows of the group before the value; a NULL value comes last) and ``n`` (rows of the group)."""
+    return prefix_sums(counts, [F.col(value_col).asc_nulls_last()], group_cols, "cnt", "before", total_col="n")
 
 
 def value_counts_ranked(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Distinct values per group with ``cnt``, ``before`` (rows with a smaller
-    value) and ``n`` (group size). The (group, value) aggregation is map-side
-    combined, so a hot value costs one row per partition, never a hot task.
+    """Distinct values per group with ``cnt``, ``before`` and ``n``, see :func:`ranked_counts`.
 
-    When the distinct table is small (<= SMALL_TABLE_LIMIT rows, proven by the
-    collect) the running counts are taken on the driver from that summary;
-    otherwise the table is checkpointed and ranked with :func:`prefix_sums`."""
+    The (group, value) aggregation is map-side combined, so a hot value costs
+    one row per partition, never a hot task; NULL groups and values are kept."""
     group_cols = list(group_cols)
-    agg = df.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("cnt"))
-    agg, pdf = _summary(agg, SMALL_TABLE_LIMIT)
-    spark = df.sparkSession
-    from pyspark.sql import types as T
-
-    schema = T.StructType([*agg.schema.fields, T.StructField("before", T.LongType()), T.StructField("n", T.LongType())])
-    if pdf is not None:
-        pdf = pdf.sort_values([*group_cols, value_col], kind="mergesort", na_position="last").reset_index(drop=True)
-        if group_cols:
-            g = pdf.groupby(group_cols, sort=False, dropna=False)["cnt"]
-            pdf["before"] = g.cumsum() - pdf["cnt"]
-            pdf["n"] = g.transform("sum")
-        else:
-            pdf["before"] = pdf["cnt"].cumsum() - pdf["cnt"]
-            pdf["n"] = pdf["cnt"].sum()
-        pdf["before"] = pdf["before"].astype("int64")
-        pdf["n"] = pdf["n"].astype("int64")
-        return local_df(spark, pdf, schema)
-    if not group_cols:
-        total = agg.agg(F.sum("cnt")).collect()[0][0]
-        ranked = prefix_sums(agg, [value_col], [], "cnt", "before", known_rows=agg.count())
-        return ranked.withColumn("n", F.lit(total).cast("long"))
-    return _ranked_counts(agg, value_col, group_cols)
-
-
-def _quantiles_local(pdf, keys: list[str], probs: Sequence[float], long_form: bool):
-    """Interpolated quantiles from a (keys, value, cnt) pandas summary."""
-    import numpy as np
-
-    pdf = pdf[pdf["value"].notna()]
-    out = []
-    for key, g in pdf.groupby(keys, sort=False, dropna=False) if len(pdf) else []:
-        key = key if isinstance(key, tuple) else (key,)
-        g = g.sort_values("value", kind="mergesort")
-        vals = g["value"].to_numpy(dtype="float64")
-        last_pos = np.cumsum(g["cnt"].to_numpy(dtype="int64")) - 1
-        n = int(last_pos[-1] + 1)
-        qs = []
-        for p in probs:
-            h = (n - 1) * float(p)
-            lo, hi = math.floor(h), math.ceil(h)
-            v_lo = float(vals[np.searchsorted(last_pos, lo, side="left")])
-            v_hi = float(vals[np.searchsorted(last_pos, hi, side="left")])
-            qs.append(v_lo + (h - lo) * (v_hi - v_lo))
-        key = tuple(k.item() if hasattr(k, "item") else k for k in key)
-        if long_form:
-            out.extend((*key, n, float(p), q) for p, q in zip(probs, qs))
-        else:
-            out.append((*key, n, *qs))
-    return out
+    return ranked_counts(df.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("cnt")), value_col, group_cols)
 
 
 def group_sizes(df: DataFrame, group_cols: Sequence[str], out_col: str = "n") -> DataFrame:
@@ -303,22 +235,7 @@ def exact_quantiles(
 def quantiles_from_counts(agg: DataFrame, keys: Sequence[str], probs: Sequence[float], long_form: bool = False) -> DataFrame:
     """Interpolated quantiles from a (keys..., value, cnt) table of non-null values."""
     keys = list(keys)
-    long = agg
-    df = agg
-    agg, rows = _summary(agg, SUMMARY_LIMIT)
-    if rows is not None:
-        # the (value -> count) summary is small: interpolate on the driver
-        key_fields = [long.schema[k] for k in keys]
-        from pyspark.sql import types as T
-
-        if long_form:
-            schema = T.StructType([*key_fields, T.StructField("n", T.LongType()), T.StructField("p", T.DoubleType()),
-                                   T.StructField("q", T.DoubleType())])
-        else:
-            schema = T.StructType([*key_fields, T.StructField("n", T.LongType()),
-                                   *[T.StructField(quantile_name(p), T.DoubleType()) for p in probs]])
-        return local_df(df.sparkSession, _quantiles_local(rows, keys, probs, long_form), schema)
-    ranked = _ranked_counts(agg, "value", keys)
+    ranked = cut_lineage(ranked_counts(agg, "value", keys))
     sizes = ranked.select(*keys, "n").distinct()
     probs_arr = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("pidx")) for i, p in enumerate(probs)])
     targets = sizes.select(*keys, "n", F.explode(probs_arr).alias("_p")).select(*keys, "n", "_p.p", "_p.pidx")
@@ -326,16 +243,15 @@ def quantiles_from_counts(agg: DataFrame, keys: Sequence[str], probs: Sequence[f
         "lo", F.floor("h").cast("long")
     ).withColumn("hi", F.ceil("h").cast("long"))
     targets = targets.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "n", "p", "pidx", "h", "lo", "hi")
-    cond = [F.col(k) == F.col(f"_t_{k}") for k in keys] + [
+    cond = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys] + [
         F.col("before") <= F.col("hi"), F.col("lo") < F.col("before") + F.col("cnt")
     ]
     cond_all = cond[0]
     for c in cond[1:]:
         cond_all = cond_all & c
-    # targets: groups x columns x probs rows, materialised (size proven) and broadcast.
+    # targets: groups x columns x probs rows, broadcast when measured small
     targets = materialize_small(targets)
-    small = targets.count() <= BROADCAST_ROW_LIMIT
-    hit = ranked.drop("n").join(F.broadcast(targets) if small else targets, cond_all)
+    hit = ranked.drop("n").join(F.broadcast(targets) if _estimated_bytes(targets) <= BROADCAST_BYTE_LIMIT else targets, cond_all)
     in_lo = (F.col("before") <= F.col("lo")) & (F.col("lo") < F.col("before") + F.col("cnt"))
     in_hi = (F.col("before") <= F.col("hi")) & (F.col("hi") < F.col("before") + F.col("cnt"))
     vals = hit.groupBy(*keys, "n", "pidx", "h", "lo").agg(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import exprs as X
-from .order import exact_quantiles, join_small, to_long, value_counts_ranked
+from ..session import cut_lineage
+from .order import exact_quantiles, join_small, ranked_counts, to_long
 
 
 def missing_report(df: DataFrame, cols: Sequence[str], only_missing: bool = True) -> DataFrame:
@@ -87,19 +88,24 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str, flag: fl
 def spearman_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Spearman rho of each feature with the target on pairwise-complete rows.
 
-    Average ranks (W1b) come from (column, value) -> count tables; the target is
-    ranked inside each column's complete rows the same way; rho = Pearson of the
-    ranks. The p-value uses the t statistic with n-2 degrees of freedom.
+    Rows are counted once by (column, value, target); average ranks (W1b) of
+    values and targets come from that table, and rho is the Pearson correlation
+    of the ranks weighted by its counts, so no row meets a rank table. ``t_stat``
+    has n-2 degrees of freedom.
     """
-    long = to_long(df.select(*cols, F.col(target).cast("double").alias("_y")), cols, ["_y"])
-    rx = value_counts_ranked(long, "value", ["feature"]).select(
-        "feature", "value", (F.col("before") + (F.col("cnt") + 1) / 2.0).alias("rx")
+    long = to_long(df.select(*cols, F.col(target).cast("double").alias("_y")).where(F.col("_y").isNotNull()), cols, ["_y"])
+    counts = cut_lineage(long.groupBy("feature", "value", "_y").agg(F.count(F.lit(1)).alias("cnt")))
+
+    def centred(col: str, out: str) -> DataFrame:
+        """Average rank less its mean (n + 1) / 2, per feature and distinct value."""
+        r = ranked_counts(counts.groupBy("feature", col).agg(F.sum("cnt").alias("cnt")), col, ["feature"])
+        return r.select("feature", col, (F.col("before") + (F.col("cnt") - F.col("n")) / 2.0).alias(out))
+
+    r = join_small(join_small(counts, cut_lineage(centred("value", "rx")), ["feature", "value"]), cut_lineage(centred("_y", "ry")), ["feature", "_y"])
+    rx, ry, w = F.col("rx"), F.col("ry"), F.col("cnt")
+    out = r.groupBy("feature").agg(
+        (F.sum(w * rx * ry) / F.sqrt(F.sum(w * rx * rx) * F.sum(w * ry * ry))).alias("rho"), F.sum(w).alias("n")
     )
-    ry = value_counts_ranked(long, "_y", ["feature"]).select(
-        "feature", "_y", (F.col("before") + (F.col("cnt") + 1) / 2.0).alias("ry")
-    )
-    ranked = join_small(join_small(long, rx, ["feature", "value"]), ry, ["feature", "_y"])
-    out = ranked.groupBy("feature").agg(F.corr("rx", "ry").alias("rho"), F.count(F.lit(1)).alias("n"))
     t = F.col("rho") * F.sqrt((F.col("n") - 2) / (1.0 - F.col("rho") * F.col("rho")))
     return out.withColumn("t_stat", t).withColumn("abs_rho", F.abs("rho"))
 

@@ -116,13 +116,10 @@ def exhaustive_best_split(df: DataFrame, features: Sequence[str], label: str, gr
     )
     k = len(classes)
     # running class counts over the distinct values of each feature: exact prefix
-    # sums (range-partitioned above the small-table bound, so one feature's values
-    # are never ordered in a single task)
-    from .order import join_small, prefix_sums_multi
+    # sums over ranges, so one feature's values are never ordered in a single task
+    from .order import prefix_sums_multi
 
-    run = prefix_sums_multi(cnt, ["value"], [*group_cols, "fidx"], {f"b{i}": f"c{i}" for i in range(k)})
-    tot = cnt.groupBy(*group_cols, "fidx").agg(*[F.sum(f"c{i}").alias(f"t{i}") for i in range(k)])
-    run = join_small(run, tot, [*group_cols, "fidx"])
+    run = prefix_sums_multi(cnt, ["value"], [*group_cols, "fidx"], {f"b{i}": f"c{i}" for i in range(k)}, totals={f"t{i}": f"b{i}" for i in range(k)})
     cum = run.select(
         *group_cols, "fidx", "feature", F.col("value").alias("threshold"),
         *[(F.col(f"b{i}") + F.col(f"c{i}")).alias(f"l{i}") for i in range(k)],
@@ -166,16 +163,15 @@ def conflict_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def bundle_features(conflicts: list[tuple[str, str, float]], cols: Sequence[str], max_conflict: float = 0.0) -> list[list[str]]:
-    """T13 greedy step on the small d x d conflict table: order by conflict degree,
-    put each feature into the first bundle whose conflicts stay <= max_conflict."""
-    rate = {}
-    for a, b, r in conflicts:
-        rate[(a, b)] = rate[(b, a)] = r
-    degree = {c: sum(rate.get((c, o), 0.0) for o in cols if o != c) for c in cols}
+    """T13 greedy step on the small d x d conflict table: features in the order of
+    how many others they conflict with (rate above ``max_conflict``), each put into
+    the first bundle none of whose members it conflicts with."""
+    clash = {frozenset((a, b)) for a, b, r in conflicts if r > max_conflict}
+    degree = {c: sum(frozenset((c, o)) in clash for o in cols if o != c) for c in cols}
     bundles: list[list[str]] = []
     for c in sorted(cols, key=lambda x: (-degree[x], list(cols).index(x))):
         for bnd in bundles:
-            if sum(rate.get((c, o), 0.0) for o in bnd) <= max_conflict:
+            if not any(frozenset((c, o)) in clash for o in bnd):
                 bnd.append(c)
                 break
         else:
@@ -199,22 +195,20 @@ def merge_bundle(df: DataFrame, bundle: Sequence[str], bins: dict[str, int], out
 def goss_sample(df: DataFrame, grad_abs: str, key_cols: Sequence[str], top_rate: float, other_rate: float, seed: int,
                 hash_fn) -> DataFrame:
     """Keep the top ``top_rate`` share of rows by |gradient| (exact count,
-    ties broken by a seeded hash), sample ``other_rate`` of all rows from the
-    rest by seeded hash, and weight the sampled rest by rest / sampled."""
+    ties broken by a seeded hash), draw exactly ``other_rate`` of all rows from
+    the rest in seeded-hash order, and weight the drawn ones by rest / drawn."""
     from .order import positions
 
     n = df.count()
-    n_top = int(top_rate * n)
-    h = hash_fn(list(key_cols), seed)
-    ranked = positions(df.withColumn("_h", h), [F.desc(grad_abs), "_h", *key_cols], [], "_pos", known_rows=n)
+    n_top, n_other = int(top_rate * n), int(other_rate * n)
+    ranked = positions(df.withColumn("_h", hash_fn(list(key_cols), seed)), [F.desc(grad_abs), "_h", *key_cols], [], "_pos")
     big = F.col("_pos") < F.lit(n_top)
-    rest_n = n - n_top
-    frac = min(1.0, int(other_rate * n) / rest_n) if rest_n else 0.0
-    u = hash_fn(list(key_cols), seed + 1).cast("double") / F.lit(2147483647.0)
-    picked = ranked.where(big | (u < F.lit(frac)))
-    sampled = picked.where(F.col("_pos") >= F.lit(n_top)).count()
-    w = rest_n / sampled if sampled else 1.0
-    return picked.withColumn("goss_weight", F.when(big, F.lit(1.0)).otherwise(F.lit(float(w)))).drop("_h", "_pos")
+    # the rest in another hash order: its first n_other rows, exactly
+    drawn = positions(ranked.where(~big).withColumn("_u", hash_fn(list(key_cols), seed + 1)), ["_u", *key_cols], [], "_draw")
+    w = (n - n_top) / n_other if n_other else 1.0
+    picked = ranked.where(big).withColumn("goss_weight", F.lit(1.0))
+    sampled = drawn.where(F.col("_draw") < F.lit(n_other)).drop("_u", "_draw").withColumn("goss_weight", F.lit(float(w)))
+    return picked.unionByName(sampled).drop("_h", "_pos")
 
 
 def _node_expr(splits: dict, node: int = 0):

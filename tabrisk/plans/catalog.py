@@ -482,17 +482,22 @@ def _split_sql() -> str:
     )
 
 
-def seg_split(spark, sf) -> DataFrame:
-    """Labelled segments with their split; checkpointed because every consumer
-    fits on one part and applies to the other (several passes)."""
+def seg_split(spark, sf, cols: list[str] | None = None) -> DataFrame:
+    """Labelled segments (``cols`` beside the keys and the class, or all) with their
+    split; checkpointed because every consumer fits on one part and applies to the
+    other (several passes)."""
     from ..session import cut_lineage
 
-    return cut_lineage(folds.stratified_split(seg_labelled(spark, sf), "risk_class", HASH_KEYS, KEY_LIST, 0.2, SEED))
+    d = seg_labelled(spark, sf)
+    d = d if cols is None else d.select(*dict.fromkeys([*KEY_LIST, *HASH_KEYS, "risk_class", *cols]))
+    return cut_lineage(folds.stratified_split(d, "risk_class", HASH_KEYS, KEY_LIST, 0.2, SEED))
 
 
 @register("stratified_split", _split_sql())
 def q_stratified_split(spark, sf):
-    return seg_split(spark, sf).select(*KEY_LIST, "risk_class", "split")
+    return folds.stratified_split(
+        seg_labelled(spark, sf).select(*dict.fromkeys([*KEY_LIST, *HASH_KEYS, "risk_class"])), "risk_class", HASH_KEYS, KEY_LIST, 0.2, SEED
+    ).select(*KEY_LIST, "risk_class", "split")
 
 
 def _folds_sql(k: int = 5, repeats: int = 2) -> str:
@@ -505,7 +510,8 @@ def _folds_sql(k: int = 5, repeats: int = 2) -> str:
 
 @register("stratified_folds", _folds_sql())
 def q_stratified_folds(spark, sf):
-    d = folds.stratified_folds(seg_labelled(spark, sf), "risk_class", HASH_KEYS, KEY_LIST, k=5, repeats=2, seed=SEED)
+    keys = seg_labelled(spark, sf).select(*dict.fromkeys([*KEY_LIST, *HASH_KEYS, "risk_class"]))
+    d = folds.stratified_folds(keys, "risk_class", HASH_KEYS, KEY_LIST, k=5, repeats=2, seed=SEED)
     return d.select(*KEY_LIST, "risk_class", "repeat", "fold")
 
 
@@ -831,7 +837,7 @@ def _pct_sql() -> str:
 
 @register("percentile_rank_features", _pct_sql())
 def q_percentile_rank_features(spark, sf):
-    sp = seg_split(spark, sf)
+    sp = seg_split(spark, sf, ["elevation_m", "historical_rainfall_intensity_mm_hr"])
     sp = clean.apply_sentinel(sp)
     train = sp.where(F.col("split") == "train")
     med = clean.fit_medians(train, ["elevation_m"])
@@ -888,7 +894,8 @@ def _cv_cte() -> str:
 
 
 def cv_preds(spark, sf) -> DataFrame:
-    d = folds.stratified_folds(seg_labelled(spark, sf), "risk_class", HASH_KEYS, KEY_LIST, k=CV_K, repeats=CV_REPEATS, seed=SEED)
+    used = seg_labelled(spark, sf).select(*dict.fromkeys([*KEY_LIST, *HASH_KEYS, "risk_class", "risk_class_encoded", "historical_rainfall_intensity_mm_hr"]))
+    d = folds.stratified_folds(used, "risk_class", HASH_KEYS, KEY_LIST, k=CV_K, repeats=CV_REPEATS, seed=SEED)
     return experiment.rule_predictions(d, "historical_rainfall_intensity_mm_hr", "risk_class_encoded")
 
 
@@ -1338,7 +1345,7 @@ def q_model_lasso(spark, sf):
 def q_cv_decision_tree(spark, sf):
     """Leak-free 5-fold CV. Preparation statistics of all folds come from one
     pass over the rows (training counts = total - own fold, no row copies); one
-    tree per fold, scored on its validation rows, one metrics aggregation."""
+    tree per fold, scored on its validation and training rows, one metrics aggregation."""
     raw = seg_labelled(spark, sf)
     fo = cut_lineage(folds.stratified_folds(raw, "risk_class", HASH_KEYS, KEY_LIST, k=CV_K, repeats=1, seed=SEED))
     preps = prepare.fit_tree_folds(fo, "fold", CV_K)
@@ -1347,10 +1354,9 @@ def q_cv_decision_tree(spark, sf):
         part = prepare.transform_tree(fo, preps[f], keep=[*KEY_LIST, "repeat", "fold"])
         fitted = models.fit_model("decision_tree", part.where(F.col("fold") != f), preps[f].feature_cols,
                                   "risk_class_encoded", params={"max_depth": 6})
-        p = fitted.predict(part.where(F.col("fold") == f)).select("repeat", "fold", "risk_class_encoded", "prediction")
+        p = experiment.fold_predictions(part, fitted, f, "decision_tree")
         preds = p if preds is None else preds.unionByName(p)
-    val = preds.withColumnRenamed("risk_class_encoded", "label").withColumn("model", F.lit("decision_tree"))
-    return rnd(experiment.cv_summary(experiment.cv_fold_metrics(val)))
+    return rnd(experiment.cv_summary(experiment.cv_fold_metrics(preds)))
 
 
 def _embeddings(spark, sf) -> DataFrame:
@@ -1407,22 +1413,36 @@ def q_linear_preparation(spark, sf):
     return rnd(prepare.transform_linear(raw_te, prep, KEY_LIST))
 
 
-@register("goss_sample_counts")
+def _goss_sql() -> str:
+    order = ", ".join(HASH_KEYS)
+    return (
+        f"{base_cte()}, pri AS (SELECT risk_class_encoded, count(*) * 1.0e0 / sum(count(*)) OVER () AS pr FROM lab GROUP BY 1), "
+        f"g AS (SELECT lab.*, 1.0e0 - pr AS a, count(*) OVER () AS n_all FROM lab JOIN pri USING (risk_class_encoded)), "
+        f"r AS (SELECT *, row_number() OVER (ORDER BY a DESC, {hash_sql(HASH_KEYS, SEED)}, {order}) AS pos FROM g), "
+        f"d AS (SELECT *, row_number() OVER (PARTITION BY pos <= floor(0.2e0 * n_all) ORDER BY {hash_sql(HASH_KEYS, SEED + 1)}, {order}) AS draw FROM r), "
+        "k AS (SELECT *, CASE WHEN pos <= floor(0.2e0 * n_all) THEN 1.0e0 ELSE (n_all - floor(0.2e0 * n_all)) / floor(0.1e0 * n_all) END AS w "
+        "FROM d WHERE pos <= floor(0.2e0 * n_all) OR draw <= floor(0.1e0 * n_all)) "
+        "SELECT round(w, 6) AS goss_weight, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum FROM k GROUP BY 1"
+    )
+
+
+@register("goss_sample_counts", _goss_sql())
 def q_goss(spark, sf):
-    """GOSS sample of the first-round gradients (top 20 % by |g| + 10 % of the rest)."""
+    """GOSS sample of the first-round gradients (top 20 % by |g| averaged over the classes, 10 % of the rest): counts and key sums."""
     from ..operators import trees
 
-    d = seg_imputed(spark, sf)
+    d = seg_labelled(spark, sf).select(*HASH_KEYS, "risk_class_encoded")
     pri = {r["risk_class_encoded"]: r["prior"] for r in metrics.initial_scores(d, "risk_class_encoded").collect()}
-    g = d.withColumn("p_high", F.lit(float(pri.get(2, 0.0))))
-    g = g.withColumn("abs_g", F.abs(F.col("p_high") - (F.col("risk_class_encoded") == 2).cast("double")))
+    parts = [F.abs(F.lit(float(p)) - (F.col("risk_class_encoded") == c).cast("double")) for c, p in sorted(pri.items())]
+    # every row of a class has one gradient; rounding makes the classes' order independent of the order of the sum
+    g = d.withColumn("abs_g", F.round(sum(parts[1:], parts[0]) / F.lit(float(len(parts))), 12))
     s = trees.goss_sample(g, "abs_g", HASH_KEYS, 0.2, 0.1, SEED, X.seeded_hash)
-    return s.groupBy("goss_weight").agg(F.count(F.lit(1)).alias("n"))
+    return s.groupBy(F.round("goss_weight", 6).alias("goss_weight")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("key_sum"))
 
 
 @register("efb_bundles")
 def q_efb(spark, sf):
-    """Exclusive feature bundles of the one-hot indicator columns (conflict rate 0)."""
+    """Exclusive feature bundles of the one-hot indicator columns (no conflicts), and the rows in each bin of the merged columns."""
     from ..operators import trees
 
     d = clean.impute(seg_clean(spark, sf), [], C.CATEGORICAL_COLS)
@@ -1431,7 +1451,13 @@ def q_efb(spark, sf):
     cols = [f"{c}_{v}" for c, vs in cats.items() for v in vs]
     conf = [(r["col_a"], r["col_b"], r["conflict_rate"]) for r in trees.conflict_matrix(oh, cols).collect()]
     bundles = trees.bundle_features(conf, cols, 0.0)
-    return local_df(spark, [(i, len(b), ",".join(b)) for i, b in enumerate(bundles)], "bundle int, n_features int, members string")
+    merged = oh.select(*cols)
+    for i, b in enumerate(bundles):
+        merged = trees.merge_bundle(merged, b, {c: 1 for c in cols}, f"bundle_{i}")
+    long = merged.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("bundle"), F.lit(",".join(b)).alias("members"), F.col(f"bundle_{i}").cast("long").alias("bin")) for i, b in enumerate(bundles)
+    ])).alias("x"))
+    return long.groupBy("x.bundle", "x.members", "x.bin").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------------- sinks and streams ---
@@ -1556,9 +1582,7 @@ def q_tuning_random_search(spark, sf):
             part = parts[f]
             fitted = models.fit_model("decision_tree", part.where(F.col("fold") != f), preps[f].feature_cols,
                                       "risk_class_encoded", params=params)
-            p = fitted.predict(part.where(F.col("fold") == f)).select(
-                F.lit(f"cand{ci}").alias("model"), "repeat", "fold",
-                F.col("risk_class_encoded").alias("label"), "prediction")
+            p = experiment.fold_predictions(part, fitted, f, f"cand{ci}")
             preds = p if preds is None else preds.unionByName(p)
     summary = experiment.cv_summary(experiment.cv_fold_metrics(cut_lineage(preds)))
     best = experiment.winner(summary).collect()[0]

@@ -1,9 +1,9 @@
 """Cross-validation, tuning and ablation flows.
 
 Scoring uses one grouped confusion aggregation for every (config, model,
-repeat, fold) at once. Training-side metrics of a fold are derived from the
-same table: train confusion = all folds of the repeat - the fold's own
-validation confusion, so nothing is expanded k times.
+repeat, fold, role) at once: a fold's model scores its validation and its
+training rows. For rules that are not fitted, the training side of a fold is
+the sum of the other folds, so nothing is expanded k times.
 """
 
 from __future__ import annotations
@@ -35,11 +35,21 @@ def rule_predictions(folds: DataFrame, score: str, label: str, models: dict = RU
 
 def cv_fold_metrics(preds: DataFrame, key_cols: Sequence[str] = ("model",), repeat_col: str = "repeat",
                     fold_col: str = "fold") -> DataFrame:
-    """Validation and train metrics per (keys, repeat, fold) from one confusion aggregation."""
+    """Validation and train metrics per (keys, repeat, fold) from one confusion aggregation.
+
+    Predictions of fitted models carry ``role`` ('val' or 'train'): each fold's own
+    model scores both its parts. Without ``role`` the rows are those of rules that
+    nothing was fitted for; then the train part of a fold is all folds of its
+    repeat but its own, which needs no row twice.
+    """
     keys = [*key_cols, repeat_col, fold_col]
-    cm_val = metrics.confusion(preds, "label", "prediction", group_cols=keys)
-    w = Window.partitionBy(*key_cols, repeat_col, "label", "prediction")
-    cm_tr = cm_val.withColumn("n", F.sum("n").over(w) - F.col("n"))
+    if "role" in preds.columns:
+        cm = metrics.confusion(preds, "label", "prediction", group_cols=[*keys, "role"])
+        cm_val, cm_tr = (cm.where(F.col("role") == r).drop("role") for r in ("val", "train"))
+    else:
+        cm_val = metrics.confusion(preds, "label", "prediction", group_cols=keys)
+        w = Window.partitionBy(*key_cols, repeat_col, "label", "prediction")
+        cm_tr = cm_val.withColumn("n", F.sum("n").over(w) - F.col("n"))
     val = metrics.summary(cm_val, keys)
     tr = metrics.summary(cm_tr, keys).select(*keys, F.col("f2_macro").alias("train_f2_macro"))
     return val.join(tr, keys)
@@ -64,6 +74,13 @@ def per_class_cv(preds: DataFrame, key_cols: Sequence[str] = ("model",), repeat_
     )
 
 
+def fold_predictions(part: DataFrame, fitted, fold: int, name: str) -> DataFrame:
+    """Both parts of a fold scored by the fold's own model: model, repeat, fold, role, label, prediction."""
+    role = F.when(F.col("fold") == fold, F.lit("val")).otherwise(F.lit("train"))
+    scored = fitted.predict(part.withColumn("role", role))
+    return scored.select(F.lit(name).alias("model"), "repeat", F.lit(fold).alias("fold"), "role", F.col("risk_class_encoded").alias("label"), "prediction")
+
+
 def candidates(space: dict[str, list], n_iter: int, seed: int) -> list[dict]:
     """Seeded random search over parameter lists; empty space -> one default candidate."""
     import random

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabrisk import config as C
 from tabrisk.functions import exprs as X
 from tabrisk.operators import balance, clean, encode, features, folds, labels, linear, metrics, order, profile, trees
+from tabrisk.plans import experiment
 
 
 def test_assign_class_edge_cases(spark):
@@ -34,22 +35,23 @@ def test_clip_keeps_null_and_bins_right_closed(spark):
     assert out[4]["c"] == 50.0
 
 
-@pytest.mark.parametrize("force_distributed", [False, True])
-def test_exact_quantiles_match_numpy(spark, monkeypatch, force_distributed):
+@pytest.mark.parametrize("partitions", [1, 8, 64])
+def test_exact_quantiles_match_numpy(spark, partitions):
     rng = np.random.default_rng(0)
     vals = np.round(rng.gamma(2.0, 3.0, 3000), 1)  # many ties
     vals[::7] = np.nan
     df = spark.createDataFrame(pd.DataFrame({"g": rng.integers(0, 3, 3000), "x": vals}))
     df = df.withColumn("x", F.when(F.isnan("x"), None).otherwise(F.col("x")))
-    if force_distributed:
-        monkeypatch.setattr(order, "SUMMARY_LIMIT", 0)
-        monkeypatch.setattr(order, "SMALL_TABLE_LIMIT", 0)
-        monkeypatch.setattr(order, "SMALL_ORDER_LIMIT", 0)
+    df = df.withColumn("g", F.when(F.col("g") > 0, F.col("g").cast("string")))  # a NULL group too
     probs = [0.0, 0.1, 0.25, 0.5, 0.95, 1.0]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     q = order.exact_quantiles(df, ["x"], probs, ["g"]).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     pdf = df.toPandas()
+    assert {r["g"] for r in q} == {None, "1", "2"}
     for r in q:
-        ref = np.nanpercentile(pdf[pdf.g == r["g"]].x.astype(float), [p * 100 for p in probs])
+        ref = np.nanpercentile(pdf[pdf.g.isna() if r["g"] is None else pdf.g == r["g"]].x.astype(float), [p * 100 for p in probs])
         got = [r[order.quantile_name(p)] for p in probs]
         assert np.allclose(got, ref, rtol=0, atol=1e-9)
 
@@ -58,7 +60,7 @@ def test_positions_range_path_equals_row_number(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"g": rng.integers(0, 2, 500), "v": rng.integers(0, 5, 500), "k": np.arange(500)})
     df = spark.createDataFrame(pdf)
-    got = order.prefix_sums(df, ["v", "k"], ["g"], small_limit=0).toPandas().sort_values("k")
+    got = order.prefix_sums(df, ["v", "k"], ["g"], partitions=7).toPandas().sort_values("k")
     exp = pdf.sort_values(["g", "v", "k"]).groupby("g").cumcount().sort_index()
     assert (got["pos"].to_numpy() == exp.to_numpy()).all()
 
@@ -177,7 +179,7 @@ def test_yeo_johnson_matches_formula(spark):
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     for lam in (0.0, 0.5, 2.0, -1.0):
         got = [r[0] for r in df.select(X.yeo_johnson("x", lam)).collect()]
-        exp = encode._yj_np(np.array(xs), lam)
+        exp = [encode._yj(x, lam) for x in xs]
         assert np.allclose(got, exp)
 
 
@@ -288,3 +290,84 @@ def test_boosted_trees_predict_matches_training_scores(spark):
     assert (pred.sort_values("k")["prediction"].to_numpy() == arg[np.argsort(sc.index.to_numpy())]).all() or \
         (np.sort(pred["prediction"].to_numpy()) == np.sort(arg)).all()
     assert (pred["prediction"].to_numpy() == pred["y"].to_numpy()).mean() > 0.9
+
+
+def test_null_groups_values_and_a_hot_key_keep_their_rows(spark):
+    rows = [(None if i % 5 == 0 else "a", None if i % 7 == 0 else (1.0 if i % 3 else float(i)), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, v double, k int")
+    for n in (1, 8, 64):
+        got = order.prefix_sums(df, ["v", "k"], ["g"], partitions=n, total_col="n").collect()
+        assert len(got) == 400
+        for g in (None, "a"):
+            part = sorted((r for r in got if r["g"] == g), key=lambda r: (r["v"] is not None, r["v"] or 0.0, r["k"]))
+            assert [r["pos"] for r in part] == list(range(len(part))) and {r["n"] for r in part} == {len(part)}
+    ranked = {(r["g"], r["v"]): (r["before"], r["n"]) for r in order.value_counts_ranked(df, "v", ["g"]).collect()}
+    for g in (None, "a"):
+        vals = [v for x, v, _ in rows if x == g]
+        for v in set(vals):
+            less = sum(w is not None and (v is None or w < v) for w in vals)
+            assert ranked[g, v] == (less, len(vals))
+
+
+def test_repeats_of_the_folds_are_independent(spark):
+    df = spark.range(20_000).select(F.col("id"), (F.col("id") % 3).cast("string").alias("cls"))
+    f = folds.stratified_folds(df, "cls", ["id"], ["id"], k=5, repeats=2, seed=3)
+    a, b = (f.where(F.col("repeat") == r).select("id", "cls", F.col("fold").alias(f"f{r}")) for r in (0, 1))
+    cells = {(r["cls"], r["f0"], r["f1"]): r["count"] for r in a.join(b, ["id", "cls"]).groupBy("cls", "f0", "f1").count().collect()}
+    assert len(cells) == 75
+    for (cls, _, _), n in cells.items():
+        mean = sum(v for (c, _, _), v in cells.items() if c == cls) / 25
+        assert abs(n - mean) < 5 * math.sqrt(mean)
+
+
+def test_smote_draws_are_spread(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=3)], 0) for i in range(1500)] + [(2000 + i, [float(x) for x in rng.normal(size=3)], 1) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, label int")
+    base = {r[0]: np.array(r[1]) for r in rows if r[2] == 1}
+    out = [r for r in balance.smote(df, "id", "vec", "label").collect() if r["is_synthetic"]]
+    assert len(out) == 1460
+    us, ranks = [], []
+    for r in out:
+        x, p = base[r["id"]], np.array(r["vec"])
+        near = sorted((np.linalg.norm(x - q), i) for i, q in base.items() if i != r["id"])[:5]
+        fits = [(k, np.dot(p - x, base[i] - x) / np.dot(base[i] - x, base[i] - x)) for k, (_, i) in enumerate(near)]
+        k, u = min(fits, key=lambda f: np.linalg.norm(x + f[1] * (base[near[f[0]][1]] - x) - p))
+        us.append(u)
+        ranks.append(k)
+    assert 0.45 < np.mean(us) < 0.55 and np.std(us) > 0.25
+    assert min(ranks.count(k) for k in range(5)) > 1460 / 5 * 0.75
+
+
+def test_goss_takes_exact_counts(spark):
+    df = spark.range(5_000).select("id", F.pmod(F.col("id"), F.lit(4)).cast("double").alias("g"))
+    s = trees.goss_sample(df, "g", ["id"], 0.2, 0.1, 7, X.seeded_hash).collect()
+    assert sorted([r["goss_weight"] for r in s]) == [1.0] * 1000 + [8.0] * 500
+    assert all(r["g"] == 3.0 for r in s if r["goss_weight"] == 1.0) and len({r["id"] for r in s}) == 1500
+
+
+def test_bundles_are_coloured_by_conflict_count():
+    conf = [("a", "b", 0.001), ("a", "c", 0.001), ("a", "d", 0.001), ("e", "f", 0.9)]
+    assert trees.bundle_features(conf, list("abcdef"), 0.0) == [["a", "e"], ["b", "c", "d", "f"]]
+
+
+def test_yeo_johnson_fit_has_no_bounds(spark):
+    rng = np.random.default_rng(5)
+    x = 100.0 + rng.normal(size=400) * 5.0
+    x = np.sign(x) * np.abs(x) ** 0.12  # best lambda far above two
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "flat": 1.0}))
+    got = encode.fit_yeo_johnson(df, ["x", "flat"])
+
+    def llf(lam):
+        y = np.expm1(lam * np.log1p(x)) / lam
+        return -len(x) / 2 * np.log(y.var()) + (lam - 1) * np.log1p(x).sum()
+
+    assert got["flat"] == 1.0 and got["x"] > 2.5
+    assert llf(got["x"]) >= max(llf(got["x"] + d) for d in (-1e-3, 1e-3, -0.1, 0.1))
+
+
+def test_train_metrics_come_from_the_folds_own_model(spark):
+    rows = [("m", 0, f, role, y, p) for f in (0, 1) for role, y, p in [("train", 0, 0), ("train", 1, 1), ("train", 2, 2), ("val", 0, 1), ("val", 1, 1), ("val", 2, 0)]]
+    preds = spark.createDataFrame(rows, "model string, repeat int, fold int, role string, label int, prediction int")
+    r = experiment.cv_summary(experiment.cv_fold_metrics(preds)).collect()[0]
+    assert r["train_f2_macro_mean"] == 1.0 and r["f2_macro_mean"] < 0.5 and r["gap"] > 0.5 and r["overfit"] == 1
