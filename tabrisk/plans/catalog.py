@@ -1373,8 +1373,8 @@ def _embeddings(spark, sf) -> DataFrame:
     "SELECT label, id, nn_id, round(dist, 6) AS dist, CAST(nn_rank AS INTEGER) AS nn_rank FROM r WHERE nn_rank < 5",
 )
 def q_knn_embeddings(spark, sf):
-    """Exact kNN inside each label without forming all pairs (band join on a
-    projection); the oracle is DuckDB brute force over all pairs."""
+    """Exact kNN inside each label by blocked search (matrix products, k best
+    per row and block); the oracle is DuckDB brute force over all pairs."""
     nn = balance.knn_within_class(_embeddings(spark, sf), "vec_id", "vec", "label", 5)
     return rnd(nn.select("label", "id", "nn_id", "dist", F.col("nn_rank").cast("int")))
 
@@ -1388,11 +1388,12 @@ def q_smote_embeddings(spark, sf):
 
 @register("kmeans_geo_clusters")
 def q_kmeans_geo(spark, sf):
-    """K-means (k=8) on latitude / longitude, cluster sizes."""
+    """K-means (k=8) on latitude / longitude fitted on the training rows, cluster sizes of all rows."""
     from pyspark.ml.clustering import KMeans
 
-    d = models.assemble(seg_labelled(spark, sf).select("latitude", "longitude"), ["latitude", "longitude"])
-    km = KMeans(k=8, seed=SEED, featuresCol="features", predictionCol="geo_cluster").fit(d)
+    sp = models.assemble(seg_split(spark, sf, ["latitude", "longitude"]), ["latitude", "longitude"])
+    km = KMeans(k=8, seed=SEED, featuresCol="features", predictionCol="geo_cluster").fit(sp.where(F.col("split") == "train"))
+    d = sp
     return km.transform(d).groupBy("geo_cluster").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -153,6 +153,24 @@ def test_knn_exact_against_brute_force(spark):
     assert len(got) == 120 * 3
 
 
+@pytest.mark.parametrize("dims, block", [(2, 16), (64, 50)])
+def test_knn_in_blocks_with_ties_copies_and_a_small_class(spark, dims, block):
+    rng = np.random.default_rng(dims)
+    pts = np.round(rng.normal(size=(300, dims)), 1 if dims == 2 else 3)
+    pts[::10] = pts[0]  # copies
+    cls = ["a" if i % 3 else None for i in range(300)]
+    cls[5] = cls[8] = "tiny"
+    df = spark.createDataFrame([(i, c, [float(x) for x in p]) for i, (c, p) in enumerate(zip(cls, pts))], "id long, c string, v array<double>")
+    got = {}
+    for r in balance.knn_within_class(df.where("c is not null"), "id", "v", "c", 4, block=block).collect():
+        got.setdefault(r["id"], []).append((r["nn_rank"], r["nn_id"], r["dist"]))
+    for i in range(300):
+        if cls[i] is not None:
+            want = sorted((float(np.sqrt(((pts[j] - pts[i]) ** 2).sum())), j) for j in range(300) if cls[j] == cls[i] and j != i)[:4]
+            assert [x[1] for x in sorted(got[i])] == [j for _, j in want]
+            assert np.allclose([x[2] for x in sorted(got[i])], [d for d, _ in want], atol=1e-9)
+
+
 def test_smote_balances_and_interpolates(spark):
     rng = np.random.default_rng(4)
     rows = [(i, 0 if i < 40 else 1, [float(x) for x in rng.normal(size=3)]) for i in range(52)]
