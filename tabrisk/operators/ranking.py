@@ -101,3 +101,30 @@ def replace_rows(old: DataFrame, new: DataFrame, key_cols: Sequence[str]) -> Dat
 def missing_expected(expected: DataFrame, available: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Expected keys not available."""
     return expected.join(available.select(*key_cols).distinct(), list(key_cols), "left_anti")
+
+
+def row_alignment(raw: DataFrame, prepared: DataFrame, key_cols: Sequence[str], class_col: str) -> DataFrame:
+    """Rows only in the raw table, only in the prepared one, or in both, and how many of these differ in class.
+
+    Each side is counted by key first, so repeated keys cost one row a partition;
+    a key with more rows on one side gives its surplus to that side.
+    """
+    keys = list(key_cols)
+
+    def counted(df: DataFrame, n: str, c: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n), F.array_sort(F.collect_set(class_col)).alias(c))
+
+    a = counted(raw, "na", "ca")
+    b = counted(prepared, "nb", "cb").select(*[F.col(k).alias(f"_r_{k}") for k in keys], "nb", "cb")
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    j = a.join(b, cond, "full").select(F.coalesce("na", F.lit(0)).alias("na"), F.coalesce("nb", F.lit(0)).alias("nb"), "ca", "cb")
+    both = F.least("na", "nb")
+    side = F.explode(F.array(
+        F.struct(F.lit("matched").alias("side"), both.alias("n"), F.when((both > 0) & (F.col("ca") != F.col("cb")), both).otherwise(F.lit(0).cast("long")).alias("d")),
+        F.struct(F.lit("only_raw").alias("side"), (F.col("na") - both).alias("n"), F.lit(0).cast("long").alias("d")),
+        F.struct(F.lit("only_prepared").alias("side"), (F.col("nb") - both).alias("n"), F.lit(0).cast("long").alias("d")),
+    ))
+    out = j.select(side.alias("x")).groupBy("x.side").agg(F.sum("x.n").alias("n"), F.sum("x.d").alias("n_class_differs"))
+    return out.where(F.col("n") > 0)

@@ -863,7 +863,7 @@ def q_average_rank_rainfall(spark, sf):
 
 
 # ------------------------------------------- cross-validation result tables ---
-from . import experiment  # noqa: E402
+from . import ablation, experiment  # noqa: E402
 from .sqltext import cls_metrics_sql  # noqa: E402
 
 CV_REPEATS, CV_K = 2, 5
@@ -1618,6 +1618,36 @@ def q_ablation_feature_groups(spark, sf):
     return rnd(ranking.delta_vs_baseline(table, ["experiment"], "config", "baseline", "f2_macro"))
 
 
+def _ablation_folds(spark, sf, k: int) -> DataFrame:
+    return cut_lineage(folds.stratified_folds(seg_labelled(spark, sf), "risk_class", HASH_KEYS, KEY_LIST, k=k, repeats=1, seed=SEED))
+
+
+@register("ablation_imbalance_tree")
+def q_ablation_imbalance(spark, sf):
+    """E5 / I4: six imbalance strategies for the decision tree, each fitted on the training rows of every fold."""
+    return rnd(ablation.run_grid(_ablation_folds(spark, sf, 3), 3, ablation.imbalance_configs(params={"max_depth": 8}), KEY_LIST, "imbalance"))
+
+
+@register("ablation_domain_groups_tree")
+def q_ablation_domain(spark, sf):
+    """Domain feature groups (none, each, all) for the decision tree, with G4 ranks fitted on training rows."""
+    cfgs = [c for c in ablation.domain_configs(params={"max_depth": 8})]
+    for c in cfgs:
+        c.strategy = "balanced"  # the config's own SMOTE is measured by the imbalance ablation
+    return rnd(ablation.run_grid(_ablation_folds(spark, sf, 2), 2, cfgs, KEY_LIST, "domain_groups"))
+
+
+@register(
+    "row_alignment_raw_prepared",
+    f"{base_cte()} SELECT 'matched' AS side, count(*) AS n, CAST(0 AS BIGINT) AS n_class_differs FROM lab",
+)
+def q_row_alignment(spark, sf):
+    """Rows of the raw table against those of the prepared one by key and class."""
+    raw = seg_labelled(spark, sf).select(*KEY_LIST, "risk_class")
+    prep = prepare.transform_tree(segments(spark, sf), prepare.fit_tree(segments(spark, sf)), KEY_LIST).select(*KEY_LIST, "risk_class")
+    return ranking.row_alignment(raw, prep, KEY_LIST, "risk_class")
+
+
 @register("histogram_boosting_rounds")
 def q_histogram_boosting(spark, sf):
     """Softmax gradient boosting (one depth-2 tree per

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tabrisk import config as C
 from tabrisk.functions import exprs as X
-from tabrisk.operators import balance, clean, encode, features, folds, labels, linear, metrics, order, profile, trees
-from tabrisk.plans import experiment
+from tabrisk.operators import balance, clean, encode, features, folds, labels, linear, metrics, order, profile, ranking, trees
+from tabrisk.plans import ablation, experiment
 
 
 def test_assign_class_edge_cases(spark):
@@ -389,3 +389,35 @@ def test_train_metrics_come_from_the_folds_own_model(spark):
     preds = spark.createDataFrame(rows, "model string, repeat int, fold int, role string, label int, prediction int")
     r = experiment.cv_summary(experiment.cv_fold_metrics(preds)).collect()[0]
     assert r["train_f2_macro_mean"] == 1.0 and r["f2_macro_mean"] < 0.5 and r["gap"] > 0.5 and r["overfit"] == 1
+
+
+def test_row_alignment_counts_each_side(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y"), (None, "z"), (5, "q")], "k int, c string")
+    b = spark.createDataFrame([(1, "x"), (2, "y"), (None, "w"), (9, "x")], "k int, c string")
+    got = {r["side"]: (r["n"], r["n_class_differs"]) for r in ranking.row_alignment(a, b, ["k"], "c").collect()}
+    assert got == {"matched": (3, 1), "only_raw": (2, 0), "only_prepared": (1, 0)}
+
+
+def test_rebalance_smote_adds_rows_of_training_features_only(spark):
+    rng = np.random.default_rng(2)
+    rows = [(float(x), float(y), int(i % 4 == 0)) for i, (x, y) in enumerate(rng.normal(size=(80, 2)))]
+    df = spark.createDataFrame(rows, f"a double, b double, {ablation.LABEL} int")
+    out, weight = ablation.rebalance(df, ["a", "b"], "smote")
+    assert weight is None and out.columns == ["a", "b", ablation.LABEL]
+    assert {r[0]: r[1] for r in out.groupBy(ablation.LABEL).count().collect()} == {0: 60, 1: 60}
+    assert ablation.rebalance(df, ["a"], "none") == (df, None)
+    assert ablation.rebalance(df, ["a"], "weighted", {0: 1.0, 1: 3.0})[1] == "weight"
+
+
+def test_a_failing_config_is_recorded_and_the_others_go_on(spark, monkeypatch):
+    def fake(folds, k, cfg, keys):
+        if cfg.name == "bad":
+            raise ValueError("no such thing")
+        return spark.createDataFrame([(cfg.name, cfg.model, 0.5, "ok")], "config string, model string, f2_macro_mean double, status string")
+
+    monkeypatch.setattr(ablation, "run_cv", fake)
+    cfgs = [ablation.Config("good"), ablation.Config("bad")]
+    got = {r["config"]: (r["f2_macro_mean"], r["status"]) for r in ablation.run_grid(spark.range(1), 2, cfgs, [], "e").collect()}
+    assert got == {"good": (0.5, "ok"), "bad": (None, "ValueError: no such thing")}
+    with pytest.raises(ValueError, match="no such thing"):
+        ablation.run_grid(spark.range(1), 2, cfgs[1:], [], "e")
