@@ -8,8 +8,8 @@ the words are compared: a window of ``WINDOW`` words (or the whole item if it
 is shorter) with at least 0.8 equal words confirms the overlap.
 
 Training hashes first pass a bit table of fixed size (half a megabyte whatever
-the inputs), built from the slots of the test hashes; it can let hashes through
-that no item has, never hold one back, so the join decides.
+the inputs) with two slots for each test hash; it can let hashes through that no
+item has, never hold one back, so the join decides.
 """
 
 from __future__ import annotations
@@ -66,8 +66,12 @@ def seeds(tokens: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     return h
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def _may_hold(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Positions of the hashes whose two slots (top bits, and those below them) are both set."""
+    top = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    p = np.flatnonzero((table[top >> 3] >> (top & 7).astype(np.uint8)) & 1)
+    low = ((h[p] >> np.uint64(64 - 2 * FILTER_BITS)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    return p[((table[low >> 3] >> (low & 7).astype(np.uint8)) & 1).astype(bool)]
 
 
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,8 +108,7 @@ def _regions(shared):
                 found = []
                 for m, mask in enumerate(MASKS):
                     h = seeds(t, mask)
-                    s = _slot(h)
-                    p = np.flatnonzero((table[s >> 3] >> (s & 7).astype(np.uint8)) & 1)
+                    p = _may_hold(table, h)
                     if len(p):
                         found.append((np.full(len(p), m), p, h[p]))
                 if not found:
@@ -155,7 +158,8 @@ def overlaps(texts: DataFrame, items: DataFrame, similarity: float = SIMILARITY)
     uid, item = texts.select("uid").schema[0].dataType.simpleString(), items.select("item").schema[0].dataType.simpleString()
     items = items.select("item", "text").where("item is not null")
     tests = cut_lineage(items.mapInArrow(_item_seeds, f"item {item}, mask int, q int, h bigint"))
-    slots = tests.select((F.shiftrightunsigned("h", 64 - FILTER_BITS)).cast("int").alias("s")).distinct()
+    both = F.array(F.shiftrightunsigned("h", 64 - FILTER_BITS), F.shiftrightunsigned("h", 64 - 2 * FILTER_BITS).bitwiseAND((1 << FILTER_BITS) - 1))
+    slots = tests.select(F.explode(both.cast("array<int>")).alias("s")).distinct()
     packed = slots.groupBy(F.shiftright("s", 3).alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, s % 8)")).alias("v"))
     table = np.zeros(1 << (FILTER_BITS - 3), np.uint8)  # at most so many rows come back, whatever the inputs
     rows = packed.toPandas()
