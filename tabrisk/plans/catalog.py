@@ -305,6 +305,18 @@ def q_outlier_class_mix(spark, sf):
     return rnd(profile.outlier_class_mix(seg_clean(spark, sf), NUM, "risk_class"))
 
 
+@register(
+    "outlier_event_type_mix",
+    "WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events), "
+    "o AS (SELECT 'value' AS feature, event_type, count(*) AS n FROM events, q "
+    "WHERE value < q1 - 1.5e0 * (q3 - q1) OR value > q3 + 1.5e0 * (q3 - q1) GROUP BY event_type) "
+    "SELECT feature, event_type, n, round(n / sum(n) OVER (PARTITION BY feature), 6) AS share FROM o",
+)
+def q_outlier_event_type_mix(spark, sf):
+    """A11 on a skewed column: event types among the Tukey outliers of the event value."""
+    return rnd(profile.outlier_class_mix(read_table(spark, sf, "events"), ["value"], "event_type"))
+
+
 @register(
     "grouped_stats_by_class",
     f"{base_cte()} "
