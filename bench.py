@@ -30,6 +30,9 @@ HEADLINE = [
     "threshold_search_rainfall",
     "cv_leaderboard",
     "robust_scaled_numeric",
+    "model_decision_tree_test_metrics",
+    "knn_embeddings_within_label",
+    "smote_embeddings_class_counts",
 ]
 
 

@@ -10,6 +10,7 @@ feature columns, a label and an optional weight column, and returns a
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -36,9 +37,49 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 @dataclass
 class Fitted:
+    """A fitted model: ``predict`` adds the class, ``save`` writes what :func:`load_fitted` needs to a folder."""
+
     name: str
     predict: Callable[[DataFrame], DataFrame]
     info: dict
+    save: Callable[[str], None] | None = None
+
+
+def load_fitted(spark, path: str) -> Fitted:
+    """A saved model; ``info`` has its feature columns and parameters."""
+    info = json.loads(spark.read.json(f"{path}/info").first()["info"])
+    if info["kind"] == "mllib":
+        from pyspark.ml.util import DefaultParamsReader
+
+        model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark.sparkContext)
+        return Fitted(info["name"], _mllib_predict(model, info["features"]), info)
+    if info["kind"] == "ordinal":
+        return Fitted(info["name"], _ordinal_predict(info), info)
+    if info["kind"] == "dummy":
+        return Fitted(info["name"], lambda df: df.withColumn("prediction", F.lit(int(info["majority"]))), info)
+    raise ValueError(f"unknown model kind: {info['kind']}")
+
+
+def _saver(spark, info: dict, model=None) -> Callable[[str], None]:
+    def save(path: str) -> None:
+        if model is not None:
+            model.write().overwrite().save(f"{path}/model")
+        spark.createDataFrame([(json.dumps(info, sort_keys=True),)], "info string").coalesce(1).write.mode("overwrite").json(f"{path}/info")
+
+    return save
+
+
+def _mllib_predict(model, features: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    def predict(df: DataFrame) -> DataFrame:
+        out = model.transform(assemble(df, features))
+        return out.withColumn("prediction", F.col("prediction").cast("int")).drop("features", "rawPrediction", "probability")
+
+    return predict
+
+
+def _ordinal_predict(info: dict) -> Callable[[DataFrame], DataFrame]:
+    score = F.lit(info["intercept"]) + sum((F.lit(w) * F.col(c) for w, c in zip(info["coef"], info["features"])), F.lit(0.0))
+    return lambda df: df.withColumn("prediction", X.threshold_classes(score, info["t1"], info["t2"]))
 
 
 def _mllib(estimator_factory):
@@ -51,11 +92,8 @@ def _mllib(estimator_factory):
             est = est.setWeightCol(weight)
         model = est.fit(assemble(train, features))
 
-        def predict(df: DataFrame) -> DataFrame:
-            out = model.transform(assemble(df, features))
-            return out.withColumn("prediction", F.col("prediction").cast("int")).drop("features", "rawPrediction", "probability")
-
-        return Fitted(type(est).__name__, predict, {"params": params})
+        info = {"kind": "mllib", "name": type(est).__name__, "features": list(features), "params": params}
+        return Fitted(type(est).__name__, _mllib_predict(model, features), info, _saver(train.sparkSession, info, model))
 
     return fit
 
@@ -129,25 +167,34 @@ def _ordinal(kind: str):
         th = linear.threshold_search(scored, "_score", label, weight).collect()[0]
         t1, t2 = float(th["t1"]), float(th["t2"])
 
-        def predict(df: DataFrame) -> DataFrame:
-            return df.withColumn("prediction", X.threshold_classes(score_expr, t1, t2))
-
         sparse = int(np.sum(np.abs(w) < 1e-4))
-        return Fitted(kind, predict, {"intercept": b, "coef": [float(x) for x in w], "t1": t1, "t2": t2,
-                                      "n_zero_coef": sparse, "params": params})
+        info = {"kind": "ordinal", "name": kind, "features": feats, "intercept": b, "coef": [float(x) for x in w], "t1": t1, "t2": t2,
+                "n_zero_coef": sparse, "params": params}
+        return Fitted(kind, _ordinal_predict(info), info, _saver(train.sparkSession, info))
 
     return fit
 
 
 def _dummy(train: DataFrame, features, label, weight, params) -> Fitted:
-    """M1: majority class of the training rows (lowest code on ties)."""
-    counts = train.groupBy(label).count().orderBy(F.desc("count"), label).limit(1).collect()
-    major = int(counts[0][label])
-
-    def predict(df: DataFrame) -> DataFrame:
-        return df.withColumn("prediction", F.lit(major))
-
-    return Fitted("dummy", predict, {"majority": major})
+    """M1: no features are used. ``strategy``: most_frequent or prior (the majority class, the lowest on ties;
+    ``info`` has the class shares), or stratified (classes drawn by their shares with the seeded hash of ``key_cols``)."""
+    counts = {int(r[label]): r["count"] for r in train.groupBy(label).count().collect()}  # one row a class
+    total, major = sum(counts.values()), min(counts, key=lambda c: (-counts[c], c))
+    strategy = params.get("strategy", "most_frequent")
+    info = {"kind": "dummy", "name": "dummy", "features": [], "majority": major, "prior": {str(c): n / total for c, n in sorted(counts.items())}, "params": params}
+    if strategy in ("most_frequent", "prior"):
+        return Fitted("dummy", lambda df: df.withColumn("prediction", F.lit(major)), info, _saver(train.sparkSession, info))
+    if strategy != "stratified":
+        raise ValueError(f"unknown dummy strategy: {strategy}")
+    u = X.seeded_hash(params["key_cols"], params.get("seed", 42)) / F.lit(float(X.HASH_SIZE))
+    edges, at = [], 0.0
+    for c in sorted(counts):
+        at += counts[c] / total
+        edges.append((at, c))
+    pick = F.lit(edges[-1][1])
+    for edge, c in reversed(edges[:-1]):
+        pick = F.when(u < edge, F.lit(c)).otherwise(pick)
+    return Fitted("dummy", lambda df: df.withColumn("prediction", pick.cast("int")), info)
 
 
 # Registry key -> fit function (case-insensitive lookup).

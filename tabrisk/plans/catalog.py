@@ -875,7 +875,7 @@ def q_average_rank_rainfall(spark, sf):
 
 
 # ------------------------------------------- cross-validation result tables ---
-from . import ablation, experiment  # noqa: E402
+from . import ablation, experiment, final  # noqa: E402
 from .sqltext import cls_metrics_sql  # noqa: E402
 
 CV_REPEATS, CV_K = 2, 5
@@ -1649,6 +1649,12 @@ def q_ablation_domain(spark, sf):
     return rnd(ablation.run_grid(_ablation_folds(spark, sf, 2), 2, cfgs, KEY_LIST, "domain_groups"))
 
 
+@register("ablation_clip_quantile_tree")
+def q_ablation_clip(spark, sf):
+    """The clipping quantile of the preparation for the decision tree."""
+    return rnd(ablation.run_grid(_ablation_folds(spark, sf, 2), 2, ablation.clip_configs(params={"max_depth": 8}), KEY_LIST, "clip_quantile"))
+
+
 @register(
     "row_alignment_raw_prepared",
     f"{base_cte()} SELECT 'matched' AS side, count(*) AS n, CAST(0 AS BIGINT) AS n_class_differs FROM lab",
@@ -1660,6 +1666,22 @@ def q_row_alignment(spark, sf):
     return ranking.row_alignment(raw, prep, KEY_LIST, "risk_class")
 
 
+@register("final_evaluation_gated")
+def q_final_evaluation(spark, sf):
+    """Fit on the training rows, save the pipeline, note it in the manifest, and let the
+    reloaded artefact score the test rows."""
+    sp = seg_split(spark, sf)
+    raw_tr, raw_te = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    prep = prepare.fit_tree(raw_tr)
+    fitted = models.fit_model("decision_tree", cut_lineage(prepare.transform_tree(raw_tr, prep)), prep.feature_cols, "risk_class_encoded", params={"max_depth": 8})
+    path, manifest = sio.scratch_path(spark, "pipeline"), sio.scratch_path(spark, "manifest")
+    final.save_pipeline(prep, fitted, path, seed=SEED)
+    sio.append_manifest(spark, manifest, "decision_tree", {"stage": "fitted", "artefact": path})
+    entry = sio.read_manifest(spark, manifest)["decision_tree"]
+    test = final.evaluate_on_test(spark, entry["artefact"], raw_te, {"seed": SEED})
+    return rnd(test.select(F.lit("decision_tree").alias("model"), F.lit(entry["stage"]).alias("stage"), "*"))
+
+
 @register("histogram_boosting_rounds")
 def q_histogram_boosting(spark, sf):
     """Softmax gradient boosting (one depth-2 tree per

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabrisk import config as C
 from tabrisk.functions import exprs as X
-from tabrisk.operators import balance, clean, encode, features, folds, labels, linear, metrics, order, profile, ranking, trees
+from tabrisk.operators import balance, clean, encode, features, folds, labels, linear, metrics, models, order, profile, ranking, trees
 from tabrisk.plans import ablation, experiment
 
 
@@ -421,3 +421,48 @@ def test_a_failing_config_is_recorded_and_the_others_go_on(spark, monkeypatch):
     assert got == {"good": (0.5, "ok"), "bad": (None, "ValueError: no such thing")}
     with pytest.raises(ValueError, match="no such thing"):
         ablation.run_grid(spark.range(1), 2, cfgs[1:], [], "e")
+
+
+def test_artefact_gate_and_manifest(spark):
+    from tabrisk.plans import catalog, final
+    from tabrisk.sources import io as sio
+
+    rows = [(float(i % 7), float(i % 5), i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, y int")
+    for key in ("decision_tree", "ridge_ordinal", "dummy"):
+        fitted = models.fit_model(key, df, ["a", "b"], "y", params={})
+        path = sio.scratch_path(spark, "model")
+        fitted.save(path)
+        again = models.load_fitted(spark, path)
+        assert [r["prediction"] for r in again.predict(df).collect()] == [r["prediction"] for r in fitted.predict(df).collect()]
+    got = catalog.QUERIES["final_evaluation_gated"](spark, "/root/testdata/sf0.001").collect()[0]
+    assert got["stage"] == "fitted" and got["f2_macro"] > 0.5
+    with pytest.raises(ValueError, match="incomplete artefact"):
+        final.evaluate_on_test(spark, sio.scratch_path(spark, "nothing"), df)
+    raw = catalog.seg_labelled(spark, "/root/testdata/sf0.001")
+    prep = catalog.prepare.fit_tree(raw)
+    whole = sio.scratch_path(spark, "whole")
+    final.save_pipeline(prep, models.fit_model("dummy", prepare_rows(raw, prep), prep.feature_cols, "risk_class_encoded"), whole, seed=1)
+    with pytest.raises(ValueError, match="incompatible"):
+        final.load_pipeline(spark, whole, {"seed": 2})
+    manifest = sio.scratch_path(spark, "manifest")
+    for stage in ("tuned", "fitted"):
+        sio.append_manifest(spark, manifest, "m", {"stage": stage})
+    sio.append_manifest(spark, manifest, "n", {"stage": "tuned"})
+    assert {k: v["stage"] for k, v in sio.read_manifest(spark, manifest).items()} == {"m": "fitted", "n": "tuned"}
+
+
+def prepare_rows(raw, prep):
+    from tabrisk.plans import prepare
+
+    return prepare.transform_tree(raw, prep)
+
+
+def test_dummy_strategies(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, 1).otherwise(0).alias("y"))
+    prior = models.fit_model("dummy", df, [], "y", params={"strategy": "prior"})
+    assert prior.info["prior"] == {"0": 0.75, "1": 0.25} and {r["prediction"] for r in prior.predict(df).collect()} == {0}
+    drawn = models.fit_model("dummy", df, [], "y", params={"strategy": "stratified", "key_cols": ["id"]}).predict(df)
+    assert abs(drawn.where("prediction = 1").count() - 1000) < 150
+    with pytest.raises(ValueError):
+        models.fit_model("dummy", df, [], "y", params={"strategy": "other"})
