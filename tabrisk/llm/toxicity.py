@@ -31,7 +31,7 @@ from .common import append, broadcast_if_small, crc_mod, cut_lineage
 
 LEXICON_TERMS = 512
 MIN_DOCS = 4
-MIN_LOG_ODDS = 2.0
+MIN_LOG_ODDS = 3.0
 #: Least G-squared of a term (a chance of about one in 100,000 for a word without association).
 MIN_G = 20.0
 WINDOW = 12
@@ -50,28 +50,7 @@ def words_of(text: str) -> list[str]:
 
 def limit_of(term: str) -> int:
     """Edits allowed for a term."""
-    return 0 if len(term) < 4 else 1 if len(term) < 10 else 2
-
-
-class Automaton:
-    """Levenshtein automaton of a word up to ``most`` edits: a state is the row of distances from the letters read so far to the word's prefixes, cut off beyond ``most``."""
-
-    def __init__(self, word: str, most: int):
-        self.word, self.most = word, most
-
-    def start(self) -> tuple[int, ...]:
-        return tuple(min(j, self.most + 1) for j in range(len(self.word) + 1))
-
-    def step(self, row: tuple[int, ...], ch: str) -> tuple[int, ...] | None:
-        """The state after one more letter, or None when no continuation can be in reach."""
-        big = self.most + 1
-        new = [min(row[0] + 1, big)]
-        for j, c in enumerate(self.word, 1):
-            new.append(min(row[j - 1] + (c != ch), row[j] + 1, new[j - 1] + 1, big))
-        return tuple(new) if min(new) <= self.most else None
-
-    def distance(self, row: tuple[int, ...]) -> int:
-        return row[-1]
+    return 0 if len(term) < 4 else 1
 
 
 class Lexicon:
@@ -79,49 +58,83 @@ class Lexicon:
 
     def __init__(self, weights: dict[str, float]):
         self.weights, self.trie = weights, {}
-        self.parts: dict[int, set[str]] = {}
+        # a word within k edits of a term keeps one of the term's k + 1 parts whole: the first where it
+        # was, the last at the word's end, another moved by k places at most
+        self.first: dict[str, set[int]] = {}
+        self.last: dict[str, set[int]] = {}
+        self.inner: dict[tuple[int, str], set[int]] = {}
         for t in weights:
             node = self.trie
             for c in t:
                 node = node.setdefault(c, {})
             node[""] = t
-            # a word within k edits keeps one of k + 1 parts of the term whole, moved by k places at most
-            k = limit_of(t)
-            cuts = [len(t) * i // (k + 1) for i in range(k + 2)]
-            for a, b in zip(cuts, cuts[1:]):
-                for at in range(max(0, a - k), a + k + 1):
-                    self.parts.setdefault(at, set()).add(t[a:b])
-        self.sizes = sorted({len(p) for x in self.parts.values() for p in x})
-        self.longest = max(map(len, weights), default=0) + 2
+            n, k = len(t), limit_of(t)
+            if not k:
+                continue
+            cuts = [n * i // (k + 1) for i in range(k + 2)]
+            parts, lengths = [t[a:b] for a, b in zip(cuts, cuts[1:])], range(n - k, n + k + 1)
+            self.first.setdefault(parts[0], set()).update(lengths)
+            self.last.setdefault(parts[-1], set()).update(lengths)
+            for at, part in list(zip(cuts, parts))[1:-1]:
+                for move in range(-k, k + 1):
+                    self.inner.setdefault((at + move, part), set()).update(lengths)
+        self.longest = max(map(len, weights), default=0) + 1
+        self.ends = sorted({len(p) for p in [*self.first, *self.last]})
+        self.spots = sorted({(at, len(p)) for at, p in self.inner})
 
     def may_match(self, word: str) -> bool:
-        """False only if no term can be in reach."""
-        if len(word) > self.longest:
+        """False only if no term can be within its edits."""
+        n = len(word)
+        if n > self.longest:
             return False
-        for at, parts in self.parts.items():
-            for n in self.sizes:
-                if word[at : at + n] in parts:
-                    return True
-        return False
+        for m in self.ends:
+            if n in self.first.get(word[:m], ()) or n in self.last.get(word[-m:], ()):
+                return True
+        return any(n in self.inner.get((at, word[at : at + m]), ()) for at, m in self.spots)
 
     def match(self, word: str) -> tuple[float, int] | None:
+        """The term with the fewest edits, of those the heaviest."""
         if word in self.weights:
             return self.weights[word], 0
         if not self.may_match(word):
             return None
-        auto = Automaton(word, 2 if len(word) >= 8 else 1)  # terms of ten letters are out of reach of seven
-        best, todo = None, [(self.trie, auto.start())]
-        while todo:
-            node, state = todo.pop()
-            for c, below in node.items():
-                if c == "":
-                    d = auto.distance(state)
-                    if d <= limit_of(below) and (best is None or (d, -self.weights[below]) < (best[1], -best[0])):
-                        best = self.weights[below], d
-                elif (new := auto.step(state, c)) is not None:
-                    todo.append((below, new))
+        best = None
+        for term, edits in self.intersect(word, 1).items():
+            if edits <= limit_of(term) and (best is None or (edits, -self.weights[term]) < (best[1], -best[0])):
+                best = self.weights[term], edits
         return best
 
+    def intersect(self, word: str, most: int) -> dict[str, int]:
+        """Terms that the word's Levenshtein automaton accepts, with their edits.
+
+        A state of the automaton is (letters of the word read, edits spent). The
+        walk keeps pairs of a trie node and a state: a letter read by both moves
+        on for nothing; an edit drops a letter of the word, of the term, or
+        takes one for the other.
+        """
+        n, found = len(word), {}
+        todo, seen = [(self.trie, 0, 0)], set()
+        while todo:
+            node, i, e = todo.pop()
+            while True:  # the part of the walk that has no choice left
+                if "" in node and e + n - i <= most:
+                    t = node[""]
+                    found[t] = min(found.get(t, most + 1), e + n - i)
+                if e < most and (id(node), i, e) not in seen:
+                    seen.add((id(node), i, e))
+                    if i < n:
+                        todo.append((node, i + 1, e + 1))
+                    for c, below in node.items():
+                        if c:
+                            todo.append((below, i, e + 1))
+                            if i < n and c != word[i]:
+                                todo.append((below, i + 1, e + 1))
+                node = node.get(word[i]) if i < n else None
+                if node is None:
+                    break
+                i += 1
+        return found
+
 
 def quoted(text: str, start: int, end: int) -> bool:
     """Whether a place of the text lies between quotation marks of its own line."""
