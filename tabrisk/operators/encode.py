@@ -121,19 +121,15 @@ def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], grid: int = 17, tol: flo
     spans = {c: (-2.0, 2.0) for c in cols if c in base and base[c]["lo"] < base[c]["hi"]}
     while spans:
         lams = {c: [a + i * (b - a) / (grid - 1) for i in range(grid)] for c, (a, b) in spans.items()}
-        per = None
-        for i in range(grid):
-            lam, mid = F.lit(None).cast("double"), F.lit(None).cast("double")
-            for c, v in lams.items():
-                lam = F.when(F.col("feature") == c, F.lit(v[i])).otherwise(lam)
-                mid = F.when(F.col("feature") == c, F.lit(_yj(base[c]["mean"], v[i]))).otherwise(mid)
-            d = X.yeo_johnson(x, lam) - mid
-            part = [F.sum(w * d).alias(f"s{i}"), F.sum(w * d * d).alias(f"q{i}")]
-            per = part if per is None else per + part
-        sums = {r["feature"]: r for r in counts.where(F.col("feature").isin(list(spans))).groupBy("feature").agg(*per).collect()}
+        # the grid is a table of columns x grid rows: one simple expression, compiled once for all passes
+        points = local_df(df.sparkSession, [(c, i, v, _yj(base[c]["mean"], v)) for c, vs in lams.items() for i, v in enumerate(vs)],
+                          "feature string, i int, lam double, mid double")
+        d = X.yeo_johnson(x, F.col("lam")) - F.col("mid")
+        rows = counts.join(F.broadcast(points), "feature").groupBy("feature", "i").agg(F.sum(w * d).alias("s"), F.sum(w * d * d).alias("q")).collect()
+        sums = {(r["feature"], r["i"]): (r["s"], r["q"]) for r in rows}
         for c, v in lams.items():
-            n, r = base[c]["n"], sums[c]
-            var = [(r[f"q{i}"] - r[f"s{i}"] ** 2 / n) / n for i in range(grid)]
+            n = base[c]["n"]
+            var = [(sums[c, i][1] - sums[c, i][0] ** 2 / n) / n for i in range(grid)]
             ll = [-n / 2.0 * math.log(s) + (lam - 1.0) * base[c]["slog"] if s > 0 and math.isfinite(s) else -math.inf for s, lam in zip(var, v)]
             k = max(range(grid), key=lambda i: ll[i])
             step = v[1] - v[0]
