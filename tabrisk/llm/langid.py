@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import append, crc_mod
+from .common import append, broadcast_if_small, crc_mod, cut_lineage
 
 UNKNOWN = "und"
 #: Bounds of the training sample.
@@ -99,10 +99,18 @@ def forward_backward(e: np.ndarray, lengths: np.ndarray, trans: np.ndarray, star
 
 
 def sample(docs: DataFrame, text: str, lang: str, key: str, per_lang: int = DOCS_PER_LANG) -> DataFrame:
-    """At most ``per_lang`` labelled texts a language, the smallest by hash (a partial limit runs before the shuffle)."""
-    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h")).where("lang is not null and text is not null")
-    w = Window.partitionBy("lang").orderBy("h", F.length("text"), "text")
-    return rows.withColumn("r", F.row_number().over(w)).where(F.col("r") <= per_lang).select("lang", "text")
+    """At most ``per_lang`` labelled texts a language, the smallest by hash.
+
+    Languages are counted first (without reading texts); rows then pass only if
+    their hash is in the part of the range that holds about four times the
+    sample, so that just a few texts are moved and ordered at any size.
+    """
+    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(key), F.col(text)).alias("h")).where("lang is not null and text is not null")
+    counts = cut_lineage(docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")))
+    rank = F.shiftrightunsigned("h", 11) / float(1 << 53)  # evenly spread over [0, 1)
+    few = rows.join(broadcast_if_small(counts), "lang").where(rank < F.lit(4.0 * per_lang) / F.col("n"))
+    w = Window.partitionBy("lang").orderBy(rank, "h", F.length("text"), "text")
+    return few.withColumn("r", F.row_number().over(w)).where(F.col("r") <= per_lang).select("lang", "text")
 
 
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
