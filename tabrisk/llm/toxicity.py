@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from .common import append, broadcast_if_small, crc_mod, cut_lineage
 
 LEXICON_TERMS = 512
 MIN_DOCS = 4
-MIN_LOG_ODDS = 3.0
+MIN_LOG_ODDS = 2.0
 #: Least G-squared of a term (a chance of about one in 100,000 for a word without association).
 MIN_G = 20.0
 WINDOW = 12
@@ -50,70 +51,109 @@ def words_of(text: str) -> list[str]:
 
 def limit_of(term: str) -> int:
     """Edits allowed for a term."""
-    return 0 if len(term) < 4 else 1
+    return 0 if len(term) < 4 else 1 if len(term) < 10 else 2
+
+
+def _mask(word: str) -> int:
+    """The set of letters as bits (some letters share one)."""
+    out = 0
+    for c in word:
+        out |= 1 << (ord(c) & 63)
+    return out
+
+
+def _grow(trie: dict, term: str) -> None:
+    for c in term:
+        trie = trie.setdefault(c, {})
+    trie[""] = term
 
 
 class Lexicon:
-    """Terms with weights, as a trie; ``match`` gives the best term of a word as (weight, edits)."""
-
-    def __init__(self, weights: dict[str, float]):
-        self.weights, self.trie = weights, {}
-        # a word within k edits of a term keeps one of the term's k + 1 parts whole: the first where it
-        # was, the last at the word's end, another moved by k places at most
-        self.first: dict[str, set[int]] = {}
-        self.last: dict[str, set[int]] = {}
-        self.inner: dict[tuple[int, str], set[int]] = {}
+    """Terms with weights; ``match`` gives the best term of a word as (weight, edits). With ``swaps``, adjacent letters that swapped places are one edit, else two.
+
+    A word within k edits of a term keeps one of the term's k + 1 parts whole:
+    the first where it was, the last at the word's end, another moved by k places
+    at most. Only a swap across a cut breaks two parts; so the term is filed once
+    more for each choice of cuts, with the letters around them swapped and that
+    many edits less. Terms with a part in the word whose letters differ from the
+    word's by no more than the edits form a trie, which the automaton walks.
+    """
+
+    def __init__(self, weights: dict[str, float], swaps: bool = False):
+        self.weights, self.swaps = weights, swaps
+        self.masks = {t: _mask(t) for t in weights}
+        # part (the inner ones with their place) and length of the word to terms
+        self.first: dict[str, dict[int, set[str]]] = {}
+        self.last: dict[str, dict[int, set[str]]] = {}
+        self.inner: dict[tuple[int, str], dict[int, set[str]]] = {}
         for t in weights:
-            node = self.trie
-            for c in t:
-                node = node.setdefault(c, {})
-            node[""] = t
             n, k = len(t), limit_of(t)
             if not k:
                 continue
             cuts = [n * i // (k + 1) for i in range(k + 2)]
-            parts, lengths = [t[a:b] for a, b in zip(cuts, cuts[1:])], range(n - k, n + k + 1)
-            self.first.setdefault(parts[0], set()).update(lengths)
-            self.last.setdefault(parts[-1], set()).update(lengths)
-            for at, part in list(zip(cuts, parts))[1:-1]:
-                for move in range(-k, k + 1):
-                    self.inner.setdefault((at + move, part), set()).update(lengths)
-        self.longest = max(map(len, weights), default=0) + 1
+            for crossed in range(k + 1 if swaps else 1):
+                for at in combinations(cuts[1:-1], crossed):
+                    v = list(t)
+                    for c in at:
+                        v[c - 1], v[c] = v[c], v[c - 1]
+                    self._file(t, "".join(v), cuts, k - crossed)
+        self.longest = max((len(t) + limit_of(t) for t in weights), default=0)
         self.ends = sorted({len(p) for p in [*self.first, *self.last]})
         self.spots = sorted({(at, len(p)) for at, p in self.inner})
 
-    def may_match(self, word: str) -> bool:
-        """False only if no term can be within its edits."""
+    def _file(self, term: str, form: str, cuts: list[int], k: int) -> None:
+        parts = [form[a:b] for a, b in zip(cuts, cuts[1:])]
+        places = [self.first.setdefault(parts[0], {}), self.last.setdefault(parts[-1], {})]
+        for at, part in list(zip(cuts, parts))[1:-1]:
+            places += [self.inner.setdefault((at + move, part), {}) for move in range(-k, k + 1)]
+        for place in places:
+            for n in range(len(term) - k, len(term) + k + 1):
+                place.setdefault(n, set()).add(term)
+
+    def may_match(self, word: str) -> list[str]:
+        """Terms of which the word may be within the edits; no other term is."""
         n = len(word)
         if n > self.longest:
-            return False
+            return []
+        found: list[str] = []
         for m in self.ends:
-            if n in self.first.get(word[:m], ()) or n in self.last.get(word[-m:], ()):
-                return True
-        return any(n in self.inner.get((at, word[at : at + m]), ()) for at, m in self.spots)
+            if (x := self.first.get(word[:m])) is not None and n in x:
+                found += x[n]
+            if (x := self.last.get(word[-m:])) is not None and n in x:
+                found += x[n]
+        for at, m in self.spots:
+            if (x := self.inner.get((at, word[at : at + m]))) is not None and n in x:
+                found += x[n]
+        if not found:
+            return found
+        own = _mask(word)
+        return [t for t in set(found) if max((own & ~self.masks[t]).bit_count(), (self.masks[t] & ~own).bit_count()) <= limit_of(t)]
 
     def match(self, word: str) -> tuple[float, int] | None:
         """The term with the fewest edits, of those the heaviest."""
         if word in self.weights:
             return self.weights[word], 0
-        if not self.may_match(word):
+        near = self.may_match(word)
+        if not near:
             return None
-        best = None
-        for term, edits in self.intersect(word, 1).items():
+        best, trie = None, {}
+        for t in near:
+            _grow(trie, t)
+        for term, edits in self.intersect(word, max(map(limit_of, near)), trie).items():
             if edits <= limit_of(term) and (best is None or (edits, -self.weights[term]) < (best[1], -best[0])):
                 best = self.weights[term], edits
         return best
 
-    def intersect(self, word: str, most: int) -> dict[str, int]:
-        """Terms that the word's Levenshtein automaton accepts, with their edits.
+    def intersect(self, word: str, most: int, trie: dict) -> dict[str, int]:
+        """Terms of the trie that the word's Levenshtein automaton accepts, with their edits.
 
         A state of the automaton is (letters of the word read, edits spent). The
         walk keeps pairs of a trie node and a state: a letter read by both moves
-        on for nothing; an edit drops a letter of the word, of the term, or
-        takes one for the other.
+        on for nothing; an edit drops a letter of the word, of the term, takes
+        one for the other, or reads two letters in each other's place.
         """
         n, found = len(word), {}
-        todo, seen = [(self.trie, 0, 0)], set()
+        todo, seen = [(trie, 0, 0)], set()
         while todo:
             node, i, e = todo.pop()
             while True:  # the part of the walk that has no choice left
@@ -129,6 +169,8 @@ class Lexicon:
                             todo.append((below, i, e + 1))
                             if i < n and c != word[i]:
                                 todo.append((below, i + 1, e + 1))
+                    if self.swaps and i + 1 < n and word[i] != word[i + 1] and word[i] in (below := node.get(word[i + 1], {})):
+                        todo.append((below[word[i]], i + 2, e + 1))
                 node = node.get(word[i]) if i < n else None
                 if node is None:
                     break
@@ -251,7 +293,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     known = cut_lineage(known.where("doc_id is not null"))
     taught = rows.join(broadcast_if_small(known), "doc_id")
     weights = learn_lexicon(taught)
-    shared = docs.sparkSession.sparkContext.broadcast(Lexicon(weights))
+    shared = docs.sparkSession.sparkContext.broadcast(Lexicon(weights, swaps=True))
     marks = append(rows.withColumn("held_out", held_out()), ["doc_id", "held_out"], "text", ", ".join(f"{f} double" for f in FEATURES), lambda: _scanner(shared))
     marks = cut_lineage(marks)
     z = _logit(marks.join(known, "doc_id").where(~F.col("held_out")))

@@ -71,3 +71,47 @@ def test_without_labels_of_both_kinds(spark):
     assert {r.score for r in toxicity.score(docs, spark.createDataFrame([], LABEL)).collect()} == {0.0}
     assert {r.score for r in toxicity.score(docs, spark.createDataFrame([(1, 1), (2, 1)], LABEL)).collect()} <= {0.0, 1.0}
     assert toxicity.score(spark.createDataFrame([], DOC), spark.createDataFrame([(1, 1)], LABEL)).count() == 0
+
+
+def swap_distance(a, b):
+    """Edits of ``a`` to ``b``, a swap of adjacent letters being one; no letter is edited twice."""
+    d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def allowed(term):
+    return 0 if len(term) < 4 else 1 if len(term) < 10 else 2
+
+
+def test_two_edits_of_long_terms_and_swapped_letters_are_found():
+    lexicon = toxicity.Lexicon({"disgusting": 3.0, "idiot": 2.0, "stupid": 2.5, "ass": 1.0}, swaps=True)
+    want = {"disgusitng": (3.0, 1), "disgvstjng": (3.0, 2), "idsgustign": (3.0, 2), "disgstng": (3.0, 2), "idoit": (2.0, 1), "stpuid": (2.5, 1), "diiot": (2.0, 1), "sas": None, "idito": (2.0, 1), "isgvstjng": None}
+    assert {w: lexicon.match(w) for w in want} == want
+    assert toxicity.MIN_LOG_ODDS == 2.0 and [toxicity.limit_of("x" * n) for n in (3, 4, 9, 10, 30)] == [0, 1, 1, 2, 2]
+
+
+def test_swaps_and_edits_equal_brute_force():
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    terms = {word(rng.randint(3, 14)): rng.random() for _ in range(60)}
+    lexicon, found = toxicity.Lexicon(terms, swaps=True), 0
+    for _ in range(6000):
+        w = list(rng.choice(list(terms)))
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(w))
+            if rng.random() < 0.5:
+                w[k : k + 2] = w[k : k + 2][::-1]
+            else:
+                w[k : k + rng.randint(0, 1)] = rng.choice(["", "a", "b", "x"])
+            w = w or ["a"]
+        w = "".join(w)
+        near = [(d, -x) for t, x in terms.items() if (d := swap_distance(w, t)) <= allowed(t)]
+        want = (-min(near)[1], min(near)[0]) if near else None
+        found += want is not None and want[1] == 2
+        assert lexicon.match(w) == want, w
+    assert found > 300
