@@ -6,12 +6,14 @@ format: a card number becomes another number of that length with a right check
 digit, a date another date of its 400-year Gregorian cycle, written the same
 way. The permutation depends on the key and the format alone, so equal values
 stay equal in every document and different ones stay different; with the key
-it can be inverted. What fails validation is left as it is.
+it can be inverted. (Only a card number among other digit groups may take
+another pseudonym than alone, where inverting asks for it: see ``card``.) What
+fails validation is left as it is.
 
 | kind | pattern | domain that is permuted |
 |---|---|---|
 | email | local@domain.tld | letters and digits of the local part, each within its own class |
-| card | 13-19 digits, single blanks or hyphens between | all but the check digit, which follows from them |
+| card | 13-19 digits, single blanks or hyphens between; whole groups of a run of up to 151 digits | all but the check digit, which follows from them |
 | iban | country, 2 check digits, 11-30 letters or digits | digits of the account part; check digits follow |
 | ssn | ddd-dd-dddd with valid area, group and serial | the valid numbers |
 | phone | +c (ddd) ddd-dddd and kin, ddd-ddd-dddd | all digits after the country code |
@@ -30,15 +32,31 @@ from pyspark.sql import functions as F
 
 ROUNDS = 10
 DEFAULT_KEY = "replace-this-key"
-#: Kinds in the order in which they are tried at a place of the text.
+_IP = r"(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![\p{L}\p{N}]|\.[0-9])"
+#: A blank and a whole value of another kind: there a phone number or a run of digits ends.
+_OTHER = (
+    rf" (?:{_IP}|[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![\p{{L}}\p{{N}}]|-[0-9])|[0-9]{{3}}(?:-[0-9]{{3}}-|\.[0-9]{{3}}\.)[0-9]{{4}}(?![\p{{L}}\p{{N}}])"
+    r"|(?:[0-9]{4}(?:-[0-9]{2}-|/[0-9]{2}/)[0-9]{2}|[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{4})(?![\p{L}\p{N}]|[./-][0-9])"
+    r"|[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-])"
+)
+_CARD_NEXT = r" [0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])"
+_GROUP = r"[ .-]?[0-9]{2,4}"
+#: Groups of an international number, 9-15 digits in all: kept apart from all that follows, if that leaves a
+#: number; else its own groups may look like a card's, and at last like anything.
+_GROUPS = "|".join(
+    x + r"(?<=\+" + r"[ .()-]{0,2}[0-9]" * 9 + r"(?:[ .()-]{0,2}[0-9])?" * 6 + r")(?![\p{L}\p{N}])"
+    for x in (rf"(?:(?!{_OTHER}|{_CARD_NEXT}){_GROUP}){{2,4}}", rf"(?:(?!{_OTHER}){_GROUP}){{2}}(?:(?!{_OTHER}|{_CARD_NEXT}){_GROUP}){{0,2}}", rf"(?:{_GROUP}){{2,4}}")
+)
+#: Kinds in the order in which they are tried at a place of the text. A run of digit groups ("card") may hold
+#: several values and digits that belong to none; ``_pieces`` takes it apart.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)*\.[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "date": r"(?<![\p{L}\p{N}./-])(?:[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?![\p{L}\p{N}]|[./-][0-9])",
-    "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![\p{L}\p{N}]|\.[0-9])",
+    "ip": r"(?<![\p{L}\p{N}.])" + _IP,
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}]|-[0-9])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\3[0-9]{4})(?![\p{L}\p{N}])",
-    "card": r"(?<![\p{L}\p{N}])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])",
+    "phone": rf"(?<![\p{{L}}\p{{N}}+])(?:\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})(?:{_GROUPS})|\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}|[0-9]{{3}}([ .-])[0-9]{{3}}\3[0-9]{{4}})(?![\p{{L}}\p{{N}}])",
+    "card": rf"(?<![\p{{L}}\p{{N}}])[0-9](?:(?!{_OTHER})[ -]?[0-9]){{12,150}}(?![\p{{L}}\p{{N}}])",
 }
 ANY = "|".join(PATTERNS.values())
 
@@ -122,14 +140,70 @@ def _luhn_sum(digits: Column, double_last: bool) -> Column:
     return F.aggregate(F.transform(rev, term), F.lit(0), lambda x, y: x + y)
 
 
-def card(m: Column, key: str, back: bool = False) -> Column:
-    """A Luhn-valid number to another with the same length and separators; others stay."""
+def _card(m: Column, key: str, back: bool = False) -> Column:
+    """A Luhn-valid number to another with the same length and separators."""
 
     def work(d: Column) -> Column:
         body = feistel_digits(d.substr(F.lit(1), F.length(d) - 1), key, "card", back)
         return _let(body, lambda x: F.concat(x, F.pmod(-_luhn_sum(x, True), F.lit(10)).cast("string")))
 
-    return F.when(_luhn_sum(_digits(m), False) % 10 == 0, _fill(m, _let(_digits(m), work))).otherwise(m)
+    return _fill(m, _let(_digits(m), work))
+
+
+def _pieces(run: Column) -> Column:
+    """A run of digit groups as pieces (v: the text with its leading separator, k: the kind or "").
+
+    From left to right, a piece is the longest card number that begins with the
+    group (whole groups, 13-19 digits, Luhn), else a phone number of 3, 3 and 4
+    digits, else the group alone.
+    """
+
+    def work(g: Column) -> Column:
+        def take(i: Column, n: Column) -> Column:
+            return F.array_join(F.slice(g, i, n), "")
+
+        def is_card(i: Column, n: Column) -> Column:
+            return _let(_digits(take(i, n)), lambda d: F.length(d).between(13, 19) & (_luhn_sum(d, False) % 10 == 0))
+
+        def step(x: Column, i: Column) -> Column:
+            cards = F.filter(F.sequence(F.least(F.lit(19), F.size(g) - i + 1), F.lit(1), F.lit(-1)), lambda n: is_card(i, n))
+            phone_here = take(i, F.lit(3)).rlike(r"^[ -]?[0-9]{3}([ -])[0-9]{3}\1[0-9]{4}$")
+            n = F.coalesce(F.get(cards, F.lit(0)), F.when(phone_here, 3).otherwise(1))
+            kind = F.when(F.size(cards) > 0, "card").when(phone_here, "phone").otherwise("")
+            new = _let(F.struct(n.alias("n"), kind.alias("k")), lambda y: F.struct((i + y["n"]).alias("at"), F.concat(x["p"], F.array(F.struct(take(i, y["n"]).alias("v"), y["k"].alias("k")))).alias("p")))
+            return F.when(i < x["at"], x).otherwise(new)
+
+        start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<v:string,k:string>>").alias("p"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(g)), start, step, lambda x: x["p"])
+
+    return _let(F.split(run, "(?<=[0-9])(?=[ -])"), work)
+
+
+#: Bound of the steps until a run falls apart as before (one is enough for nearly all).
+WALK = 400
+
+
+def card(m: Column, key: str, back: bool = False) -> Column:
+    """A run of digit groups with its card and phone numbers permuted; digits that belong to none stay.
+
+    New digits may by chance give another piece with those around them, so the
+    permutation is repeated until the pieces are the same places again: that keeps
+    it invertible. A value alone takes one step.
+    """
+    join = lambda p: F.array_join(F.transform(p, lambda y: y["v"]), "")
+
+    def move(y: Column) -> Column:
+        return F.struct(F.when(y["k"] == "card", _card(y["v"], key, back)).when(y["k"] == "phone", phone(y["v"], key, back)).otherwise(y["v"]).alias("v"), y["k"].alias("k"))
+
+    def step(x: Column, _: Column) -> Column:
+        new = _let(F.transform(x["p"], move), lambda p: F.struct(p.alias("p"), (_pieces(join(p)) == p).alias("done")))
+        return F.when(x["done"], x).otherwise(new)
+
+    def work(p: Column) -> Column:
+        start = F.struct(p.alias("p"), (~F.exists(p, lambda y: y["k"] != "")).alias("done"))
+        return join(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step, lambda x: x["p"]))
+
+    return _let(_pieces(m), work)
 
 
 def _mod97(s: Column) -> Column:
@@ -350,9 +424,11 @@ def replace(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY, back: b
     some = t.rlike("[0-9@]")
     parts = F.split(t, ANY, -1)
     found = F.regexp_extract_all(t, F.lit(ANY), F.lit(0))
-    both = F.arrays_zip(parts.alias("part"), F.concat(F.transform(found, lambda m: F.struct(m.alias("old"), pseudonym(m, key, back).alias("new"))), F.array(F.struct(F.lit("").alias("old"), F.lit("").alias("new")))).alias("hit"))
+    n_of = lambda x: F.when(x["k"] == "card", F.size(F.filter(_pieces(x["m"]), lambda y: y["k"] != ""))).otherwise(1)
+    hit = lambda m: _let(F.struct(m.alias("m"), kind_of(m).alias("k")), lambda x: F.struct(x["m"].alias("old"), _by_kind(x, key, back).alias("new"), n_of(x).alias("n")))
+    both = F.arrays_zip(parts.alias("part"), F.concat(F.transform(found, hit), F.array(F.struct(F.lit("").alias("old"), F.lit("").alias("new"), F.lit(0).alias("n")))).alias("hit"))
     done = docs.withColumn("_pii_parts_", F.when(some, both))
     joined = F.array_join(F.transform(F.col("_pii_parts_"), lambda x: F.concat(x["part"], x["hit"]["new"])), "")
-    changed = F.coalesce(F.size(F.filter(F.col("_pii_parts_"), lambda x: x["hit"]["old"] != x["hit"]["new"])), F.lit(0)).cast("long")
+    changed = F.aggregate(F.filter(F.col("_pii_parts_"), lambda x: x["hit"]["old"] != x["hit"]["new"]), F.lit(0), lambda n, x: n + x["hit"]["n"])
     cols = [F.when(F.col("_pii_parts_").isNotNull(), joined).otherwise(t).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     return done.select(*cols, *([F.when(t.isNull() | ~some, F.lit(0)).otherwise(changed).cast("long").alias(count)] if count else []))

@@ -108,3 +108,27 @@ def test_query_removes_every_planted_value_and_leaves_the_rest(done):
 def test_plan_has_no_python_and_no_shuffle(spark):
     plan = QUERIES["op1_pii_feistel"](spark, SF1)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan and "Arrow" not in plan
+
+
+def test_neighbours_hide_no_value(spark):
+    card, spaced, phone, ip = "4111111111111111", "4111 1111 1111 1111", "+1 (826) 555-4081", "190.137.223.204"
+    parts = [
+        (phone, ip), ("+1 (843) 555-7672", "170.106.47.218"), ("+1 555 123 4567", "2024-01-02"), ("+14155552671", "2024-01-02"), ("+1 555 123 4567", spaced), (phone, spaced), ("+14155552671", spaced), ("+1 555 123 4567", "415-555-2671"),
+        (spaced, ip), (spaced, "2024-01-02"), (spaced, "123-45-6789"), (spaced, "123@mail.example.com"), ("3782-822463-10005", spaced), (spaced, "5500 0000 0000 0004"), (spaced, "415-555-2671"), ("+33 1 23 45 67 89", spaced), (card, card),
+    ]
+    loose = [f"{spaced} 12/27", f"{card} 123", f"12345 {spaced}", f"1234 {spaced}", f"77 {spaced} 5500 0000 0000 0004 9"]
+    texts = [" ".join(p) for p in parts] + loose
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    out = pii.replace(docs, key=KEY, count="n").orderBy("doc_id").collect()
+    for r, p in zip(out, parts):
+        assert r.n == 2 and all(x not in r.text for x in p), (p, r.text)
+    rest = [r.text for r in out[len(parts) :]]
+    assert [r.n for r in out[len(parts) :]] == [1, 1, 1, 1, 2]
+    assert rest[0].endswith(" 12/27") and rest[1].endswith(" 123") and rest[2].startswith("12345 ") and rest[3].startswith("1234 ") and rest[4].startswith("77 ") and rest[4].endswith(" 9")
+    assert all(luhn(x) for x in (rest[0][:-6], rest[1][:-4], rest[2][6:], rest[3][5:], rest[4][3:22], rest[4][23:42]))
+    # many numbers with a tail, so that new digits often make another prefix valid
+    many = [f"{i % 997} {b}{next(c for c in '0123456789' if luhn(b + c))} {i % 1000:03}" for i in range(300) for b in [f"{4 * 10**14 + i * 7919:015}"]]
+    df = spark.createDataFrame(list(enumerate(texts + many)), "doc_id int, text string")
+    new = pii.replace(df, key=KEY, count="n")
+    assert [r.text for r in pii.replace(new.drop("n"), key=KEY, back=True).orderBy("doc_id").collect()] == texts + many
+    assert all(r.n >= 1 for r in new.collect())
