@@ -3,10 +3,12 @@
 1. Equal vectors are one vertex with a weight.
 2. A rotation for balanced binary codes is learned on a bounded sample
    (``SAMPLE`` vectors, chosen by hash); every vector gets a code of up to 64 bits.
-3. The code is cut into ``TABLES`` substrings. A vector is filed in each table
+3. The radius is ``RADIUS`` bits, or more where pairs at the threshold simulated
+   on the sample differ in more (vectors with a large common part); the code is
+   cut into ``TABLES`` substrings, or more for a larger radius. A vector is filed in each table
    under its substring and all its one-bit neighbours, so codes whose
    substrings differ in up to two bits meet. Pairs that meet and differ in up
-   to ``RADIUS`` bits overall make candidate groups (a spanning forest for each
+   to the radius overall make candidate groups (a spanning forest for each
    bucket, then connected components): no list of pairs is made.
 4. Candidate groups are reranked with the original vectors in double
    precision, in tiles of ``TILE`` vectors: tiles of a large group go to
@@ -14,7 +16,7 @@
    links. Every link that is reported has been computed exactly.
 
 The search can miss a link only if no substring of two codes is within two bits
-or the codes differ in more than ``RADIUS`` bits, and the two are not in one
+or the codes differ in more bits than the radius, and the two are not in one
 group by way of others; tests measure the recall.
 """
 
@@ -36,6 +38,8 @@ SAMPLE = 8_192
 BITS = 64
 TABLES = 4
 RADIUS = 12
+#: Share of the pairs at the threshold, simulated on the sample, whose codes have to lie within the radius.
+WITHIN = 0.98
 ROUNDS = 40
 #: Vectors of a group that are compared at a time.
 TILE = 1_024
@@ -61,6 +65,27 @@ def encode(x: np.ndarray, mean: np.ndarray, proj: np.ndarray) -> np.ndarray:
     return (on.astype(np.uint64) << np.arange(proj.shape[1], dtype=np.uint64)).sum(1, dtype=np.uint64)
 
 
+def reach(x: np.ndarray, mean: np.ndarray, proj: np.ndarray, threshold: float, seed: int = 12) -> int:
+    """Bits in which the codes of two vectors at cosine ``threshold`` differ, at ``WITHIN`` of the unit vectors ``x``.
+
+    The codes see the angle of the centred vectors, which for the same cosine is
+    wider the more the vectors have in common. Each vector gets a partner at the
+    threshold in the direction of a difference between two others, and one in any
+    direction; the larger figure counts.
+    """
+    if len(x) < 2 or not 0 < threshold < 1:
+        return 0
+    rng, out = np.random.default_rng(seed), 0
+    for u in (x[rng.permutation(len(x))] - x[rng.permutation(len(x))], rng.normal(size=x.shape)):
+        u = u - (u * x).sum(1, keepdims=True) * x
+        size = np.linalg.norm(u, axis=1)
+        on = size > 1e-9
+        if on.any():
+            y = threshold * x[on] + np.sqrt(1 - threshold**2) * u[on] / size[on, None]
+            out = max(out, int(np.ceil(np.quantile(np.bitwise_count(encode(x[on], mean, proj) ^ encode(y, mean, proj)), WITHIN))))
+    return out
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     """Lists of floats as rows in double precision, shorter ones padded with zeros."""
     flat, ends = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.cumsum([0, *(len(v) for v in column)])
@@ -166,6 +191,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", embedding: str =
     null id (whose component is null and which are not kept). Rows that repeat
     an id and its vector are one vector and each gets its row; an id with
     several vectors has the links of all of them. An empty table stays empty.
+    ``radius`` and ``tables`` are the least values; the sample may ask for more.
     """
     kind = vectors.select(F.col(f"`{embedding}`")).schema[0].dataType.simpleString()
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{embedding}`").cast(kind if kind == "array<float>" else "array<double>").alias("e"))
@@ -179,6 +205,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", embedding: str =
     x = _unit(_matrix(pa.concat_arrays(few.column(0).chunks) if few.num_rows else pa.array([], pa.list_(pa.float64())), width)) if few.num_rows else np.eye(width)
     mean, proj = learn(x)
     bits = proj.shape[1]
+    radius = max(radius, reach(x, mean, proj, threshold)) if few.num_rows else radius
+    tables = max(tables, -(-radius // 3))  # a table finds two bits, so these find all codes closer than the radius
     shared = vectors.sparkSession.sparkContext.broadcast((mean, proj))
     codes = cut_lineage(reps.select("node", "embedding").mapInArrow(_coder(shared, width), "node bigint, fp bigint"))
 

@@ -71,3 +71,29 @@ def test_copies_are_counted_without_pairs(spark):
     rows = [(i, v[i % 3]) for i in range(3000)]
     got = result(itq.near_duplicates(spark.createDataFrame(rows, VEC)))
     assert got == {i: (999, i % 3, i < 3) for i in range(3000)}
+
+
+def common_part(dims, common=0.8, pairs=300, singles=1500, seed=9):
+    """Unit vectors whose mean cosine is ``common``; isolated pairs of cosine 0.95 to 0.97."""
+    rng = np.random.default_rng(seed)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    z = unit(rng.normal(size=(singles + pairs, dims)))
+    near = 1 - (1 - rng.uniform(0.952, 0.97, size=(pairs, 1))) / (1 - common)
+    w = rng.normal(size=(pairs, dims))
+    w = unit(w - (w * z[:pairs]).sum(1, keepdims=True) * z[:pairs])
+    z = np.concatenate([z, near * z[:pairs] + np.sqrt(1 - near**2) * w])
+    top = unit(rng.normal(size=(1, dims)))
+    return np.float32(unit(np.sqrt(common) * top + np.sqrt(1 - common) * z))
+
+
+def test_recall_with_a_large_common_part(spark):
+    for dims in (64, 256):
+        x = common_part(dims)
+        cos = np.float64(x) @ np.float64(x).T
+        assert 0.78 < cos.mean() < 0.82
+        df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], VEC)
+        got = result(itq.near_duplicates(df))
+        want = (cos >= 0.95).sum(1) - 1
+        assert want.sum() >= 500
+        assert all(got[i][0] <= n for i, n in enumerate(want))
+        assert sum(n for n, _, _ in got.values()) / want.sum() >= 0.98
