@@ -95,6 +95,25 @@ def violations(v, schema: dict, at: str = "$") -> list[str]:
     return out
 
 
+_RULES = {"type", "enum", "const", "minimum", "maximum", "minLength", "maxLength", "minItems", "maxItems", "items", "properties", "required", "additionalProperties"}
+#: Keywords that describe and never reject a value.
+_NOTES = {"title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly", "format", "$schema", "$comment"}
+
+
+def unsupported(schema, at: str = "$") -> list[str]:
+    """What in a schema ``violations`` does not check."""
+    if not isinstance(schema, dict):
+        return [f"{at}: not an object"]
+    out = [f"{at}.{k}" for k in sorted(set(schema) - _RULES - _NOTES)]
+    kinds = schema.get("type", [])
+    out += [f"{at}.type: {k}" for k in ([kinds] if isinstance(kinds, str) else kinds) if k not in {*_TYPES, "number", "integer"}]
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        out.append(f"{at}.additionalProperties: not true or false")
+    for k, x in schema.get("properties", {}).items():
+        out += unsupported(x, f"{at}.properties.{k}")
+    return out + (unsupported(schema["items"], f"{at}.items") if "items" in schema else [])
+
+
 def _parse(text: str):
     """Strict JSON: no NaN, no repeated keys."""
 
@@ -203,7 +222,10 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], in_task
     ``orphan_result``. The first result not before the call is taken. A null conversation or identifier links nothing.
     Dependencies on unknown calls or on itself are errors.
     Rows that repeat a call count as its duplicates; repeated results are counted. Empty tables are fine.
+    A schema with keywords that are not checked raises a ValueError.
     """
+    if bad_schemas := [f"{name}: {x}" for name, schema in schemas.items() for x in unsupported(schema)]:
+        raise ValueError("unsupported in a schema: " + ", ".join(bad_schemas))
     c = calls.select("conv_id", "turn", "seq", "call_id", "name", "arguments", F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on"))
     c = cut_lineage(c).withColumn("no", F.monotonically_increasing_id())  # checkpoint files fix the partitions
     # the smallest number of an identifier is that of its first call

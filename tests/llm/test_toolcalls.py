@@ -115,3 +115,15 @@ def test_empty_tables(spark):
 def test_canonical_json():
     for a, b in (('{"b":1.0,"a":[1e21,1e-7,0.000001,-0.0,1.50,"\\u00e9\\n"]}', '{"a":[1e+21,1e-7,0.000001,0,1.5,"é\\n"],"b":1}'), ('{"\\ud83d\\ude00":1,"\\ufb33":2}', '{"\U0001f600":1,"\ufb33":2}')):
         assert T.canonical(T._parse(a)) == b
+
+
+def test_schemas_with_unchecked_keywords_are_refused(spark):
+    calls, results = spark.createDataFrame([], CALL), spark.createDataFrame([], RESULT)
+    string = {"type": "string"}
+    for schema in ({"pattern": "^a"}, {"exclusiveMinimum": 1}, {"multipleOf": 2}, {"uniqueItems": True}, {"anyOf": [string]}, {"$ref": "#/x"}, {"additionalProperties": string}, {"type": "array", "items": [string]}, {"type": "text"}):
+        for nested in (schema, {"type": "object", "properties": {"a": schema}}, {"type": "array", "items": schema}):
+            with pytest.raises(ValueError, match="unsupported"):
+                T.link(calls, results, {"t": nested})
+    plain = {"type": ["object", "null"], "title": "t", "properties": {"pattern": {"type": "string", "description": "d"}, "anyOf": {"enum": [1, None]}}, "additionalProperties": False}
+    assert T.unsupported(plain) == [] and all(T.unsupported(s) == [] for s in T.TOOLS.values())
+    assert T.link(calls, results, {"t": plain}).count() == 0
