@@ -1,3 +1,4 @@
+import itertools
 import re
 
 from llm_brute import SF1, rows
@@ -16,7 +17,7 @@ def words(t):
 def share(text, item):
     """The best share of equal words in a window along any diagonal."""
     w, best = min(13, len(item)), 0
-    if len(item) < 5:
+    if not item:
         return 0
     for shift in range(-len(item) + 1, len(text)):
         same = [0 <= i + shift < len(text) and item[i] == text[i + shift] for i in range(len(item))]
@@ -54,9 +55,9 @@ def test_substitutions_edges_and_clashing_names(spark):
     items = [(0, item), (1, None), (2, "one two three four"), (3, "five six seven eight nine"), (None, "one two three four five six"), (4, item), (5, item + " sigma tau upsilon phi chi psi omega")]
     df = spark.createDataFrame(docs, DOC).selectExpr("doc_id", "text", "1 as uid", "2 as item", "'x' as words", "0 as share")
     got = {r.doc_id: r.item_ids for r in decontam.contaminated(df, spark.createDataFrame(items, ITEM)).collect()}
-    assert got == {1: [0, 4, 5], 2: [0, 4, 5], 7: [0, 4, 5], None: [0, 4, 5], 8: [0, 4, 5]}
+    assert got == {1: [0, 4, 5], 2: [0, 4, 5], 7: [0, 4, 5], None: [0, 4, 5], 8: [0, 4, 5], 9: [2], 10: [2]}
     left = decontam.drop_contaminated(df, spark.createDataFrame(items, ITEM))
-    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [3, 4, 5, 6, 9, 10]
+    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [3, 4, 5, 6]
 
 
 def test_empty_tables(spark):
@@ -64,3 +65,42 @@ def test_empty_tables(spark):
     assert decontam.contaminated(docs, items).count() == 0
     assert decontam.drop_contaminated(docs, items).count() == 1
     assert decontam.contaminated(spark.createDataFrame([], DOC), spark.createDataFrame([(1, "a b c d e f")], ITEM)).count() == 0
+
+
+def test_masks_cover_every_pattern_of_their_length():
+    for n in range(1, 40):
+        w = min(n, 13)
+        differ = max(k for k in range(w + 1) if (w - k) / w >= 0.8)
+        masks = decontam.masks_of(n)
+        for p in itertools.combinations(range(w), differ):
+            assert any(not {q + x for x in m} & set(p) for m in masks for q in range(w - m[-1])), (n, p)
+    assert decontam.masks_of(13) == decontam.masks_of(200) == decontam.MASKS  # long items have the same masks as before
+    assert decontam.masks_of(0) == ()
+
+
+def test_short_items_with_replaced_words(spark):
+    items = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in range(1, 13)]
+    docs, want = [], {}
+    for n, text in items:
+        w = text.split()
+        differ = max(k for k in range(n + 1) if (n - k) / n >= 0.8)
+        for k in range(differ + 2):
+            for p in itertools.combinations(range(n), k):
+                d = len(docs)
+                docs.append((d, "so " + " ".join("other" if i in p else x for i, x in enumerate(w)) + " then"))
+                if k <= differ:
+                    want[d] = [n]
+    got = {r.doc_id: r.item_ids for r in decontam.contaminated(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM)).collect()}
+    assert got == want
+
+
+def test_a_hash_that_every_text_and_item_holds(spark, monkeypatch):
+    """A template line in all items and texts: the same overlaps with the items' hashes sent out and with salted keys."""
+    line = "question answer the following with one of the given choices"
+    items = [(i, f"{line} item{i} " + " ".join(f"i{i}w{k}" for k in range(12))) for i in range(30)]
+    docs = [(d, f"{line} " + " ".join(f"d{d}w{k}" for k in range(20)) + (" " + items[d % 30][1] if d % 10 == 0 else "")) for d in range(200)]
+    df, it = spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM)
+    want = {d: [d % 30] for d in range(0, 200, 10)}
+    for limit in (300_000, 0):
+        monkeypatch.setattr(decontam, "BROADCAST_SEEDS", limit)
+        assert {r.doc_id: r.item_ids for r in decontam.contaminated(df, it).collect()} == want
