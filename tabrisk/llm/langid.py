@@ -99,17 +99,18 @@ def forward_backward(e: np.ndarray, lengths: np.ndarray, trans: np.ndarray, star
 
 
 def sample(docs: DataFrame, text: str, lang: str, key: str, per_lang: int = DOCS_PER_LANG) -> DataFrame:
-    """At most ``per_lang`` labelled texts a language, the smallest by hash.
+    """``per_lang`` labelled texts of each language, or all where there are fewer, the smallest by hash; rows that repeat a key and its text are one.
 
-    Languages are counted first (without reading texts); rows then pass only if
-    their hash is in the part of the range that holds about four times the
-    sample, so that just a few texts are moved and ordered at any size.
+    The distinct texts of a language are counted first (a sketch, good to about a
+    twentieth, whose size is fixed); rows then pass only if their hash is in the
+    part of the range that holds about eight times the sample, so that just a few
+    texts are moved and ordered at any size.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(key), F.col(text)).alias("h")).where("lang is not null and text is not null")
-    counts = cut_lineage(docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")))
+    counts = cut_lineage(rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")))
     rank = F.shiftrightunsigned("h", 11) / float(1 << 53)  # evenly spread over [0, 1)
-    few = rows.join(broadcast_if_small(counts), "lang").where(rank < F.lit(4.0 * per_lang) / F.col("n"))
-    w = Window.partitionBy("lang").orderBy(rank, "h", F.length("text"), "text")
+    few = rows.join(broadcast_if_small(counts), "lang").where(rank < F.lit(8.0 * per_lang) / F.col("n")).select("lang", "h", "text").distinct()
+    w = Window.partitionBy("lang").orderBy(rank, "h", "text")
     return few.withColumn("r", F.row_number().over(w)).where(F.col("r") <= per_lang).select("lang", "text")
 
 
@@ -224,8 +225,8 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     """``keep``, lang_pred and score for each row, whatever its length.
 
     Null texts and texts without a letter are ``und`` with score 0. Nothing but
-    the text enters a prediction. Repeated rows are labelled each; an empty
-    table stays empty. The model (bounded by the training sample) is broadcast.
+    the text enters a prediction. Repeated rows are labelled each; languages that
+    hold equal shares give the smallest label; an empty table stays empty. The model (bounded by the training sample) is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return append(docs, keep, text, "lang_pred string, score double", lambda: _labeller(shared))

@@ -69,3 +69,34 @@ def test_nothing_to_learn_from(spark):
     assert langid.identify(empty).count() == 0
     got = langid.identify(spark.createDataFrame([(1, "some text", None), (2, None, "en")], DOC)).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)] * 2
+
+
+def test_sample_counts_texts_that_are_there(spark):
+    """A language whose texts are nearly all null, one with few texts, one with many, and a row that is repeated very often."""
+    rows = [(i, f"un texte {i}" if i % 100 == 0 else None, "fr") for i in range(90_000)]
+    rows += [(100_000 + i, f"ein Text {i}", "de") for i in range(20_000)] + [(200_000 + i, f"a text {i}", "en") for i in range(40)]
+    rows += [(300_000, "ein Text", "de")] * 30_000 + [(400_000 + i, f"testo {i}", None) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [(r.lang, r.text) for r in langid.sample(df, "text", "lang", "doc_id").collect()]
+    assert len(got) == len(set(got))
+    assert {x: sum(lang == x for lang, _ in got) for x in ("fr", "de", "en")} == {"fr": 300, "de": 300, "en": 40}
+    # the smallest by hash of all distinct rows, whatever the partitions
+    every = df.where("lang = 'de'").distinct().selectExpr("text", "shiftrightunsigned(xxhash64(doc_id, text), 11) as k").orderBy("k").limit(300)
+    assert {t for lang, t in got if lang == "de"} == {r.text for r in every.collect()}
+
+
+def test_repeated_rows_clashing_columns_and_ties(spark):
+    base = [(i, f"der hund und die katze nummer {i}", "de") for i in range(40)] + [(100 + i, f"the dog and the cat number {i}", "en") for i in range(40)]
+    rows = base + base[:5] * 3 + [(None, "the dog", "en"), (500, None, "de"), (501, "", "en"), (502, "the hund", None)]
+    df = spark.createDataFrame([(*r, "x", 0.5, 1) for r in rows], "doc_id long, text string, lang string, lang_pred string, score double, h long")
+    got = langid.identify(df)
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score"] and got.count() == len(rows)
+    by_id = {}
+    for r in got.collect():
+        by_id.setdefault(r.doc_id, set()).add((r.lang_pred, round(r.score, 12)))
+    assert all(len(v) == 1 for v in by_id.values())
+    assert by_id[500] == by_id[501] == {("und", 0.0)}
+    assert {next(iter(by_id[i]))[0] for i in range(40)} == {"de"} and {next(iter(by_id[100 + i]))[0] for i in range(40)} == {"en"}
+    # equal shares: the smallest label
+    k = langid.Model(["a", "b"], {}, np.zeros((1, 2)), np.zeros((2, 2)), np.zeros(2))
+    assert [r.lang_pred for r in langid.predict(spark.createDataFrame([(1, "word")], "doc_id long, text string"), k, ["doc_id"]).collect()] == ["a"]
