@@ -187,28 +187,31 @@ def quoted(text: str, start: int, end: int) -> bool:
 
 
 def context_features(text: str, words: list[str], hits: list[tuple[int, float, int]]) -> list[float]:
-    """The sums of ``FEATURES`` for hits (word index, weight, edits) of a text; a word that comes again adds nothing."""
+    """The sums of ``FEATURES`` for hits (word index, weight, edits) of a text.
+
+    A word that comes again adds nothing to the sums of the text, nor to a window
+    that it is in already; another window counts it anew.
+    """
     if not hits:
         return [0.0] * len(FEATURES)
     at = {i for i, _, _ in hits}
     spans = {i: m.span() for i, m in enumerate(WORD.finditer(text)) if i in at}
     exact = fuzzy = quote = peak = 0.0
-    open_hits: list[tuple[int, float]] = []
+    window: dict[str, tuple[int, float]] = {}  # the last place of each word and its weight
     seen: set[tuple[str, bool]] = set()
     for i, weight, edits in hits:
-        is_quote = quoted(text, *spans[i])
-        if (words[i], is_quote) in seen:
-            continue
-        seen.add((words[i], is_quote))
+        word, is_quote = words[i], quoted(text, *spans[i])
+        new = (word, is_quote) not in seen
+        seen.add((word, is_quote))
         if is_quote:
-            quote += weight
+            quote += weight * new
             continue
         if edits:
-            fuzzy += weight / (1 + edits)
+            fuzzy += weight / (1 + edits) * new
         else:
-            exact += weight
-        open_hits = [x for x in open_hits if i - x[0] < WINDOW] + [(i, weight / (1 + edits))]
-        peak = max(peak, sum(x[1] for x in open_hits))
+            exact += weight * new
+        window = {w: x for w, x in window.items() if i - x[0] < WINDOW} | {word: (i, weight / (1 + edits))}
+        peak = max(peak, sum(x for _, x in window.values()))
     level = lambda x: x / (1 + x / 12)  # log odds add up, but not without end
     return [level(exact), level(fuzzy), level(quote), level(peak)]
 

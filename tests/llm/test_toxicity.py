@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from llm_brute import crc, rows
 
 from tabrisk.llm import toxicity
@@ -115,3 +117,67 @@ def test_swaps_and_edits_equal_brute_force():
         found += want is not None and want[1] == 2
         assert lexicon.match(w) == want, w
     assert found > 300
+
+
+def brute_features(text, lexicon):
+    """The features by their definition: every window, every word matched by plain edit distance."""
+    text = text.lower()
+    spans = [m.span() for m in toxicity.WORD.finditer(text)]
+    words = [text[a:b] for a, b in spans]
+
+    def distance(a, b):
+        d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1] and a[i - 1] != a[i - 2]:
+                    d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+        return d[-1][-1]
+
+    def best(w):
+        near = [(distance(w, t), -x) for t, x in lexicon.items()]
+        near = [(e, x) for (e, x), t in zip(near, lexicon) if e <= toxicity.limit_of(t)]
+        return min(near, default=None)
+
+    hits = []
+    for k, w in enumerate(words):
+        if (b := best(w)) is not None:
+            a, z = spans[k]
+            line_a, line_z = text.rfind("\n", 0, a) + 1, text.find("\n", z)
+            line_z = len(text) if line_z < 0 else line_z
+            quotes = toxicity.QUOTES
+            hits.append((k, w, -b[1], b[0], len(quotes.findall(text[line_a:a])) % 2 == 1 and quotes.search(text[z:line_z]) is not None))
+    first = {}
+    for h in hits:
+        first.setdefault((h[1], h[4]), h)
+    level = lambda x: x / (1 + x / 12)
+    exact = sum(h[2] for h in first.values() if not h[4] and not h[3])
+    fuzzy = sum(h[2] / (1 + h[3]) for h in first.values() if not h[4] and h[3])
+    quote = sum(h[2] for h in first.values() if h[4])
+    peak = 0.0
+    for h in hits:
+        if not h[4]:
+            inside = {g[1]: g[2] / (1 + g[3]) for g in hits if not g[4] and 0 <= h[0] - g[0] < toxicity.WINDOW}
+            peak = max(peak, sum(inside.values()))
+    return [level(x) for x in (exact, fuzzy, quote, peak)]
+
+
+def test_features_equal_brute_force():
+    weights = {"idiot": 3.0, "stupid": 2.5, "disgusting": 4.0, "vile": 2.0, "rat": 2.2, "worthless": 3.5}
+    lexicon = toxicity.Lexicon(weights, swaps=True)
+    rng = np.random.default_rng(4)
+    terms = list(weights) + ["idoit", "stpuid", "disgvstjng", "wrthless", "vlie", "rats", "idiotic"]
+    texts = []
+    for _ in range(300):
+        w = [str(rng.choice(terms)) if rng.random() < 0.2 else f"w{chr(97 + rng.integers(26))}" for _ in range(rng.integers(0, 60))]
+        texts.append("".join(x + str(rng.choice([" ", " ", " ", '"', "\n", " \u201c", "\u201d "])) for x in w))
+    # scattered first, dense later: the dense passage counts
+    far = " ".join(["idiot", *["so"] * 30, "stupid", *["so"] * 30])
+    texts += [far, far + " idiot stupid", "idiot stupid", "idiot " * 30, '"idiot" idiot', ""]
+    for t in texts:
+        low = t.lower()
+        words = toxicity.WORD.findall(low)
+        got = toxicity.context_features(low, words, [(i, *m) for i, w in enumerate(words) if (m := lexicon.match(w))])
+        assert np.allclose(got, brute_features(t, weights)), t
+    peak = lambda t: brute_features(t, weights)[3]
+    assert peak(far + " idiot stupid") == peak("idiot stupid") > peak(far)
