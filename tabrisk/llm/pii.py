@@ -13,7 +13,7 @@ fails validation is left as it is.
 | kind | pattern | domain that is permuted |
 |---|---|---|
 | email | local@domain.tld | letters and digits of the local part, each within its own class |
-| card | 13-19 digits, single blanks or hyphens between; whole groups of a run of up to 151 digits | all but the check digit, which follows from them |
+| card | 13-19 digits, single blanks or hyphens between; whole groups of a run of any length | all but the check digit, which follows from them |
 | iban | country, 2 check digits, 11-30 letters or digits | digits of the account part; check digits follow |
 | ssn | ddd-dd-dddd with valid area, group and serial | the valid numbers |
 | phone | +c (ddd) ddd-dddd and kin, ddd-ddd-dddd | all digits after the country code |
@@ -56,7 +56,7 @@ PATTERNS = {
     "ip": r"(?<![\p{L}\p{N}.])" + _IP,
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}]|-[0-9])",
     "phone": rf"(?<![\p{{L}}\p{{N}}+])(?:\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})(?:{_GROUPS})|\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}|[0-9]{{3}}([ .-])[0-9]{{3}}\3[0-9]{{4}})(?![\p{{L}}\p{{N}}])",
-    "card": rf"(?<![\p{{L}}\p{{N}}])[0-9](?:(?!{_OTHER})[ -]?[0-9]){{12,150}}(?![\p{{L}}\p{{N}}])",
+    "card": rf"(?<![\p{{L}}\p{{N}}])(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++(?![\p{{L}}\p{{N}}])(?:(?!{_OTHER})[ -][0-9]++(?![\p{{L}}\p{{N}}]))*+",
 }
 ANY = "|".join(PATTERNS.values())
 
@@ -150,12 +150,17 @@ def _card(m: Column, key: str, back: bool = False) -> Column:
     return _fill(m, _let(_digits(m), work))
 
 
+#: Groups of a run whose pieces are gathered at a time.
+CHUNK = 64
+
+
 def _pieces(run: Column) -> Column:
     """A run of digit groups as pieces (v: the text with its leading separator, k: the kind or "").
 
     From left to right, a piece is the longest card number that begins with the
     group (whole groups, 13-19 digits, Luhn), else a phone number of 3, 3 and 4
-    digits, else the group alone.
+    digits, else the group alone. The pieces of ``CHUNK`` groups are gathered at
+    a time, so that long runs do not copy all pieces at each group.
     """
 
     def work(g: Column) -> Column:
@@ -173,14 +178,21 @@ def _pieces(run: Column) -> Column:
             new = _let(F.struct(n.alias("n"), kind.alias("k")), lambda y: F.struct((i + y["n"]).alias("at"), F.concat(x["p"], F.array(F.struct(take(i, y["n"]).alias("v"), y["k"].alias("k")))).alias("p")))
             return F.when(i < x["at"], x).otherwise(new)
 
-        start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<v:string,k:string>>").alias("p"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(g)), start, step, lambda x: x["p"])
+        def chunk(x: Column, first: Column) -> Column:
+            places = F.sequence(first, F.least(first + (CHUNK - 1), F.size(g)))
+            start = F.struct(x["at"].alias("at"), F.array().cast("array<struct<v:string,k:string>>").alias("p"))
+            return _let(F.aggregate(places, start, step), lambda y: F.struct(y["at"].alias("at"), F.concat(x["p"], F.array(y["p"])).alias("p")))
+
+        start = F.struct(F.lit(1).alias("at"), F.array().cast("array<array<struct<v:string,k:string>>>").alias("p"))
+        return F.flatten(F.aggregate(F.sequence(F.lit(1), F.size(g), F.lit(CHUNK)), start, chunk, lambda x: x["p"]))
 
     return _let(F.split(run, "(?<=[0-9])(?=[ -])"), work)
 
 
-#: Bound of the steps until a run falls apart as before (one is enough for nearly all).
+#: Bound of the steps until a run falls apart as before (one is enough for nearly all), and the characters of a
+#: run up to which that is asked for: among many numbers one nearly always gives other pieces by chance.
 WALK = 400
+WALKED = 200
 
 
 def card(m: Column, key: str, back: bool = False) -> Column:
@@ -188,7 +200,9 @@ def card(m: Column, key: str, back: bool = False) -> Column:
 
     New digits may by chance give another piece with those around them, so the
     permutation is repeated until the pieces are the same places again: that keeps
-    it invertible. A value alone takes one step.
+    it invertible. A value alone takes one step. In a run of more than ``WALKED``
+    characters each value takes its pseudonym in one step, as if alone; inverting
+    such a run may read it differently.
     """
     join = lambda p: F.array_join(F.transform(p, lambda y: y["v"]), "")
 
@@ -201,7 +215,8 @@ def card(m: Column, key: str, back: bool = False) -> Column:
 
     def work(p: Column) -> Column:
         start = F.struct(p.alias("p"), (~F.exists(p, lambda y: y["k"] != "")).alias("done"))
-        return join(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step, lambda x: x["p"]))
+        steps = F.when(F.length(m) <= WALKED, WALK).otherwise(1)
+        return join(F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda x: x["p"]))
 
     return _let(_pieces(m), work)
 

@@ -1,6 +1,7 @@
 import datetime
 import re
 
+import numpy as np
 import pytest
 from llm_brute import SF1, rows
 from pyspark.sql import functions as F
@@ -132,3 +133,47 @@ def test_neighbours_hide_no_value(spark):
     new = pii.replace(df, key=KEY, count="n")
     assert [r.text for r in pii.replace(new.drop("n"), key=KEY, back=True).orderBy("doc_id").collect()] == texts + many
     assert all(r.n >= 1 for r in new.collect())
+
+
+def plain_pieces(run):
+    """Python's reading of a run of digit groups: [(text, kind)]."""
+    g, out, i = re.split(r"(?<=[0-9])(?=[ -])", run), [], 0
+    while i < len(g):
+        for n in range(min(19, len(g) - i), 0, -1):
+            d = re.sub("[^0-9]", "", "".join(g[i : i + n]))
+            if 13 <= len(d) <= 19 and luhn(d):
+                out.append(("".join(g[i : i + n]), "card"))
+                break
+        else:
+            n = 3 if re.fullmatch(r"[ -]?[0-9]{3}([ -])[0-9]{3}\1[0-9]{4}", "".join(g[i : i + 3])) else 1
+            out.append(("".join(g[i : i + n]), "phone" if n == 3 else ""))
+        i += n
+    return out
+
+
+def test_runs_of_any_length_lose_no_value(spark):
+    card = "4111 1111 1111 1111"
+    texts = [" ".join(["1234"] * n + [card]) for n in range(30, 45)]
+    texts += [" ".join(["1234"] * n + [card, *["77"] * n, card]) + "." for n in (100, 1000, 5000)]
+    texts += ["12 " * 3000 + card + "x " + card, "9" * 300 + " " + card, card + " " + "9" * 300, card + "-" + "-".join(["55"] * 200) + " 22nd"]
+    rng = np.random.default_rng(8)
+    texts += [" ".join(str(rng.integers(10 ** (k - 1), 10**k)) for k in rng.integers(1, 8, 120)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    whole = re.compile(r"(?<!\w)(?=\d(?:[ -]?\d){12})\d+(?!\w)(?:[ -]\d+(?!\w))*")
+    for r in pii.replace(df, key=KEY, count="n").collect():
+        old = texts[r.doc_id]
+        values = [v for m in whole.finditer(old) for v, k in plain_pieces(m[0]) if k]
+        assert r.n == len(values), (r.doc_id, r.n, values)
+        for v in values:
+            assert v.strip() not in r.text or v.strip() in old.replace(v, "", 1)
+        # all that is no value stays, and each value is a valid one of the same shape (long runs: as the value alone)
+        assert re.sub(r"\d", "0", r.text) == re.sub(r"\d", "0", old)
+        for m in whole.finditer(old):
+            at = m.start()
+            for v, k in plain_pieces(m[0]):
+                new = r.text[at : at + len(v)]
+                assert (new == v) if not k else (luhn(re.sub(r"\D", "", new)) if k == "card" else True), (v, new)
+                at += len(v)
+    alone = pii.replace(spark.createDataFrame([(0, card)], "doc_id int, text string"), key=KEY).first().text
+    long_run = pii.replace(df.where("doc_id = 16"), key=KEY).first().text
+    assert alone in long_run  # linked with the value alone
