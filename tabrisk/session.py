@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +61,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the reliable checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a cluster, once an application (they may not share the driver's path)."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    with zipfile.ZipFile(Path(tempfile.mkdtemp(prefix="tabrisk-")) / "tabrisk_library.zip", "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(z.filename)
+    _shipped.add(sc.applicationId)
