@@ -35,6 +35,8 @@ from .treetable import Node, Tree
 
 #: Numbers of one histogram job (nodes x columns x bins); more nodes go into further jobs.
 HISTOGRAM_CELLS = 4_000_000
+#: Leaves of a tree that a job may at least look ahead for.
+AHEAD = 8
 
 
 @dataclass(frozen=True)
@@ -346,7 +348,7 @@ class _Growing:
             best = max(can, key=lambda i: self.split[i][0])  # the first of the largest
             if self.nodes[best].left < 0:
                 ahead = sorted((i for i in can if self.nodes[i].left < 0), key=lambda i: -self.split[i][0])
-                return chosen, ahead[: self.p.num_leaves - len(leaves)]
+                return chosen, ahead[: max(AHEAD, self.p.num_leaves - len(leaves))]
             chosen.append(best)
             leaves.remove(best)
             leaves += [self.nodes[best].left, self.nodes[best].right]
@@ -435,6 +437,7 @@ class Booster:
 
     def score(self, df: DataFrame, num_iteration: int | None = None, out: str = "scores") -> DataFrame:
         """``df`` with the raw scores (an array) after the first ``num_iteration`` rounds (all)."""
+        ship_package(df.sparkSession)
         some = self.rounds if num_iteration is None else self.rounds[:num_iteration]
         b = self.columns.binned(df, "_x_")
         start, rate, k = self.start, self.params.learning_rate, self.outputs

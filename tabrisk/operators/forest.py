@@ -89,6 +89,7 @@ class Forest:
 
     def votes(self, df: DataFrame, out: str = "votes") -> DataFrame:
         """``df`` with the class that each tree names."""
+        ship_package(df.sparkSession)
         x = inputs(self.features)
         return df.withColumn(out, F.transform(treetable.leaf_values(x, len(self.features), self.trees), lambda v: v.cast("int")))
 

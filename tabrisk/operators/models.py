@@ -56,7 +56,15 @@ def load_fitted(spark, path: str) -> Fitted:
     if info["kind"] == "ordinal":
         return Fitted(info["name"], _ordinal_predict(info), info)
     if info["kind"] == "dummy":
-        return Fitted(info["name"], lambda df: df.withColumn("prediction", F.lit(int(info["majority"]))), info)
+        return Fitted(info["name"], _dummy_predict(info), info)
+    if info["kind"] == "booster":
+        from .boosting import Booster
+
+        return Fitted(info["name"], Booster.load(spark, f"{path}/model").predict, info)
+    if info["kind"] == "forest":
+        from .forest import Forest
+
+        return Fitted(info["name"], Forest.load(spark, f"{path}/model").predict, info)
     raise ValueError(f"unknown model kind: {info['kind']}")
 
 
@@ -182,19 +190,24 @@ def _dummy(train: DataFrame, features, label, weight, params) -> Fitted:
     total, major = sum(counts.values()), min(counts, key=lambda c: (-counts[c], c))
     strategy = params.get("strategy", "most_frequent")
     info = {"kind": "dummy", "name": "dummy", "features": [], "majority": major, "prior": {str(c): n / total for c, n in sorted(counts.items())}, "params": params}
-    if strategy in ("most_frequent", "prior"):
-        return Fitted("dummy", lambda df: df.withColumn("prediction", F.lit(major)), info, _saver(train.sparkSession, info))
-    if strategy != "stratified":
+    if strategy not in ("most_frequent", "prior", "stratified"):
         raise ValueError(f"unknown dummy strategy: {strategy}")
-    u = X.seeded_hash(params["key_cols"], params.get("seed", 42)) / F.lit(float(X.HASH_SIZE))
+    return Fitted("dummy", _dummy_predict(info), info, _saver(train.sparkSession, info))
+
+
+def _dummy_predict(info: dict) -> Callable[[DataFrame], DataFrame]:
+    """The majority class, or with the stratified strategy the class whose part of the shares' sum the row's hash falls in."""
+    if info["params"].get("strategy") != "stratified":
+        return lambda df: df.withColumn("prediction", F.lit(int(info["majority"])))
+    u = X.seeded_hash(info["params"]["key_cols"], info["params"].get("seed", 42)) / F.lit(float(X.HASH_SIZE))
     edges, at = [], 0.0
-    for c in sorted(counts):
-        at += counts[c] / total
+    for c, share in sorted((int(c), share) for c, share in info["prior"].items()):
+        at += share
         edges.append((at, c))
     pick = F.lit(edges[-1][1])
     for edge, c in reversed(edges[:-1]):
         pick = F.when(u < edge, F.lit(c)).otherwise(pick)
-    return Fitted("dummy", lambda df: df.withColumn("prediction", pick.cast("int")), info)
+    return lambda df: df.withColumn("prediction", pick.cast("int"))
 
 
 # Registry key -> fit function (case-insensitive lookup).
@@ -234,3 +247,94 @@ def get_model(key: str) -> Callable:
 def fit_model(key: str, train: DataFrame, features: Sequence[str], label: str, weight: str | None = None,
               params: dict | None = None) -> Fitted:
     return get_model(key)(train, list(features), label, weight, params or {})
+
+
+# ------------------------------------------- trees grown by this library ---
+def _no_bound(depth) -> int:
+    """A depth limit; None and negative numbers mean none."""
+    return 1_000_000 if depth is None or depth < 0 else int(depth)
+
+
+def _boosted(preset: dict):
+    """M5: the booster (M4) under a preset; ``class_weight="balanced"`` weighs classes unless the caller gives weights.
+
+    ``params`` may name ``key_cols`` (integer columns that tell rows apart; needed for sampling and GOSS).
+    """
+
+    def fit(train: DataFrame, features, label, weight, params) -> Fitted:
+        from . import boosting, metrics
+
+        p = {**preset, **params}
+        keys, balanced = p.pop("key_cols", ()), p.pop("class_weight", None) == "balanced"
+        p["max_depth"] = _no_bound(p.get("max_depth", 6))
+        if balanced and weight is None:
+            train, weight = train.join(F.broadcast(metrics.balanced_weights(train, label).select(label, F.col("weight").alias("_balanced"))), label), "_balanced"
+        booster = boosting.fit(train, features, label, boosting.Params(**p), weight=weight, keys=keys)
+        info = {"kind": "booster", "name": "booster", "features": list(features), "params": {**p, "key_cols": list(keys)}}
+        spark = train.sparkSession
+
+        def save(path: str) -> None:
+            booster.save(spark, f"{path}/model")
+            _saver(spark, info)(path)
+
+        return Fitted("booster", booster.predict, info, save)
+
+    return fit
+
+
+def _grown(preset: dict):
+    """M2 / M3: exact trees grown in Spark (one, or a voting forest on bootstrap draws)."""
+
+    def fit(train: DataFrame, features, label, weight, params) -> Fitted:
+        from . import forest
+
+        if weight is not None:
+            raise TypeError("exact trees do not support row weights")
+        p = {**preset, **params}
+        keys = p.pop("key_cols", ())
+        model = forest.fit(train, features, label, forest.Params(**p), keys=keys)
+        info = {"kind": "forest", "name": "forest", "features": list(features), "params": {**p, "key_cols": list(keys)}}
+        spark = train.sparkSession
+
+        def save(path: str) -> None:
+            model.save(spark, f"{path}/model")
+            _saver(spark, info)(path)
+
+        return Fitted("forest", model.predict, info, save)
+
+    return fit
+
+
+_LGBM = {"n_estimators": 300, "learning_rate": 0.05, "num_leaves": 63, "max_depth": None, "min_child_samples": 20, "class_weight": "balanced"}
+#: M5: presets of the booster by name (fixed values).
+PRESETS: dict[str, dict] = {
+    "lgbm": {**_LGBM, "reg_lambda": 0.0},
+    "hgb": {**_LGBM, "reg_lambda": 0.0},
+    "xgb": {"n_estimators": 300, "learning_rate": 0.1, "max_depth": 6, "num_leaves": 64, "min_child_samples": 1, "reg_lambda": 1.0},
+    "lgbm_scratch": {},
+    "xgb_scratch": {},
+    "xgb_scratch_goss": {"use_goss": True},
+    "xgb_scratch_efb": {"use_efb": True},
+    "xgb_scratch_goss_efb": {"use_goss": True, "use_efb": True},
+    "histgb_goss": {"use_goss": True},
+    "histgb_efb": {"use_efb": True},
+    "histgb_goss_efb": {"use_goss": True, "use_efb": True},
+}
+REGISTRY |= {k: _boosted(v) for k, v in PRESETS.items()}
+REGISTRY |= {
+    "decision_tree_exact": _grown({}),
+    "rf_scratch": _grown({"n_estimators": 50, "bootstrap": True}),
+    "xgbrf": _grown({"n_estimators": 300, "max_depth": 8, "bootstrap": True, "max_features": 0.8}),
+}
+_SCRATCH_SPACE = {
+    "n_estimators": [50, 100, 150], "learning_rate": [0.05, 0.1, 0.2], "max_depth": [3, 4, 5], "num_leaves": [15, 31], "min_child_samples": [20, 30, 50],
+    "reg_lambda": [0.1, 1.0, 5.0, 10.0], "reg_alpha": [0.0, 0.1, 0.5, 1.0], "min_split_gain": [0.0, 0.01, 0.1], "subsample": [0.8, 1.0], "colsample_bytree": [0.8, 1.0],
+}
+PARAM_SPACES |= {k: _SCRATCH_SPACE for k in PRESETS}
+PARAM_SPACES |= {
+    "decision_tree_exact": {"max_depth": [3, 5, 10, 15, 20, None], "min_samples_split": [2, 5, 10, 20, 50], "min_samples_leaf": [1, 2, 5, 10, 20], "criterion": ["gini", "entropy"]},
+    "rf_scratch": {
+        "n_estimators": [20, 50, 80, 120], "max_depth": [None, 8, 15, 25, 35], "min_samples_split": [2, 4, 6, 8, 10, 15], "min_samples_leaf": [1, 2, 3, 4, 5, 10],
+        "criterion": ["gini", "entropy"], "max_features": ["sqrt", "log2", 0.5, 0.7, 1.0], "bootstrap": [True, False],
+    },
+}

@@ -7,7 +7,7 @@ last-bit differences do not change the value hash.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 
@@ -1263,16 +1263,18 @@ from ..operators import balance, models  # noqa: E402
 from ..session import cut_lineage  # noqa: E402
 
 
-def _prepared_split(spark, sf, kind: str = "tree", cfg: C.PrepConfig | None = None):
+def _prepared_split(spark, sf, kind: str = "tree", cfg: C.PrepConfig | None = None, keep: Sequence[str] = KEY_LIST):
+    """Training part, test part and features: fitted on the training rows; all rows are transformed and written in one pass."""
     sp = seg_split(spark, sf)
-    raw_tr, raw_te = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    raw_tr = sp.where(F.col("split") == "train")
     if kind == "tree":
         prep = prepare.fit_tree(raw_tr, cfg)
-        tr, te = prepare.transform_tree(raw_tr, prep, KEY_LIST), prepare.transform_tree(raw_te, prep, KEY_LIST)
+        both = prepare.transform_tree(sp, prep, [*keep, "split"])
     else:
         prep = prepare.fit_linear(raw_tr, cfg)
-        tr, te = prepare.transform_linear(raw_tr, prep, KEY_LIST), prepare.transform_linear(raw_te, prep, KEY_LIST)
-    return cut_lineage(tr), cut_lineage(te), prep.feature_cols
+        both = prepare.transform_linear(sp, prep, [*keep, "split"])
+    both = cut_lineage(both)
+    return both.where(F.col("split") == "train").drop("split"), both.where(F.col("split") == "test").drop("split"), prep.feature_cols
 
 
 def _model_eval(spark, sf, key: str, kind: str = "tree", cfg=None, strategy: str = "none", weights=None, params=None):
@@ -1701,3 +1703,6 @@ def q_histogram_boosting(spark, sf):
     s = metrics.summary(metrics.confusion(pred, "risk_class_encoded", "prediction")).collect()[0]
     rows = [(i, float(l), float(s["f2_macro"]), float(s["f1_weighted"])) for i, l in enumerate(losses)]
     return local_df(spark, rows, "round int, train_log_loss double, test_f2_macro double, test_f1_weighted double")
+
+
+from . import catalog_trees  # noqa: E402, F401  (registers the queries of the tree models)

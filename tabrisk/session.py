@@ -67,9 +67,9 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers of a cluster, once an application (they may not share the driver's path)."""
+    """Send this package to the Python workers, once an application (they may not share the driver's path)."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.applicationId in _shipped:
+    if sc.applicationId in _shipped:
         return
     package = Path(__file__).parent
     with zipfile.ZipFile(Path(tempfile.mkdtemp(prefix="tabrisk-")) / "tabrisk_library.zip", "w") as z:

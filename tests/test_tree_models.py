@@ -341,3 +341,35 @@ def test_growth_does_not_depend_on_partitions(spark):
     a, b = (boosting.fit(frame(spark, x, y).repartition(k), FEATURES, "y", p) for k in (1, 9))
     for s, t in itertools.zip_longest(a.rounds[0], b.rounds[0]):
         assert [(n.feature, n.threshold, n.n) for n in s] == [(n.feature, n.threshold, n.n) for n in t]
+
+
+def test_presets_save_and_load(spark, tmp_path):
+    from tabrisk.operators import models
+
+    x, y = table(200)
+    df = frame(spark, x, y).withColumn("y", F.col("y").cast("int"))
+    for key, params in (("lgbm", {}), ("XGB_Scratch_GOSS_EFB", {}), ("histgb_efb", {}), ("decision_tree_exact", {"max_depth": 3}), ("rf_scratch", {"max_depth": 3})):
+        own = {} if "tree" in key else {"n_estimators": 2, "key_cols": ["id"]}
+        f = models.fit_model(key, df, FEATURES, "y", params={**params, **own})
+        f.save(str(tmp_path / key))
+        back = models.load_fitted(spark, str(tmp_path / key))
+        want = [r.prediction for r in f.predict(df).orderBy("id").collect()]
+        assert [r.prediction for r in back.predict(df).orderBy("id").collect()] == want and set(want) <= {0, 1, 2}
+        assert "prediction" in f.predict(df.drop("y")).columns
+    with pytest.raises(TypeError):
+        models.fit_model("rf_scratch", df.withColumn("w", F.lit(1.0)), FEATURES, "y", "w")
+    with pytest.raises(KeyError):
+        models.get_model("nothing")
+
+
+def test_saved_dummy_draws_the_same_classes(spark, tmp_path):
+    from tabrisk.operators import models
+
+    x, y = table(300)
+    df = frame(spark, x, y).withColumn("y", F.col("y").cast("int"))
+    f = models.fit_model("dummy", df, FEATURES, "y", params={"strategy": "stratified", "key_cols": ["id"]})
+    f.save(str(tmp_path / "d"))
+    want = [r.prediction for r in f.predict(df).orderBy("id").collect()]
+    assert [r.prediction for r in models.load_fitted(spark, str(tmp_path / "d")).predict(df).orderBy("id").collect()] == want
+    share = np.bincount(want, minlength=3) / 300
+    assert np.abs(share - np.bincount(y, minlength=3) / 300).max() < 0.1 and len(set(want)) == 3
