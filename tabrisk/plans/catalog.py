@@ -1590,15 +1590,15 @@ def q_tuning_random_search(spark, sf):
     fo = cut_lineage(folds.stratified_folds(raw_tr.drop("split"), "risk_class", HASH_KEYS, KEY_LIST, k=k, repeats=1, seed=SEED))
     preps = prepare.fit_tree_folds(fo, "fold", k)
     parts = {f: cut_lineage(prepare.transform_tree(fo, preps[f], keep=[*KEY_LIST, "repeat", "fold"])) for f in range(k)}
-    cands = experiment.candidates(models.PARAM_SPACES["decision_tree"], 4, SEED)
+    cands = experiment.candidates(models.PARAM_SPACES["decision_tree"], 12, SEED)
+
+    def fit(ci: int, f: int) -> DataFrame:
+        fitted = models.fit_model("decision_tree", parts[f].where(F.col("fold") != f), preps[f].feature_cols, "risk_class_encoded", params=cands[ci])
+        return experiment.fold_predictions(parts[f], fitted, f, f"cand{ci}")
+
     preds = None
-    for ci, params in enumerate(cands):
-        for f in range(k):
-            part = parts[f]
-            fitted = models.fit_model("decision_tree", part.where(F.col("fold") != f), preps[f].feature_cols,
-                                      "risk_class_encoded", params=params)
-            p = experiment.fold_predictions(part, fitted, f, f"cand{ci}")
-            preds = p if preds is None else preds.unionByName(p)
+    for p in experiment.run_concurrently(spark, [lambda ci=ci, f=f: fit(ci, f) for ci in range(len(cands)) for f in range(k)]):
+        preds = p if preds is None else preds.unionByName(p)
     summary = experiment.cv_summary(experiment.cv_fold_metrics(cut_lineage(preds)))
     best = experiment.winner(summary).collect()[0]
     best_params = cands[int(best["model"][4:])]
@@ -1614,22 +1614,10 @@ def q_tuning_random_search(spark, sf):
 
 @register("ablation_feature_groups_tree")
 def q_ablation_feature_groups(spark, sf):
-    """Feature-group ablation (none, each group, all)
-    for the decision tree on the train / test split, with delta vs baseline."""
-    sp = seg_split(spark, sf)
-    raw_tr, raw_te = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
-    configs = {"baseline": [], "G1": ["G1"], "G2": ["G2"], "G3": ["G3"], "G4": ["G4"], "all": ["G1", "G2", "G3", "G4"]}
-    out = None
-    for name, groups in configs.items():
-        prep = prepare.fit_tree(raw_tr, C.PrepConfig(fe_groups=groups))
-        tr, te = prepare.transform_tree(raw_tr, prep), prepare.transform_tree(raw_te, prep)
-        fitted = models.fit_model("decision_tree", tr, prep.feature_cols, "risk_class_encoded", params={"max_depth": 6})
-        s = metrics.summary(metrics.confusion(fitted.predict(te), "risk_class_encoded", "prediction"))
-        s = s.select(F.lit(name).alias("config"), F.lit(len(prep.feature_cols)).alias("n_features"), "f2_macro",
-                     "f1_weighted", "recall_high")
-        out = s if out is None else out.unionByName(s)
-    table = experiment.experiment_table(out, "feature_groups", preparation="tree", model="decision_tree")
-    return rnd(ranking.delta_vs_baseline(table, ["experiment"], "config", "baseline", "f2_macro"))
+    """Feature-group ablation (none, each group, all) for the decision tree on the folds, with
+    the difference to the baseline."""
+    r = ablation.run_grid(_ablation_folds(spark, sf, 3), 3, ablation.feature_configs(params={"max_depth": 6}), KEY_LIST, "feature_groups")
+    return rnd(ranking.delta_vs_baseline(r, ["experiment"], "config", "baseline", "f2_macro_mean"))
 
 
 def _ablation_folds(spark, sf, k: int) -> DataFrame:
@@ -1644,17 +1632,41 @@ def q_ablation_imbalance(spark, sf):
 
 @register("ablation_domain_groups_tree")
 def q_ablation_domain(spark, sf):
-    """Domain feature groups (none, each, all) for the decision tree, with G4 ranks fitted on training rows."""
-    cfgs = [c for c in ablation.domain_configs(params={"max_depth": 8})]
-    for c in cfgs:
-        c.strategy = "balanced"  # the config's own SMOTE is measured by the imbalance ablation
-    return rnd(ablation.run_grid(_ablation_folds(spark, sf, 2), 2, cfgs, KEY_LIST, "domain_groups"))
+    """Domain feature groups (none, each, all) for the decision tree, with G4 ranks and SMOTE fitted on the training rows of each fold."""
+    return rnd(ablation.run_grid(_ablation_folds(spark, sf, 3), 3, ablation.domain_configs(params={"max_depth": 8}), KEY_LIST, "domain_groups"))
 
 
 @register("ablation_clip_quantile_tree")
 def q_ablation_clip(spark, sf):
     """The clipping quantile of the preparation for the decision tree."""
-    return rnd(ablation.run_grid(_ablation_folds(spark, sf, 2), 2, ablation.clip_configs(params={"max_depth": 8}), KEY_LIST, "clip_quantile"))
+    return rnd(ablation.run_grid(_ablation_folds(spark, sf, 3), 3, ablation.clip_configs(params={"max_depth": 8}), KEY_LIST, "clip_quantile"))
+
+
+@register("ablation_booster_penalties")
+def q_ablation_penalties(spark, sf):
+    """L1, L2 and least gain of the booster."""
+    params = {"n_estimators": 4, "learning_rate": 0.3, "num_leaves": 8, "max_bin": 32}
+    return rnd(ablation.run_grid(_ablation_folds(spark, sf, 3), 3, ablation.booster_penalty_configs(params=params), KEY_LIST, "penalties"))
+
+
+@register("ablation_losses")
+def q_ablation_losses(spark, sf):
+    """Squared, Huber, ridge and lasso losses over their parameters."""
+    return rnd(ablation.run_grid(_ablation_folds(spark, sf, 3), 3, ablation.loss_configs(), KEY_LIST, "losses"))
+
+
+@register("ablation_preparation_ridge")
+def q_ablation_preparation(spark, sf):
+    """The eight preparations for the ridge regression; a failing one keeps a row with its error."""
+    return rnd(ablation.run_grid(_ablation_folds(spark, sf, 3), 3, ablation.preparation_configs("ridge_ordinal"), KEY_LIST, "preparation"))
+
+
+@register("ablation_final_configs")
+def q_ablation_final(spark, sf):
+    """Each model with its own preparation and strategy; records are read back from the batch table that grows with each model."""
+    path = sio.scratch_path(spark, "batches")
+    ablation.run_grid(_ablation_folds(spark, sf, 3), 3, ablation.final_configs(), KEY_LIST, "final_configuration", batch_path=path)
+    return rnd(spark.read.parquet(path).drop("batch_group"))
 
 
 @register(

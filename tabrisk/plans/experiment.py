@@ -8,9 +8,11 @@ the sum of the other folds, so nothing is expanded k times.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor, wait
 
-from pyspark.sql import DataFrame, Window
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -101,6 +103,28 @@ def candidates(space: dict[str, list], n_iter: int, seed: int) -> list[dict]:
     return out
 
 
+def run_concurrently(spark: SparkSession, tasks: Sequence[Callable[[], object]], threads: int = 4) -> list:
+    """Results of ``tasks`` (functions that start Spark jobs) in their own order, at most ``threads`` at a time.
+
+    Each thread inherits the caller's job group and local properties and puts its
+    jobs into a pool of its own, which a fair scheduler then shares out. The first
+    error, in task order, is raised after all have ended.
+    """
+    if threads < 1:
+        raise ValueError("at least one thread")
+    if threads == 1 or len(tasks) < 2:
+        return [t() for t in tasks]
+
+    def one(i: int):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{i % threads}")
+        return tasks[i]()
+
+    with ThreadPoolExecutor(threads) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(one), i) for i in range(len(tasks))]
+        wait(futures)
+    return [f.result() for f in futures]
+
+
 def winner(summary: DataFrame, key_col: str = "model") -> DataFrame:
     """Best candidate by (mean F2, mean F1w, mean High recall) desc, then std F2 asc."""
     return summary.orderBy(
