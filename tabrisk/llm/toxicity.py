@@ -3,8 +3,8 @@
 1. Lexicon: over all training documents, words are counted by document and
    label; the ``LEXICON_TERMS`` words with the strongest association with toxic
    documents become terms, weighted by their log odds.
-2. Matching: the terms form a trie; a Levenshtein automaton of the word at hand
-   walks it and finds every term within the edit limit (none for terms under
+2. Matching: the terms form one trie; a Levenshtein automaton of the word at hand
+   walks it (past the branches that an index rules out) and finds every term within the edit limit (none for terms under
    four letters, one under ten, two from there on). Adjacent letters that
    swapped places count as one edit.
 3. Context: hits are summed in windows of ``WINDOW`` words. A hit inside
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -38,6 +38,7 @@ MIN_G = 20.0
 WINDOW = 12
 THRESHOLD = 0.7
 CACHE_WORDS = 400_000
+CACHE_BRANCHES = 20_000
 #: Words of the lexicon counts that a task holds before it passes them on.
 COUNT_WORDS = 200_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -62,33 +63,47 @@ def _mask(word: str) -> int:
     return out
 
 
-def _grow(trie: dict, term: str) -> None:
-    for c in term:
-        trie = trie.setdefault(c, {})
-    trie[""] = term
+def _trie(terms: Iterable[str]) -> dict:
+    """Letter to node below, and "" to the term that ends in a node."""
+    root: dict = {}
+    for t in terms:
+        node = root
+        for c in t:
+            node = node.setdefault(c, {})
+        node[""] = t
+    return root
 
 
 class Lexicon:
-    """Terms with weights; ``match`` gives the best term of a word as (weight, edits). With ``swaps``, adjacent letters that swapped places are one edit, else two.
-
-    A word within k edits of a term keeps one of the term's k + 1 parts whole:
-    the first where it was, the last at the word's end, another moved by k places
-    at most. Only a swap across a cut breaks two parts; so the term is filed once
-    more for each choice of cuts, with the letters around them swapped and that
-    many edits less. Terms with a part in the word whose letters differ from the
-    word's by no more than the edits form a trie, which the automaton walks.
+    """Terms with weights, as one trie; ``match`` gives the best term of a word as (weight, edits). With ``swaps``, adjacent letters that swapped places are one edit, else two.
+
+    A Levenshtein automaton of the word walks the trie. An index tells first which
+    terms a word may be near at all, so that the walk keeps to their branches; it
+    never changes a result (``match(word, filtered=False)`` walks all branches).
+    Terms that may have one edit share with every word near them a form with at
+    most one letter left out (or the other letter, where two swapped places).
+    Terms that may have two keep one of three parts whole: the first where it was,
+    the last at the word's end, the middle one moved by two places at most. Only a
+    swap across a cut breaks two parts; so such a term is filed once more for each
+    choice of cuts, with the letters around them swapped and that many edits less.
     """
 
     def __init__(self, weights: dict[str, float], swaps: bool = False):
         self.weights, self.swaps = weights, swaps
         self.masks = {t: _mask(t) for t in weights}
-        # part (the inner ones with their place) and length of the word to terms
-        self.first: dict[str, dict[int, set[str]]] = {}
-        self.last: dict[str, dict[int, set[str]]] = {}
-        self.inner: dict[tuple[int, str], dict[int, set[str]]] = {}
+        self.trie = _trie(weights)
+        self.branches: dict[tuple[str, ...], dict] = {}  # the trie cut down to sets of terms that words may be near
+        # forms with a letter left out, to the terms; for each length of a word, parts (the inner ones with their place) to the terms
+        self.shorter: dict[str, set[str]] = {}
+        self.first: dict[int, dict[str, set[str]]] = {}
+        self.last: dict[int, dict[str, set[str]]] = {}
+        self.inner: dict[int, dict[tuple[int, str], set[str]]] = {}
         for t in weights:
             n, k = len(t), limit_of(t)
-            if not k:
+            if k == 1:
+                for form in {t, *(t[:i] + t[i + 1 :] for i in range(n))}:
+                    self.shorter.setdefault(form, set()).add(t)
+            if k < 2:
                 continue
             cuts = [n * i // (k + 1) for i in range(k + 2)]
             for crossed in range(k + 1 if swaps else 1):
@@ -98,48 +113,66 @@ class Lexicon:
                         v[c - 1], v[c] = v[c], v[c - 1]
                     self._file(t, "".join(v), cuts, k - crossed)
         self.longest = max((len(t) + limit_of(t) for t in weights), default=0)
-        self.ends = sorted({len(p) for p in [*self.first, *self.last]})
-        self.spots = sorted({(at, len(p)) for at, p in self.inner})
+        self.one = max((len(t) + 1 for t in weights if limit_of(t) == 1), default=0)
+        self.most = max(map(limit_of, weights), default=0)
+        self.widths = {n: (sorted({len(x) for x in self.first[n]}), sorted({len(x) for x in self.last[n]}), sorted({(at, len(x)) for at, x in self.inner[n]})) for n in self.first}
 
     def _file(self, term: str, form: str, cuts: list[int], k: int) -> None:
         parts = [form[a:b] for a, b in zip(cuts, cuts[1:])]
-        places = [self.first.setdefault(parts[0], {}), self.last.setdefault(parts[-1], {})]
-        for at, part in list(zip(cuts, parts))[1:-1]:
-            places += [self.inner.setdefault((at + move, part), {}) for move in range(-k, k + 1)]
-        for place in places:
-            for n in range(len(term) - k, len(term) + k + 1):
-                place.setdefault(n, set()).add(term)
+        for n in range(len(term) - k, len(term) + k + 1):
+            first, last, inner = (x.setdefault(n, {}) for x in (self.first, self.last, self.inner))
+            first.setdefault(parts[0], set()).add(term)
+            last.setdefault(parts[-1], set()).add(term)
+            for at, part in list(zip(cuts, parts))[1:-1]:
+                for move in range(-k, k + 1):
+                    inner.setdefault((at + move, part), set()).add(term)
 
     def may_match(self, word: str) -> list[str]:
         """Terms of which the word may be within the edits; no other term is."""
-        n = len(word)
-        if n > self.longest:
-            return []
-        found: list[str] = []
-        for m in self.ends:
-            if (x := self.first.get(word[:m])) is not None and n in x:
-                found += x[n]
-            if (x := self.last.get(word[-m:])) is not None and n in x:
-                found += x[n]
-        for at, m in self.spots:
-            if (x := self.inner.get((at, word[at : at + m]))) is not None and n in x:
-                found += x[n]
+        n, found = len(word), []
+        if 3 <= n <= self.one:
+            shorter = self.shorter
+            if word in shorter:
+                found += shorter[word]
+            for i in range(n):
+                form = word[:i] + word[i + 1 :]
+                if form in shorter:
+                    found += shorter[form]
+        if n in self.widths:
+            first, last, spots = self.widths[n]
+            table = self.first[n]
+            for m in first:
+                if (part := word[:m]) in table:
+                    found += table[part]
+            table = self.last[n]
+            for m in last:
+                if (part := word[-m:]) in table:
+                    found += table[part]
+            table = self.inner[n]
+            for at, m in spots:
+                if (key := (at, word[at : at + m])) in table:
+                    found += table[key]
         if not found:
             return found
         own = _mask(word)
         return [t for t in set(found) if max((own & ~self.masks[t]).bit_count(), (self.masks[t] & ~own).bit_count()) <= limit_of(t)]
 
-    def match(self, word: str) -> tuple[float, int] | None:
+    def match(self, word: str, filtered: bool = True) -> tuple[float, int] | None:
         """The term with the fewest edits, of those the heaviest."""
         if word in self.weights:
             return self.weights[word], 0
-        near = self.may_match(word)
-        if not near:
-            return None
-        best, trie = None, {}
-        for t in near:
-            _grow(trie, t)
-        for term, edits in self.intersect(word, max(map(limit_of, near)), trie).items():
+        trie, most = self.trie, self.most
+        if filtered:
+            near = tuple(sorted(self.may_match(word)))
+            if not near:
+                return None
+            trie, most = self.branches.get(near), max(map(limit_of, near))
+            if trie is None:
+                if len(self.branches) >= CACHE_BRANCHES:
+                    self.branches = {}
+                trie = self.branches[near] = _trie(near)
+        best = None
+        for term, edits in self.intersect(word, most, trie).items():
             if edits <= limit_of(term) and (best is None or (edits, -self.weights[term]) < (best[1], -best[0])):
                 best = self.weights[term], edits
         return best
@@ -153,6 +186,7 @@ class Lexicon:
         one for the other, or reads two letters in each other's place.
         """
         n, found = len(word), {}
+        letters = [*word, ""]  # the end of the word is read like the end of a term
         todo, seen = [(trie, 0, 0)], set()
         while todo:
             node, i, e = todo.pop()
@@ -162,15 +196,18 @@ class Lexicon:
                     found[t] = min(found.get(t, most + 1), e + n - i)
                 if e < most and (id(node), i, e) not in seen:
                     seen.add((id(node), i, e))
-                    if i < n:
+                    last = e + 1 == most  # what follows the last edit is read by both, or nothing does
+                    here, then = (letters[i], letters[i + 1]) if i < n else ("", "")
+                    if i < n and (not last or then in node):
                         todo.append((node, i + 1, e + 1))
                     for c, below in node.items():
                         if c:
-                            todo.append((below, i, e + 1))
-                            if i < n and c != word[i]:
+                            if not last or here in below:
+                                todo.append((below, i, e + 1))
+                            if i < n and c != here and (not last or then in below):
                                 todo.append((below, i + 1, e + 1))
-                    if self.swaps and i + 1 < n and word[i] != word[i + 1] and word[i] in (below := node.get(word[i + 1], {})):
-                        todo.append((below[word[i]], i + 2, e + 1))
+                    if self.swaps and i + 1 < n and here != then and here in (below := node.get(then, {})) and (not last or letters[i + 2] in below[here]):
+                        todo.append((below[here], i + 2, e + 1))
                 node = node.get(word[i]) if i < n else None
                 if node is None:
                     break

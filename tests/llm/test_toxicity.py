@@ -116,6 +116,7 @@ def test_swaps_and_edits_equal_brute_force():
         want = (-min(near)[1], min(near)[0]) if near else None
         found += want is not None and want[1] == 2
         assert lexicon.match(w) == want, w
+        assert lexicon.match(w, filtered=False) == want, w  # the whole trie walked
     assert found > 300
 
 
