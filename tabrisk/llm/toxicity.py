@@ -37,7 +37,7 @@ MIN_LOG_ODDS = 2.0
 MIN_G = 20.0
 WINDOW = 12
 THRESHOLD = 0.7
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 CACHE_BRANCHES = 20_000
 #: Words of the lexicon counts that a task holds before it passes them on.
 COUNT_WORDS = 200_000
@@ -63,6 +63,26 @@ def _mask(word: str) -> int:
     return out
 
 
+def _may_be_two(word: str, term: str) -> bool:
+    """Whether two edits at most, a swap being one, may part the two. They lie at the ends of what is left without common ends."""
+    n, m = len(word), len(term)
+    i = 0
+    while i < n and i < m and word[i] == term[i]:
+        i += 1
+    while n > i and m > i and word[n - 1] == term[m - 1]:
+        n, m = n - 1, m - 1
+    n, m = n - i, m - i
+    if n < 3 and m < 3:
+        return True
+    w, t = word[i : i + n], term[i : i + m]
+    if not n or not m:
+        return False
+    # what the first and the last edit take off either: one letter of one, one of both, or two that are swapped
+    starts = [(1, 0), (0, 1), (1, 1)] + [(2, 2)] * (w[:2] == t[1::-1])
+    ends = [(1, 0), (0, 1), (1, 1)] + [(2, 2)] * (w[-2:] == t[:-3:-1])
+    return any(n - a - c == m - b - d and w[a : n - c] == t[b : m - d] for a, b in starts for c, d in ends if a + c <= n and b + d <= m)
+
+
 def _trie(terms: Iterable[str]) -> dict:
     """Letter to node below, and "" to the term that ends in a node."""
     root: dict = {}
@@ -86,6 +106,7 @@ class Lexicon:
     the last at the word's end, the middle one moved by two places at most. Only a
     swap across a cut breaks two parts; so such a term is filed once more for each
     choice of cuts, with the letters around them swapped and that many edits less.
+    What the parts find must also be alike between its first and its last difference.
     """
 
     def __init__(self, weights: dict[str, float], swaps: bool = False):
@@ -154,8 +175,14 @@ class Lexicon:
                     found += table[key]
         if not found:
             return found
-        own = _mask(word)
-        return [t for t in set(found) if max((own & ~self.masks[t]).bit_count(), (self.masks[t] & ~own).bit_count()) <= limit_of(t)]
+        own, near = _mask(word), []
+        for t in set(found):
+            letters, k = self.masks[t], limit_of(t)
+            if (own & ~letters).bit_count() > k or (letters & ~own).bit_count() > k:
+                continue
+            if k == 1 or _may_be_two(word, t):
+                near.append(t)
+        return near
 
     def match(self, word: str, filtered: bool = True) -> tuple[float, int] | None:
         """The term with the fewest edits, of those the heaviest."""
@@ -231,13 +258,15 @@ def context_features(text: str, words: list[str], hits: list[tuple[int, float, i
     """
     if not hits:
         return [0.0] * len(FEATURES)
-    at = {i for i, _, _ in hits}
-    spans = {i: m.span() for i, m in enumerate(WORD.finditer(text)) if i in at}
+    spans = {}
+    if QUOTES.search(text):
+        at = {i for i, _, _ in hits}
+        spans = {i: m.span() for i, m in enumerate(WORD.finditer(text)) if i in at}
     exact = fuzzy = quote = peak = 0.0
     window: dict[str, tuple[int, float]] = {}  # the last place of each word and its weight
     seen: set[tuple[str, bool]] = set()
     for i, weight, edits in hits:
-        word, is_quote = words[i], quoted(text, *spans[i])
+        word, is_quote = words[i], bool(spans) and quoted(text, *spans[i])
         new = (word, is_quote) not in seen
         seen.add((word, is_quote))
         if is_quote:
@@ -253,27 +282,33 @@ def context_features(text: str, words: list[str], hits: list[tuple[int, float, i
     return [level(exact), level(fuzzy), level(quote), level(peak)]
 
 
+class _Matches(dict):
+    """Words to their match, looked up in the lexicon when they first come."""
+
+    def __init__(self, lexicon: Lexicon):
+        super().__init__()
+        self.match = lexicon.match
+
+    def __missing__(self, word: str) -> tuple[float, int] | None:
+        self[word] = found = self.match(word)
+        return found
+
+
 def _scanner(shared):
     lexicon: Lexicon = shared.value
-    cache: dict[str, tuple | None] = {}
+    matches = _Matches(lexicon)
 
     def batch(texts: list) -> list[pa.Array]:
-        nonlocal cache
+        nonlocal matches
         out = np.zeros((len(texts), len(FEATURES)))
         for k, t in enumerate(texts):
             if not t:
                 continue
+            if len(matches) > CACHE_WORDS:
+                matches = _Matches(lexicon)
             text = t.decode("utf-8", "replace").lower()
             words = WORD.findall(text)
-            try:
-                got = [cache[w] for w in words]
-            except KeyError:
-                if len(cache) > CACHE_WORDS:
-                    cache = {}
-                for w in words:
-                    if w not in cache:
-                        cache[w] = lexicon.match(w)
-                got = [cache[w] for w in words]
+            got = [matches[w] for w in words]
             if any(got):
                 out[k] = context_features(text, words, [(i, *g) for i, g in enumerate(got) if g])
         return [pa.array(out[:, j]) for j in range(len(FEATURES))]
