@@ -7,6 +7,8 @@ how a scan is split, which may differ from one scan to the next.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.tables import read_table
 
-__all__ = ["ROW_KEY", "append", "broadcast_if_small", "crc_mod", "cut_lineage", "ensure_checkpoint_dir", "prepare", "read_table", "table", "with_row_key"]
+__all__ = ["ROW_KEY", "append", "broadcast_if_small", "crc_mod", "cut_lineage", "ensure_checkpoint_dir", "prepare", "read_table", "release", "table", "with_row_key"]
 
 #: A side of single-long rows up to this many rows (about 16 MB hashed) may be broadcast.
 BROADCAST_ROWS = 500_000
@@ -73,6 +75,15 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def release() -> None:
+    """Give memory that a task no longer uses back to the system: Python workers live on and take tasks of other kinds."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it has
+        pass
+
+
 def append(df: DataFrame, keep: list[str], source: str, fields: str, make: Callable[[], Callable]) -> DataFrame:
     """Columns computed from ``source`` batch by batch in Arrow, beside the columns in ``keep``.
 
@@ -88,5 +99,7 @@ def append(df: DataFrame, keep: list[str], source: str, fields: str, make: Calla
         fn = make()
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *fn(b.column(b.num_columns - 1).to_pylist())], [*b.schema.names[:-1], *names])
+        del fn
+        release()
 
     return src.mapInArrow(run, f"{kept}, {fields}")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, cut_lineage
+from .common import broadcast_if_small, cut_lineage, release
 
 #: Word positions that a mask compares, from its first (five words each).
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6), (0, 2, 3, 5, 6), (0, 1, 4, 6, 8))
@@ -165,6 +165,8 @@ def _regions(shared, masks: list[tuple[int, ...]]):
             if out:
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.schema.field(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], kind)], ["uid", "start", "words", "hits"])
+        del words
+        release()
 
     return run
 
