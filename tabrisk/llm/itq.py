@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import cut_lineage
 from .components import components
-from .simhash import _FOUND, _tile_pairs, _verify
+from .simhash import _FOUND, _tile_pairs, _verify, tile_pairs
 
 THRESHOLD = 0.95
 SAMPLE = 8_192
@@ -201,7 +201,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", embedding: str =
     reps = cut_lineage(good.groupBy("e").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight")).select("node", "weight", F.size("e").alias("dim"), F.col("e").alias("embedding")))
     width = reps.agg(F.max("dim")).first()[0] or 1
 
-    few = reps.orderBy(F.xxhash64("node"), "node").limit(sample).select("embedding").toArrow()
+    # only hashes in the part of the range that holds about four times the sample are put in order
+    place = F.shiftrightunsigned(F.xxhash64("node"), 11) / float(1 << 53)
+    few = reps.where(place < F.lit(4.0 * sample / max(1, reps.count()))).orderBy(F.xxhash64("node"), "node").limit(sample).select("embedding").toArrow()
     x = _unit(_matrix(pa.concat_arrays(few.column(0).chunks) if few.num_rows else pa.array([], pa.list_(pa.float64())), width)) if few.num_rows else np.eye(width)
     mean, proj = learn(x)
     bits = proj.shape[1]
@@ -212,8 +214,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", embedding: str =
 
     keyed = codes.select("fp").distinct().mapInArrow(_table_keys(bits, min(tables, bits)), "key int, fp bigint").repartition(F.col("key")).sortWithinPartitions("key", "fp")
     found = cut_lineage(keyed.mapInArrow(_verify(radius, CODE_TILE), _FOUND).where("members is not null or a is not null"))
-    tiles = found.where("members is not null").select("key", "tile", "members")
-    more = tiles.join(tiles.select("key", F.col("tile").alias("t2"), F.col("members").alias("m2")), "key").where("tile < t2").select("members", "m2").mapInArrow(_tile_pairs(radius), "a bigint, b bigint")
+    more = tile_pairs(found).mapInArrow(_tile_pairs(radius), "a bigint, b bigint")
     cells = components(found.where("a is not null").select("a", "b").unionByName(more)).select(F.col("node").alias("fp"), F.col("root"))
     of = cut_lineage(codes.join(cells, "fp", "left").select("node", F.coalesce("root", "fp").alias("cell")))
 

@@ -13,8 +13,8 @@ together: each pair of segments gives compound keys of 24 bits and one of them
 is shared. Rows meet by key, are verified by XOR and bit count, and each bucket
 gives a spanning forest of its links, never all its pairs.
 
-A bucket of more than ``TILE`` fingerprints is cut into tiles and every two
-tiles of it are compared in another task, so no task holds a whole hot bucket.
+A bucket of more than ``TILE`` fingerprints is cut into tiles; every two tiles
+are a key of their own, so their comparisons are spread over the tasks.
 """
 
 from __future__ import annotations
@@ -243,10 +243,17 @@ def links(distinct: DataFrame, bits: int = MAX_BITS, tile: int = TILE) -> DataFr
         raise ValueError("the segments find up to four differing bits")
     found = distinct.select("fp").mapInArrow(_keys, "key int, fp bigint").repartition(F.col("key")).sortWithinPartitions("key", "fp")
     found = cut_lineage(found.mapInArrow(_verify(bits, tile), _FOUND).where("members is not null or a is not null"))
+    return found.where("a is not null").select("a", "b").unionByName(tile_pairs(found).mapInArrow(_tile_pairs(bits), "a bigint, b bigint"))
+
+
+def tile_pairs(found: DataFrame) -> DataFrame:
+    """Every two tiles (members, members2) of a bucket, each pair a key of its own: the pairs of a hot bucket are spread over tasks."""
     tiles = found.where("members is not null").select("key", "tile", "members")
-    other = tiles.select("key", F.col("tile").alias("tile2"), F.col("members").alias("members2"))
-    pairs = tiles.join(other, "key").where("tile < tile2").select("members", "members2")
-    return found.where("a is not null").select("a", "b").unionByName(pairs.mapInArrow(_tile_pairs(bits), "a bigint, b bigint"))
+    sized = tiles.join(tiles.groupBy("key").agg(F.max("tile").alias("last")), "key")
+    each = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last")))).where("other <> tile")
+    left = each.where("tile < other").select("key", F.col("tile").alias("i"), F.col("other").alias("j"), "members")
+    right = each.where("tile > other").select("key", F.col("other").alias("i"), F.col("tile").alias("j"), F.col("members").alias("members2"))
+    return left.join(right, ["key", "i", "j"]).select("members", "members2")
 
 
 def groups(fps: DataFrame, id_col: str, bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
