@@ -218,7 +218,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], in_task
     set_seq, level, name, errors, n_results, result_turn, status, record.
 
     status: ``ok``; ``invalid`` (errors are listed); ``no_result``; ``early_result`` (all results before
-    the call); ``duplicate`` (an identifier used before in its conversation; it links nothing); ``cycle``;
+    the call; one without a turn counts as after it, whatever its content); ``duplicate`` (an identifier used before in its conversation; it links nothing); ``cycle``;
     ``orphan_result``. The first result not before the call is taken. A null conversation or identifier links nothing.
     Dependencies on unknown calls or on itself are errors.
     Rows that repeat a call count as its duplicates; repeated results are counted. Empty tables are fine.
@@ -250,14 +250,14 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], in_task
 
     r = results.select("conv_id", F.col("turn").alias("r_turn"), "call_id", "content")
     met = heads.join(r, ["conv_id", "call_id"]).withColumn("late", F.coalesce(F.col("r_turn") < F.col("turn"), F.lit(False)))
-    met = met.groupBy("no").agg(F.count(F.lit(1)).alias("n_results"), F.min(F.when(~F.col("late"), F.struct("r_turn", "content"))).alias("r"))
+    met = met.groupBy("no").agg(F.count(F.lit(1)).alias("n_results"), F.min(F.when(~F.col("late"), F.struct("r_turn", "content"))).alias("r"), F.bool_or(~F.col("late")).alias("answered"))
     lost = r.join(heads.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti")
 
     rows = c.join(heads.select("no", F.lit(True).alias("head")), "no", "left").join(bad, "no", "left").join(place, "no", "left").join(levels, "no", "left").join(met, "no", "left")
     rows = rows.select(
         "conv_id", "call_id", "turn", "seq", F.coalesce("set_turn", "turn").alias("set_turn"), F.coalesce("set_seq", "seq").alias("set_seq"), F.coalesce("level", F.lit(0)).cast("long").alias("level"),
         "name", "arguments", "depends_on", F.coalesce("bad", F.array().cast("array<string>")).alias("bad"), F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"),
-        F.col("r.r_turn").alias("result_turn"), F.col("r.content").alias("content"), F.coalesce("head", F.lit(False)).alias("head"), F.col("call_id").isNull().alias("unnamed"),
+        F.col("r.r_turn").alias("result_turn"), F.col("r.content").alias("content"), F.coalesce("answered", F.lit(False)).alias("answered"), F.coalesce("head", F.lit(False)).alias("head"), F.col("call_id").isNull().alias("unnamed"),
     )
     kept = ["conv_id", "call_id", "turn", "seq", "set_turn", "set_seq", "level", "name"]
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema)
@@ -268,7 +268,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], in_task
             for x in b.to_pylist():
                 errors, args = check(x["name"], x["arguments"], schemas)
                 errors = sorted(errors + x["bad"] + ["id: missing"] * x["unnamed"])
-                status = "duplicate" if not x["head"] and not x["unnamed"] else "cycle" if x["level"] < 0 else "invalid" if errors else "early_result" if x["n_results"] and x["content"] is None and x["result_turn"] is None else "ok" if x["n_results"] else "no_result"
+                status = "duplicate" if not x["head"] and not x["unnamed"] else "cycle" if x["level"] < 0 else "invalid" if errors else "early_result" if x["n_results"] and not x["answered"] else "ok" if x["n_results"] else "no_result"
                 body = {"id": x["call_id"], "name": x["name"], "arguments": None, "depends_on": sorted({i for i in x["depends_on"] if i is not None}), "result": x["content"]}
                 text = canonical(body)
                 if args is not None:
@@ -290,7 +290,7 @@ TOOLS: dict[str, dict] = {
 
 
 def derive_messages(conversations: DataFrame) -> DataFrame:
-    """Chat messages with tool calls and results, made of every turn of ``conversations``.
+    """Chat messages with tool calls and results, made of every assistant's turn of ``conversations`` (the others hold no calls).
 
     Each line of an assistant's turn becomes a call; which tool, whether its
     arguments hold to the schema, which neighbour it depends on (so that some

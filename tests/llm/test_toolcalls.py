@@ -127,3 +127,10 @@ def test_schemas_with_unchecked_keywords_are_refused(spark):
     plain = {"type": ["object", "null"], "title": "t", "properties": {"pattern": {"type": "string", "description": "d"}, "anyOf": {"enum": [1, None]}}, "additionalProperties": False}
     assert T.unsupported(plain) == [] and all(T.unsupported(s) == [] for s in T.TOOLS.values())
     assert T.link(calls, results, {"t": plain}).count() == 0
+
+
+def test_result_without_turn_and_content(spark):
+    calls = spark.createDataFrame([(1, 1, 0, "a", "search", '{"query":"x","limit":1}', None), (1, 1, 1, "b", "search", '{"query":"x","limit":1}', None), (1, 5, 0, "c", "search", '{"query":"x","limit":1}', None)], "conv_id long, turn long, seq int, call_id string, name string, arguments string, depends_on array<string>")
+    results = spark.createDataFrame([(1, None, "a", None), (1, 1, "b", None), (1, 4, "c", None)], "conv_id long, turn long, call_id string, content string")
+    got = {r.call_id: (r.status, r.n_results, r.result_turn) for r in T.link(calls, results, T.TOOLS).collect()}
+    assert got == {"a": ("ok", 1, None), "b": ("ok", 1, 1), "c": ("early_result", 1, None)}
