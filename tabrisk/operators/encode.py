@@ -58,9 +58,20 @@ def ordinal_with_order(df: DataFrame, col: str, order: Sequence[str] = C.SOIL_OR
     return df.withColumn(col, code.cast("double"))
 
 
-def fit_onehot(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """T5 fit: sorted categories per column (the output column list lives on the driver)."""
+#: Categories of one column that become columns of their own.
+MAX_CATEGORIES = 1_000
+
+
+def fit_onehot(df: DataFrame, cols: Sequence[str], most: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """T5 fit: sorted categories per column (the output column list lives on the driver).
+
+    A column with more than ``most`` categories is refused before they are
+    collected; :func:`hash_categories` takes such columns.
+    """
     codes = fit_ordinal(df, cols)
+    sizes = {r["feature"]: r["n"] for r in codes.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a column
+    if many := {c: n for c, n in sizes.items() if n > most}:
+        raise ValueError(f"too many categories for columns of their own (at most {most}): {many}")
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in codes.orderBy("feature", "code").collect():
         out[r["feature"]].append(r["value"])
@@ -77,6 +88,13 @@ def apply_onehot(df: DataFrame, categories: dict[str, list[str]], drop_source: b
     return out.drop(*categories.keys()) if drop_source else out
 
 
+def hash_categories(df: DataFrame, cols: Sequence[str], size: int = 1 << 18, out: str = "hashed") -> DataFrame:
+    """T5 for any number of categories: a sparse vector of ``size`` places, a one where a column's value hashes to."""
+    from pyspark.ml.feature import FeatureHasher
+
+    return FeatureHasher(inputCols=list(cols), outputCol=out, numFeatures=size, categoricalCols=list(cols)).transform(df)
+
+
 def fit_robust(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
     """T8 fit: exact median and IQR per column; zero range -> 1."""
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], group_cols)

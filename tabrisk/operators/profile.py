@@ -85,8 +85,9 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str, flag: fl
     )
 
 
-def spearman_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
-    """Spearman rho of each feature with the target on pairwise-complete rows.
+def spearman_target(df: DataFrame, cols: Sequence[str], target: str, top: int = 10) -> DataFrame:
+    """Spearman rho of each feature with the target on pairwise-complete rows, its two-sided p-value, its place by
+    absolute rho (ties by name) and whether that is among the first ``top``.
 
     Rows are counted once by (column, value, target); average ranks (W1b) of
     values and targets come from that table, and rho is the Pearson correlation
@@ -107,7 +108,10 @@ def spearman_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFram
         (F.sum(w * rx * ry) / F.sqrt(F.sum(w * rx * rx) * F.sum(w * ry * ry))).alias("rho"), F.sum(w).alias("n")
     )
     t = F.col("rho") * F.sqrt((F.col("n") - 2) / (1.0 - F.col("rho") * F.col("rho")))
-    return out.withColumn("t_stat", t).withColumn("abs_rho", F.abs("rho"))
+    out = cut_lineage(out.withColumn("t_stat", t).withColumn("abs_rho", F.abs("rho")))  # a row a feature
+    p = X.student_t_two_sided(F.col("t_stat"), F.col("n") - 2)
+    place = F.row_number().over(Window.orderBy(F.desc_nulls_last("abs_rho"), "feature"))
+    return out.withColumn("p_value", p).withColumn("place", place).withColumn("in_top", (F.col("place") <= top).cast("int"))
 
 
 def crosstab(df: DataFrame, row: str, colname: str, normalize: str = "index") -> DataFrame:

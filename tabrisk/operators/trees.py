@@ -300,16 +300,3 @@ def predict_trees(df: DataFrame, trees_list, n_classes: int, init: list[float],
         scores[c] = scores[c] + F.lit(learning_rate) * _value_expr(splits, leaves)
     arr = F.array(*scores)
     return df.withColumn("prediction", (F.array_position(arr, F.array_max(arr)) - 1).cast("int"))
-
-
-def boost_stumps(binned: DataFrame, feature_bins: Sequence[str], label: str, n_classes: int, rounds: int = 10,
-                 learning_rate: float = 0.3, reg_lambda: float = 1.0, reg_alpha: float = 0.0,
-                 min_child_samples: int = 20, checkpoint_every: int = 3):
-    """Depth-1 variant of :func:`boost_trees` (returns trees, losses, scored rows)."""
-    t, losses, d, _ = boost_trees(binned, feature_bins, label, n_classes, rounds, learning_rate, 1, reg_lambda,
-                                  reg_alpha, min_child_samples, 0.0, checkpoint_every)
-    return t, losses, d
-
-
-def predict_stumps(df: DataFrame, trees_list, n_classes: int, init: list[float], learning_rate: float) -> DataFrame:
-    return predict_trees(df, trees_list, n_classes, init, learning_rate)

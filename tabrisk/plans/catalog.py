@@ -233,9 +233,12 @@ def q_target_correlation(spark, sf):
     + "), r AS (SELECT feature, "
     "rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0e0 AS rx, "
     "rank() OVER (PARTITION BY feature ORDER BY y) + (count(*) OVER (PARTITION BY feature, y) - 1) / 2.0e0 AS ry FROM l) "
-    "SELECT feature, round(corr(rx, ry), 6) AS rho, count(*) AS n, "
-    "round(corr(rx, ry) * sqrt((count(*) - 2) / (1.0e0 - corr(rx, ry) * corr(rx, ry))), 6) AS t_stat, "
-    "round(abs(corr(rx, ry)), 6) AS abs_rho FROM r GROUP BY feature",
+    ", s AS (SELECT feature, corr(rx, ry) AS rho, count(*) AS n, corr(rx, ry) * sqrt((count(*) - 2) / (1.0e0 - corr(rx, ry) * corr(rx, ry))) AS t FROM r GROUP BY feature), "
+    # the tail of the t density by Simpson's rule over 4000 intervals of [0, |t|]
+    "w AS (SELECT feature, i, abs(t) * i / 4000.0e0 AS u, n - 2 AS v, abs(t) / 4000.0e0 AS h FROM s, range(4001) q(i)), "
+    "p AS (SELECT feature, 1 - 2 * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * h / 3 * exp(lgamma((v + 1) / 2.0e0) - lgamma(v / 2.0e0) - 0.5e0 * ln(pi() * v) - (v + 1) / 2.0e0 * ln(1 + u * u / v))) AS p FROM w GROUP BY feature) "
+    "SELECT feature, round(rho, 6) AS rho, n, round(t, 6) AS t_stat, round(abs(rho), 6) AS abs_rho, round(greatest(p, 0.0e0), 6) + 0.0e0 AS p_value, "
+    "CAST(row_number() OVER (ORDER BY abs(rho) DESC, feature) AS INTEGER) AS place, 1 AS in_top FROM s JOIN p USING (feature)",
 )
 def q_spearman_target(spark, sf):
     return rnd(profile.spearman_target(seg_clean(spark, sf), NUM, "risk_class_encoded"))
@@ -1393,7 +1396,11 @@ def q_knn_embeddings(spark, sf):
     return rnd(nn.select("label", "id", "nn_id", "dist", F.col("nn_rank").cast("int")))
 
 
-@register("smote_embeddings_class_counts")
+@register(
+    "smote_embeddings_class_counts",
+    "WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label) "
+    "SELECT label, CAST(max(n) OVER () AS BIGINT) AS n, CAST(max(n) OVER () - n AS BIGINT) AS n_synthetic FROM c",
+)
 def q_smote_embeddings(spark, sf):
     """SMOTE on the embeddings up to the majority label count."""
     out = balance.smote(_embeddings(spark, sf), "vec_id", "vec", "label", k=5, seed=SEED)
@@ -1717,4 +1724,105 @@ def q_histogram_boosting(spark, sf):
     return local_df(spark, rows, "round int, train_log_loss double, test_f2_macro double, test_f1_weighted double")
 
 
+# ------------------------------------------------- nested report, given models ---
+from ..sources import report  # noqa: E402
+
+_REPORT_SQL = (
+    _per_class_sql("land_use")
+    + ", s AS (SELECT land_use, avg(f2) AS f2_macro, sum(recall * support) / sum(support) AS accuracy FROM pcf GROUP BY land_use), "
+    "line AS (SELECT land_use, label, list(n ORDER BY prediction) AS l FROM cm GROUP BY ALL) "
+    "SELECT 'rules' AS run, land_use AS model, label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, round(f2, 6) AS f2, round(support, 6) AS support, "
+    "round(f2_macro, 6) AS f2_macro, round(accuracy, 6) AS accuracy, l[1] AS as_low, l[2] AS as_medium, l[3] AS as_high "
+    "FROM pcf JOIN s USING (land_use) JOIN line USING (land_use, label)"
+)
+
+
+@register("nested_report_roundtrip", _REPORT_SQL)
+def q_nested_report(spark, sf):
+    """The run's JSON document (a map from model to metrics, classes and matrix) written, read back and laid out; each land use stands for a model."""
+    path = report.write_report(report.nested_report(rule_predictions(spark, sf), "land_use", "risk_class_encoded", "prediction", "rules"), sio.scratch_path(spark, "report"))
+    rows = report.report_rows(report.read_report(spark, path))
+    m = [F.element_at("metrics", c).alias(c) for c in ("f2_macro", "accuracy")]
+    return rnd(rows.select("run", "model", "label", "precision", "recall", "f1", "f2", "support", *m, *[F.get("line", F.lit(i)).alias(f"as_{n}") for i, n in enumerate(("low", "medium", "high"))]))
+
+
+#: Coefficients of the imputed numeric features, intercept and thresholds of four ordinal models (M6-M9), as given.
+GIVEN_MODELS = {
+    "linear": ([-0.004, 0.01, -0.0005, 0.02, 0.001], 0.1, 0.7, 1.4),
+    "ridge": ([-0.003, 0.02, -0.0004, 0.018, 0.002], 0.2, 0.8, 1.5),
+    "lasso": ([0.0, 0.0, -0.0003, 0.021, 0.0], 0.05, 0.6, 1.3),
+    "huber": ([-0.002, 0.015, -0.0006, 0.019, 0.0015], 0.15, 0.75, 1.45),
+}
+
+
+def _given_sql() -> str:
+    score = lambda w, b: f"({b}e0 + " + " + ".join(f"{x}e0 * {c}" for x, c in zip(w, NUM)) + ")"
+    parts = _union_sql([
+        f"SELECT '{k}' AS model, risk_class_encoded AS label, {score(w, b)} AS s, CASE WHEN {score(w, b)} >= {t2}e0 THEN 2 WHEN {score(w, b)} >= {t1}e0 THEN 1 ELSE 0 END AS prediction FROM imp"
+        for k, (w, b, t1, t2) in GIVEN_MODELS.items()
+    ])
+    return f"{_imputed_sql_cte()}, m AS ({parts}) SELECT model, CAST(label AS INTEGER) AS label, CAST(prediction AS INTEGER) AS prediction, count(*) AS n, round(avg(s), 6) AS mean_score FROM m GROUP BY ALL"
+
+
+@register("ordinal_scores_given_coefficients", _given_sql())
+def q_ordinal_given(spark, sf):
+    """M6-M9 / P25: scores and classes of ordinal models with given coefficients, through the models' own prediction."""
+    d, out = seg_imputed(spark, sf), None
+    for k, (w, b, t1, t2) in GIVEN_MODELS.items():
+        info = {"intercept": b, "coef": w, "features": NUM, "t1": t1, "t2": t2}
+        s = F.lit(b) + sum((F.lit(x) * F.col(c) for x, c in zip(w, NUM)), F.lit(0.0))
+        p = models._ordinal_predict(info)(d.withColumn("s", s)).select(F.lit(k).alias("model"), F.col("risk_class_encoded").alias("label"), "prediction", "s")
+        out = p if out is None else out.unionByName(p)
+    return rnd(out.groupBy("model", "label", "prediction").agg(F.count(F.lit(1)).alias("n"), F.avg("s").alias("mean_score")))
+
+
+def _linear_fixed_sql() -> str:
+    """The linear preparation without skew transforms: fitted on the training rows, applied to the test rows."""
+    split = _split_sql()
+    split = split[: split.rindex("SELECT " + KEYS)]
+    keys = ", ".join("lab." + k.strip() for k in KEYS.split(","))
+    meds = ", ".join(f"quantile_cont({c}, 0.5) AS med_{i}" for i, c in enumerate(NUM))
+    clip = "CASE WHEN storm_drain_proximity_m > clip_upper THEN clip_upper ELSE storm_drain_proximity_m END"
+    num = ", ".join(f"coalesce({c}, med_{i}) AS {c}" for i, c in enumerate(NUM))
+    hot = ", ".join(f"CASE WHEN coalesce({c}, 'Unknown') = '{v}' THEN 1.0e0 ELSE 0.0e0 END AS {c}_{v}" for c, vs in OHE_DOMAINS.items() for v in vs)
+    soil = "CAST((CASE coalesce(soil_group, 'Unknown') " + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(C.SOIL_ORDER)) + " ELSE -1 END) AS DOUBLE) AS soil_group"
+    cols = [*NUM, "soil_group", *[f"{c}_{v}" for c, vs in OHE_DOMAINS.items() for v in vs]]
+    stats = ", ".join(f"quantile_cont({c}, 0.5) AS m{i}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS r{i}" for i, c in enumerate(cols))
+    scaled = ", ".join(f"round(({c} - m{i}) / CASE WHEN r{i} = 0 THEN 1.0e0 ELSE r{i} END, 6) AS {c}" for i, c in enumerate(cols))
+    return (
+        split + ", sp AS (SELECT " + KEYS + ", CASE WHEN rk < q THEN 'test' ELSE 'train' END AS split FROM ranked JOIN quota USING (risk_class)), "
+        f"j AS (SELECT lab.*, sp.split FROM lab JOIN sp USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)), "
+        f"q0 AS (SELECT {meds} FROM j WHERE split = 'train'), q1 AS (SELECT quantile_cont(coalesce(storm_drain_proximity_m, med_2), 0.95) AS clip_upper FROM j, q0 WHERE split = 'train'), "
+        f"im AS (SELECT {KEYS}, split, risk_class, risk_class_encoded, latitude, longitude, {num}, {hot}, {soil}, clip_upper FROM j, q0, q1), "
+        f"cl AS (SELECT * REPLACE ({clip} AS storm_drain_proximity_m) FROM im), st AS (SELECT {stats} FROM cl WHERE split = 'train') "
+        f"SELECT {KEYS}, {scaled}, risk_class, risk_class_encoded, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM cl, st WHERE split = 'test'"
+    )
+
+
+@register("linear_preparation_no_skew", _linear_fixed_sql())
+def q_linear_preparation_no_skew(spark, sf):
+    """T9 without skew transforms: medians, clip, soil order, one-hot and robust scale fitted on the training rows, applied to the test rows."""
+    sp = seg_split(spark, sf)
+    prep = prepare.fit_linear(sp.where(F.col("split") == "train"), C.PrepConfig(fe_groups=[], use_skew=False))
+    return rnd(prepare.transform_linear(sp.where(F.col("split") == "test"), prep, KEY_LIST))
+
+
+@register("model_dummy_stratified_counts", _split_sql().replace(
+    f"SELECT {KEYS}, ranked.risk_class, CASE WHEN rk < q THEN 'test' ELSE 'train' END AS split FROM ranked JOIN quota USING (risk_class)",
+    f", sp AS (SELECT {KEYS}, CASE WHEN rk < q THEN 'test' ELSE 'train' END AS split FROM ranked JOIN quota USING (risk_class)), "
+    "j AS (SELECT lab.*, sp.split FROM lab JOIN sp USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)), "
+    "c AS (SELECT avg(CASE WHEN risk_class_encoded = 0 THEN 1.0e0 ELSE 0.0e0 END) AS p0, avg(CASE WHEN risk_class_encoded <= 1 THEN 1.0e0 ELSE 0.0e0 END) AS p1 FROM j WHERE split = 'train'), "
+    f"u AS (SELECT j.*, {hash_sql(HASH_KEYS, SEED)} / 4294967296.0e0 AS u FROM j WHERE split = 'test') "
+    "SELECT CAST(CASE WHEN u < p0 THEN 0 WHEN u < p1 THEN 1 ELSE 2 END AS INTEGER) AS prediction, CAST(risk_class_encoded AS INTEGER) AS label, count(*) AS n FROM u, c GROUP BY ALL",
+))
+def q_dummy_stratified(spark, sf):
+    """M1: the stratified dummy, saved and loaded: classes drawn by the shares of the training rows."""
+    sp = seg_split(spark, sf)
+    f = models.fit_model("dummy", sp.where(F.col("split") == "train"), [], "risk_class_encoded", params={"strategy": "stratified", "key_cols": HASH_KEYS, "seed": SEED})
+    path = sio.scratch_path(spark, "dummy")
+    f.save(path)
+    p = models.load_fitted(spark, path).predict(sp.where(F.col("split") == "test"))
+    return p.groupBy("prediction", F.col("risk_class_encoded").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
 from . import catalog_trees  # noqa: E402, F401  (registers the queries of the tree models)

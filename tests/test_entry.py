@@ -1,5 +1,8 @@
 import importlib.util
 import os
+import sys
+
+import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -23,3 +26,12 @@ def test_contract_keys():
     q, o = mod.queries(), mod.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 80
+
+
+def test_missing_dependency_leaves_the_other_queries(monkeypatch):
+    for name in [m for m in sys.modules if m.startswith("tabrisk.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    with pytest.warns(UserWarning, match="left out"):
+        mod = _entry()
+    assert "class_distribution" in mod.queries() and not [k for k in mod.queries() if k.startswith("op") and k[2].isdigit()]

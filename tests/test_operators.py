@@ -259,7 +259,7 @@ def test_boosting_loss_decreases(spark):
     y = np.where(x < 3, 0, np.where(x < 6, 1, 2))
     y[rng.random(600) < 0.1] = 0
     df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(x, y)], "x_bin int, y int")
-    _, losses, _ = trees.boost_stumps(df, ["x_bin"], "y", 3, rounds=4, learning_rate=0.5)
+    _, losses, _, _ = trees.boost_trees(df, ["x_bin"], "y", 3, rounds=4, learning_rate=0.5, max_depth=1)
     assert all(b < a for a, b in zip(losses, losses[1:]))
 
 
