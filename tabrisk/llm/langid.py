@@ -30,8 +30,8 @@ DOCS_PER_LANG = 300
 SEQS_PER_LANG = 500
 SEQ_WORDS = 40
 #: Words whose forward-backward runs at once; bounds the memory of a task.
-FLUSH_WORDS = 600_000
-CACHE_WORDS = 400_000
+FLUSH_WORDS = 200_000
+CACHE_WORDS = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
