@@ -23,6 +23,7 @@ and joins them.
 from __future__ import annotations
 
 import base64
+import copy
 import hashlib
 import re
 from array import array
@@ -39,7 +40,7 @@ from .common import ROW_KEY, append, with_row_key
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CHUNK = 32_768
 OVERLAP = 1_024
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -84,7 +85,7 @@ def compile_pattern(pattern: str) -> Callable[[str], re.Pattern]:
 
 
 class Codec:
-    """Encodes and decodes with one vocabulary; made once a task from the file's path."""
+    """Encodes and decodes with one vocabulary; made once a process from the file's path."""
 
     _made: dict[tuple, Codec] = {}
 
@@ -99,10 +100,12 @@ class Codec:
 
     @classmethod
     def of(cls, path: str, pattern: str) -> Codec:
-        """The process's codec of that file (Python workers are used again by later tasks)."""
+        """The process's codec of that file (Python workers are used again by later tasks), with a cache of its own that goes with the task."""
         if (path, pattern) not in cls._made:
             cls._made = {(path, pattern): cls(path, pattern)}
-        return cls._made[path, pattern]
+        codec = copy.copy(cls._made[path, pattern])
+        codec.cache = {}
+        return codec
 
     def split(self, text: str) -> list[str]:
         return self.pattern(text).findall(text)
@@ -169,8 +172,9 @@ def _points(path: str, pattern: str, chunk: int, overlap: int):
 
 
 def _encode_pieces(path: str, pattern: str):
+    codec = Codec.of(path, pattern)
+
     def batch(texts: list) -> list[pa.Array]:
-        codec = Codec.of(path, pattern)
         ids = [codec.encode(t.decode("utf-8", "replace")) for t in texts]
         return [pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.binary())]
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.tables import read_table
 
-__all__ = ["ROW_KEY", "append", "broadcast_if_small", "crc_mod", "cut_lineage", "ensure_checkpoint_dir", "prepare", "read_table", "release", "table", "with_row_key"]
+__all__ = ["ROW_KEY", "append", "broadcast_if_small", "crc_mod", "cut_lineage", "ensure_checkpoint_dir", "prepare", "read_table", "release", "slices", "table", "with_row_key"]
 
 #: A side of single-long rows up to this many rows (about 16 MB hashed) may be broadcast.
 BROADCAST_ROWS = 500_000
@@ -75,6 +75,15 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+#: Rows of an Arrow batch that are Python objects at a time.
+SLICE = 1_000
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most ``SLICE`` rows."""
+    return (batch.slice(a, SLICE) for a in range(0, batch.num_rows, SLICE))
+
+
 def release() -> None:
     """Give memory that a task no longer uses back to the system: Python workers live on and take tasks of other kinds."""
     gc.collect()
@@ -97,8 +106,9 @@ def append(df: DataFrame, keep: list[str], source: str, fields: str, make: Calla
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *fn(b.column(b.num_columns - 1).to_pylist())], [*b.schema.names[:-1], *names])
+        for whole in batches:
+            for b in slices(whole):
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], *fn(b.column(b.num_columns - 1).to_pylist())], [*b.schema.names[:-1], *names])
         del fn
         release()
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import append, broadcast_if_small, crc_mod, cut_lineage, release
+from .common import append, broadcast_if_small, crc_mod, cut_lineage, release, slices
 
 UNKNOWN = "und"
 #: Bounds of the training sample.
@@ -256,7 +256,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = _labeller(shared)
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             lang_pred, score = label(b.column(at).cast(pa.binary()).to_pylist())
             ok = [x != UNKNOWN and s >= least for x, s in zip(lang_pred.to_pylist(), score.to_pylist())]
             yield b.filter(pa.array(ok, pa.bool_()))
