@@ -33,7 +33,7 @@ from .common import cut_lineage
 
 K = 20
 #: Vertices of a shard: bounds the memory of a task that builds or searches a graph.
-SHARD = 8_192
+SHARD = 16_384
 #: Neighbours of a vertex in the upper layers; the ground layer has twice as many slots.
 M = 16
 #: Candidates that the beam keeps while a vertex is inserted, and while a query is answered.
