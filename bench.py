@@ -33,6 +33,7 @@ HEADLINE = [
     "model_decision_tree_test_metrics",
     "knn_embeddings_within_label",
     "smote_embeddings_class_counts",
+    "booster_first_round",
 ]
 
 
