@@ -171,6 +171,41 @@ def test_knn_in_blocks_with_ties_copies_and_a_small_class(spark, dims, block):
             assert np.allclose([x[2] for x in sorted(got[i])], [d for d, _ in want], atol=1e-9)
 
 
+def test_knn_looks_at_few_rows_in_a_plane_whatever_their_spread_along_it(spark):
+    """A narrow band across the diagonal: all rows have the same projection, which left every block in reach of every other."""
+    n, block = 2000, 50
+    rng = np.random.default_rng(3)
+    t = rng.random(n)
+    pts = np.stack([t, -t], 1) + rng.normal(scale=1e-4, size=(n, 2))
+    df = spark.createDataFrame([(i, 0, [float(a) for a in p]) for i, p in enumerate(pts)], "id long, c int, v array<double>")
+    seen = []
+    nearest = balance._nearest
+
+    def counted(q_ids, q, p_ids, p, k):
+        seen.append(len(q) * len(p))
+        return nearest(q_ids, q, p_ids, p, k)
+
+    trees = balance._thresholds(pts, block)
+    place = balance._place(pts, trees)
+    assert len(set(place)) >= n / block and max(np.bincount(place)) <= block
+    leaves = balance._Leaves(np.arange(n), pts, block)
+    assert sorted(np.concatenate(leaves.rows)) == list(range(n))
+    balance._nearest = counted
+    try:
+        dist, ids = balance._empty(n, 3)
+        for rows in leaves.rows:
+            d, i = balance._empty(len(rows), 3)
+            balance._search(rows, pts[rows], leaves, 3, d, i, np.full(len(rows), np.inf))
+            dist[rows], ids[rows] = d, i
+    finally:
+        balance._nearest = nearest
+    assert sum(seen) < n * block * 3  # one leaf a row and part of its neighbours, not n * n
+    got = {(r["id"], r["nn_rank"]): (r["nn_id"], r["dist"]) for r in balance.knn_within_class(df, "id", "v", "c", 3, block=200, leaf=50).collect()}
+    for i in range(0, n, 37):
+        want = sorted((float(np.sqrt(((pts[j] - pts[i]) ** 2).sum())), j) for j in range(n) if j != i)[:3]
+        assert [got[i, r][0] for r in range(3)] == [j for _, j in want] == ids[i].tolist()
+
+
 def test_smote_balances_and_interpolates(spark):
     rng = np.random.default_rng(4)
     rows = [(i, 0 if i < 40 else 1, [float(x) for x in rng.normal(size=3)]) for i in range(52)]
