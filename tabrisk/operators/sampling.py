@@ -21,6 +21,8 @@ from .order import hashed_positions
 BITS, DIGIT = 60, 15
 #: Rows of one group up to which the cut is taken from the sorted values themselves.
 FEW = 20_000
+#: Draws of one task, and trees up to which a position's draws are counted in a column a tree.
+DRAWS_A_TASK, FEW_TREES = 4_000_000, 16
 
 
 def wide_hash(keys: Sequence[str | Column], seed: int, *more: int) -> Column:
@@ -86,10 +88,16 @@ def bootstrap(df: DataFrame, keys: Sequence[str], trees: int, seed: int, out: st
     if not n:
         return df.withColumn(out, F.array().cast("array<int>"))
     placed = hashed_positions(df.withColumn("_h", wide_hash(keys, seed)), "_h", BITS, keys, [], "_pos")
-    draws = df.sparkSession.range(n * trees).select((F.col("id") / F.lit(n)).cast("long").alias("t"), (F.col("id") % n).alias("j"))
+    # tasks of a few million draws, each draw shuffled once: both counts find theirs in place by position, and so does the join
+    draws = df.sparkSession.range(0, n * trees, 1, max(df.sparkSession.sparkContext.defaultParallelism, -(-n * trees // DRAWS_A_TASK)))
+    draws = draws.select((F.col("id") / F.lit(n)).cast("long").alias("t"), (F.col("id") % n).alias("j"))
     at = wide_hash(["t", "j"], seed) % n
-    counts = draws.select("t", at.alias("_pos")).groupBy("_pos", "t").agg(F.count(F.lit(1)).cast("int").alias("c"))
-    by_row = counts.groupBy("_pos").agg(F.map_from_entries(F.collect_list(F.struct(F.col("t").cast("int"), "c"))).alias("_c"))
+    draws = draws.select(F.col("t").cast("int").alias("t"), at.alias("_pos")).repartition("_pos")
+    if trees <= FEW_TREES:
+        by_row = draws.groupBy("_pos").agg(*[F.count_if(F.col("t") == t).cast("int").alias(f"_c{t}") for t in range(trees)])
+        return placed.join(by_row, "_pos", "left").withColumn(out, F.array(*[F.coalesce(F.col(f"_c{t}"), F.lit(0)) for t in range(trees)])).drop("_h", "_pos", *[f"_c{t}" for t in range(trees)])
+    counts = draws.groupBy("_pos", "t").agg(F.count(F.lit(1)).cast("int").alias("c"))
+    by_row = counts.groupBy("_pos").agg(F.map_from_entries(F.collect_list(F.struct("t", "c"))).alias("_c"))
     weights = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.coalesce(F.try_element_at(F.col("_c"), t), F.lit(0)))
     return placed.join(by_row, "_pos", "left").withColumn(out, F.coalesce(F.when(F.col("_c").isNotNull(), weights), F.array_repeat(F.lit(0), trees))).drop("_h", "_pos", "_c")
 

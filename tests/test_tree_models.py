@@ -236,6 +236,22 @@ def test_draws_are_exact(spark):
     assert sampling.bootstrap(df.limit(0), ["k"], 3, 7).count() == 0
 
 
+def test_bootstrap_moves_each_draw_once(spark, monkeypatch):
+    df = spark.range(300).select(F.col("id").alias("k"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    w = sampling.bootstrap(df, ["k"], 3, 7)
+    # rows by place and by position, draws by position; the draws were shuffled by position and tree too
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 3
+    few = {r.k: r.weights for r in w.collect()}
+    monkeypatch.setattr(sampling, "FEW_TREES", 0)
+    monkeypatch.setattr(sampling, "DRAWS_A_TASK", 100)
+    many = {r.k: r.weights for r in sampling.bootstrap(df, ["k"], 3, 7).collect()}
+    assert few == many and [sum(x) for x in zip(*few.values())] == [300] * 3
+
+
 def test_cut_with_ties_and_few_rows(spark, monkeypatch):
     rng = np.random.default_rng(1)
     values = np.concatenate([rng.integers(0, 1 << 60, 500), np.full(300, 12345), rng.integers(0, 50, 200)])
