@@ -171,15 +171,36 @@ def prefix_sums_multi(
     return out.drop(*drop)
 
 
+#: Bits of ``monotonically_increasing_id`` that number a partition's rows.
+ROW_BITS = 33
+
+
 def positions(
     df: DataFrame,
     order_cols: Sequence[str | Column],
     group_cols: Sequence[str] = (),
     out_col: str = "pos",
     total_col: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Exact 0-based row position within each group (``row_number() - 1``)."""
-    return prefix_sums(df, order_cols, group_cols, None, out_col, total_col=total_col)
+    """Exact 0-based row position within each group (``row_number() - 1``), moving and sorting the rows once.
+
+    The rows are range-partitioned on (group, order), sorted in their partitions and written with their partition and
+    place in it. A (partition, group) holds consecutive rows, so where it begins and how many of its
+    group come before (a table of at most partitions + groups rows) give the positions.
+    """
+    group_cols = list(group_cols)
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    by = [*[F.col(g) for g in group_cols], *order]
+    ranged = df.repartitionByRange(partitions or _n_partitions(df), *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    ranged = keep_rows(ranged).withColumn("_pid", F.shiftright("_at", ROW_BITS))
+    sizes = ranged.groupBy("_pid", *group_cols).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*group_cols)
+    before = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", *group_cols, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off"),
+                           *([F.sum("_n").over(whole).alias(total_col)] if total_col else []))
+    out = join_small(ranged, offsets, ["_pid", *group_cols]).withColumn(out_col, F.col("_at") + F.col("_off"))
+    return out.select(*df.columns, out_col, *([total_col] if total_col else []))
 
 
 #: Leading bits of a hash by which :func:`hashed_positions` deals rows out.

@@ -345,6 +345,20 @@ def test_boosted_trees_predict_matches_training_scores(spark):
     assert (pred["prediction"].to_numpy() == pred["y"].to_numpy()).mean() > 0.9
 
 
+def test_positions_move_and_sort_the_rows_once(spark):
+    rows = [(None if i % 5 == 0 else "a" if i % 2 else "b", None if i % 7 == 0 else float(i % 11), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, v double, k int").repartition(3)
+    for n in (1, 8, 64):
+        out = order.positions(df, [F.desc("v"), "k"], ["g"], "pos", total_col="n", partitions=n)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Window [") == 2 and plan.count("Exchange hashpartitioning") == 2  # those of the partitions' sizes; one more each, of all rows, before
+        got = out.collect()
+        assert out.columns == ["g", "v", "k", "pos", "n"] and len(got) == 500
+        for g in (None, "a", "b"):
+            part = sorted((r for r in got if r["g"] == g), key=lambda r: (r["v"] is None, -(r["v"] or 0.0), r["k"]))
+            assert [r["pos"] for r in part] == list(range(len(part))) and {r["n"] for r in part} == {len(part)}
+
+
 def test_null_groups_values_and_a_hot_key_keep_their_rows(spark):
     rows = [(None if i % 5 == 0 else "a", None if i % 7 == 0 else (1.0 if i % 3 else float(i)), i) for i in range(400)]
     df = spark.createDataFrame(rows, "g string, v double, k int")
