@@ -7,10 +7,10 @@ small histogram table is scanned with running-sum windows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -227,68 +227,151 @@ def _value_expr(splits: dict, leaves: dict, node: int = 0):
     return F.when(F.col(f) <= b, _value_expr(splits, leaves, 2 * node + 1)).otherwise(_value_expr(splits, leaves, 2 * node + 2))
 
 
+def _go_left(x: np.ndarray, cut: int | None) -> np.ndarray:
+    """Rows (places in the bins, 0 for NULL) that a split sends left, as :func:`_node_expr` does: those with a bin up to the cut."""
+    return np.zeros(len(x), bool) if cut is None else (x > 0) & (x <= cut)
+
+
+def _bin_sums(names: Sequence[str], label: str, n_classes: int, low: int, width: int, splits: dict, wanted: dict):
+    """Rows (bins, label, scores) to the task's sums of gradient, Hessian and rows by ((class, node), feature, bin); the last cell has the loss.
+
+    ``splits`` has for each class {node: (feature number, cut)}, ``wanted`` the number of each (class, node) to be summed up.
+    """
+    n_cells = len(wanted) * len(names) * width
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3, n_cells + 1))
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = [(b.column(c).cast(pa.int64()).fill_null(low - 1).to_numpy(zero_copy_only=False) - (low - 1)) for c in names]
+            y = b.column(label).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
+            f = np.stack([b.column(f"_f{c}").to_numpy(zero_copy_only=False) for c in range(n_classes)], 1)
+            e = np.exp(f - f.max(1, keepdims=True))
+            prob = e / e.sum(1, keepdims=True)
+            known = np.flatnonzero(y >= 0)
+            total[0, -1] += -np.log(np.maximum(prob[known, y[known]], 1e-15)).sum()
+            total[2, -1] += len(known)
+            for c in range(n_classes):
+                node = np.zeros(b.num_rows, np.int64)
+                for i, (feature, cut) in sorted(splits[c].items()):
+                    on = np.flatnonzero(node == i)
+                    node[on] = np.where(_go_left(x[feature][on], cut), 2 * i + 1, 2 * i + 2)
+                slot = np.full(2 * max([0, *splits[c]]) + 3, -1)
+                for (k, i), at in wanted.items():
+                    if k == c:
+                        slot[i] = at
+                at = slot[node]
+                on = np.flatnonzero(at >= 0)
+                if not len(on):
+                    continue
+                g = np.where(y >= 0, prob[:, c] - (y == c), 0.0)[on]
+                h = (prob[:, c] * (1.0 - prob[:, c]))[on]
+                for i in range(len(names)):
+                    cell = (at[on] * len(names) + i) * width + x[i][on]
+                    for t, v in enumerate((g, h, None)):
+                        total[t, :-1] += np.bincount(cell, weights=v, minlength=n_cells)
+        on = np.flatnonzero(total[2])
+        yield pa.RecordBatch.from_arrays([pa.array(on), *(pa.array(t[on]) for t in total)], ["cell", "g", "h", "n"])
+
+    return run
+
+
+def _best_of_bins(h: np.ndarray, reg_lambda: float, reg_alpha: float, min_child_samples: int, min_split_gain: float) -> tuple[int, int] | None:
+    """W12 on a (feature, bin, 3) histogram: (feature number, place of the bin), ties to the first feature, then the lowest bin."""
+    left = np.cumsum(h, axis=1)
+    total = left[:, -1:]
+    right = total - left
+
+    def score(s):
+        g = np.sign(s[..., 0]) * np.maximum(np.abs(s[..., 0]) - reg_alpha, 0.0) if reg_alpha > 0 else s[..., 0]
+        return g * g / (s[..., 1] + reg_lambda)
+
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = 0.5 * (score(left) + score(right) - score(total))
+        unit = 10.0 ** (9 - np.floor(np.log10(np.abs(gain))))  # ten digits: sums added up in another order compare alike
+        gain = np.where(np.isfinite(unit) & (gain != 0), np.round(gain * unit) / unit, gain)
+    ok = (h[..., 2] > 0) & (left[..., 2] >= min_child_samples) & (right[..., 2] >= min_child_samples) & (gain > min_split_gain)
+    if not ok.any():
+        return None
+    f, b = np.unravel_index(np.argmax(np.where(ok, gain, -np.inf)), gain.shape)
+    return int(f), int(b)
+
+
 def boost_trees(binned: DataFrame, feature_bins: Sequence[str], label: str, n_classes: int, rounds: int = 10,
                 learning_rate: float = 0.3, max_depth: int = 2, reg_lambda: float = 1.0, reg_alpha: float = 0.0,
                 min_child_samples: int = 20, min_split_gain: float = 0.0, checkpoint_every: int = 3):
     """M4: softmax gradient boosting, one tree per class per round, grown level by level.
 
-    Every level of every class's tree is ONE histogram aggregation
-    ``groupBy(cls, node, feature, bin)`` over the rows (map-side combined); the
+    Every level of all classes' trees is ONE pass over the rows: each task adds up its
+    histograms by (class, node, feature, bin) and only these are shuffled. The first
+    level's pass also gives the round's loss, the leaves' sums are those of the last histograms. The
     chosen splits are a small table on the driver and become nested CASE
-    expressions for node assignment and scoring (no join back). Scores are
+    expressions for scoring (no join back). Scores are
     written out every ``checkpoint_every`` rounds to cut lineage, in place of those before.
     Returns (trees, per-round training log loss, scored rows, initial scores);
     a tree is (round, class, splits {node: (feature, bin)}, leaves {node: value})."""
-    from ..session import drop_rows, keep_rows
-
-    counts = {r[label]: r["count"] for r in binned.groupBy(label).count().collect()}  # one row per class
+    from ..session import drop_rows, keep_rows, ship_package
+
+    ship_package(binned.sparkSession)
+    names, width_of = list(feature_bins), F.array(*[F.col(c).cast("long") for c in feature_bins])
+    sizes = binned.groupBy(label).agg(F.count(F.lit(1)).alias("count"), F.min(F.array_min(width_of)).alias("lo"), F.max(F.array_max(width_of)).alias("hi")).collect()  # one row per class
+    counts = {r[label]: r["count"] for r in sizes}
+    low = min([r["lo"] for r in sizes if r["lo"] is not None], default=0)
+    width = max([r["hi"] for r in sizes if r["hi"] is not None], default=0) - low + 2  # place 0 is that of NULL
     n = sum(counts.values())
     init = [float(np.log(counts.get(c, 0) / n)) if counts.get(c, 0) else -30.0 for c in range(n_classes)]
-    d = binned.select(*feature_bins, label, *[F.lit(init[c]).alias(f"_f{c}") for c in range(n_classes)])
+    d = binned.select(*names, label, *[F.lit(init[c]).alias(f"_f{c}") for c in range(n_classes)])
     trees_out, losses, kept = [], [], None
-    cls_arr = F.array(*[F.lit(c) for c in range(n_classes)])
 
     def leaf_w(G, H):
-        G = 0.0 if G is None else float(G)
         Ge = max(0.0, abs(G) - reg_alpha) * np.sign(G) if reg_alpha > 0 else G
-        return float(-Ge / ((H or 0.0) + reg_lambda))
+        return float(-Ge / (H + reg_lambda))
+
+    def sums(splits, nodes):
+        """(class, node) -> its (feature, bin, 3) histogram, and the loss."""
+        wanted = {x: i for i, x in enumerate(nodes)}
+        run = _bin_sums(names, label, n_classes, low, width, splits, wanted)
+        part = d.select(*names, label, *[f"_f{c}" for c in range(n_classes)]).mapInArrow(run, "cell bigint, g double, h double, n double")
+        got = part.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n")).toArrow()
+        h = np.zeros((len(nodes) * len(names) * width + 1, 3))
+        for i, c in enumerate("ghn"):
+            h[got["cell"].to_numpy(), i] = got[c].to_numpy()
+        loss = h[-1, 0] / h[-1, 2] if h[-1, 2] else None
+        return dict(zip(nodes, h[:-1].reshape(len(nodes), len(names), width, 3))), loss
 
     for r in range(rounds):
-        fs = [F.col(f"_f{c}") for c in range(n_classes)]
-        m = F.greatest(*fs)
-        den = sum((F.exp(f - m) for f in fs), F.lit(0.0))
-        g = d.withColumn("_p", F.array(*[F.exp(f - m) / den for f in fs]))
-        losses.append(g.agg(F.avg(-F.log(F.greatest(F.element_at("_p", F.col(label) + 1), F.lit(1e-15))))).collect()[0][0])
-        long = g.select(*feature_bins, label, "_p", F.explode(cls_arr).alias("cls"))
-        p_c = F.element_at("_p", F.col("cls") + 1)
-        long = long.withColumn("g", p_c - (F.col(label) == F.col("cls")).cast("double")).withColumn("h", p_c * (1.0 - p_c))
-        long = keep_rows(long.select(*feature_bins, "cls", "g", "h"))
-        splits = {c: {} for c in range(n_classes)}
-        for level in range(max_depth):
-            node = F.lit(0)
-            for c in range(n_classes):
-                node = F.when(F.col("cls") == c, _node_expr(splits[c])).otherwise(node)
-            at = long.withColumn("node", node)
-            best = histogram_best_split(at, feature_bins, "g", "h", ["cls", "node"], reg_lambda, reg_alpha,
-                                        min_child_samples, min_split_gain).collect()
-            new = [(b["cls"], b["node"], b["feature"], b["bin"]) for b in best
-                   if b["node"] >= 2 ** level - 1]  # only nodes of the current level
-            if not new:
+        cuts: list[dict] = [{} for _ in range(n_classes)]
+        hist, nodes = {}, [(c, 0) for c in range(n_classes)]
+        for level in range(max(1, max_depth)):
+            got, loss = sums(cuts, nodes)
+            hist |= got
+            if not level:
+                losses.append(loss)
+            best = {x: _best_of_bins(hist[x], reg_lambda, reg_alpha, min_child_samples, min_split_gain) for x in nodes} if max_depth else {}
+            new = [x for x in nodes if best.get(x)]
+            for c, i in new:
+                f, b = best[c, i]
+                cuts[c][i] = (f, b or None)
+            nodes = [(c, child) for c, i in new for child in (2 * i + 1, 2 * i + 2)]
+            if not nodes:
                 break
-            for c, nd, f, b in new:
-                splits[c][nd] = (f, b)
-        node = F.lit(0)
-        for c in range(n_classes):
-            node = F.when(F.col("cls") == c, _node_expr(splits[c])).otherwise(node)
-        sums = long.withColumn("node", node).groupBy("cls", "node").agg(F.sum("g").alias("G"), F.sum("h").alias("H")).collect()
-        leaves = {c: {} for c in range(n_classes)}
-        for row in sums:
-            leaves[row["cls"]][row["node"]] = leaf_w(row["G"], row["H"])
-        drop_rows(long)
+        leaves: list[dict] = [{} for _ in range(n_classes)]
+        for (c, i), h in hist.items():
+            if i not in cuts[c]:
+                if h[0, :, 2].sum():
+                    leaves[c][i] = leaf_w(*h[0].sum(0)[:2])
+                continue
+            f, cut = cuts[c][i]
+            to_left = _go_left(np.arange(width), cut)
+            for child, on in ((2 * i + 1, to_left), (2 * i + 2, ~to_left)):
+                if (c, child) not in hist and h[f, on, 2].sum():
+                    leaves[c][child] = leaf_w(*h[f, on].sum(0)[:2])
+        splits = [{i: (names[f], None if cut is None else cut + low - 1) for i, (f, cut) in cuts[c].items()} for c in range(n_classes)]
         for c in range(n_classes):
-            trees_out.append((r, c, dict(splits[c]), dict(leaves[c])))
-        d = d.select(*feature_bins, label, *[(F.col(f"_f{c}") + F.lit(learning_rate) * _value_expr(splits[c], leaves[c])).alias(f"_f{c}")
-                                             for c in range(n_classes)])
+            trees_out.append((r, c, splits[c], leaves[c]))
+        d = d.select(*names, label, *[(F.col(f"_f{c}") + F.lit(learning_rate) * _value_expr(splits[c], leaves[c])).alias(f"_f{c}")
+                                      for c in range(n_classes)])
         if (r + 1) % checkpoint_every == 0:
             d = keep_rows(d)
             drop_rows(kept)

@@ -359,6 +359,39 @@ def test_positions_move_and_sort_the_rows_once(spark):
             assert [r["pos"] for r in part] == list(range(len(part))) and {r["n"] for r in part} == {len(part)}
 
 
+def test_boosting_sums_up_in_the_tasks_and_writes_no_row_a_class(spark, monkeypatch):
+    from tabrisk import session
+    from tabrisk.operators import trees
+
+    rng = np.random.default_rng(12)
+    a, b, y = rng.integers(0, 5, 700), rng.integers(0, 4, 700), rng.integers(0, 3, 700)
+    y = np.where(a < 2, 0, np.where(b < 2, 1, y))
+    df = spark.createDataFrame([(None if i % 50 == 0 else int(p), int(q), int(t)) for i, (p, q, t) in enumerate(zip(a, b, y))], "a_bin int, b_bin int, y int")
+    written = []
+    keep = session.keep_rows
+    monkeypatch.setattr(session, "keep_rows", lambda d: written.append(d.columns) or keep(d))
+    fitted, losses, scored, init = trees.boost_trees(df, ["a_bin", "b_bin"], "y", 3, rounds=2, learning_rate=0.5, max_depth=2, min_child_samples=5)
+    assert not written  # a row for each class and round before
+    # the first trees from plain sums; a NULL bin counts as the lowest in a split and its rows go right
+    x = np.stack([np.where(np.arange(700) % 50 == 0, -1, a), b], 1)
+    p = np.bincount(y, minlength=3) / 700
+    assert np.isclose(losses[0], -np.log(p[y]).mean())
+    for c in range(3):
+        g, h = p[c] - (y == c), np.full(700, p[c] * (1 - p[c]))
+        s = lambda on: g[on].sum() ** 2 / (h[on].sum() + 1.0)
+        best = max(((round(0.5 * (s(x[:, f] <= v) + s(x[:, f] > v) - s(x[:, f] > -9)), 9), -f, -v) for f in (0, 1) for v in sorted(set(x[:, f]))[:-1] if (x[:, f] <= v).sum() >= 5))
+        _, _, splits, leaves = fitted[c]
+        assert splits[0] == (["a_bin", "b_bin"][-best[1]], -best[2])
+        node = np.zeros(700, int)
+        for i in (0, 1, 2):
+            if i in splits:
+                f, v = splits[i]
+                f = ["a_bin", "b_bin"].index(f)
+                left = (x[:, f] >= 0) & (x[:, f] <= v)
+                node = np.where(node == i, np.where(left, 2 * i + 1, 2 * i + 2), node)
+        assert {i: round(-g[node == i].sum() / (h[node == i].sum() + 1.0), 9) for i in set(node.tolist())} == {i: round(v, 9) for i, v in leaves.items()}
+
+
 def test_null_groups_values_and_a_hot_key_keep_their_rows(spark):
     rows = [(None if i % 5 == 0 else "a", None if i % 7 == 0 else (1.0 if i % 3 else float(i)), i) for i in range(400)]
     df = spark.createDataFrame(rows, "g string, v double, k int")
