@@ -100,3 +100,38 @@ def test_configs_with_one_preparation_share_it(spark, monkeypatch):
     out = ablation.run_grid(dealt, 2, cfgs, catalog.KEY_LIST, "losses")
     assert len(cfgs) == 3 and len(fits) == 2  # one a fold
     assert {r["status"] for r in out.collect()} == {"ok"} and dealt not in ablation._shared
+
+
+def test_ordinal_models_of_one_preparation_are_fitted_together(spark, monkeypatch):
+    from tabrisk.plans import catalog
+
+    passes = []
+    for name in ("cross_products", "threshold_searches"):
+        monkeypatch.setattr(linear, name, lambda *a, real=getattr(linear, name), name=name: passes.append(name) or real(*a))
+    dealt = catalog._ablation_folds(spark, "/root/testdata/sf0.001", 2)
+    cfgs = [c for c in ablation.loss_configs() if c.model != "lasso_ordinal"]
+    together = ablation.run_grid(dealt, 2, cfgs, catalog.KEY_LIST, "losses").collect()
+    assert [r["config"] for r in together] == [c.name for c in cfgs] and {r["status"] for r in together} == {"ok"}
+    assert passes.count("cross_products") == 2 * 9 and passes.count("threshold_searches") == 2  # a fold: one pass, one a Huber iteration; not one a config
+    alone = ablation.run_grid(dealt, 2, [cfgs[2], ablation.Config("bad", "nothing")], catalog.KEY_LIST, "losses").where("status = 'ok'").collect()
+    assert alone == [together[2]]
+
+
+def test_cross_products_and_threshold_searches_match_plain_ones(spark):
+    rng = np.random.default_rng(3)
+    x, w = rng.normal(size=(200, 2)), rng.integers(1, 4, 200)
+    y = np.clip(np.round(x[:, 0] + 1 + rng.normal(scale=0.5, size=200)), 0, 2).astype(int)
+    d = spark.createDataFrame([(float(a), float(b), int(c), float(v)) for (a, b), c, v in zip(x, y, w)], "a double, b double, y int, w double").repartition(5)
+    z = np.column_stack([np.ones(200), x, y])
+    r = np.abs(y - (0.5 + x @ np.array([1.0, 0.1])))
+    got = linear.cross_products(d.select("a", "b", F.col("y").cast("double"), "w"), [(0.0, np.zeros(2), None), (0.5, np.array([1.0, 0.1]), 0.3)])
+    assert np.allclose(got[0], (z * w[:, None]).T @ z) and np.allclose(got[1], (z * (w * np.where(r <= 0.3, 1.0, 0.3 / r))[:, None]).T @ z)
+    for alpha in (0.0, 0.5):
+        b, c = linear.solve_cross(got[0], alpha)
+        b0, c0 = linear.solve_ridge(linear.normal_sums(d, ["a", "b"], "y", "w"), 2, alpha)
+        assert np.isclose(b, b0) and np.allclose(c, c0)
+    scores = [F.col("a"), F.col("b") - F.col("a"), F.when(F.col("a") > -1, F.col("a") * 2.0), F.lit(1.0), F.when(F.col("b") > 1, F.lit(float("nan"))).otherwise(F.col("b"))]
+    for weight in (None, "w"):
+        want = [linear.threshold_search(d.withColumn("s", s), "s", "y", weight).first() for s in scores]
+        for some in (scores[:4], scores):
+            assert [repr(t) for t in linear.threshold_searches(d, some, "y", weight)] == [repr((t["t1"], t["t2"])) for t in want[: len(some)]]
