@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -389,3 +390,13 @@ def test_saved_dummy_draws_the_same_classes(spark, tmp_path):
     assert [r.prediction for r in models.load_fitted(spark, str(tmp_path / "d")).predict(df).orderBy("id").collect()] == want
     share = np.bincount(want, minlength=3) / 300
     assert np.abs(share - np.bincount(y, minlength=3) / 300).max() < 0.1 and len(set(want)) == 3
+
+
+def test_a_drawn_round_reads_the_drawn_rows_alone(spark, monkeypatch):
+    x, y = table(300)
+    read, real = [], boosting.grow
+    monkeypatch.setattr(boosting, "grow", lambda rows, *a: read.append(rows.count()) or real(rows, *a))
+    p = boosting.Params(n_estimators=2, num_leaves=4, min_child_samples=5, max_bin=16)
+    boosting.fit(frame(spark, x, y), FEATURES, "y", replace(p, use_goss=True), keys=["id"])
+    boosting.fit(frame(spark, x, y), FEATURES, "y", replace(p, subsample=0.5), keys=["id"])
+    assert read == [90, 90, 150, 150]
