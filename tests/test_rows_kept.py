@@ -135,3 +135,6 @@ def test_cross_products_and_threshold_searches_match_plain_ones(spark):
         want = [linear.threshold_search(d.withColumn("s", s), "s", "y", weight).first() for s in scores]
         for some in (scores[:4], scores):
             assert [repr(t) for t in linear.threshold_searches(d, some, "y", weight)] == [repr((t["t1"], t["t2"])) for t in want[: len(some)]]
+    for bad in (float("nan"), None):
+        with pytest.raises(ValueError, match="missing"):
+            linear.cross_products(d.select("a", F.when(F.col("b") > 1, F.lit(bad)).otherwise(F.col("b")), F.col("y").cast("double"), "w"), [(0.0, np.zeros(2), None)])
