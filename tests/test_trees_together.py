@@ -69,3 +69,42 @@ def test_thresholds():
     assert dtree.thresholds(np.array([0.0, 0, 2, 2, 3, 3]), ones, 6.0, 64).tolist() == [1.0, 2.5]  # zeros are what is left
     assert dtree.thresholds(np.full(6, 4.0), ones, 6.0, 64).tolist() == []
     assert dtree.thresholds(np.arange(1.0, 101), np.ones(100), 100.0, 4).tolist() == [25.5, 50.5, 75.5]
+
+
+def test_histograms_over_batches(monkeypatch):
+    """Rows are added up many at a time, over several batches, to the sums of a count by hand."""
+    import pyarrow as pa
+
+    from tabrisk.operators import boosting, treetable
+
+    rng = np.random.default_rng(3)
+    n, width, bins = 500, 3, 8
+    x, g, h, w = rng.integers(0, bins, (n, width)), rng.normal(size=(n, 2)), rng.random((n, 2)), rng.integers(0, 3, n).astype(float)
+    tree = [treetable.Node(0, n, col=1, feature="b", threshold=3.0, left=1, right=2), treetable.Node(1, 0), treetable.Node(1, 0)]
+    slots = [{0: 0}, {2: 1, 1: 2}]
+    lists = lambda m, t: pa.array(m.tolist(), pa.list_(t))
+    batches = [pa.RecordBatch.from_arrays([lists(x[a : a + 60], pa.int32()), lists(g[a : a + 60], pa.float64()), lists(h[a : a + 60], pa.float64()), pa.array(w[a : a + 60])], ["x", "g", "h", "w"]) for a in range(0, n, 60)]
+    want = np.zeros((3, 3, width, bins))
+    for r in range(n):
+        for k, slot in ((0, 0), (1, 2 if x[r, 1] <= 3 else 1)):
+            if w[r] > 0:
+                for c in range(width):
+                    want[:, slot, c, x[r, c]] += (g[r, k] * w[r], h[r, k] * w[r], 1)
+    for size in (1, 100, 10_000):
+        monkeypatch.setattr(boosting, "ROWS", size)
+        flat = [treetable.arrays([treetable.Node(0, n)]), treetable.arrays(tree)]
+        out = pa.Table.from_batches(boosting._adder(flat, slots, 3, width, bins)(iter(batches)))
+        got = np.zeros((3, want[0].size))
+        got[:, out["cell"].to_numpy()] = [out[c].to_numpy() for c in "ghn"]
+        np.testing.assert_allclose(got, want.reshape(3, -1), atol=1e-9)
+
+
+def test_leaf_values_in_arrow(spark):
+    """Leaf values come from Arrow arrays, without an object a row."""
+    from tabrisk.operators import treetable
+
+    tree = [treetable.Node(0, 3, col=1, feature="b", threshold=3.0, left=1, right=2), treetable.Node(1, 2, -1.0), treetable.Node(1, 1, 2.0)]
+    d = spark.createDataFrame([([0, 2],), ([5, 3],), ([1, 4],)], "x array<int>").coalesce(1)
+    out = d.select(treetable.leaf_values(F.col("x"), 2, [tree, tree[1:2]]).alias("v"))
+    assert sorted(r["v"] for r in out.collect()) == [[-1.0, -1.0], [-1.0, -1.0], [2.0, -1.0]]
+    assert "pandas" not in str(type(treetable.leaf_values)) and not hasattr(treetable, "pd")
