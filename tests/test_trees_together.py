@@ -108,3 +108,33 @@ def test_leaf_values_in_arrow(spark):
     out = d.select(treetable.leaf_values(F.col("x"), 2, [tree, tree[1:2]]).alias("v"))
     assert sorted(r["v"] for r in out.collect()) == [[-1.0, -1.0], [-1.0, -1.0], [2.0, -1.0]]
     assert "pandas" not in str(type(treetable.leaf_values)) and not hasattr(treetable, "pd")
+
+
+def test_preparations_share_their_fits(spark, monkeypatch):
+    """Lambdas, categories and codes are fitted once a fold for all preparations that need them, and are those of a fit alone."""
+    from tabrisk import config as C
+    from tabrisk.operators import encode
+    from tabrisk.plans import prepare
+
+    base = [C.PrepConfig(fe_groups=[], use_skew=k, use_scale=False, use_ohe=o) for k, o in ((True, False), (True, True), (False, True), (False, False))]
+    rng = np.random.default_rng(1)
+    cols = [*C.NUMERIC_COLS, *C.ENGINEERED_SKEW_COLS]
+    data = [(*(float(v) for v in rng.exponential(size=len(cols)) ** 3), "ABCD"[i % 4], *(f"v{(i + j) % 3}" for j in range(len(C.OHE_COLS)))) for i in range(200)]
+    common = spark.createDataFrame(data, ", ".join([*(f"{c} double" for c in cols), "soil_group string", *(f"{c} string" for c in C.OHE_COLS)])).cache()
+    calls, made = {"skew": 0, "onehot": 0, "ordinal": 0}, {}
+    for name, f in (("skew", "fit_skew_transforms"), ("onehot", "fit_onehot"), ("ordinal", "fit_ordinal")):
+        real = getattr(encode, f)
+        monkeypatch.setattr(encode, f, lambda *a, real=real, name=name, **k: (calls.__setitem__(name, calls[name] + 1), real(*a, **k))[1])
+
+    def share(key, make):
+        if key not in made:
+            made[key] = make()
+        return made[key]
+
+    plain = common.drop(*C.ENGINEERED_SKEW_COLS)
+    shared = [prepare.fit_linear_common(plain, None, c, share) for c in base] + [prepare.fit_linear_common(common, None, base[1], share)]
+    assert calls == {"skew": 2, "onehot": 1, "ordinal": 2}  # the engineered columns on their own; fit_onehot takes codes
+    alone = [prepare.fit_linear_common(plain, None, c) for c in base] + [prepare.fit_linear_common(common, None, base[1])]
+    for a, b in zip(shared, alone):
+        assert (a.lambdas, a.onehot, a.feature_cols) == (b.lambdas, b.onehot, b.feature_cols)
+        assert sorted(a.codes.collect() if a.codes else []) == sorted(b.codes.collect() if b.codes else [])
